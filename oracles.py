@@ -174,3 +174,113 @@ ORACLES["minimal_typing_rows"] = with_([DIRTY, NORM, MINIMAL], "SELECT * FROM mi
 
 ORACLES["drop_empty_columns"] = with_([DIRTY, NORM], " UNION ALL ".join(
     f"SELECT '{c}' AS column, {i} AS ordinal FROM norm HAVING count({c}) = 0" for i, c in enumerate(TEXT_COLS)))
+
+
+# --- profile -------------------------------------------------------------------------------------
+
+def profile_sql(table: str, columns, exact_distinct: bool = False, ctes=()) -> str:
+    """columns: (name, kind) with kind text | num | other."""
+    parts = []
+    for i, (c, kind) in enumerate(columns):
+        missing = f"({c} IS NULL OR trim({c}) = '')" if kind == "text" else f"{c} IS NULL"
+        num = dbl(c) if kind == "text" else (f"CAST({c} AS DOUBLE)" if kind == "num" else "CAST(NULL AS DOUBLE)")
+        sample = (f"substring(replace(min(nullif(trim({c}), '')), chr(10), ' '), 1, 30)" if kind == "text"
+                  else "CAST(NULL AS VARCHAR)")
+        extra = f", CAST(count(DISTINCT {c}) AS BIGINT) AS distinct_exact" if exact_distinct else ""
+        parts.append(
+            f"SELECT '{c}' AS column, {i} AS ordinal, CAST(count(*) AS BIGINT) AS rows, "
+            f"CAST(count_if({missing}) AS BIGINT) AS missing_count, "
+            f"round(100.0 * count_if({missing}) / nullif(count(*), 0), 2) AS missing_pct, "
+            f"min({num}) AS numeric_min, max({num}) AS numeric_max, {sample} AS sample_value{extra} FROM {table}")
+    body = " UNION ALL ".join(parts)
+    return with_(list(ctes), body) if ctes else body
+
+
+DIRTY_PROFILE = [(c, "text") for c in TEXT_COLS]
+LINEITEM_PROFILE = [("l_orderkey", "num"), ("l_partkey", "num"), ("l_suppkey", "num"), ("l_linenumber", "num"),
+                    ("l_quantity", "num"), ("l_extendedprice", "num"), ("l_discount", "num"), ("l_tax", "num"),
+                    ("l_returnflag", "text"), ("l_linestatus", "text"), ("l_shipdate", "other")]
+DOCUMENTS_PROFILE = [("doc_id", "num"), ("text", "text"), ("lang", "text"), ("source", "text"), ("n_chars", "num")]
+
+ORACLES["profile_table"] = with_([DIRTY], """
+SELECT CAST(count(*) AS BIGINT) AS rows, 11 AS columns,
+       CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM dirty)) AS BIGINT) AS duplicate_rows,
+       CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT id FROM dirty)) AS BIGINT) AS duplicate_keys
+FROM dirty""")
+
+ORACLES["profile_columns"] = profile_sql("dirty", DIRTY_PROFILE, ctes=[DIRTY])
+
+ORACLES["profile_exact_distinct"] = with_([DIRTY], " UNION ALL ".join(
+    f"SELECT '{c}' AS column, CAST(count(DISTINCT {c}) AS BIGINT) AS distinct_exact FROM dirty" for c in TEXT_COLS))
+
+ORACLES["profile_lineitem_columns"] = profile_sql("lineitem", LINEITEM_PROFILE, exact_distinct=True)
+
+ORACLES["profile_documents_columns"] = profile_sql("documents", DOCUMENTS_PROFILE)
+
+ORACLES["duplicate_rows_count"] = """
+SELECT CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS BIGINT)
+       AS duplicate_rows FROM lineitem"""
+
+ORACLES["duplicate_keys_count"] = with_([DIRTY], """
+SELECT CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT id FROM dirty)) AS BIGINT) AS duplicate_keys FROM dirty""")
+
+ORACLES["empty_columns"] = with_([DIRTY, NORM], " UNION ALL ".join(
+    f"SELECT '{c}' AS column, {i} AS ordinal, CAST(count({c}) AS BIGINT) AS non_null, count({c}) = 0 AS empty "
+    f"FROM norm" for i, c in enumerate(TEXT_COLS)))
+
+# --- exploration ---------------------------------------------------------------------------------
+
+PRICE_FORMAT = r"^\$[0-9,]+(\.[0-9]+)?$"
+
+ORACLES["explore_format_check"] = with_([DIRTY, f"""bad AS (SELECT price AS v FROM dirty
+    WHERE NOT (price IS NULL OR trim(price) = '') AND NOT regexp_matches(price, '{PRICE_FORMAT}'))"""], """
+SELECT 'price' AS column, (SELECT CAST(count(*) AS BIGINT) FROM bad) AS bad_count,
+       (SELECT coalesce(string_agg(v, ' | ' ORDER BY v), '') FROM
+           (SELECT DISTINCT v FROM bad ORDER BY v LIMIT 5)) AS examples""")
+
+ORACLES["explore_non_positive"] = with_([DIRTY], f"""
+SELECT CAST(count_if({money('price')} <= 0) AS BIGINT) AS non_positive FROM dirty""")
+
+ORACLES["explore_quantiles"] = with_([DIRTY], f"""
+SELECT unnest([0.01, 0.5, 0.99, 0.999]::DOUBLE[]) AS probability,
+       unnest(quantile_disc({money('price')}, [0.01, 0.5, 0.99, 0.999])) AS value FROM dirty""")
+
+ORACLES["explore_top_values"] = with_([DIRTY], f"""
+SELECT id, {money('price')} AS price_num FROM dirty
+ORDER BY price_num DESC NULLS LAST, id ASC NULLS FIRST LIMIT 5""")
+
+ORACLES["explore_cross_missing"] = with_([DIRTY], """
+SELECT CAST(count_if((price IS NULL OR trim(price) = '') AND NOT (review_scores_rating IS NULL
+            OR trim(review_scores_rating) = '')) AS BIGINT) AS price_missing_review_scores_rating_present,
+       CAST(count_if(NOT (price IS NULL OR trim(price) = '') AND (review_scores_rating IS NULL
+            OR trim(review_scores_rating) = '')) AS BIGINT) AS price_present_review_scores_rating_missing
+FROM dirty""")
+
+ORACLES["explore_extremes"] = with_([DIRTY, f"""long AS (
+    SELECT 'beds' AS "column", id, {dbl('beds')} AS v FROM dirty
+    UNION ALL SELECT 'minimum_nights', id, {dbl('minimum_nights')} FROM dirty)"""], """
+SELECT "column", 'top' || CAST(rk AS VARCHAR) AS stat, v AS value, id FROM (
+    SELECT "column", id, v, row_number() OVER (PARTITION BY "column" ORDER BY v DESC, id ASC NULLS FIRST) AS rk
+    FROM long WHERE v IS NOT NULL) WHERE rk <= 5
+UNION ALL
+SELECT "column", 'p' || CAST(p AS VARCHAR) AS stat, q AS value, CAST(NULL AS VARCHAR) AS id FROM (
+    SELECT "column", unnest([0.5, 0.99, 0.999]::DOUBLE[]) AS p, unnest(quantile_disc(v, [0.5, 0.99, 0.999])) AS q
+    FROM long GROUP BY "column")""")
+
+ORACLES["explore_score_ranges"] = with_([DIRTY], f"""
+SELECT 'review_scores_rating' AS column,
+       CAST(count_if({dbl('review_scores_rating')} < 0 OR {dbl('review_scores_rating')} > 5) AS BIGINT) AS out_of_range,
+       CAST(count_if({dbl('review_scores_rating')} = 0) AS BIGINT) AS zeros FROM dirty""")
+
+ORACLES["explore_date_order"] = with_([DIRTY], f"""
+SELECT CAST(count_if({date('first_review')} > {date('last_review')}) AS BIGINT) AS inverted_pairs,
+       CAST(count_if(NOT (first_review IS NULL OR trim(first_review) = '') AND {date('first_review')} IS NULL)
+            AS BIGINT) AS unparseable_first_review FROM dirty""")
+
+ORACLES["explore_outside_box"] = with_([DIRTY], f"""
+SELECT CAST(count_if({dbl('latitude')} IS NOT NULL AND {dbl('longitude')} IS NOT NULL AND NOT
+       ({dbl('latitude')} BETWEEN 48.7 AND 49.0 AND {dbl('longitude')} BETWEEN 2.1 AND 2.6)) AS BIGINT)
+       AS outside_box FROM dirty""")
+
+ORACLES["explore_numeric_text"] = with_([DIRTY], f"""
+SELECT CAST(count_if(regexp_matches(host_about, '{DIGITS}')) AS BIGINT) AS numeric_text FROM dirty""")

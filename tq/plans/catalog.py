@@ -178,3 +178,118 @@ def drop_empty_columns(spark, sf_dir):
     from tq.operators.profile import column_presence
     return column_presence(normalize(dirty(spark, sf_dir))).filter(F.col("non_null") == 0) \
         .select("column", "ordinal")
+
+
+# --- profile (A1-A8) ------------------------------------------------------------------------------
+
+from tq.operators import explore as X  # noqa: E402
+from tq.operators.profile import column_presence, duplicate_keys, duplicate_rows, profile, table_summary  # noqa: E402
+from tq.operators.quantiles import approx_quantiles, exact_quantiles  # noqa: E402
+
+PRICE_FORMAT = r"^\$[0-9,]+(\.[0-9]+)?$"
+PRICE_PROBS = (0.01, 0.5, 0.99, 0.999)
+
+
+@query
+def profile_table(spark, sf_dir):
+    return table_summary(dirty(spark, sf_dir), key="id")
+
+
+@query
+def profile_columns(spark, sf_dir):
+    return profile(dirty(spark, sf_dir), approx=False)
+
+
+@query
+def profile_approx_distinct(spark, sf_dir):
+    return profile(dirty(spark, sf_dir), approx=True).select("column", "distinct_approx")
+
+
+@query
+def profile_exact_distinct(spark, sf_dir):
+    return profile(dirty(spark, sf_dir), approx=False, exact_distinct=True).select("column", "distinct_exact")
+
+
+@query
+def profile_lineitem_columns(spark, sf_dir):
+    return profile(read_table(spark, sf_dir, "lineitem"), approx=False, exact_distinct=True)
+
+
+@query
+def profile_documents_columns(spark, sf_dir):
+    return profile(read_table(spark, sf_dir, "documents"), approx=False)
+
+
+@query
+def duplicate_rows_count(spark, sf_dir):
+    return duplicate_rows(read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"))
+
+
+@query
+def duplicate_keys_count(spark, sf_dir):
+    return duplicate_keys(dirty(spark, sf_dir), "id")
+
+
+@query
+def empty_columns(spark, sf_dir):
+    return column_presence(normalize(dirty(spark, sf_dir))).withColumn("empty", F.col("non_null") == 0)
+
+
+# --- exploration (E1-E10) -------------------------------------------------------------------------
+
+@query
+def explore_format_check(spark, sf_dir):
+    return X.format_check(dirty(spark, sf_dir), "price", PRICE_FORMAT)
+
+
+@query
+def explore_non_positive(spark, sf_dir):
+    return X.non_positive(dirty(spark, sf_dir), "price")
+
+
+@query
+def explore_quantiles(spark, sf_dir):
+    d = dirty(spark, sf_dir).select(parse_currency("price").alias("price_num"))
+    return exact_quantiles(d, "price_num", PRICE_PROBS)
+
+
+@query
+def explore_quantiles_approx(spark, sf_dir):
+    d = dirty(spark, sf_dir).select(parse_currency("price").alias("price_num"))
+    return approx_quantiles(d, "price_num", PRICE_PROBS, relative_error=0.001)
+
+
+@query
+def explore_top_values(spark, sf_dir):
+    return X.top_values(dirty(spark, sf_dir), parse_currency("price"), "id", 5, "price_num")
+
+
+@query
+def explore_cross_missing(spark, sf_dir):
+    return X.cross_missing(dirty(spark, sf_dir), "price", "review_scores_rating")
+
+
+@query
+def explore_extremes(spark, sf_dir):
+    return X.extremes(dirty(spark, sf_dir), ["beds", "minimum_nights"], "id")
+
+
+@query
+def explore_score_ranges(spark, sf_dir):
+    d = dirty(spark, sf_dir)
+    return X.score_ranges(d, LISTINGS.score_columns(d.columns), *LISTINGS.score_range)
+
+
+@query
+def explore_date_order(spark, sf_dir):
+    return X.date_order(dirty(spark, sf_dir), "first_review", "last_review")
+
+
+@query
+def explore_outside_box(spark, sf_dir):
+    return X.outside_box(dirty(spark, sf_dir), LISTINGS.box)
+
+
+@query
+def explore_numeric_text(spark, sf_dir):
+    return X.numeric_text(dirty(spark, sf_dir), "host_about", LISTINGS.digit_only_pattern)
