@@ -284,3 +284,131 @@ SELECT CAST(count_if({dbl('latitude')} IS NOT NULL AND {dbl('longitude')} IS NOT
 
 ORACLES["explore_numeric_text"] = with_([DIRTY], f"""
 SELECT CAST(count_if(regexp_matches(host_about, '{DIGITS}')) AS BIGINT) AS numeric_text FROM dirty""")
+
+
+# --- expectations --------------------------------------------------------------------------------
+
+def rule_sql(i, label, kind, table, c, *, low=None, high=None, strict_low=False, other=None, or_equal=True,
+             regex=None, mostly=None) -> str:
+    """(u, d) for one rule, as a SELECT producing the result row."""
+    if kind == "not_null":
+        u, d = f"count_if({c} IS NULL)", "count(*)"
+        src = table
+    elif kind == "between":
+        conds = []
+        if low is not None:
+            conds.append(f"{c} {'>' if strict_low else '>='} {float(low)}")
+        if high is not None:
+            conds.append(f"{c} <= {float(high)}")
+        u, d = f"count_if({c} IS NOT NULL AND NOT ({' AND '.join(conds)}))", f"count({c})"
+        src = table
+    elif kind == "pair_order":
+        op = ">=" if or_equal else ">"
+        u = f"count_if(NOT ({c} {op} {other}))"
+        d = f"count_if(NOT ({c} IS NULL AND {other} IS NULL))"
+        src = table
+    elif kind == "not_match_regex":
+        u, d = f"count_if(regexp_matches({c}, '{regex}'))", f"count({c})"
+        src = table
+    elif kind == "unique":
+        u, d = "coalesce(sum(CASE WHEN n > 1 THEN n END), 0)", "coalesce(sum(n), 0)"
+        src = f"(SELECT count(*) AS n FROM {table} WHERE {c} IS NOT NULL GROUP BY {c})"
+    else:
+        raise ValueError(kind)
+    rows = f"(SELECT count(*) FROM {table})"
+    if mostly is None:
+        success = "u = 0"
+    else:
+        success = f"(d = 0 OR coalesce(1.0::DOUBLE - u::DOUBLE / d::DOUBLE >= {mostly}, false))"
+    return (f"SELECT {i} AS ordinal, '{label}' AS rule, '{kind}' AS expectation, '{c}' AS \"column\", "
+            f"{success} AS success, u AS unexpected_count, "
+            f"round(100.0::DOUBLE * u::DOUBLE / nullif(d, 0)::DOUBLE, 3) AS unexpected_percent, "
+            f"checked_rows FROM (SELECT CAST({u} AS BIGINT) AS u, CAST({d} AS BIGINT) AS d, "
+            f"CAST({rows} AS BIGINT) AS checked_rows FROM {src})")
+
+
+def suite_sql(table, rules) -> str:
+    return " UNION ALL ".join(rule_sql(i, *r[:2], table, r[2], **(r[3] if len(r) > 3 else {}))
+                              for i, r in enumerate(rules))
+
+
+SCORE = "review_scores_rating"
+LISTING_SUITE = [
+    ("id not null", "not_null", "id"),
+    ("id unique", "unique", "id"),
+    ("price in ]0, 10000]", "between", "price", dict(low=0, high=10000, strict_low=True)),
+    ("price present in at least 95 % of rows", "not_null", "price", dict(mostly=0.95)),
+    ("beds in [0, 20]", "between", "beds", dict(low=0, high=20)),
+    (f"{SCORE} in ]0, 5]", "between", SCORE, dict(low=0, high=5, strict_low=True)),
+    ("last_review >= first_review", "pair_order", "last_review", dict(other="first_review")),
+    ("latitude inside the box", "between", "latitude", dict(low=48.7, high=49.0)),
+    ("longitude inside the box", "between", "longitude", dict(low=2.1, high=2.6)),
+    ("host_about not only digits", "not_match_regex", "host_about", dict(regex=DIGITS)),
+]
+CLEAN_ROWS = "clean_rows AS (SELECT * EXCLUDE (reject_reason) FROM reasoned WHERE reject_reason = '')"
+
+ORACLES["validate_suite"] = clean_sql(suite_sql("clean_rows", LISTING_SUITE), extra=[CLEAN_ROWS])
+
+ORACLES["expect_not_null"] = with_([DIRTY, NORM, MINIMAL], suite_sql("minimal", [
+    ("price not null", "not_null", "price"), ("beds not null", "not_null", "beds")]))
+
+ORACLES["expect_unique"] = with_([DIRTY, NORM, MINIMAL], suite_sql("minimal", [
+    ("id unique", "unique", "id"), ("host_about unique", "unique", "host_about")]))
+
+ORACLES["expect_between"] = with_([DIRTY, NORM, MINIMAL], suite_sql("minimal", [
+    ("price in ]0, 10000]", "between", "price", dict(low=0, high=10000, strict_low=True)),
+    ("beds in [0, 20]", "between", "beds", dict(low=0, high=20)),
+    (f"{SCORE} in ]0, 5]", "between", SCORE, dict(low=0, high=5, strict_low=True))]))
+
+ORACLES["expect_pair_order"] = with_([DIRTY, NORM, MINIMAL], suite_sql("minimal", [
+    ("last_review >= first_review", "pair_order", "last_review", dict(other="first_review")),
+    ("last_review > first_review", "pair_order", "last_review", dict(other="first_review", or_equal=False))]))
+
+ORACLES["expect_not_match_regex"] = with_([DIRTY, NORM, MINIMAL], suite_sql("minimal", [
+    ("host_about not only digits", "not_match_regex", "host_about", dict(regex=DIGITS))]))
+
+ORACLES["expect_mostly"] = with_([DIRTY, NORM, MINIMAL], suite_sql("minimal", [
+    ("price present in at least 95 % of rows", "not_null", "price", dict(mostly=0.95)),
+    ("beds present in at least 80 % of rows", "not_null", "beds", dict(mostly=0.80))]))
+
+ORACLES["validate_customer"] = suite_sql("customer", [
+    ("c_custkey not null", "not_null", "c_custkey"), ("c_custkey unique", "unique", "c_custkey"),
+    ("c_acctbal in [0, 10000]", "between", "c_acctbal", dict(low=0, high=10000)),
+    ("c_name unique", "unique", "c_name")])
+
+_BEFORE_AFTER_CTES = CLEAN_CHAIN + [CLEAN_ROWS, MINIMAL,
+                                    f"b AS ({suite_sql('minimal', LISTING_SUITE)})",
+                                    f"a AS ({suite_sql('clean_rows', LISTING_SUITE)})"]
+
+
+def _status(p):
+    return (f"CASE WHEN coalesce({p}.unexpected_count, 0) > 0 THEN "
+            f"(CASE WHEN {p}.success THEN 'PASS' ELSE 'FAIL' END) || ' (' || CAST({p}.unexpected_count AS VARCHAR) "
+            f"|| ' rows, ' || coalesce(CAST({p}.unexpected_percent AS VARCHAR), 'n/a') || ' %)' "
+            f"ELSE (CASE WHEN {p}.success THEN 'PASS' ELSE 'FAIL' END) END")
+
+
+ORACLES["validate_before_after"] = with_(_BEFORE_AFTER_CTES, """
+SELECT b.ordinal, b.rule, b.expectation, b."column",
+       b.success AS before_success, b.unexpected_count AS before_unexpected_count,
+       b.unexpected_percent AS before_unexpected_percent, b.checked_rows AS before_checked_rows,
+       a.success AS after_success, a.unexpected_count AS after_unexpected_count,
+       a.unexpected_percent AS after_unexpected_percent, a.checked_rows AS after_checked_rows
+FROM b JOIN a USING (ordinal)""")
+
+ORACLES["validate_status_text"] = with_(_BEFORE_AFTER_CTES, f"""
+SELECT b.ordinal, b.rule, {_status('b')} AS before_status, {_status('a')} AS after_status
+FROM b JOIN a USING (ordinal)""")
+
+def _empties(table, cols):
+    return (f"(SELECT CAST(" + " + ".join(f"CAST(count({c}) = 0 AS INTEGER)" for c in cols)
+            + f" AS INTEGER) FROM {table})")
+
+
+ORACLES["validate_summary"] = with_(_BEFORE_AFTER_CTES, f"""
+SELECT 'before' AS side, (SELECT CAST(count(*) AS BIGINT) FROM minimal) AS rows, {len(TEXT_COLS)} AS columns,
+       {_empties('minimal', TEXT_COLS)} AS fully_empty_columns,
+       (SELECT CAST(count_if(success) AS BIGINT) FROM b) AS rules_passed, {len(LISTING_SUITE)} AS rules_total
+UNION ALL
+SELECT 'after', (SELECT CAST(count(*) AS BIGINT) FROM clean_rows), {len(TYPED_COLS)},
+       {_empties('clean_rows', TYPED_COLS)}, (SELECT CAST(count_if(success) AS BIGINT) FROM a), {len(LISTING_SUITE)}""")

@@ -293,3 +293,99 @@ def explore_outside_box(spark, sf_dir):
 @query
 def explore_numeric_text(spark, sf_dir):
     return X.numeric_text(dirty(spark, sf_dir), "host_about", LISTINGS.digit_only_pattern)
+
+
+# --- expectations (V1-V11) ------------------------------------------------------------------------
+
+from tq.operators.expect import (  # noqa: E402
+    Between,
+    NotMatchRegex,
+    NotNull,
+    PairOrder,
+    Unique,
+    build_rules,
+    compare,
+    compare_summary,
+    evaluate,
+)
+
+
+def _before(spark, sf_dir):
+    return minimal_typing(dirty(spark, sf_dir), LISTINGS)
+
+
+@query
+def validate_suite(spark, sf_dir):
+    after = _clean(spark, sf_dir).clean
+    return evaluate(after, build_rules(after.columns, LISTINGS))
+
+
+@query
+def expect_not_null(spark, sf_dir):
+    return evaluate(_before(spark, sf_dir), [("price not null", NotNull("price")),
+                                              ("beds not null", NotNull("beds"))])
+
+
+@query
+def expect_unique(spark, sf_dir):
+    return evaluate(_before(spark, sf_dir), [("id unique", Unique("id")), ("host_about unique", Unique("host_about"))])
+
+
+@query
+def expect_between(spark, sf_dir):
+    return evaluate(_before(spark, sf_dir), [
+        ("price in ]0, 10000]", Between("price", low=0, high=10000, strict_low=True)),
+        ("beds in [0, 20]", Between("beds", low=0, high=20)),
+        ("review_scores_rating in ]0, 5]", Between("review_scores_rating", low=0, high=5, strict_low=True)),
+    ])
+
+
+@query
+def expect_pair_order(spark, sf_dir):
+    return evaluate(_before(spark, sf_dir), [
+        ("last_review >= first_review", PairOrder("last_review", other="first_review", or_equal=True)),
+        ("last_review > first_review", PairOrder("last_review", other="first_review", or_equal=False)),
+    ])
+
+
+@query
+def expect_not_match_regex(spark, sf_dir):
+    return evaluate(_before(spark, sf_dir), [
+        ("host_about not only digits", NotMatchRegex("host_about", regex=LISTINGS.digit_only_pattern))])
+
+
+@query
+def expect_mostly(spark, sf_dir):
+    return evaluate(_before(spark, sf_dir), [
+        ("price present in at least 95 % of rows", NotNull("price", mostly=0.95)),
+        ("beds present in at least 80 % of rows", NotNull("beds", mostly=0.80)),
+    ])
+
+
+@query
+def validate_customer(spark, sf_dir):
+    """Expectations on a driver table as it is: key uniqueness and balance range."""
+    customer = read_table(spark, sf_dir, "customer")
+    return evaluate(customer, [
+        ("c_custkey not null", NotNull("c_custkey")),
+        ("c_custkey unique", Unique("c_custkey")),
+        ("c_acctbal in [0, 10000]", Between("c_acctbal", low=0, high=10000)),
+        ("c_name unique", Unique("c_name")),
+    ])
+
+
+@query
+def validate_before_after(spark, sf_dir):
+    return compare(_before(spark, sf_dir), _clean(spark, sf_dir).clean, LISTINGS) \
+        .drop("before_status", "after_status")
+
+
+@query
+def validate_summary(spark, sf_dir):
+    return compare_summary(_before(spark, sf_dir), _clean(spark, sf_dir).clean, LISTINGS)
+
+
+@query
+def validate_status_text(spark, sf_dir):
+    return compare(_before(spark, sf_dir), _clean(spark, sf_dir).clean, LISTINGS) \
+        .select("ordinal", "rule", "before_status", "after_status")
