@@ -412,3 +412,134 @@ SELECT 'before' AS side, (SELECT CAST(count(*) AS BIGINT) FROM minimal) AS rows,
 UNION ALL
 SELECT 'after', (SELECT CAST(count(*) AS BIGINT) FROM clean_rows), {len(TYPED_COLS)},
        {_empties('clean_rows', TYPED_COLS)}, (SELECT CAST(count_if(success) AS BIGINT) FROM a), {len(LISTING_SUITE)}""")
+
+
+
+# --- injection and detection ---------------------------------------------------------------------
+
+def clean_chain(src: str, sfx: str):
+    """The clean CTE chain over another source, with suffixed CTE names."""
+    out = []
+    for cte in (NORM, TYPED, DEDUP, REASONS):
+        for name in ("norm", "typed", "ranked", "deduped", "reasoned"):
+            cte = cte.replace(f"{name} AS (", f"{name}{sfx} AS (").replace(f"FROM {name})", f"FROM {name}{sfx})") \
+                     .replace(f"FROM {name} ", f"FROM {name}{sfx} ").replace(f"FROM {name}\n", f"FROM {name}{sfx}\n")
+        out.append(cte.replace("FROM dirty)", f"FROM {src})"))
+    return out
+
+
+N_INJ, SEED = 500, 42
+TYPE_NAMES = ["price_x100", "price_negative", "beds_extra_digit", "rating_above_5", "dates_swapped",
+              "gps_far_shift", "gps_small_shift", "host_about_phone", "duplicate_rows"]
+RAW_KEY = big("nullif(trim(id), '')")
+POOLS = [
+    f"{money('price')} > 0",
+    f"{money('price')} > 0",
+    f"{dbl('beds')} >= 1",
+    f"{dbl(SCORE)} BETWEEN 1 AND 5",
+    f"{date('first_review')} < {date('last_review')}",
+    f"{dbl('latitude')} IS NOT NULL",
+    f"{dbl('latitude')} IS NOT NULL",
+    f"host_about IS NOT NULL AND trim(host_about) <> '' AND NOT regexp_matches(host_about, '{DIGITS}')",
+    "true",
+]
+_steps = [f"s0 AS MATERIALIZED (SELECT *, CAST(NULL AS INTEGER) AS taken FROM elig)"]
+for t in range(1, 10):
+    _steps.append(
+        f"s{t} AS MATERIALIZED (SELECT * EXCLUDE (rk, taken), CASE WHEN e{t} AND taken IS NULL AND rk <= {N_INJ} "
+        f"THEN {t} ELSE taken END AS taken FROM (SELECT *, row_number() OVER "
+        f"(PARTITION BY (e{t} AND taken IS NULL) ORDER BY h, id) AS rk FROM s{t - 1}))")
+_names = "[" + ", ".join(f"'{n}'" for n in TYPE_NAMES) + "]"
+ASSIGN = [
+    "valid AS (SELECT DISTINCT id FROM reasoned WHERE reject_reason = '')",
+    f"raw_k AS (SELECT *, {RAW_KEY} AS k FROM dirty)",
+    "base AS (SELECT * FROM raw_k WHERE k IN (SELECT id FROM valid))",
+    "elig AS (SELECT k AS id, CAST(k AS VARCHAR) AS key_text, md5(CAST(k AS VARCHAR) || ':" + str(SEED) + "') AS h, "
+    + ", ".join(f"bool_or(coalesce({p}, false)) AS e{i + 1}" for i, p in enumerate(POOLS)) + " FROM base GROUP BY k)",
+    *_steps,
+    f"assignments AS (SELECT id, key_text, {_names}[taken] AS error_type FROM s9 WHERE taken IS NOT NULL)",
+]
+_LAT = dbl("latitude")
+CORRUPT = [
+    "tagged AS (SELECT r.* EXCLUDE (k), a.error_type AS et FROM raw_k r LEFT JOIN assignments a ON r.k = a.id)",
+    "corrupted AS (SELECT "
+    f"CASE et WHEN 'price_x100' THEN '$' || format('{{:,.2f}}', {money('price')} * 100) "
+    "WHEN 'price_negative' THEN '$-' || regexp_replace(price, '^\\$', '') ELSE price END AS price, "
+    f"CASE WHEN et = 'beds_extra_digit' THEN CAST(CAST(trunc({dbl('beds')}) AS INTEGER) AS VARCHAR) || '3' "
+    "ELSE beds END AS beds, "
+    f"CASE WHEN et = 'rating_above_5' THEN '7.5' ELSE {SCORE} END AS {SCORE}, "
+    "CASE WHEN et = 'dates_swapped' THEN last_review ELSE first_review END AS first_review, "
+    "CASE WHEN et = 'dates_swapped' THEN first_review ELSE last_review END AS last_review, "
+    f"CASE et WHEN 'gps_far_shift' THEN CAST({_LAT} + 5.0 AS VARCHAR) "
+    f"WHEN 'gps_small_shift' THEN CAST({_LAT} + 0.05 AS VARCHAR) ELSE latitude END AS latitude, "
+    "longitude, CASE WHEN et = 'host_about_phone' THEN '0612345678' ELSE host_about END AS host_about, "
+    "id, minimum_nights, calendar_updated, et FROM tagged)",
+    "corrupted_all AS (SELECT * EXCLUDE (et) FROM corrupted UNION ALL "
+    "SELECT * EXCLUDE (et) FROM corrupted WHERE et = 'duplicate_rows')",
+]
+INJECT_CHAIN = CLEAN_CHAIN + ASSIGN + CORRUPT
+
+ORACLES["valid_rows_semi_join"] = with_(CLEAN_CHAIN + ASSIGN[:3], "SELECT * EXCLUDE (k) FROM base")
+
+ORACLES["unused_rows_anti_join"] = with_(CLEAN_CHAIN + ASSIGN,
+                                         "SELECT * EXCLUDE (k) FROM base WHERE k NOT IN (SELECT id FROM assignments)")
+
+ORACLES["seeded_sample"] = with_([DIRTY], f"""
+SELECT id, key_text, h FROM (SELECT DISTINCT {RAW_KEY} AS id FROM dirty) q,
+    LATERAL (SELECT CAST(q.id AS VARCHAR) AS key_text, md5(CAST(q.id AS VARCHAR) || ':{SEED}') AS h)
+WHERE id IS NOT NULL ORDER BY h, id LIMIT {N_INJ}""")
+
+ORACLES["inject_assignments"] = with_(CLEAN_CHAIN + ASSIGN, "SELECT * FROM assignments")
+
+_TYPE_COLS = {"price_x100": ["price"], "price_negative": ["price"], "beds_extra_digit": ["beds"],
+              "rating_above_5": [SCORE], "dates_swapped": ["first_review", "last_review"],
+              "gps_far_shift": ["latitude"], "gps_small_shift": ["latitude"], "host_about_phone": ["host_about"]}
+for _name, _cols in _TYPE_COLS.items():
+    ORACLES[f"inject_{_name}"] = with_(INJECT_CHAIN, f"""
+SELECT {RAW_KEY} AS key, id, {', '.join(_cols)} FROM corrupted_all
+WHERE {RAW_KEY} IN (SELECT id FROM assignments WHERE error_type = '{_name}')""")
+
+ORACLES["inject_duplicate_rows"] = with_(INJECT_CHAIN, f"""
+SELECT {RAW_KEY} AS key, CAST(count(*) AS BIGINT) AS copies FROM corrupted_all
+WHERE {RAW_KEY} IN (SELECT id FROM assignments WHERE error_type = 'duplicate_rows') GROUP BY 1""")
+
+ORACLES["inject_all"] = with_(INJECT_CHAIN, "SELECT * FROM corrupted_all")
+
+_REGISTRY = """registry AS (SELECT * FROM (VALUES
+  ('price_x100', 'Price multiplied by 100', 'quarantine', 'price_too_high', 0),
+  ('price_negative', 'Price made negative', 'quarantine', 'price_not_positive', 1),
+  ('beds_extra_digit', 'Extra digit typed in beds (2 becomes 23)', 'quarantine', 'beds_too_high', 2),
+  ('rating_above_5', 'Review rating set to 7.5', 'quarantine', 'review_scores_rating_out_of_range', 3),
+  ('dates_swapped', 'first_review and last_review swapped', 'quarantine', 'first_review_after_last_review', 4),
+  ('gps_far_shift', 'Latitude shifted by 5 degrees (about 550 km)', 'quarantine', 'coordinates_outside_box', 5),
+  ('gps_small_shift', 'Latitude shifted by 0.05 degrees (about 5 km)', 'quarantine', 'coordinates_outside_box', 6),
+  ('host_about_phone', 'Free text replaced by a phone number', 'nullified', NULL, 7),
+  ('duplicate_rows', 'Row duplicated (same id)', 'duplicates', NULL, 8)
+) t(error_type, description, detection, reason, ordinal))"""
+_DETECT = INJECT_CHAIN + clean_chain("corrupted_all", "2") + [_REGISTRY, """growth AS (SELECT
+  ((SELECT count(*) FROM corrupted_all) - (SELECT count(*) FROM reasoned2))
+  - ((SELECT count(*) FROM dirty) - (SELECT count(*) FROM reasoned)) AS g)""", """per_type AS (
+SELECT a.error_type, r.description, r.ordinal, r.detection, count(*) AS injected,
+  count_if(CASE r.detection
+      WHEN 'quarantine' THEN coalesce(x.reject_reason <> '' AND
+                                      list_contains(string_split(x.reject_reason, ','), r.reason), false)
+      WHEN 'nullified' THEN coalesce(x.reject_reason = '' AND x.host_about IS NULL, false)
+      ELSE false END) AS detected
+FROM assignments a JOIN registry r USING (error_type) LEFT JOIN reasoned2 x ON x.id = a.id
+GROUP BY a.error_type, r.description, r.ordinal, r.detection)""", """recall AS (
+SELECT error_type, description, CAST(injected AS BIGINT) AS injected,
+  CAST(CASE WHEN detection = 'duplicates' THEN least(injected, (SELECT g FROM growth)) ELSE detected END AS BIGINT)
+  AS detected, ordinal FROM per_type)"""]
+
+ORACLES["detection_recall"] = with_(_DETECT, """
+SELECT *, round(100.0::DOUBLE * detected / injected, 1) AS recall_pct FROM recall""")
+
+ORACLES["detection_overall"] = with_(_DETECT, """
+SELECT CAST(sum(injected) AS BIGINT) AS total_injected, CAST(sum(detected) AS BIGINT) AS total_detected,
+       round(100.0::DOUBLE * sum(detected) / nullif(sum(injected), 0), 1) AS overall_recall_pct FROM recall""")
+
+ORACLES["collateral_rows"] = with_(_DETECT, """
+SELECT CAST(count(*) AS BIGINT) AS collateral_rows FROM (
+  SELECT DISTINCT id FROM reasoned2 WHERE reject_reason <> '' AND id IS NOT NULL
+  EXCEPT SELECT id FROM assignments
+  EXCEPT SELECT id FROM reasoned WHERE reject_reason <> '' AND id IS NOT NULL)""")

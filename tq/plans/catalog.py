@@ -389,3 +389,110 @@ def validate_summary(spark, sf_dir):
 def validate_status_text(spark, sf_dir):
     return compare(_before(spark, sf_dir), _clean(spark, sf_dir).clean, LISTINGS) \
         .select("ordinal", "rule", "before_status", "after_status")
+
+
+# --- error injection and detection (J, O2, I, D) --------------------------------------------------
+
+from tq.config import InjectionConfig  # noqa: E402
+from tq.operators.inject import (  # noqa: E402
+    ERROR_TYPE,
+    assign,
+    corrupt,
+    error_types,
+    seeded_sample as _seeded_sample,
+    typed_key,
+    usable_types,
+)
+from tq.plans.experiment import run_experiment  # noqa: E402
+
+# n and seed of the published experiment; md5 ordering keeps the result portable to the oracle
+INJECTION = InjectionConfig(n=500, seed=42, hash="md5")
+
+
+def _valid_keys(spark, sf_dir):
+    return _clean(spark, sf_dir).clean.select("id")
+
+
+def _assignments(spark, sf_dir):
+    d = dirty(spark, sf_dir)
+    return assign(d, _valid_keys(spark, sf_dir), LISTINGS, INJECTION)
+
+
+def _corrupted(spark, sf_dir):
+    d = dirty(spark, sf_dir)
+    return corrupt(d, _assignments(spark, sf_dir), LISTINGS, INJECTION)
+
+
+@query
+def valid_rows_semi_join(spark, sf_dir):
+    d = dirty(spark, sf_dir)
+    valid = _valid_keys(spark, sf_dir).select(F.col("id").alias("__k"))
+    return d.withColumn("__k", typed_key("id")).join(valid, "__k", "left_semi").drop("__k")
+
+
+@query
+def unused_rows_anti_join(spark, sf_dir):
+    """Valid raw rows whose key received no error."""
+    valid = valid_rows_semi_join(spark, sf_dir)
+    used = _assignments(spark, sf_dir).select(F.col("id").alias("__k"))
+    return valid.withColumn("__k", typed_key("id")).join(used, "__k", "left_anti").drop("__k")
+
+
+@query
+def seeded_sample(spark, sf_dir):
+    return _seeded_sample(dirty(spark, sf_dir), "id", INJECTION.n, INJECTION.seed, "md5")
+
+
+@query
+def seeded_sample_xxhash(spark, sf_dir):
+    return _seeded_sample(dirty(spark, sf_dir), "id", INJECTION.n, INJECTION.seed, "xxhash64")
+
+
+@query
+def inject_assignments(spark, sf_dir):
+    return _assignments(spark, sf_dir)
+
+
+def _inject_type(name, columns):
+    def q(spark, sf_dir):
+        picked = _assignments(spark, sf_dir).filter(F.col(ERROR_TYPE) == name).select(F.col("id").alias("__k"))
+        rows = _corrupted(spark, sf_dir).withColumn("__k", typed_key("id"))
+        return rows.join(picked, "__k", "left_semi").select(F.col("__k").alias("key"), *columns)
+    q.__name__ = f"inject_{name}"
+    return q
+
+
+for _t in error_types(LISTINGS):
+    if _t.name != "duplicate_rows":
+        query(_inject_type(_t.name, ["id", *_t.corrupt]))
+
+
+@query
+def inject_duplicate_rows(spark, sf_dir):
+    picked = _assignments(spark, sf_dir).filter(F.col(ERROR_TYPE) == "duplicate_rows").select(F.col("id").alias("key"))
+    rows = _corrupted(spark, sf_dir).withColumn("key", typed_key("id"))
+    return rows.join(picked, "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query
+def inject_all(spark, sf_dir):
+    return _corrupted(spark, sf_dir)
+
+
+def _experiment(spark, sf_dir):
+    return run_experiment(dirty(spark, sf_dir), LISTINGS, INJECTION)
+
+
+@query
+def detection_recall(spark, sf_dir):
+    return _experiment(spark, sf_dir).recall()
+
+
+@query
+def detection_overall(spark, sf_dir):
+    return _experiment(spark, sf_dir).overall()
+
+
+@query
+def collateral_rows(spark, sf_dir):
+    return _experiment(spark, sf_dir).collateral()
