@@ -543,3 +543,15 @@ SELECT CAST(count(*) AS BIGINT) AS collateral_rows FROM (
   SELECT DISTINCT id FROM reasoned2 WHERE reject_reason <> '' AND id IS NOT NULL
   EXCEPT SELECT id FROM assignments
   EXCEPT SELECT id FROM reasoned WHERE reject_reason <> '' AND id IS NOT NULL)""")
+
+
+
+# --- sources and sinks ---------------------------------------------------------------------------
+
+NOTE = "note AS (SELECT *, 'He said \"ok\" for ' || coalesce(id, 'none') || chr(10) || 'second line' AS note FROM dirty)"
+ORACLES["scan_csv_roundtrip"] = with_([DIRTY, NOTE], "SELECT " + ", ".join(
+    f"nullif(trim({c}), '') AS {c}" for c in TEXT_COLS + ["note"]) + " FROM note")
+ORACLES["stage_raw"] = ORACLES["scan_csv_roundtrip"]
+ORACLES["clean_output_parquet"] = ORACLES["quarantine_clean_rows"]
+ORACLES["quarantine_output_parquet"] = ORACLES["quarantine_rejected_rows"]
+ORACLES["clean_metrics_json"] = ORACLES["clean_metrics"]

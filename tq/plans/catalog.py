@@ -496,3 +496,49 @@ def detection_overall(spark, sf_dir):
 @query
 def collateral_rows(spark, sf_dir):
     return _experiment(spark, sf_dir).collateral()
+
+
+# --- sources and sinks (S1-S7) --------------------------------------------------------------------
+
+from tq.sources.files import fresh_scratch, read_raw_csv, stage_raw as _stage_raw, write_json, write_raw_csv  # noqa: E402
+
+
+def _dirty_with_note(spark, sf_dir):
+    """dirty plus a free-text column holding doubled quotes and an embedded newline."""
+    d = dirty(spark, sf_dir)
+    note = F.concat(F.lit('He said "ok" for '), F.coalesce(F.col("id"), F.lit("none")), F.lit("\nsecond line"))
+    return d.withColumn("note", note)
+
+
+@query
+def scan_csv_roundtrip(spark, sf_dir):
+    path = fresh_scratch(spark, "raw-csv")
+    write_raw_csv(_dirty_with_note(spark, sf_dir), path)
+    return normalize(read_raw_csv(spark, path))
+
+
+@query
+def stage_raw(spark, sf_dir):
+    csv_path = fresh_scratch(spark, "raw-csv")
+    write_raw_csv(_dirty_with_note(spark, sf_dir).coalesce(1), csv_path)
+    staged = _stage_raw(spark, csv_path, fresh_scratch(spark, "raw-parquet"))
+    return normalize(staged)
+
+
+@query
+def clean_output_parquet(spark, sf_dir):
+    saved = _clean(spark, sf_dir).save(fresh_scratch(spark, "reasoned"))
+    return saved.clean
+
+
+@query
+def quarantine_output_parquet(spark, sf_dir):
+    saved = _clean(spark, sf_dir).save(fresh_scratch(spark, "reasoned"))
+    return saved.rejected
+
+
+@query
+def clean_metrics_json(spark, sf_dir):
+    path = fresh_scratch(spark, "metrics")
+    write_json(_clean(spark, sf_dir).metrics(), path)
+    return spark.read.schema("metric string, key string, value bigint").json(path)
