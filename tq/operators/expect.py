@@ -230,27 +230,69 @@ def status_text(success: Column, count: Column, percent: Column) -> Column:
     return F.when(F.coalesce(count, F.lit(0)) > 0, detail).otherwise(status)
 
 
+@dataclass
+class Validation:
+    """Before/after evaluation of one rule list; each side's counts are one cached one-row aggregate."""
+
+    rules: list
+    before_counts: DataFrame
+    after_counts: DataFrame
+    before_columns: int
+    after_columns: int
+
+    def side(self, which: str) -> DataFrame:
+        counts = self.before_counts if which == "before" else self.after_counts
+        return _results(counts, self.rules)
+
+    def comparison(self) -> DataFrame:
+        sides = [self.side("before").withColumn("side", F.lit("before")),
+                 self.side("after").withColumn("side", F.lit("after"))]
+        both = sides[0].unionByName(sides[1])
+        pick = []
+        for s in ("before", "after"):
+            for c in ("success", "unexpected_count", "unexpected_percent", "checked_rows"):
+                pick.append(F.max(F.when(F.col("side") == s, F.col(c))).alias(f"{s}_{c}"))
+        out = both.groupBy("ordinal", "rule", "expectation", "column").agg(*pick)
+        return out.withColumn("before_status", status_text(F.col("before_success"), F.col("before_unexpected_count"),
+                                                           F.col("before_unexpected_percent"))) \
+                  .withColumn("after_status", status_text(F.col("after_success"), F.col("after_unexpected_count"),
+                                                          F.col("after_unexpected_percent")))
+
+    def summary(self) -> DataFrame:
+        parts = []
+        for which, counts, ncols in (("before", self.before_counts, self.before_columns),
+                                     ("after", self.after_counts, self.after_columns)):
+            empty = reduce(lambda a, b: a + b, [F.when(F.col(f"nn{j}") == 0, 1).otherwise(0) for j in range(ncols)],
+                           F.lit(0))
+            passed = _results(counts, self.rules).agg(count_if(F.col("success")).alias("rules_passed"))
+            base = counts.select(F.col("rows").cast("bigint").alias("rows"), F.lit(ncols).alias("columns"),
+                                 empty.cast("int").alias("fully_empty_columns"))
+            out = side_by_side(base, passed).withColumn("rules_total", F.lit(len(self.rules)))
+            parts.append(out.select(F.lit(which).alias("side"), *out.columns))
+        return parts[0].unionByName(parts[1])
+
+    def release(self) -> None:
+        self.before_counts.unpersist()
+        self.after_counts.unpersist()
+
+
+def validate(before: DataFrame, after: DataFrame, config: QualityConfig,
+             completeness: float | None = LISTING_COMPLETENESS) -> Validation:
+    """Rules on the columns both tables have; one scan (plus one per uniqueness rule) per side."""
+    common = [c for c in before.columns if c in set(after.columns)]
+    rules = build_rules(common, config, completeness)
+    # one row each: caching it keeps comparison and summary from scanning the tables again
+    b = _counts(before, rules, presence=True).cache()
+    a = _counts(after, rules, presence=True).cache()
+    return Validation(rules, b, a, len(before.columns), len(after.columns))
+
+
 def compare(before: DataFrame, after: DataFrame, config: QualityConfig,
             completeness: float | None = LISTING_COMPLETENESS) -> DataFrame:
     """The same rules (on the columns both tables have) evaluated on two tables, side by side."""
-    common = [c for c in before.columns if c in set(after.columns)]
-    rules = build_rules(common, config, completeness)
-    sides = [evaluate(before, rules).withColumn("side", F.lit("before")),
-             evaluate(after, rules).withColumn("side", F.lit("after"))]
-    both = sides[0].unionByName(sides[1])
-    pick = []
-    for s in ("before", "after"):
-        for c in ("success", "unexpected_count", "unexpected_percent", "checked_rows"):
-            pick.append(F.max(F.when(F.col("side") == s, F.col(c))).alias(f"{s}_{c}"))
-    out = both.groupBy("ordinal", "rule", "expectation", "column").agg(*pick)
-    return out.withColumn("before_status", status_text(F.col("before_success"), F.col("before_unexpected_count"),
-                                                       F.col("before_unexpected_percent"))) \
-              .withColumn("after_status", status_text(F.col("after_success"), F.col("after_unexpected_count"),
-                                                      F.col("after_unexpected_percent")))
+    return validate(before, after, config, completeness).comparison()
 
 
 def compare_summary(before: DataFrame, after: DataFrame, config: QualityConfig,
                     completeness: float | None = LISTING_COMPLETENESS) -> DataFrame:
-    common = [c for c in before.columns if c in set(after.columns)]
-    rules = build_rules(common, config, completeness)
-    return summary(before, rules, "before").unionByName(summary(after, rules, "after"))
+    return validate(before, after, config, completeness).summary()

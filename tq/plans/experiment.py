@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,7 @@ from tq.config import LISTINGS, InjectionConfig, QualityConfig
 from tq.operators import detect
 from tq.operators.clean import CleanResult, clean
 from tq.operators.inject import assign, corrupt, error_types, usable_types
-from tq.session import materialize
+from tq.session import materialize, scratch_path
 
 
 @dataclass
@@ -48,5 +49,8 @@ def run_experiment(raw: DataFrame, config: QualityConfig = LISTINGS, cfg: Inject
         assignments = materialize(assignments)
     corrupted = corrupt(raw, assignments, config, cfg, types)
     after = clean(corrupted, config)
+    if checkpoint:
+        # recall, duplicate growth and collateral all read the re-cleaned table: write it once
+        after = after.save(scratch_path(raw.sparkSession, f"experiment-{uuid.uuid4().hex[:12]}"))
     used = {r[0] for r in assignments.select("error_type").distinct().collect()}
     return Experiment(baseline, assignments, corrupted, after, [t for t in types if t.name in used], config)

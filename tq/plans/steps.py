@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tq.config import LISTINGS, QualityConfig
 from tq.operators.clean import QUARANTINED, clean
-from tq.operators.expect import compare, compare_summary
+from tq.operators.expect import validate
 from tq.operators.normalize import minimal_typing
 from tq.operators.profile import profile
 from tq.sources.files import write_json, write_profile_csv
@@ -70,7 +70,9 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, steps=None,
     if "validate" in plan:
         after = spark.read.parquet(reasoned_path).filter(~F.col(QUARANTINED)).drop(QUARANTINED, "reject_reasons")
         before = minimal_typing(raw, config)
-        write_json(compare(before, after, config), out.path("validation"))
-        write_json(compare_summary(before, after, config), out.path("validation_summary"))
+        checked = validate(before, after, config)
+        write_json(checked.comparison(), out.path("validation"))
+        write_json(checked.summary(), out.path("validation_summary"))
+        checked.release()
         out.written.update(validation=out.path("validation"), validation_summary=out.path("validation_summary"))
     return out

@@ -57,8 +57,22 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Repartition a source that has fewer splits than the cluster can run at once.
+
+    A single small file (one row group) is read by one task; every later step
+    would then run on one core.  Large inputs already have thousands of splits
+    and pass through unchanged (no extra shuffle).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < max(2, target // 2):
+        return df.repartition(target)
+    return df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, parallel: bool = True) -> DataFrame:
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return spread(df) if parallel else df
 
 
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +80,8 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Only the four columns the view needs are read (column pruning reaches the scans).
     """
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    orders = spread(read_table(spark, sf_dir, "orders", parallel=False)
+                    .select("o_orderkey", "o_custkey", "o_orderdate"))
+    customer = read_table(spark, sf_dir, "customer", parallel=False).select("c_custkey", "c_name")
     return spark.sql(DIRTY_SQL.replace("FROM orders JOIN customer", "FROM {orders} JOIN {customer}"),
                      orders=orders, customer=customer)
