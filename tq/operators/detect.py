@@ -39,6 +39,8 @@ def recall(after: CleanResult, assignments: DataFrame, types: list[ErrorType], k
                                  *[F.col(t.column).isNull().alias(f"__null_{t.column}")
                                    for t in types if t.detection == "nullified"])
     a = assignments.select(F.col(key).alias("__k"), F.col(ERROR_TYPE).alias(ERROR_TYPE))
+    # the big side is first cut to the injected keys by a broadcast semi join (assignments: n per type)
+    rows = rows.join(F.broadcast(a.select("__k")), "__k", "left_semi")
     a = a.join(F.broadcast(registry), ERROR_TYPE)
     nulled = F.lit(False)
     for t in types:
@@ -51,14 +53,21 @@ def recall(after: CleanResult, assignments: DataFrame, types: list[ErrorType], k
     per_type = (a.join(rows, "__k", "left")
                 .groupBy(ERROR_TYPE, "description", "detection", "ordinal")
                 .agg(F.count(F.lit(1)).alias("injected"), count_if(hit).alias("detected")))
-    extra = side_by_side(duplicates_removed(after, "dups_after"), duplicates_removed(baseline, "dups_before"))
-    dup_growth = extra.select((F.col("dups_after") - F.col("dups_before")).alias("growth"),
-                              F.lit("duplicates").alias("detection"))
-    out = per_type.join(F.broadcast(dup_growth), "detection", "left")
+    # duplicated rows are credited by the growth of removed duplicates over the baseline run;
+    # the one-row growth is unioned in and folded per type (no join on a constant)
+    dup_names = [t.name for t in types if t.detection == "duplicates"]
+    if dup_names:
+        extra = side_by_side(duplicates_removed(after, "dups_after"), duplicates_removed(baseline, "dups_before"))
+        growth = extra.select(F.explode(F.array(*[F.lit(n) for n in dup_names])).alias(ERROR_TYPE),
+                              (F.col("dups_after") - F.col("dups_before")).alias("growth"))
+        per_type = per_type.unionByName(growth, allowMissingColumns=True).groupBy(ERROR_TYPE).agg(
+            *[F.max(c).alias(c) for c in ("description", "detection", "ordinal", "injected", "detected", "growth")])
+    else:
+        per_type = per_type.withColumn("growth", F.lit(None).cast("bigint"))
     detected = F.when(F.col("detection") == "duplicates", F.least(F.col("injected"), F.col("growth"))) \
         .otherwise(F.col("detected")).cast("bigint")
-    return out.select(ERROR_TYPE, "description", F.col("injected").cast("bigint").alias("injected"),
-                      detected.alias("detected"), "ordinal") \
+    return per_type.select(ERROR_TYPE, "description", F.col("injected").cast("bigint").alias("injected"),
+                           detected.alias("detected"), "ordinal") \
         .withColumn("recall_pct", F.round(F.lit(100.0) * F.col("detected") / F.col("injected"), 1))
 
 
