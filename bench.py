@@ -50,7 +50,7 @@ def main() -> None:
     from tq.operators.normalize import minimal_typing
     from tq.operators.profile import profile, table_summary
     from tq.plans.experiment import run_experiment
-    from tq.sources.files import write_json, write_profile_csv
+    from tq.sources.files import read_partitioned, write_json, write_profile_csv
     from tq.sources.tables import dirty, read_table, spread
 
     times: dict[str, float] = {}
@@ -78,7 +78,7 @@ def main() -> None:
         return saved
 
     def validate_step():
-        after = spark.read.parquet(os.path.join(scratch, "reasoned")).filter(~spark_col(QUARANTINED)) \
+        after = read_partitioned(spark, os.path.join(scratch, "reasoned")).filter(~spark_col(QUARANTINED)) \
             .drop(QUARANTINED, "reject_reasons")
         before = minimal_typing(raw, LISTINGS)
         checked = validate(before, after, LISTINGS)

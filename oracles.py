@@ -555,3 +555,31 @@ ORACLES["stage_raw"] = ORACLES["scan_csv_roundtrip"]
 ORACLES["clean_output_parquet"] = ORACLES["quarantine_clean_rows"]
 ORACLES["quarantine_output_parquet"] = ORACLES["quarantine_rejected_rows"]
 ORACLES["clean_metrics_json"] = ORACLES["clean_metrics"]
+
+# --- offending rows --------------------------------------------------------------------------------
+
+ORACLES["expect_unique_rows"] = with_([DIRTY, NORM, MINIMAL], """
+SELECT * FROM minimal WHERE id IN (SELECT id FROM minimal WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1)""")
+
+ORACLES["expect_between_rows"] = with_([DIRTY, NORM, MINIMAL], """
+SELECT * FROM minimal WHERE price IS NOT NULL AND NOT (price > 0 AND price <= 10000)""")
+
+ORACLES["expect_pair_order_rows"] = with_([DIRTY, NORM, MINIMAL], """
+SELECT * FROM minimal WHERE NOT (last_review >= first_review)""")
+
+# --- streaming row rules: typed + reasons, no empty-column drop, no dedup ----------------------------
+
+_STREAM_TYPED = TYPED.replace("typed AS (SELECT ", "stream_typed AS (SELECT ").replace(
+    " FROM norm)", ", calendar_updated FROM norm)")
+ORACLES["stream_row_rules"] = with_([DIRTY, NORM, _STREAM_TYPED], """
+SELECT * EXCLUDE (reject_reason), reject_reason, reject_reason <> '' AS quarantined FROM (
+  SELECT *, concat_ws(',',
+    CASE WHEN id IS NULL THEN 'id_null_or_invalid' END,
+    CASE WHEN price <= 0 THEN 'price_not_positive' END,
+    CASE WHEN price > 10000 THEN 'price_too_high' END,
+    CASE WHEN beds > 20 THEN 'beds_too_high' END,
+    CASE WHEN review_scores_rating < 0 OR review_scores_rating > 5 THEN 'review_scores_rating_out_of_range' END,
+    CASE WHEN first_review > last_review THEN 'first_review_after_last_review' END,
+    CASE WHEN NOT (latitude BETWEEN 48.7 AND 49.0 AND longitude BETWEEN 2.1 AND 2.6)
+         THEN 'coordinates_outside_box' END) AS reject_reason
+  FROM stream_typed)""")

@@ -296,3 +296,20 @@ def compare(before: DataFrame, after: DataFrame, config: QualityConfig,
 def compare_summary(before: DataFrame, after: DataFrame, config: QualityConfig,
                     completeness: float | None = LISTING_COMPLETENESS) -> DataFrame:
     return validate(before, after, config, completeness).summary()
+
+
+def unexpected_rows(df: DataFrame, expectation: Expectation) -> DataFrame:
+    """The offending rows of one expectation.
+
+    Row-level rules are a filter.  For uniqueness, the repeated values are
+    found by a grouped count (combined map-side) and the rows are kept by a
+    semi join on them — not by a window over each value, which would put every
+    row of a hot value into one task.  The semi join runs under AQE's skew
+    handling when one value holds a large share of the rows.
+    """
+    if isinstance(expectation, Unique):
+        c = expectation.column
+        repeated = (df.filter(col(c).isNotNull()).groupBy(col(c).alias("__v"))
+                    .agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1).select("__v"))
+        return df.join(repeated, col(c) == F.col("__v"), "left_semi")
+    return df.filter(expectation.unexpected() & expectation.denominator())

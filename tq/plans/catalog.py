@@ -500,7 +500,7 @@ def collateral_rows(spark, sf_dir):
 
 # --- sources and sinks (S1-S7) --------------------------------------------------------------------
 
-from tq.sources.files import fresh_scratch, read_raw_csv, stage_raw as _stage_raw, write_json, write_raw_csv  # noqa: E402
+from tq.sources.files import fresh_scratch, read_partitioned, read_raw_csv, stage_raw as _stage_raw, write_json, write_raw_csv  # noqa: E402
 
 
 def _dirty_with_note(spark, sf_dir):
@@ -542,3 +542,41 @@ def clean_metrics_json(spark, sf_dir):
     path = fresh_scratch(spark, "metrics")
     write_json(_clean(spark, sf_dir).metrics(), path)
     return spark.read.schema("metric string, key string, value bigint").json(path)
+
+
+# --- offending rows of an expectation (W3) --------------------------------------------------------
+
+from tq.operators.expect import unexpected_rows  # noqa: E402
+
+
+@query
+def expect_unique_rows(spark, sf_dir):
+    return unexpected_rows(_before(spark, sf_dir), Unique("id"))
+
+
+@query
+def expect_between_rows(spark, sf_dir):
+    return unexpected_rows(_before(spark, sf_dir), Between("price", low=0, high=10000, strict_low=True))
+
+
+@query
+def expect_pair_order_rows(spark, sf_dir):
+    return unexpected_rows(_before(spark, sf_dir), PairOrder("last_review", other="first_review"))
+
+
+# --- streaming row rules (stateless) --------------------------------------------------------------
+
+from tq.streaming.quarantine import start_quarantine_stream  # noqa: E402
+
+
+@query
+def stream_row_rules(spark, sf_dir):
+    """dirty landed as Parquet files, read as a stream, reasoned per micro-batch, read back."""
+    landing = fresh_scratch(spark, "landing")
+    d = dirty(spark, sf_dir)
+    d.write.parquet(landing)
+    stream = spark.readStream.schema(d.schema).option("maxFilesPerTrigger", 4).parquet(landing)
+    out, ckpt = fresh_scratch(spark, "stream-out"), fresh_scratch(spark, "stream-ckpt")
+    q = start_quarantine_stream(stream, out, ckpt, LISTINGS, available_now=True)
+    q.awaitTermination()
+    return read_partitioned(spark, out)

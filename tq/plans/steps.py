@@ -19,7 +19,7 @@ from tq.operators.clean import QUARANTINED, clean
 from tq.operators.expect import validate
 from tq.operators.normalize import minimal_typing
 from tq.operators.profile import profile
-from tq.sources.files import write_json, write_profile_csv
+from tq.sources.files import read_partitioned, write_json, write_profile_csv
 
 STEPS = ("profile", "clean", "validate")
 
@@ -68,7 +68,8 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, steps=None,
         write_json(saved.metrics(), out.path("metrics"))
         out.written.update(reasoned=reasoned_path, metrics=out.path("metrics"))
     if "validate" in plan:
-        after = spark.read.parquet(reasoned_path).filter(~F.col(QUARANTINED)).drop(QUARANTINED, "reject_reasons")
+        after = read_partitioned(spark, reasoned_path).filter(~F.col(QUARANTINED)) \
+            .drop(QUARANTINED, "reject_reasons")
         before = minimal_typing(raw, config)
         checked = validate(before, after, config)
         write_json(checked.comparison(), out.path("validation"))

@@ -57,6 +57,17 @@ def stage_raw(spark: SparkSession, csv_path: str, parquet_path: str, partitions:
     return spark.read.parquet(parquet_path)
 
 
+def read_partitioned(spark: SparkSession, path: str, flag: str = "quarantined") -> DataFrame:
+    """Read a table written with ``partitionBy(flag)``; the flag comes back as BOOLEAN.
+
+    (Partition discovery types ``true``/``false`` folder values as text.)
+    """
+    from pyspark.sql import functions as F
+
+    df = spark.read.parquet(path)
+    return df.withColumn(flag, F.col(flag).cast("boolean")) if flag in df.columns else df
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Small report (metrics, validation, recall) as JSON lines."""
     df.coalesce(1).write.mode(mode).json(path)
