@@ -583,3 +583,21 @@ SELECT * EXCLUDE (reject_reason), reject_reason, reject_reason <> '' AS quaranti
     CASE WHEN NOT (latitude BETWEEN 48.7 AND 49.0 AND longitude BETWEEN 2.1 AND 2.6)
          THEN 'coordinates_outside_box' END) AS reject_reason
   FROM stream_typed)""")
+
+
+# --- rules configured for line items --------------------------------------------------------------
+
+LINE_ITEMS = """line_items AS (SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, l.l_discount, l.l_returnflag,
+    l.l_shipdate, o.o_orderdate FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+ORACLES["line_item_reason_counts"] = with_([LINE_ITEMS], """
+SELECT reason, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT unnest([CASE WHEN l_quantity > 50 THEN 'l_quantity_too_high' END,
+                 CASE WHEN l_discount > 0.1 THEN 'l_discount_too_high' END,
+                 CASE WHEN o_orderdate > l_shipdate THEN 'o_orderdate_after_l_shipdate' END]) AS reason
+  FROM line_items) WHERE reason IS NOT NULL GROUP BY reason""")
+ORACLES["line_item_suite"] = suite_sql("line_items", [
+    ("l_quantity in [1, 50]", "between", "l_quantity", dict(low=1, high=50)),
+    ("l_discount in [0, 0.1]", "between", "l_discount", dict(low=0, high=0.1)),
+    ("l_shipdate >= o_orderdate", "pair_order", "l_shipdate", dict(other="o_orderdate")),
+    ("l_returnflag not null", "not_null", "l_returnflag")])
+ORACLES["line_item_suite"] = with_([LINE_ITEMS], ORACLES["line_item_suite"])

@@ -520,7 +520,7 @@ def scan_csv_roundtrip(spark, sf_dir):
 @query
 def stage_raw(spark, sf_dir):
     csv_path = fresh_scratch(spark, "raw-csv")
-    write_raw_csv(_dirty_with_note(spark, sf_dir).coalesce(1), csv_path)
+    write_raw_csv(_dirty_with_note(spark, sf_dir), csv_path)
     staged = _stage_raw(spark, csv_path, fresh_scratch(spark, "raw-parquet"))
     return normalize(staged)
 
@@ -580,3 +580,39 @@ def stream_row_rules(spark, sf_dir):
     q = start_quarantine_stream(stream, out, ckpt, LISTINGS, available_now=True)
     q.awaitTermination()
     return read_partitioned(spark, out)
+
+
+# --- the same rules, configured for a typed driver table ----------------------------------------
+
+from tq.config import Limit, QualityConfig  # noqa: E402
+
+# line items must not ship before their order, quantities and discounts stay in range
+LINE_ITEMS = QualityConfig(
+    numeric=("l_quantity", "l_discount"),
+    limits=(Limit("l_quantity", 50), Limit("l_discount", 0.1)),
+    date_order=("o_orderdate", "l_shipdate"),
+)
+
+
+def _line_items(spark, sf_dir):
+    """Line items with their order date (one equi-join on the order key; Spark picks the strategy)."""
+    items = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_shipdate")
+    orders = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    return items.join(orders, "l_orderkey")
+
+
+@query
+def line_item_reason_counts(spark, sf_dir):
+    return clean(_line_items(spark, sf_dir), LINE_ITEMS).reason_counts()
+
+
+@query
+def line_item_suite(spark, sf_dir):
+    rows = _line_items(spark, sf_dir)
+    return evaluate(rows, [
+        ("l_quantity in [1, 50]", Between("l_quantity", low=1, high=50)),
+        ("l_discount in [0, 0.1]", Between("l_discount", low=0, high=0.1)),
+        ("l_shipdate >= o_orderdate", PairOrder("l_shipdate", other="o_orderdate")),
+        ("l_returnflag not null", NotNull("l_returnflag")),
+    ])
