@@ -149,7 +149,9 @@ class InjectionConfig:
     seed: int = 42
     # "xxhash64" (default, as a Spark user would write) or "md5" (portable to other engines)
     hash: str = "xxhash64"
-    # number of hash buckets used to pre-rank candidates before the per-type ranking
-    buckets: int = 64
+    # first-stage hash buckets of the candidate ranking (None: grows with the input's split count)
+    buckets: int | None = None
+    # buckets merged per stage of the ranking tree
+    fanout: int = 64
     types: tuple[str, ...] | None = None  # None = every registered type, registry order
     extra: dict = field(default_factory=dict)
