@@ -21,3 +21,13 @@ def side_by_side(*frames: DataFrame) -> DataFrame:
     padded = [f.select([F.col(c) if c in f.columns else F.lit(None).cast(types[c]).alias(c) for c in names])
               for f in frames]
     return reduce(DataFrame.unionByName, padded).agg(*[F.max(c).alias(c) for c in names])
+
+
+# A broadcast side is copied to every executor: only hint it when its row count has a proven bound
+# (a parameter or the configuration, never the data) below this limit; above it Spark plans a shuffle join.
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """``broadcast(df)`` when ``max_rows`` (a proven upper bound of its rows) is small enough, else ``df``."""
+    return F.broadcast(df) if max_rows <= MAX_BROADCAST_ROWS else df

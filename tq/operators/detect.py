@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tq.functions.columns import count_if
-from tq.functions.frames import side_by_side
+from tq.functions.frames import bounded_broadcast, side_by_side
 from tq.operators.clean import CleanResult
 from tq.operators.inject import ERROR_TYPE, ErrorType
 from tq.operators.rules import REASONS
@@ -29,8 +29,11 @@ def duplicates_removed(result: CleanResult, name: str) -> DataFrame:
 
 
 def recall(after: CleanResult, assignments: DataFrame, types: list[ErrorType], key: str,
-           baseline: CleanResult) -> DataFrame:
-    """One row per used type: ``error_type, description, injected, detected, recall_pct``."""
+           baseline: CleanResult, max_assigned: int) -> DataFrame:
+    """One row per used type: ``error_type, description, injected, detected, recall_pct``.
+
+    ``max_assigned`` is the proven bound of the assignments (``n`` x number of types).
+    """
     spark = assignments.sparkSession
     registry = spark.createDataFrame(
         [(t.name, t.description, t.detection, t.reason or None, t.column or None, i) for i, t in enumerate(types)],
@@ -40,8 +43,8 @@ def recall(after: CleanResult, assignments: DataFrame, types: list[ErrorType], k
                                    for t in types if t.detection == "nullified"])
     a = assignments.select(F.col(key).alias("__k"), F.col(ERROR_TYPE).alias(ERROR_TYPE))
     # the big side is first cut to the injected keys by a broadcast semi join (assignments: n per type)
-    rows = rows.join(F.broadcast(a.select("__k")), "__k", "left_semi")
-    a = a.join(F.broadcast(registry), ERROR_TYPE)
+    rows = rows.join(bounded_broadcast(a.select("__k"), max_assigned), "__k", "left_semi")
+    a = a.join(bounded_broadcast(registry, len(types)), ERROR_TYPE)
     nulled = F.lit(False)
     for t in types:
         if t.detection == "nullified":
@@ -79,10 +82,11 @@ def overall(per_type: DataFrame) -> DataFrame:
                     F.round(F.lit(100.0) * F.col("total_detected") / F.nullif(F.col("total_injected"), F.lit(0)), 1))
 
 
-def collateral(after: CleanResult, assignments: DataFrame, baseline: CleanResult, key: str) -> DataFrame:
+def collateral(after: CleanResult, assignments: DataFrame, baseline: CleanResult, key: str,
+               max_assigned: int) -> DataFrame:
     """One row ``collateral_rows``: distinct quarantined keys neither injected nor quarantined before."""
     rejected = after.reasoned.filter(F.size(REASONS) > 0).select(F.col(key)).filter(F.col(key).isNotNull()).distinct()
     before = baseline.reasoned.filter(F.size(REASONS) > 0).select(F.col(key)).filter(F.col(key).isNotNull())
     injected = assignments.select(F.col(key))
-    left = rejected.join(F.broadcast(injected), key, "left_anti").join(before, key, "left_anti")
+    left = rejected.join(bounded_broadcast(injected, max_assigned), key, "left_anti").join(before, key, "left_anti")
     return left.agg(F.count(F.lit(1)).alias("collateral_rows"))

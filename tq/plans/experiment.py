@@ -22,15 +22,17 @@ class Experiment:
     after: CleanResult
     types: list
     config: QualityConfig
+    max_assigned: int = 0   # proven bound of the assignments: n x number of types
 
     def recall(self) -> DataFrame:
-        return detect.recall(self.after, self.assignments, self.types, self.config.key, self.baseline)
+        return detect.recall(self.after, self.assignments, self.types, self.config.key, self.baseline,
+                             self.max_assigned)
 
     def overall(self) -> DataFrame:
         return detect.overall(self.recall())
 
     def collateral(self) -> DataFrame:
-        return detect.collateral(self.after, self.assignments, self.baseline, self.config.key)
+        return detect.collateral(self.after, self.assignments, self.baseline, self.config.key, self.max_assigned)
 
 
 def run_experiment(raw: DataFrame, config: QualityConfig = LISTINGS, cfg: InjectionConfig = InjectionConfig(),
@@ -53,4 +55,5 @@ def run_experiment(raw: DataFrame, config: QualityConfig = LISTINGS, cfg: Inject
         # recall, duplicate growth and collateral all read the re-cleaned table: write it once
         after = after.save(scratch_path(raw.sparkSession, f"experiment-{uuid.uuid4().hex[:12]}"))
     used = {r[0] for r in assignments.select("error_type").distinct().collect()}
-    return Experiment(baseline, assignments, corrupted, after, [t for t in types if t.name in used], config)
+    return Experiment(baseline, assignments, corrupted, after, [t for t in types if t.name in used], config,
+                      cfg.n * max(1, len(types)))
