@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tq.config import LISTINGS
 from tq.functions.columns import col, count_if, is_blank, null_if_match, parse_currency, parse_flag, safe_cast
-from tq.functions.frames import side_by_side
+from tq.functions.frames import bounded_broadcast, side_by_side
 from tq.operators.clean import clean
 from tq.operators.dedup import dedup_by_key, duplicate_count
 from tq.operators.normalize import cast_plan, minimal_typing, normalize, typed_projection
@@ -435,6 +435,7 @@ def unused_rows_anti_join(spark, sf_dir):
     """Valid raw rows whose key received no error."""
     valid = valid_rows_semi_join(spark, sf_dir)
     used = _assignments(spark, sf_dir).select(F.col("id").alias("__k"))
+    used = bounded_broadcast(used, INJECTION.n * len(error_types(LISTINGS)))
     return valid.withColumn("__k", typed_key("id")).join(used, "__k", "left_anti").drop("__k")
 
 
