@@ -77,6 +77,12 @@ def profile(df: DataFrame, approx: bool = True, exact_distinct: bool = False, rs
     (deterministic), newlines replaced, cut to ``sample_length`` characters.
     """
     cols = _atomic(df)
+    if not cols:
+        fields = ("column string, ordinal int, rows bigint, missing_count bigint, missing_pct double, "
+                  "numeric_min double, numeric_max double, sample_value string")
+        fields += ", distinct_approx bigint" if approx else ""
+        fields += ", distinct_exact bigint" if exact_distinct else ""
+        return df.sparkSession.createDataFrame([], fields)
     parts = []
     for group in _chunks(cols, chunk):
         aggs = [F.count(F.lit(1)).alias("rows")]

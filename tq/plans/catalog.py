@@ -12,14 +12,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tq.config import LISTINGS
+from tq.config import LISTINGS, InjectionConfig, Limit, QualityConfig
 from tq.functions.columns import col, count_if, is_blank, null_if_match, parse_currency, parse_flag, safe_cast
 from tq.functions.frames import bounded_broadcast, side_by_side
+from tq.operators import explore as X
 from tq.operators.clean import clean
 from tq.operators.dedup import dedup_by_key, duplicate_count
+from tq.operators.expect import (
+    Between,
+    NotMatchRegex,
+    NotNull,
+    PairOrder,
+    Unique,
+    build_rules,
+    compare,
+    compare_summary,
+    evaluate,
+    unexpected_rows,
+)
+from tq.operators.inject import ERROR_TYPE, assign, corrupt, error_types, typed_key
+from tq.operators.inject import seeded_sample as _seeded_sample
 from tq.operators.normalize import cast_plan, minimal_typing, normalize, typed_projection
+from tq.operators.profile import column_presence, duplicate_keys, duplicate_rows, profile, table_summary
+from tq.operators.quantiles import approx_quantiles, exact_quantiles
 from tq.operators.rules import REASON_TEXT, REASONS, reason_text
+from tq.plans.experiment import run_experiment
+from tq.sources.files import fresh_scratch, read_partitioned, read_raw_csv, write_json, write_raw_csv
+from tq.sources.files import stage_raw as _stage_raw
 from tq.sources.tables import dirty, read_table
+from tq.streaming.quarantine import start_quarantine_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -42,6 +63,7 @@ def _typed(spark, sf_dir):
 
 def _drop_empty(norm: DataFrame) -> DataFrame:
     from tq.operators.profile import empty_column_names
+
     empty = [c for c in empty_column_names(norm) if c != LISTINGS.key]
     return norm.drop(*empty) if empty else norm
 
@@ -175,16 +197,12 @@ def minimal_typing_rows(spark, sf_dir):
 
 @query
 def drop_empty_columns(spark, sf_dir):
-    from tq.operators.profile import column_presence
     return column_presence(normalize(dirty(spark, sf_dir))).filter(F.col("non_null") == 0) \
         .select("column", "ordinal")
 
 
 # --- profile (A1-A8) ------------------------------------------------------------------------------
 
-from tq.operators import explore as X  # noqa: E402
-from tq.operators.profile import column_presence, duplicate_keys, duplicate_rows, profile, table_summary  # noqa: E402
-from tq.operators.quantiles import approx_quantiles, exact_quantiles  # noqa: E402
 
 PRICE_FORMAT = r"^\$[0-9,]+(\.[0-9]+)?$"
 PRICE_PROBS = (0.01, 0.5, 0.99, 0.999)
@@ -297,17 +315,6 @@ def explore_numeric_text(spark, sf_dir):
 
 # --- expectations (V1-V11) ------------------------------------------------------------------------
 
-from tq.operators.expect import (  # noqa: E402
-    Between,
-    NotMatchRegex,
-    NotNull,
-    PairOrder,
-    Unique,
-    build_rules,
-    compare,
-    compare_summary,
-    evaluate,
-)
 
 
 def _before(spark, sf_dir):
@@ -393,17 +400,6 @@ def validate_status_text(spark, sf_dir):
 
 # --- error injection and detection (J, O2, I, D) --------------------------------------------------
 
-from tq.config import InjectionConfig  # noqa: E402
-from tq.operators.inject import (  # noqa: E402
-    ERROR_TYPE,
-    assign,
-    corrupt,
-    error_types,
-    seeded_sample as _seeded_sample,
-    typed_key,
-    usable_types,
-)
-from tq.plans.experiment import run_experiment  # noqa: E402
 
 # n and seed of the published experiment; md5 ordering keeps the result portable to the oracle
 INJECTION = InjectionConfig(n=500, seed=42, hash="md5")
@@ -501,7 +497,6 @@ def collateral_rows(spark, sf_dir):
 
 # --- sources and sinks (S1-S7) --------------------------------------------------------------------
 
-from tq.sources.files import fresh_scratch, read_partitioned, read_raw_csv, stage_raw as _stage_raw, write_json, write_raw_csv  # noqa: E402
 
 
 def _dirty_with_note(spark, sf_dir):
@@ -547,7 +542,6 @@ def clean_metrics_json(spark, sf_dir):
 
 # --- offending rows of an expectation (W3) --------------------------------------------------------
 
-from tq.operators.expect import unexpected_rows  # noqa: E402
 
 
 @query
@@ -567,7 +561,6 @@ def expect_pair_order_rows(spark, sf_dir):
 
 # --- streaming row rules (stateless) --------------------------------------------------------------
 
-from tq.streaming.quarantine import start_quarantine_stream  # noqa: E402
 
 
 @query
@@ -585,7 +578,6 @@ def stream_row_rules(spark, sf_dir):
 
 # --- the same rules, configured for a typed driver table ----------------------------------------
 
-from tq.config import Limit, QualityConfig  # noqa: E402
 
 # line items must not ship before their order, quantities and discounts stay in range
 LINE_ITEMS = QualityConfig(
