@@ -64,8 +64,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     would then run on one core.  Large inputs already have thousands of splits
     and pass through unchanged (no extra shuffle).
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < max(2, target // 2):
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a remote session): leave the plan as it is
+        return df
+    if splits < max(2, target // 2):
         return df.repartition(target)
     return df
 
