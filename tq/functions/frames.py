@@ -14,12 +14,15 @@ def side_by_side(*frames: DataFrame) -> DataFrame:
     The frames are unioned (each padded with NULL columns) and folded by a
     global ``max``, so no join is planned; every input is a one-row aggregate.
     """
-    names = [c for f in frames for c in f.columns]
+    schemas = [f.schema.fields for f in frames]          # one schema round trip per frame
+    names = [fld.name for fields in schemas for fld in fields]
     if len(names) != len(set(names)):
         raise ValueError(f"duplicate column names: {names}")
-    types = {fld.name: fld.dataType for f in frames for fld in f.schema.fields}
-    padded = [f.select([F.col(c) if c in f.columns else F.lit(None).cast(types[c]).alias(c) for c in names])
-              for f in frames]
+    types = {fld.name: fld.dataType for fields in schemas for fld in fields}
+    padded = []
+    for f, fields in zip(frames, schemas):
+        own = {fld.name for fld in fields}
+        padded.append(f.select([F.col(c) if c in own else F.lit(None).cast(types[c]).alias(c) for c in names]))
     return reduce(DataFrame.unionByName, padded).agg(*[F.max(c).alias(c) for c in names])
 
 

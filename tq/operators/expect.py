@@ -241,8 +241,12 @@ class Validation:
     after_columns: int
 
     def side(self, which: str) -> DataFrame:
-        counts = self.before_counts if which == "before" else self.after_counts
-        return _results(counts, self.rules)
+        """Per-rule results of one side (built once, reused by ``comparison`` and ``summary``)."""
+        cache = self.__dict__.setdefault("_sides", {})
+        if which not in cache:
+            counts = self.before_counts if which == "before" else self.after_counts
+            cache[which] = _results(counts, self.rules)
+        return cache[which]
 
     def comparison(self) -> DataFrame:
         sides = [self.side("before").withColumn("side", F.lit("before")),
@@ -264,7 +268,7 @@ class Validation:
                                      ("after", self.after_counts, self.after_columns)):
             empty = reduce(lambda a, b: a + b, [F.when(F.col(f"nn{j}") == 0, 1).otherwise(0) for j in range(ncols)],
                            F.lit(0))
-            passed = _results(counts, self.rules).agg(count_if(F.col("success")).alias("rules_passed"))
+            passed = self.side(which).agg(count_if(F.col("success")).alias("rules_passed"))
             base = counts.select(F.col("rows").cast("bigint").alias("rows"), F.lit(ncols).alias("columns"),
                                  empty.cast("int").alias("fully_empty_columns"))
             out = side_by_side(base, passed).withColumn("rules_total", F.lit(len(self.rules)))
