@@ -55,14 +55,21 @@ class CleanResult:
     prepass: PrePass
     config: QualityConfig
 
+    @property
+    def _partitioned(self) -> bool:
+        return QUARANTINED in self.reasoned.columns
+
     @property
     def clean(self) -> DataFrame:
+        if self._partitioned:   # saved table: the filter prunes the quarantine partition away
+            return self.reasoned.filter(~F.col(QUARANTINED)).drop(REASONS, QUARANTINED)
         return self.reasoned.filter(F.size(REASONS) == 0).drop(REASONS)
 
     @property
     def rejected(self) -> DataFrame:
-        return self.reasoned.filter(F.size(REASONS) > 0) \
-            .withColumn(REASON_TEXT, reason_text(REASONS)).drop(REASONS)
+        rows = self.reasoned.filter(F.col(QUARANTINED)).drop(QUARANTINED) if self._partitioned \
+            else self.reasoned.filter(F.size(REASONS) > 0)
+        return rows.withColumn(REASON_TEXT, reason_text(REASONS)).drop(REASONS)
 
     def reason_counts(self) -> DataFrame:
         """``(reason, n)``: one row per reason; a row with two reasons counts in both."""
@@ -122,8 +129,10 @@ class CleanResult:
         """
         out = self.reasoned.withColumn(QUARANTINED, F.size(REASONS) > 0)
         out.write.mode(mode).partitionBy(QUARANTINED).parquet(path)
-        reread = self.reasoned.sparkSession.read.parquet(path).drop(QUARANTINED)
-        return CleanResult(reread.select(self.reasoned.columns), self.prepass, self.config)
+        from tq.sources.files import read_partitioned
+
+        reread = read_partitioned(self.reasoned.sparkSession, path, QUARANTINED)
+        return CleanResult(reread.select(*self.reasoned.columns, QUARANTINED), self.prepass, self.config)
 
 
 def prepass_columns(norm: DataFrame, config: QualityConfig):
