@@ -90,3 +90,12 @@ def test_raw_csv_round_trip_keeps_quotes_and_newlines(spark, tmp_path):
     assert back["1"]["note"] == 'He said "ok"\nline two'
     assert back["1"]["other"] == "padded"
     assert back["2"]["note"] is None and back["2"]["other"] is None
+
+
+def test_explore_all_builds_every_check_present(spark):
+    from tq.sources.tables import dirty
+
+    checks = X.explore_all(dirty(spark, "/root/testdata/sf0.001"), LISTINGS)
+    assert set(checks) == {"format_check", "non_positive", "quantiles", "top_values", "extremes", "score_ranges",
+                           "date_order", "outside_box", "numeric_text_host_about"}
+    assert checks["top_values"].count() == 5

@@ -85,8 +85,8 @@ def overall(per_type: DataFrame) -> DataFrame:
 def collateral(after: CleanResult, assignments: DataFrame, baseline: CleanResult, key: str,
                max_assigned: int) -> DataFrame:
     """One row ``collateral_rows``: distinct quarantined keys neither injected nor quarantined before."""
-    rejected = after.reasoned.filter(F.size(REASONS) > 0).select(F.col(key)).filter(F.col(key).isNotNull()).distinct()
-    before = baseline.reasoned.filter(F.size(REASONS) > 0).select(F.col(key)).filter(F.col(key).isNotNull())
+    rejected = after.rejected.select(F.col(key)).filter(F.col(key).isNotNull()).distinct()
+    before = baseline.rejected.select(F.col(key)).filter(F.col(key).isNotNull())
     injected = assignments.select(F.col(key))
     left = rejected.join(bounded_broadcast(injected, max_assigned), key, "left_anti").join(before, key, "left_anti")
     return left.agg(F.count(F.lit(1)).alias("collateral_rows"))

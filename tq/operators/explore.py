@@ -116,3 +116,39 @@ def outside_box(df: DataFrame, bounds) -> DataFrame:
 def numeric_text(df: DataFrame, column: str, pattern: str) -> DataFrame:
     """Raw (untrimmed) values made only of digits and separators."""
     return df.agg(count_if(col(column).rlike(pattern)).alias("numeric_text"))
+
+
+def explore_all(df: DataFrame, config, key: str = "id", price_format: str = r"^\$[0-9,]+(\.[0-9]+)?$",
+                counts=("beds", "bathrooms", "bedrooms", "accommodates", "minimum_nights"),
+                related=("price", "price_quote_price_per_night"), exact: bool = False) -> dict[str, DataFrame]:
+    """Every exploration check whose columns exist, by name (lazy DataFrames)."""
+    from tq.functions.columns import parse_currency
+    from tq.operators.quantiles import approx_quantiles, exact_quantiles
+
+    cols = set(df.columns)
+    out: dict[str, DataFrame] = {}
+    price = config.price
+    if price and price in cols:
+        out["format_check"] = format_check(df, price, price_format)
+        out["non_positive"] = non_positive(df, price)
+        parsed = df.select(parse_currency(price).alias("v"))
+        probs = (0.01, 0.5, 0.99, 0.999)
+        out["quantiles"] = exact_quantiles(parsed, "v", probs) if exact else approx_quantiles(parsed, "v", probs)
+        if key in cols:
+            out["top_values"] = top_values(df, parse_currency(price), key)
+    if set(related) <= cols:
+        out["cross_missing"] = cross_missing(df, *related)
+    present = [c for c in counts if c in cols]
+    if present and key in cols:
+        out["extremes"] = extremes(df, present, key, exact=exact)
+    scores = config.score_columns(df.columns)
+    if scores:
+        out["score_ranges"] = score_ranges(df, scores, *config.score_range)
+    if config.date_order and set(config.date_order) <= cols:
+        out["date_order"] = date_order(df, *config.date_order)
+    if config.box and {b.column for b in config.box} <= cols:
+        out["outside_box"] = outside_box(df, config.box)
+    for c in config.digit_only_text:
+        if c in cols:
+            out[f"numeric_text_{c}"] = numeric_text(df, c, config.digit_only_pattern)
+    return out
