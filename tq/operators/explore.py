@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tq.functions.columns import col, count_if, is_blank, parse_currency, safe_cast
-from tq.operators.quantiles import approx_quantiles, exact_quantile_values
+from tq.operators.quantiles import approx_quantiles, exact_quantile_values, exact_quantiles
 
 
 def _num(name: str) -> Column:
@@ -122,9 +122,6 @@ def explore_all(df: DataFrame, config, key: str = "id", price_format: str = r"^\
                 counts=("beds", "bathrooms", "bedrooms", "accommodates", "minimum_nights"),
                 related=("price", "price_quote_price_per_night"), exact: bool = False) -> dict[str, DataFrame]:
     """Every exploration check whose columns exist, by name (lazy DataFrames)."""
-    from tq.functions.columns import parse_currency
-    from tq.operators.quantiles import approx_quantiles, exact_quantiles
-
     cols = set(df.columns)
     out: dict[str, DataFrame] = {}
     price = config.price
