@@ -177,7 +177,11 @@ def clean(df: DataFrame, config: QualityConfig = LISTINGS) -> CleanResult:
     kept = norm.drop(*prepass.empty_columns) if prepass.empty_columns else norm
     typed = typed_projection(kept, config, repair=True)
     if config.key and config.key in typed.columns:
-        typed = dedup_by_key(typed, config.key)
+        k = config.key
+        # blank or absent keys plus keys that failed the cast: when there is none, dedup needs one branch only
+        null_keys = (prepass.rows_in - prepass.non_null.get(k, 0)) + prepass.lost.get(k, 0) \
+            if k in prepass.non_null else None
+        typed = dedup_by_key(typed, k, null_keys=null_keys)
     reasoned = typed.withColumn(REASONS, reasons_column(row_rules(config, typed.columns)))
     return CleanResult(reasoned, prepass, config)
 

@@ -8,8 +8,11 @@ window: an aggregate is combined map-side before the shuffle, so a key that
 holds a third of the table still reaches the reducer as one partial row per
 map task, while a window would sort that whole key in one task.
 
-Rows with a NULL key are never merged (they are invalid and go to quarantine);
-each gets its own group through a per-row salt, so the table is read once.
+Rows with a NULL key are never merged (they are invalid and go to quarantine).
+They bypass the shuffle in a second, filter-only branch of the same plan; when
+the caller knows there is none (the cleaning pre-pass counts them), that branch
+is left out.  Everything is deterministic, so a task re-run after an executor
+loss produces exactly the same rows.
 """
 
 from __future__ import annotations
@@ -19,30 +22,32 @@ from pyspark.sql import functions as F
 
 from tq.functions.columns import col
 
-_SALT = "__tq_null_key_row"
 _SURVIVOR = "__tq_survivor"
 
 
-def dedup_by_key(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+def dedup_by_key(df: DataFrame, key: str, order: list[str] | None = None, null_keys: int | None = None) -> DataFrame:
     """Keep one row per non-null ``key``; keep every row whose key is NULL.
 
     ``order``: columns that decide the survivor (default: all others, schema order).
+    ``null_keys``: number of NULL keys when known (0 skips the NULL branch).
     """
     if key not in df.columns:
         return df
-    others = [c for c in df.columns if c != key]
+    columns = df.columns
+    others = [c for c in columns if c != key]
     order = list(order) if order else others
     rest = [c for c in others if c not in order]
-    if not others:
-        return df.groupBy(col(key), F.when(col(key).isNull(), F.monotonically_increasing_id()).alias(_SALT)) \
-                 .agg(F.count(F.lit(1)).alias("_n")).select(col(key))
-    packed = F.struct(*[col(c).alias(f"f{i}") for i, c in enumerate(order + rest)])
-    grouped = (
-        df.groupBy(col(key), F.when(col(key).isNull(), F.monotonically_increasing_id()).alias(_SALT))
-        .agg(F.min(packed).alias(_SURVIVOR))
-    )
-    fields = {c: F.col(f"{_SURVIVOR}.f{i}").alias(c) for i, c in enumerate(order + rest)}
-    return grouped.select([col(key) if c == key else fields[c] for c in df.columns])
+    with_key = df.filter(col(key).isNotNull())
+    if others:
+        packed = F.struct(*[col(c).alias(f"f{i}") for i, c in enumerate(order + rest)])
+        grouped = with_key.groupBy(col(key)).agg(F.min(packed).alias(_SURVIVOR))
+        fields = {c: F.col(f"{_SURVIVOR}.f{i}").alias(c) for i, c in enumerate(order + rest)}
+        survivors = grouped.select([col(key) if c == key else fields[c] for c in columns])
+    else:
+        survivors = with_key.select(col(key)).distinct()
+    if null_keys == 0:
+        return survivors
+    return survivors.unionByName(df.filter(col(key).isNull()))
 
 
 def duplicate_count(df: DataFrame, key: str) -> DataFrame:
