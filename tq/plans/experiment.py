@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from dataclasses import dataclass
 
@@ -34,6 +35,16 @@ class Experiment:
     def collateral(self) -> DataFrame:
         return detect.collateral(self.after, self.assignments, self.baseline, self.config.key, self.max_assigned)
 
+    def write_report(self, folder: str) -> dict[str, str]:
+        """Recall per type, overall recall and collateral rows as JSON folders (Spark sinks)."""
+        from tq.sources.files import write_json
+
+        paths = {name: os.path.join(folder, name) for name in ("recall", "overall", "collateral")}
+        write_json(self.recall(), paths["recall"])
+        write_json(self.overall(), paths["overall"])
+        write_json(self.collateral(), paths["collateral"])
+        return paths
+
 
 def run_experiment(raw: DataFrame, config: QualityConfig = LISTINGS, cfg: InjectionConfig = InjectionConfig(),
                    baseline: CleanResult | None = None, checkpoint: bool = True) -> Experiment:
