@@ -26,8 +26,10 @@ from tq.functions.columns import col, count_if, digit_only
 from tq.operators.dedup import dedup_by_key
 from tq.operators.normalize import cast_plan, normalize, typed_projection, typed_value
 from tq.operators.rules import REASON_TEXT, REASONS, reason_text, reasons_column, row_rules
+from tq.sources.files import read_partitioned
 
 QUARANTINED = "quarantined"
+DUPLICATES = "duplicate_keys_removed"
 
 METRICS_SCHEMA = StructType([
     StructField("metric", StringType(), False),
@@ -87,22 +89,22 @@ class CleanResult:
         rows += [("score_zeros_set_to_null", None, p.score_zeros)]
         rows += [("numeric_text_set_to_null", c, n) for c, n in p.digit_only.items()]
         fixed = spark.createDataFrame(rows, METRICS_SCHEMA)
-        # one pass: every row emits its status, quarantined rows also their reasons
+        # one pass: every row emits its status and a kept-row item, quarantined rows also their reasons
         status = F.when(F.size(REASONS) == 0, F.lit("rows_clean")).otherwise(F.lit("rows_quarantined"))
-        items = F.concat(F.array(F.struct(status.alias("metric"), F.lit(None).cast("string").alias("key"))),
-                         F.transform(REASONS, lambda r: F.struct(F.lit("quarantine_reasons").alias("metric"),
-                                                                 r.alias("key"))))
+        none = F.lit(None).cast("string")
+        items = F.concat(
+            F.array(F.struct(status.alias("metric"), none.alias("key")),
+                    F.struct(F.lit(DUPLICATES).alias("metric"), none.alias("key"))),
+            F.transform(REASONS, lambda r: F.struct(F.lit("quarantine_reasons").alias("metric"), r.alias("key"))))
         counted = (self.reasoned.select(F.explode(items).alias("i"))
                    .groupBy(F.col("i.metric").alias("metric"), F.col("i.key").alias("key"))
                    .agg(F.count(F.lit(1)).alias("value")))
-        # statuses that never occur still get a 0 row; duplicates removed = rows_in - rows kept
-        zeros = spark.createDataFrame([("rows_clean", None, 0), ("rows_quarantined", None, 0)], METRICS_SCHEMA)
+        # statuses that never occur still get a row; duplicates removed = rows_in - rows kept
+        zeros = spark.createDataFrame([("rows_clean", None, 0), ("rows_quarantined", None, 0), (DUPLICATES, None, 0)],
+                                      METRICS_SCHEMA)
         totals = counted.unionByName(zeros).groupBy("metric", "key").agg(F.sum("value").cast("bigint").alias("value"))
-        kept = totals.filter(F.col("metric").isin("rows_clean", "rows_quarantined")) \
-            .agg(F.sum("value").alias("kept"))
-        dups = kept.select(F.lit("duplicate_keys_removed").alias("metric"), F.lit(None).cast("string").alias("key"),
-                           (F.lit(p.rows_in) - F.col("kept")).cast("bigint").alias("value"))
-        return fixed.unionByName(totals).unionByName(dups)
+        value = F.when(F.col("metric") == DUPLICATES, F.lit(p.rows_in) - F.col("value")).otherwise(F.col("value"))
+        return fixed.unionByName(totals.select("metric", "key", value.cast("bigint").alias("value")))
 
     def log(self) -> dict:
         """The cleaning log as a small dict (same keys as the classic JSON log)."""
@@ -115,7 +117,7 @@ class CleanResult:
             "values_lost_in_conversion": {c: n for c, n in p.lost.items() if n},
             "review_score_zeros_set_to_null": p.score_zeros,
             "host_about_numeric_set_to_null": sum(p.digit_only.values()),
-            "duplicate_ids_removed": m[("duplicate_keys_removed", None)],
+            "duplicate_ids_removed": m[(DUPLICATES, None)],
             "rows_clean": m[("rows_clean", None)],
             "rows_quarantined": m[("rows_quarantined", None)],
             "quarantine_reasons": reasons,
@@ -129,8 +131,6 @@ class CleanResult:
         """
         out = self.reasoned.withColumn(QUARANTINED, F.size(REASONS) > 0)
         out.write.mode(mode).partitionBy(QUARANTINED).parquet(path)
-        from tq.sources.files import read_partitioned
-
         reread = read_partitioned(self.reasoned.sparkSession, path, QUARANTINED)
         return CleanResult(reread.select(*self.reasoned.columns, QUARANTINED), self.prepass, self.config)
 
