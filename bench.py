@@ -68,6 +68,7 @@ def main() -> None:
     timed("stage_raw", lambda: spread(dirty(spark, sf_dir), cpus * 2).write.mode("overwrite").parquet(raw_path))
     raw = spark.read.parquet(raw_path)
     rows = raw.count()
+    cells = rows * len(raw.columns)
 
     # headline: profile -> clean -> validate
     def profile_step():
@@ -130,6 +131,7 @@ def main() -> None:
         "queries": times,
         "rows": rows,
         "rows_per_sec": round(rows / end_to_end, 1) if end_to_end else None,
+        "cells_per_sec": round(cells / end_to_end, 1) if end_to_end else None,
         "sf": float(sf_match.group(1)) if sf_match else sf_dir,
         "cpus": cpus,
     }))
