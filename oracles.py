@@ -181,7 +181,9 @@ ORACLES["drop_empty_columns"] = with_([DIRTY, NORM], " UNION ALL ".join(
 def profile_sql(table: str, columns, exact_distinct: bool = False, ctes=()) -> str:
     """columns: (name, kind) with kind text | num | other."""
     parts = []
-    for i, (c, kind) in enumerate(columns):
+    for i, spec in enumerate(columns):
+        c, kind = spec[0], spec[1]
+        i = spec[2] if len(spec) > 2 else i
         missing = f"({c} IS NULL OR trim({c}) = '')" if kind == "text" else f"{c} IS NULL"
         num = dbl(c) if kind == "text" else (f"CAST({c} AS DOUBLE)" if kind == "num" else "CAST(NULL AS DOUBLE)")
         sample = (f"substring(replace(min(nullif(trim({c}), '')), chr(10), ' '), 1, 30)" if kind == "text"
@@ -601,3 +603,15 @@ ORACLES["line_item_suite"] = suite_sql("line_items", [
     ("l_shipdate >= o_orderdate", "pair_order", "l_shipdate", dict(other="o_orderdate")),
     ("l_returnflag not null", "not_null", "l_returnflag")])
 ORACLES["line_item_suite"] = with_([LINE_ITEMS], ORACLES["line_item_suite"])
+
+
+# --- profiles of more driver tables ---------------------------------------------------------------
+
+ORACLES["profile_events_columns"] = profile_sql("events", [
+    ("event_id", "num"), ("ts", "other"), ("user_id", "num"), ("event_type", "text"), ("value", "num"),
+    ("props", "text")], exact_distinct=True)
+ORACLES["profile_conversations_columns"] = profile_sql("conversations", [
+    ("conv_id", "num"), ("turn", "num"), ("role", "text"), ("text", "text")])
+ORACLES["profile_pages_columns"] = profile_sql("pages", [("page_id", "num"), ("url", "text"), ("html", "text")])
+ORACLES["profile_embeddings_columns"] = profile_sql("embeddings", [("vec_id", "num", 0), ("label", "num", 2)],
+                                                    exact_distinct=True)

@@ -238,6 +238,27 @@ def profile_documents_columns(spark, sf_dir):
     return profile(read_table(spark, sf_dir, "documents"), approx=False)
 
 
+@query
+def profile_events_columns(spark, sf_dir):
+    return profile(read_table(spark, sf_dir, "events"), approx=False, exact_distinct=True)
+
+
+@query
+def profile_conversations_columns(spark, sf_dir):
+    return profile(read_table(spark, sf_dir, "conversations"), approx=False)
+
+
+@query
+def profile_pages_columns(spark, sf_dir):
+    return profile(read_table(spark, sf_dir, "pages"), approx=False)
+
+
+@query
+def profile_embeddings_columns(spark, sf_dir):
+    """The array column is skipped; ordinals keep the schema positions."""
+    return profile(read_table(spark, sf_dir, "embeddings"), approx=False, exact_distinct=True)
+
+
 @query
 def duplicate_rows_count(spark, sf_dir):
     return duplicate_rows(read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"))
