@@ -615,3 +615,13 @@ ORACLES["profile_conversations_columns"] = profile_sql("conversations", [
 ORACLES["profile_pages_columns"] = profile_sql("pages", [("page_id", "num"), ("url", "text"), ("html", "text")])
 ORACLES["profile_embeddings_columns"] = profile_sql("embeddings", [("vec_id", "num", 0), ("label", "num", 2)],
                                                     exact_distinct=True)
+
+ORACLES["validate_documents"] = suite_sql("documents", [
+    ("doc_id unique", "unique", "doc_id"), ("text unique", "unique", "text"), ("text not null", "not_null", "text"),
+    ("n_chars in [1, 20000]", "between", "n_chars", dict(low=1, high=20000)),
+    ("lang is a two-letter code", "not_match_regex", "lang", dict(regex="[^a-z]"))])
+ORACLES["validate_labels"] = suite_sql("labels", [
+    ("doc_id unique", "unique", "doc_id"),
+    ("quality in [0, 1]", "between", "quality", dict(low=0, high=1)),
+    ("toxic in [0, 1]", "between", "toxic", dict(low=0, high=1)),
+    ("quality present in at least 99 % of rows", "not_null", "quality", dict(mostly=0.99))])

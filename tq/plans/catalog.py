@@ -630,3 +630,27 @@ def line_item_suite(spark, sf_dir):
         ("l_shipdate >= o_orderdate", PairOrder("l_shipdate", other="o_orderdate")),
         ("l_returnflag not null", NotNull("l_returnflag")),
     ])
+
+
+@query
+def validate_documents(spark, sf_dir):
+    """Expectations on the document table as it is (repeated texts are real defects)."""
+    docs = read_table(spark, sf_dir, "documents")
+    return evaluate(docs, [
+        ("doc_id unique", Unique("doc_id")),
+        ("text unique", Unique("text")),
+        ("text not null", NotNull("text")),
+        ("n_chars in [1, 20000]", Between("n_chars", low=1, high=20000)),
+        ("lang is a two-letter code", NotMatchRegex("lang", regex=r"[^a-z]")),
+    ])
+
+
+@query
+def validate_labels(spark, sf_dir):
+    labels = read_table(spark, sf_dir, "labels")
+    return evaluate(labels, [
+        ("doc_id unique", Unique("doc_id")),
+        ("quality in [0, 1]", Between("quality", low=0, high=1)),
+        ("toxic in [0, 1]", Between("toxic", low=0, high=1)),
+        ("quality present in at least 99 % of rows", NotNull("quality", mostly=0.99)),
+    ])
