@@ -139,11 +139,18 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def table_summary(df: DataFrame, key: str | None = None) -> DataFrame:
-    """One row: ``rows, columns, duplicate_rows[, duplicate_keys]``."""
+    """One row: ``rows, columns, duplicate_rows[, duplicate_keys]``.
+
+    The row count comes from the whole-row grouping (sum of group sizes), so the
+    table is scanned once for rows and duplicates, plus once per key.
+    """
     from tq.functions.frames import side_by_side
 
-    rows = df.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).alias("columns"))
-    frames = [rows, duplicate_rows(df)]
+    cols = [col(f.name) for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    per_row = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+    main = per_row.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"),
+                       F.lit(len(df.columns)).alias("columns"),
+                       F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
     if key and key in df.columns:
-        frames.append(duplicate_keys(df, key))
-    return side_by_side(*frames)
+        return side_by_side(main, duplicate_keys(df, key))
+    return main
