@@ -13,7 +13,8 @@ from conftest import SF_SMALL
 KEYS = ["quarantine_reason_counts", "row_rules_reasons", "clean_metrics", "row_reconciliation", "profile_columns",
         "profile_lineitem_columns", "explore_quantiles", "explore_extremes", "explore_format_check",
         "validate_before_after", "validate_summary", "expect_unique_rows", "inject_assignments", "inject_all",
-        "detection_recall", "collateral_rows"]
+        "detection_recall", "collateral_rows", "validate_documents", "validate_labels", "profile_events_columns",
+        "profile_embeddings_columns", "line_item_reason_counts", "stream_row_rules"]
 
 
 @pytest.fixture(scope="module")
