@@ -106,7 +106,7 @@ class SpanHash:
         n = len(data)
         inverse = pow(self.BASE, -1, 1 << 64)
         self.down = self.powers(inverse, n + 1)
-        code = mix(np.arange(1, 257, dtype=np.uint64) + np.uint64(seed) * np.uint64(0x2545F4914F6CDD1D)) | np.uint64(1)
+        code = mix(np.arange(1, 257, dtype=np.uint64) + np.uint64(seed * 0x2545F4914F6CDD1D % (1 << 64))) | np.uint64(1)
         self.sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(code[data] * self.powers(self.BASE, n), out=self.sums[1:])
 

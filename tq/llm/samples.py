@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 def smallest_hashes(rows: DataFrame, label: Column, per_class: int, doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, label) of at most ``per_class`` rows of each label, those with the smallest hash of the id.
 
-    Ties are broken by the id, so a repeated run takes the same rows. Only ids and labels are moved,
-    and each task keeps ``per_class`` rows of a label before the exchange. Null ids and labels go.
+    Ties are broken by the id, so a repeated run takes the same rows. Only ids and labels are moved. A
+    first count per label gives a threshold for the hashes that about three times ``per_class`` rows
+    pass, so that no task ranks all rows of a label. Null ids and labels go.
     """
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
+    draw = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53))  # uniform in [0, 1)
     narrow = rows.select(F.col(doc_id).alias("doc_id"), label.alias("label")).dropna()
-    return narrow.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_class).select("doc_id", "label")
+    counts = narrow.groupBy("label").agg(F.count("*").alias("n"))
+    near = narrow.join(F.broadcast(counts), "label").withColumn("draw", draw).where(F.col("draw") * F.col("n") < 3 * per_class + 100)
+    order = Window.partitionBy("label").orderBy("draw", "doc_id")
+    return near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_class).select("doc_id", "label")
 
 
 def sample_texts(docs: DataFrame, chosen: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
