@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tq.llm import bpe, decontaminate, fingerprint, langid, license, quality, toxicity, urls
+from tq.llm import bpe, decontaminate, fingerprint, langid, license, minhash, quality, toxicity, urls
 from tq.llm.common import held_out, table
 
 
@@ -57,6 +57,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.grouped(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compared(table(spark, sf_dir, "documents"))
 
@@ -74,6 +78,7 @@ QUERIES = {
     "op5_url_filter": op5_url_filter,
     "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_fingerprint": op9_fingerprint,
     "op10_language_id": op10_language_id,
 }
