@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tq.llm import bpe, decontaminate, fingerprint, langid, license, minhash, quality, toxicity, urls
+from tq.llm import bpe, decontaminate, fingerprint, langid, license, minhash, quality, suffixes, toxicity, urls
 from tq.llm.common import held_out, table
 
 
@@ -36,6 +36,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -74,6 +78,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_repeated_passages": op3_repeated_passages,
     "op4_bpe": op4_bpe,
     "op5_url_filter": op5_url_filter,
     "op6_toxicity": op6_toxicity,
