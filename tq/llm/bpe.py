@@ -25,6 +25,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from tq.llm.common import worker_cache
 
@@ -194,18 +195,28 @@ def encoder(path: str) -> Encoder:
     return cache["bpe", path]
 
 
-def encoded(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``docs`` with a column ``ids`` (array of int). One narrow pass, no shuffle."""
+def tokenized(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``text`` replaced by n_tokens, ids and round_trip (the ids decode to the text again).
+    One narrow pass, no shuffle."""
+    carried = [c for c in docs.columns if c != text]
 
-    @F.pandas_udf("array<int>")
-    def ids(batches: Iterator) -> Iterator:
-        import pandas as pd
+    def run(batches: Iterable) -> Iterator:
+        import pyarrow as pa
 
         e = encoder(path)
-        for texts in batches:
-            yield pd.Series([np.frombuffer(e.packed(x or ""), dtype="<u4").astype(np.int32) for x in texts], dtype=object)
-
-    return docs.withColumn("ids", ids(F.coalesce(F.col(text), F.lit(""))))
+        for batch in batches:
+            ids, same = [], []
+            for value in batch.column(len(carried)):
+                value = value.as_py() or ""
+                packed = np.frombuffer(e.packed(value), dtype="<u4")
+                ids.append(packed.astype(np.int32))
+                same.append(e.v.decode(packed) == value.encode())
+            added = [pa.array(list(map(len, ids)), pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added], names=[*carried, "n_tokens", "ids", "round_trip"])
+
+    narrow = docs.select(*carried, F.col(text).alias(text))
+    schema = narrow.drop(text).schema.add("n_tokens", "long").add("ids", ArrayType(IntegerType())).add("round_trip", "boolean")
+    return narrow.mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -126,3 +126,12 @@ def judged(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, doc_id: s
         .withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
         .withColumn("n_items", F.size("items").cast("long"))
     )
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no benchmark window stands. Whether one does depends on the
+    text alone, so rows are told apart by a hash of their text."""
+    key = "__text_key"
+    keyed = docs.withColumn(key, F.xxhash64(F.col(text)))
+    found = judged(keyed, benchmark, doc_id=key, text=text, **options).where("n_hit > 0").select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(saved(found, "decontaminate-found"), key, "left_anti").select(docs.columns)

@@ -171,3 +171,20 @@ def predictions(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str
 
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), has_letter(F.col(text)).alias("letter"))
     return narrow.mapInArrow(run, "doc_id long, lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, model: Model, languages: tuple[str, ...] | None = None, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose predicted language is one of ``languages`` (default: any learned
+    one). Rows without a letter go. One narrow pass, no shuffle."""
+    wanted = set(model.languages if languages is None else languages)
+    place = docs.columns.index(text)
+
+    def run(batches: Iterable) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            names, _ = model.predict(as_bytes(batch.column(place)))
+            yield batch.filter(pa.array([name in wanted for name in names], pa.bool_()))
+
+    some = docs.where(has_letter(F.col(text)))
+    return some.mapInArrow(run, docs.schema) if model.languages else some.where("false")

@@ -275,3 +275,12 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that stand for their group: the one with the component's id. Of
+    repeated rows (equal id and text) one stays; texts without words are no copies of each other and stay."""
+    key = "__row_key"
+    found = grouped(docs, doc_id, text).where("kept").select(F.xxhash64("doc_id", "text_hash").alias(key)).distinct()
+    keyed = docs.withColumn(key, F.xxhash64(F.col(doc_id).cast("long"), F.xxhash64(F.col(text))))
+    return keyed.dropDuplicates([key]).join(found, key, "left_semi").drop(key).select(docs.columns)

@@ -209,7 +209,7 @@ def window_hashes(texts: list[bytes], items: list[list]) -> tuple:
 
 
 def cut(texts: list[bytes], items: list[list]) -> tuple:
-    """(text, removed bytes, removed runs, sha256 of the rest, the rest) of each text."""
+    """(text, removed bytes, removed runs, sha256 of the rest, the rest without broken characters) of each text."""
     import pyarrow as pa
 
     removed, spans, digests, rest = [], [], [], []
@@ -225,8 +225,8 @@ def cut(texts: list[bytes], items: list[list]) -> tuple:
         removed.append(len(text) - len(left))
         spans.append(n)
         digests.append(hashlib.sha256(left).hexdigest())
-        rest.append(left)
-    return np.arange(len(texts)), removed, spans, pa.array(digests, pa.string()), pa.array(rest, pa.binary())
+        rest.append(left.decode("utf-8", "ignore"))
+    return np.arange(len(texts)), removed, spans, pa.array(digests, pa.string()), pa.array(rest, pa.string())
 
 
 def repeated_ranges(docs: DataFrame, text: str = "text", batches: int = BATCHES) -> tuple[DataFrame, DataFrame]:
@@ -268,11 +268,11 @@ def repeated_ranges(docs: DataFrame, text: str = "text", batches: int = BATCHES)
 
 
 def removals(docs: DataFrame, text: str = "text", batches: int = BATCHES) -> DataFrame:
-    """(t, n_removed, n_spans, kept_sha256, kept) of the texts that lose bytes; ``kept`` are the bytes left."""
+    """(t, n_removed, n_spans, kept_sha256, kept) of the texts that lose bytes; ``kept`` is the text left."""
     ranges, bodies = repeated_ranges(docs, text, batches)
     # a text of n bytes has fewer than n ranges
     lists = ranges.groupBy("t").agg(F.collect_set(F.struct("first", "last")).alias("items"))
-    return over_texts(bodies.join(lists, "t"), cut, "n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return over_texts(bodies.join(lists, "t"), cut, "n_removed long, n_spans long, kept_sha256 string, kept string")
 
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", batches: int = BATCHES) -> DataFrame:
@@ -286,3 +286,13 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ba
     return base.join(cuts, "t", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256")
     )
+
+
+def shortened(docs: DataFrame, text: str = "text", batches: int = BATCHES) -> DataFrame:
+    """``docs``, all rows and columns, with the repeated bytes taken out of the text. A character that lost
+    some of its bytes goes too; texts that lose nothing stay as they are, null included."""
+    key, left = "__text_key", "__text_left"
+    cuts = saved(removals(docs, text, batches).select(F.col("t").alias(key), F.col("kept").alias(left)), "suffixes-kept")
+    with_cuts = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text), F.lit("")))).join(cuts, key, "left")
+    rest = F.when(F.col(left).isNotNull(), F.col(left)).otherwise(F.col(text))
+    return with_cuts.withColumn(text, rest).select(docs.columns)
