@@ -88,15 +88,15 @@ def reputation(pages: DataFrame) -> DataFrame:
     strength = F.when(usable & (rho > 0), F.least(F.lit(STRONGEST), F.greatest(F.lit(WEAKEST), (1 - rho) / rho))).when(
         usable, F.lit(STRONGEST)
     ).otherwise(F.lit(WEAKEST))
-    root = moments.select(p.alias("p0"), F.round(strength, 6).alias("m"))
+    mean, weight = map(F.lit, moments.select(p, F.round(strength, 6)).first())  # two numbers, whatever the table
 
-    def shrunk(name: str, above: str) -> Column:
-        return ((F.col("bad") + F.col("m") * F.col(above)) / (F.col("n") + F.col("m"))).alias(name)
+    def shrunk(above: Column) -> Column:
+        return (F.col("bad") + weight * above) / (F.col("n") + weight)
 
-    suffixes = level(hosts, "suffix", None).crossJoin(F.broadcast(root)).select("suffix", "m", shrunk("p1", "p0"))
-    domains = level(hosts, "domain", "suffix").join(suffixes, "suffix").select("domain", "m", shrunk("p2", "p1"))
-    a = F.col("bad") + F.col("m") * F.col("p2")
-    b = F.col("n") - F.col("bad") + F.col("m") * (1 - F.col("p2"))
+    suffixes = level(hosts, "suffix", None).select("suffix", shrunk(mean).alias("p1"))
+    domains = level(hosts, "domain", "suffix").join(suffixes, "suffix").select("domain", shrunk(F.col("p1")).alias("p2"))
+    a = F.col("bad") + weight * F.col("p2")
+    b = F.col("n") - F.col("bad") + weight * (1 - F.col("p2"))
     bound = a / (a + b) - BOUND * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
     return hosts.join(domains, "domain").select("host", bound.alias("bound"))
 
