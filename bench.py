@@ -26,6 +26,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     from pyspark.sql import SparkSession
+    from pyspark.sql.functions import col
 
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -47,13 +48,16 @@ def main() -> None:
 
     from tq.config import LISTINGS, InjectionConfig
     from tq.operators import explore as X
-    from tq.operators.clean import QUARANTINED, clean
+    from tq.functions.columns import parse_currency
+    from tq.operators.clean import clean
+    from tq.operators.dedup import dedup_by_key
     from tq.operators.expect import validate
     from tq.operators.normalize import minimal_typing
     from tq.operators.profile import profile, table_summary
+    from tq.operators.quantiles import approx_quantiles, exact_quantiles
     from tq.plans.experiment import run_experiment
-    from tq.sources.files import read_partitioned, write_json, write_profile_csv
-    from tq.sources.tables import dirty, read_table, spread
+    from tq.sources.files import stage_raw, write_json, write_profile_csv, write_raw_csv
+    from tq.sources.tables import dirty, read_table
 
     times: dict[str, float] = {}
 
@@ -63,45 +67,53 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
         return out
 
-    # stage the raw table once (as a user would stage a raw CSV): later steps read Parquet
-    raw_path = os.path.join(scratch, "raw")
-    timed("stage_raw", lambda: spread(dirty(spark, sf_dir), cpus * 2).write.mode("overwrite").parquet(raw_path))
-    raw = spark.read.parquet(raw_path)
+    # one raw gzip CSV, staged once (parsed by one task, spread over files): later steps read Parquet
+    csv_path = os.path.join(scratch, "raw-csv")
+    write_raw_csv(dirty(spark, sf_dir).coalesce(1), csv_path)
+    raw = timed("stage_csv", lambda: stage_raw(spark, csv_path, os.path.join(scratch, "raw"), partitions=cpus * 2))
     rows = raw.count()
     cells = rows * len(raw.columns)
 
     # headline: profile -> clean -> validate
-    def profile_step():
-        write_profile_csv(profile(raw), os.path.join(scratch, "profile"))
+    def profile_step(raw, to):
+        write_profile_csv(profile(raw), f"{to}/profile")
         return table_summary(raw, key="id").collect()
 
-    def clean_step():
-        saved = clean(raw, LISTINGS).save(os.path.join(scratch, "reasoned"))
-        write_json(saved.metrics(), os.path.join(scratch, "metrics"))
+    def clean_step(raw, to):
+        saved = clean(raw, LISTINGS).save(f"{to}/reasoned")
+        write_json(saved.metrics(), f"{to}/metrics")
         return saved
 
-    def validate_step():
-        after = read_partitioned(spark, os.path.join(scratch, "reasoned")).filter(~spark_col(QUARANTINED)) \
-            .drop(QUARANTINED, "reject_reasons")
-        before = minimal_typing(raw, LISTINGS)
-        checked = validate(before, after, LISTINGS)
-        write_json(checked.comparison(), os.path.join(scratch, "validation"))
-        return checked.summary().collect()
+    def validate_step(raw, saved, to):
+        checked = validate(minimal_typing(raw, LISTINGS), saved.clean, LISTINGS)
+        write_json(checked.comparison(), f"{to}/validation")
+        out = checked.summary().collect()
+        checked.release()
+        return out
+
+    timed("profile", lambda: profile_step(raw, f"{scratch}/out"))
+    saved = timed("clean", lambda: clean_step(raw, f"{scratch}/out"))
+    timed("validate", lambda: validate_step(raw, saved, f"{scratch}/out"))
 
-    from pyspark.sql.functions import col as spark_col
+    # the same three steps on 90 columns: further copies of the text columns under other names
+    names = [c for c in raw.columns if c != "id"]
+    more = [col(names[i % len(names)]).alias(f"{names[i % len(names)]}_{i // len(names)}_copy") for i in range(90 - len(raw.columns))]
+    wide_path = os.path.join(scratch, "wide")
+    raw.select("*", *more).write.parquet(wide_path)
+    wide = spark.read.parquet(wide_path)
 
-    timed("profile", profile_step)
-    saved = timed("clean", clean_step)
-    timed("validate", validate_step)
+    def wide_steps():
+        profile_step(wide, f"{scratch}/wide-out")
+        validate_step(wide, clean_step(wide, f"{scratch}/wide-out"), f"{scratch}/wide-out")
+
+    timed("wide_90_columns", wide_steps)
     end_to_end = round(times["profile"] + times["clean"] + times["validate"], 3)
 
     # exploration: all checks of the explore step
     def explore_step():
-        from tq.functions.columns import parse_currency
-        from tq.operators.quantiles import approx_quantiles
-        out = [X.format_check(raw, "price", r"^\$[0-9,]+(\.[0-9]+)?$").collect(),
+        out = [X.format_check(raw, "price", X.PRICE_FORMAT).collect(),
                X.non_positive(raw, "price").collect(),
-               approx_quantiles(raw.select(parse_currency("price").alias("p")), "p", (0.01, 0.5, 0.99, 0.999)).collect(),
+               approx_quantiles(raw.select(parse_currency("price").alias("p")), "p", X.PRICE_PROBS).collect(),
                X.top_values(raw, parse_currency("price"), "id").collect(),
                X.extremes(raw, ["beds", "minimum_nights"], "id", exact=False).collect(),
                X.score_ranges(raw, ["review_scores_rating"]).collect(),
@@ -120,9 +132,15 @@ def main() -> None:
     timed("inject_detect", inject_step)
 
     # profile of a typed driver table (the largest one)
-    lineitem = read_table(spark, sf_dir, "lineitem")
+    lineitem = read_table(spark, sf_dir, "lineitem").repartition(cpus)
     timed("profile_lineitem", lambda: profile(lineitem).collect())
 
+    # exact paths, and dedup where a third of the keys repeat
+    timed("exact_quantiles", lambda: exact_quantiles(lineitem, "l_extendedprice", X.PRICE_PROBS).collect())
+    timed("exact_distinct", lambda: profile(lineitem, approx=False, exact_distinct=True).collect())
+    repeated = raw.unionByName(raw.filter(col("id").rlike("[0-2]$")))
+    timed("dedup_repeated_keys", lambda: dedup_by_key(repeated, "id").write.format("noop").mode("overwrite").save())
+
     sf_match = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "profile_clean_validate_sec",
@@ -132,6 +150,7 @@ def main() -> None:
         "rows": rows,
         "rows_per_sec": round(rows / end_to_end, 1) if end_to_end else None,
         "cells_per_sec": round(cells / end_to_end, 1) if end_to_end else None,
+        "wide_cells_per_sec": round(rows * 90 / times["wide_90_columns"], 1) if times["wide_90_columns"] else None,
         "sf": float(sf_match.group(1)) if sf_match else sf_dir,
         "cpus": cpus,
     }))

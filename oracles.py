@@ -13,10 +13,13 @@ tables.  Engine differences are guarded explicitly:
 
 from __future__ import annotations
 
+from tq.operators.explore import PRICE_FORMAT, PRICE_PROBS
 from tq.sources.tables import DIRTY_SQL
 
-TEXT_COLS = ["id", "price", "beds", "review_scores_rating", "first_review", "last_review",
-             "latitude", "longitude", "host_about", "minimum_nights", "calendar_updated"]
+SCORES = ["review_scores_rating", "review_scores_cleanliness", "review_scores_location"]
+FLAGS = ["host_is_superhost", "has_availability"]
+TEXT_COLS = ["id", "price", "beds", "bedrooms", "bathrooms", *SCORES, "first_review", "last_review",
+             "latitude", "longitude", "host_about", "minimum_nights", *FLAGS, "calendar_updated"]
 KEPT_COLS = TEXT_COLS[:-1]  # calendar_updated is blank in every row of dirty
 DIGITS = r"^[0-9\s.,+-]+$"
 
@@ -41,21 +44,20 @@ def money(x: str) -> str:
 
 
 # minimal typing ("before"): casts only
-MINIMAL = ("minimal AS (SELECT " + ", ".join([
-    f"{big('id')} AS id", f"{money('price')} AS price", f"{dbl('beds')} AS beds",
-    f"{dbl('review_scores_rating')} AS review_scores_rating",
-    f"{date('first_review')} AS first_review", f"{date('last_review')} AS last_review",
-    f"{dbl('latitude')} AS latitude", f"{dbl('longitude')} AS longitude", "host_about",
-    f"{dbl('minimum_nights')} AS minimum_nights", "calendar_updated"]) + " FROM norm)")
+CASTS = {"id": big("id"), "price": money("price"), "first_review": date("first_review"),
+         "last_review": date("last_review"),
+         **{c: dbl(c) for c in ["beds", "bedrooms", "bathrooms", *SCORES, "latitude", "longitude", "minimum_nights"]}}
+MINIMAL = "minimal AS (SELECT " + ", ".join(f"{CASTS.get(c, c)} AS {c}" for c in TEXT_COLS) + " FROM norm)"
 
 # typed + repaired, empty column dropped
+REPAIRED = {
+    **CASTS,
+    **{c: f"nullif({dbl(c)}, 0.0)" for c in SCORES},
+    **{c: f"CASE {c} WHEN 't' THEN true WHEN 'f' THEN false END" for c in FLAGS},
+    "host_about": f"CASE WHEN regexp_matches(host_about, '{DIGITS}') THEN NULL ELSE host_about END",
+}
 TYPED = ("typed AS (SELECT " + ", ".join([
-    f"{big('id')} AS id", f"{money('price')} AS price", f"{dbl('beds')} AS beds",
-    f"nullif({dbl('review_scores_rating')}, 0.0) AS review_scores_rating",
-    f"{date('first_review')} AS first_review", f"{date('last_review')} AS last_review",
-    f"{dbl('latitude')} AS latitude", f"{dbl('longitude')} AS longitude",
-    f"CASE WHEN regexp_matches(host_about, '{DIGITS}') THEN NULL ELSE host_about END AS host_about",
-    f"{dbl('minimum_nights')} AS minimum_nights",
+    *[f"{REPAIRED[c]} AS {c}" for c in KEPT_COLS],
     f"{money('price')} IS NULL AS price_missing",
     f"{dbl('minimum_nights')} > 365 AS flag_minimum_nights_gt_365"]) + " FROM norm)")
 
@@ -64,16 +66,18 @@ _ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in TYPED_COLS if c != "id")
 DEDUP = ("ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY " + _ORDER + ") AS rn FROM typed), "
          "deduped AS (SELECT * EXCLUDE (rn) FROM ranked WHERE id IS NULL OR rn = 1)")
 
-REASONS = ("reasoned AS (SELECT *, concat_ws(',', "
-           "CASE WHEN id IS NULL THEN 'id_null_or_invalid' END, "
-           "CASE WHEN price <= 0 THEN 'price_not_positive' END, "
-           "CASE WHEN price > 10000 THEN 'price_too_high' END, "
-           "CASE WHEN beds > 20 THEN 'beds_too_high' END, "
-           "CASE WHEN review_scores_rating < 0 OR review_scores_rating > 5 "
-           "THEN 'review_scores_rating_out_of_range' END, "
-           "CASE WHEN first_review > last_review THEN 'first_review_after_last_review' END, "
-           "CASE WHEN NOT (latitude BETWEEN 48.7 AND 49.0 AND longitude BETWEEN 2.1 AND 2.6) "
-           "THEN 'coordinates_outside_box' END) AS reject_reason FROM deduped)")
+REASON_TEXT = "concat_ws(',', " + ", ".join([
+    "CASE WHEN id IS NULL THEN 'id_null_or_invalid' END",
+    "CASE WHEN price <= 0 THEN 'price_not_positive' END",
+    "CASE WHEN price > 10000 THEN 'price_too_high' END",
+    "CASE WHEN beds > 20 THEN 'beds_too_high' END",
+    "CASE WHEN bedrooms > 15 THEN 'bedrooms_too_high' END",
+    "CASE WHEN bathrooms > 10 THEN 'bathrooms_too_high' END",
+    *[f"CASE WHEN {c} < 0 OR {c} > 5 THEN '{c}_out_of_range' END" for c in SCORES],
+    "CASE WHEN first_review > last_review THEN 'first_review_after_last_review' END",
+    "CASE WHEN NOT (latitude BETWEEN 48.7 AND 49.0 AND longitude BETWEEN 2.1 AND 2.6) "
+    "THEN 'coordinates_outside_box' END"]) + ")"
+REASONS = f"reasoned AS (SELECT *, {REASON_TEXT} AS reject_reason FROM deduped)"
 
 CLEAN_CHAIN = [DIRTY, NORM, TYPED, DEDUP, REASONS]
 
@@ -101,14 +105,11 @@ ORACLES["quarantine_rejected_rows"] = clean_sql("SELECT * FROM reasoned WHERE re
 
 ORACLES["row_rules_reasons"] = clean_sql("SELECT * FROM reasoned")
 
-ORACLES["clean_metrics"] = clean_sql("""
+METRICS_BODY = """
 SELECT 'rows_in' AS metric, CAST(NULL AS VARCHAR) AS key, CAST(count(*) AS BIGINT) AS value FROM norm
-UNION ALL SELECT 'dropped_empty_columns', 'calendar_updated', 10
-UNION ALL SELECT 'values_lost_in_conversion', 'id',
-    CAST(count_if(id IS NOT NULL AND {id} IS NULL) AS BIGINT) FROM norm
-UNION ALL SELECT 'values_lost_in_conversion', 'price',
-    CAST(count_if(price IS NOT NULL AND {price} IS NULL) AS BIGINT) FROM norm
-UNION ALL SELECT 'score_zeros_set_to_null', NULL, CAST(count_if({score} = 0) AS BIGINT) FROM norm
+UNION ALL SELECT 'dropped_empty_columns', 'calendar_updated', 16
+UNION ALL {lost}
+UNION ALL SELECT 'score_zeros_set_to_null', NULL, CAST({zeros} AS BIGINT) FROM norm
 UNION ALL SELECT 'numeric_text_set_to_null', 'host_about',
     CAST(count_if(regexp_matches(host_about, '{digits}')) AS BIGINT) FROM norm
 UNION ALL SELECT 'rows_clean', NULL, CAST(count_if(reject_reason = '') AS BIGINT) FROM reasoned
@@ -118,7 +119,10 @@ UNION ALL SELECT 'duplicate_keys_removed', NULL,
 UNION ALL SELECT 'quarantine_reasons', reason, CAST(count(*) AS BIGINT) FROM
     (SELECT unnest(string_split(reject_reason, ',')) AS reason FROM reasoned WHERE reject_reason <> '')
     GROUP BY reason
-""".format(id=big("id"), price=money("price"), score=dbl("review_scores_rating"), digits=DIGITS))
+""".format(digits=DIGITS, zeros=" + ".join(f"count_if({dbl(c)} = 0)" for c in SCORES), lost=" UNION ALL ".join(
+    f"SELECT 'values_lost_in_conversion', '{c}', CAST(count_if({c} IS NOT NULL AND {x} IS NULL) AS BIGINT) FROM norm "
+    f"HAVING count_if({c} IS NOT NULL AND {x} IS NULL) > 0" for c, x in CASTS.items()))
+ORACLES["clean_metrics"] = clean_sql(METRICS_BODY)
 
 ORACLES["row_reconciliation"] = clean_sql("""
 SELECT rows_in, duplicates, rows_clean, rows_quarantined,
@@ -162,13 +166,9 @@ SELECT id AS raw_id, host_about AS host_about_text,
 
 ORACLES["threshold_flag"] = clean_sql("SELECT id, minimum_nights, flag_minimum_nights_gt_365 FROM typed")
 
-_CASTS = [("id", big("id")), ("price", money("price")), ("beds", dbl("beds")),
-          ("minimum_nights", dbl("minimum_nights")), ("latitude", dbl("latitude")),
-          ("longitude", dbl("longitude")), ("first_review", date("first_review")),
-          ("last_review", date("last_review")), ("review_scores_rating", dbl("review_scores_rating"))]
 ORACLES["conversion_loss"] = with_([DIRTY, NORM], " UNION ALL ".join(
     f"SELECT '{c}' AS column, CAST(count_if({c} IS NOT NULL AND {expr} IS NULL) AS BIGINT) AS lost FROM norm"
-    for c, expr in _CASTS))
+    for c, expr in CASTS.items()))
 
 ORACLES["minimal_typing_rows"] = with_([DIRTY, NORM, MINIMAL], "SELECT * FROM minimal")
 
@@ -205,7 +205,7 @@ LINEITEM_PROFILE = [("l_orderkey", "num"), ("l_partkey", "num"), ("l_suppkey", "
 DOCUMENTS_PROFILE = [("doc_id", "num"), ("text", "text"), ("lang", "text"), ("source", "text"), ("n_chars", "num")]
 
 ORACLES["profile_table"] = with_([DIRTY], """
-SELECT CAST(count(*) AS BIGINT) AS rows, 11 AS columns,
+SELECT CAST(count(*) AS BIGINT) AS rows, 17 AS columns,
        CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM dirty)) AS BIGINT) AS duplicate_rows,
        CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT id FROM dirty)) AS BIGINT) AS duplicate_keys
 FROM dirty""")
@@ -219,9 +219,12 @@ ORACLES["profile_lineitem_columns"] = profile_sql("lineitem", LINEITEM_PROFILE,
 
 ORACLES["profile_documents_columns"] = profile_sql("documents", DOCUMENTS_PROFILE)
 
-ORACLES["duplicate_rows_count"] = """
-SELECT CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS BIGINT)
-       AS duplicate_rows FROM lineitem"""
+ORACLES["duplicate_rows_count"] = with_([DIRTY, "twice AS (SELECT * FROM dirty UNION ALL SELECT * FROM dirty WHERE id LIKE '%7')"], """
+SELECT CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM twice)) AS BIGINT) AS duplicate_rows FROM twice""")
+
+ORACLES["profile_approx_distinct"] = with_([DIRTY], " UNION ALL ".join(
+    f"SELECT '{c}' AS column, CAST(count(DISTINCT {c}) AS BIGINT) AS distinct_exact, true AS within_error FROM dirty"
+    for c in TEXT_COLS))
 
 ORACLES["duplicate_keys_count"] = with_([DIRTY], """
 SELECT CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT id FROM dirty)) AS BIGINT) AS duplicate_keys FROM dirty""")
@@ -232,8 +235,6 @@ ORACLES["empty_columns"] = with_([DIRTY, NORM], " UNION ALL ".join(
 
 # --- exploration ---------------------------------------------------------------------------------
 
-PRICE_FORMAT = r"^\$[0-9,]+(\.[0-9]+)?$"
-
 ORACLES["explore_format_check"] = with_([DIRTY, f"""bad AS (SELECT price AS v FROM dirty
     WHERE NOT (price IS NULL OR trim(price) = '') AND NOT regexp_matches(price, '{PRICE_FORMAT}'))"""], """
 SELECT 'price' AS column, (SELECT CAST(count(*) AS BIGINT) FROM bad) AS bad_count,
@@ -244,8 +245,11 @@ ORACLES["explore_non_positive"] = with_([DIRTY], f"""
 SELECT CAST(count_if({money('price')} <= 0) AS BIGINT) AS non_positive FROM dirty""")
 
 ORACLES["explore_quantiles"] = with_([DIRTY], f"""
-SELECT unnest([0.01, 0.5, 0.99, 0.999]::DOUBLE[]) AS probability,
-       unnest(quantile_disc({money('price')}, [0.01, 0.5, 0.99, 0.999])) AS value FROM dirty""")
+SELECT unnest({list(PRICE_PROBS)}::DOUBLE[]) AS probability,
+       unnest(quantile_disc(CASE WHEN price = 'n/a' THEN 'infinity'::DOUBLE ELSE {money('price')} END, {list(PRICE_PROBS)}))
+       AS value FROM dirty""")
+
+ORACLES["explore_quantiles_approx"] = f"SELECT unnest({list(PRICE_PROBS)}::DOUBLE[]) AS probability, true AS within_error"
 
 ORACLES["explore_top_values"] = with_([DIRTY], f"""
 SELECT id, {money('price')} AS price_num FROM dirty
@@ -269,10 +273,9 @@ SELECT "column", 'p' || CAST(p AS VARCHAR) AS stat, q AS value, CAST(NULL AS VAR
     SELECT "column", unnest([0.5, 0.99, 0.999]::DOUBLE[]) AS p, unnest(quantile_disc(v, [0.5, 0.99, 0.999])) AS q
     FROM long GROUP BY "column")""")
 
-ORACLES["explore_score_ranges"] = with_([DIRTY], f"""
-SELECT 'review_scores_rating' AS column,
-       CAST(count_if({dbl('review_scores_rating')} < 0 OR {dbl('review_scores_rating')} > 5) AS BIGINT) AS out_of_range,
-       CAST(count_if({dbl('review_scores_rating')} = 0) AS BIGINT) AS zeros FROM dirty""")
+ORACLES["explore_score_ranges"] = with_([DIRTY], " UNION ALL ".join(f"""
+SELECT '{c}' AS column, CAST(count_if({dbl(c)} < 0 OR {dbl(c)} > 5) AS BIGINT) AS out_of_range,
+       CAST(count_if({dbl(c)} = 0) AS BIGINT) AS zeros FROM dirty""" for c in SCORES))
 
 ORACLES["explore_date_order"] = with_([DIRTY], f"""
 SELECT CAST(count_if({date('first_review')} > {date('last_review')}) AS BIGINT) AS inverted_pairs,
@@ -341,7 +344,9 @@ LISTING_SUITE = [
     ("price in ]0, 10000]", "between", "price", dict(low=0, high=10000, strict_low=True)),
     ("price present in at least 95 % of rows", "not_null", "price", dict(mostly=0.95)),
     ("beds in [0, 20]", "between", "beds", dict(low=0, high=20)),
-    (f"{SCORE} in ]0, 5]", "between", SCORE, dict(low=0, high=5, strict_low=True)),
+    ("bedrooms in [0, 15]", "between", "bedrooms", dict(low=0, high=15)),
+    ("bathrooms in [0, 10]", "between", "bathrooms", dict(low=0, high=10)),
+    *[(f"{c} in ]0, 5]", "between", c, dict(low=0, high=5, strict_low=True)) for c in sorted(SCORES)],
     ("last_review >= first_review", "pair_order", "last_review", dict(other="first_review")),
     ("latitude inside the box", "between", "latitude", dict(low=48.7, high=49.0)),
     ("longitude inside the box", "between", "longitude", dict(low=2.1, high=2.6)),
@@ -464,7 +469,7 @@ ASSIGN = [
 _LAT = dbl("latitude")
 CORRUPT = [
     "tagged AS (SELECT r.* EXCLUDE (k), a.error_type AS et FROM raw_k r LEFT JOIN assignments a ON r.k = a.id)",
-    "corrupted AS (SELECT "
+    "corrupted AS (SELECT * REPLACE ("
     f"CASE et WHEN 'price_x100' THEN '$' || format('{{:,.2f}}', {money('price')} * 100) "
     "WHEN 'price_negative' THEN '$-' || regexp_replace(price, '^\\$', '') ELSE price END AS price, "
     f"CASE WHEN et = 'beds_extra_digit' THEN CAST(CAST(trunc({dbl('beds')}) AS INTEGER) AS VARCHAR) || '3' "
@@ -474,8 +479,7 @@ CORRUPT = [
     "CASE WHEN et = 'dates_swapped' THEN first_review ELSE last_review END AS last_review, "
     f"CASE et WHEN 'gps_far_shift' THEN CAST({_LAT} + 5.0 AS VARCHAR) "
     f"WHEN 'gps_small_shift' THEN CAST({_LAT} + 0.05 AS VARCHAR) ELSE latitude END AS latitude, "
-    "longitude, CASE WHEN et = 'host_about_phone' THEN '0612345678' ELSE host_about END AS host_about, "
-    "id, minimum_nights, calendar_updated, et FROM tagged)",
+    "CASE WHEN et = 'host_about_phone' THEN '0612345678' ELSE host_about END AS host_about) FROM tagged)",
     "corrupted_all AS (SELECT * EXCLUDE (et) FROM corrupted UNION ALL "
     "SELECT * EXCLUDE (et) FROM corrupted WHERE et = 'duplicate_rows')",
 ]
@@ -491,6 +495,10 @@ SELECT id, key_text, h FROM (SELECT DISTINCT {RAW_KEY} AS id FROM dirty) q,
     LATERAL (SELECT CAST(q.id AS VARCHAR) AS key_text, md5(CAST(q.id AS VARCHAR) || ':{SEED}') AS h)
 WHERE id IS NOT NULL ORDER BY h, id LIMIT {N_INJ}""")
 
+ORACLES["seeded_sample_xxhash"] = with_([DIRTY], f"""
+SELECT least({N_INJ}, count(DISTINCT {RAW_KEY})) AS sampled, true AS all_distinct, true AS smallest, true AS repeatable
+FROM dirty""")
+
 ORACLES["inject_assignments"] = with_(CLEAN_CHAIN + ASSIGN, "SELECT * FROM assignments")
 
 _TYPE_COLS = {"price_x100": ["price"], "price_negative": ["price"], "beds_extra_digit": ["beds"],
@@ -505,6 +513,11 @@ ORACLES["inject_duplicate_rows"] = with_(INJECT_CHAIN, f"""
 SELECT {RAW_KEY} AS key, CAST(count(*) AS BIGINT) AS copies FROM corrupted_all
 WHERE {RAW_KEY} IN (SELECT id FROM assignments WHERE error_type = 'duplicate_rows') GROUP BY 1""")
 
+_OTHER = {"id": "listing_id", "price": "cost", "beds": "places", "review_scores_rating": "review_scores_total",
+          "first_review": "opened", "last_review": "seen", "latitude": "north", "longitude": "east", "host_about": "about"}
+ORACLES["inject_other_key"] = with_(INJECT_CHAIN, "SELECT " + ", ".join(
+    f"{c} AS {_OTHER.get(c, c)}" for c in TEXT_COLS) + " FROM corrupted_all")
+
 ORACLES["inject_all"] = with_(INJECT_CHAIN, "SELECT * FROM corrupted_all")
 
 _REGISTRY = """registry AS (SELECT * FROM (VALUES
@@ -557,6 +570,18 @@ ORACLES["stage_raw"] = ORACLES["scan_csv_roundtrip"]
 ORACLES["clean_output_parquet"] = ORACLES["quarantine_clean_rows"]
 ORACLES["quarantine_output_parquet"] = ORACLES["quarantine_rejected_rows"]
 ORACLES["clean_metrics_json"] = ORACLES["clean_metrics"]
+_MISSING = " UNION ALL ".join(
+    f"SELECT {i} AS ordinal, '{c}' AS c, CAST(count_if({c} IS NULL OR trim({c}) = '') AS BIGINT) AS missing_count, "
+    f"round(100.0 * count_if({c} IS NULL OR trim({c}) = '') / count(*), 2) AS pct FROM dirty" for i, c in enumerate(TEXT_COLS))
+ORACLES["profile_report_csv"] = with_([DIRTY], f"""
+SELECT row_number() OVER (ORDER BY pct DESC, ordinal) - 1 AS place, c AS "column", missing_count FROM ({_MISSING})""")
+ORACLES["validation_report_json"] = ORACLES["validate_status_text"]
+ORACLES["recall_report_json"] = ORACLES["detection_recall"]
+ORACLES["pipeline_run"] = with_(_BEFORE_AFTER_CTES, f"""
+SELECT * FROM ({METRICS_BODY})
+UNION ALL SELECT 'missing', c, missing_count FROM ({_MISSING} UNION ALL SELECT 99, 'note', 0, 0.0)
+UNION ALL SELECT 'rules_passed', 'before', CAST(count_if(success) AS BIGINT) FROM b
+UNION ALL SELECT 'rules_passed', 'after', CAST(count_if(success) AS BIGINT) FROM a""")
 
 # --- offending rows --------------------------------------------------------------------------------
 
@@ -573,24 +598,14 @@ SELECT * FROM minimal WHERE NOT (last_review >= first_review)""")
 
 _STREAM_TYPED = TYPED.replace("typed AS (SELECT ", "stream_typed AS (SELECT ").replace(
     " FROM norm)", ", calendar_updated FROM norm)")
-ORACLES["stream_row_rules"] = with_([DIRTY, NORM, _STREAM_TYPED], """
-SELECT * EXCLUDE (reject_reason), reject_reason, reject_reason <> '' AS quarantined FROM (
-  SELECT *, concat_ws(',',
-    CASE WHEN id IS NULL THEN 'id_null_or_invalid' END,
-    CASE WHEN price <= 0 THEN 'price_not_positive' END,
-    CASE WHEN price > 10000 THEN 'price_too_high' END,
-    CASE WHEN beds > 20 THEN 'beds_too_high' END,
-    CASE WHEN review_scores_rating < 0 OR review_scores_rating > 5 THEN 'review_scores_rating_out_of_range' END,
-    CASE WHEN first_review > last_review THEN 'first_review_after_last_review' END,
-    CASE WHEN NOT (latitude BETWEEN 48.7 AND 49.0 AND longitude BETWEEN 2.1 AND 2.6)
-         THEN 'coordinates_outside_box' END) AS reject_reason
-  FROM stream_typed)""")
+ORACLES["stream_row_rules"] = with_([DIRTY, NORM, _STREAM_TYPED], f"""
+SELECT *, reject_reason <> '' AS quarantined FROM (SELECT *, {REASON_TEXT} AS reject_reason FROM stream_typed)""")
 
 
 # --- rules configured for line items --------------------------------------------------------------
 
 LINE_ITEMS = """line_items AS (SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, l.l_discount, l.l_returnflag,
-    l.l_shipdate, o.o_orderdate FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+    l.l_shipdate, o.o_orderdate FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 ORACLES["line_item_reason_counts"] = with_([LINE_ITEMS], """
 SELECT reason, CAST(count(*) AS BIGINT) AS n FROM (
   SELECT unnest([CASE WHEN l_quantity > 50 THEN 'l_quantity_too_high' END,
@@ -601,7 +616,7 @@ ORACLES["line_item_suite"] = suite_sql("line_items", [
     ("l_quantity in [1, 50]", "between", "l_quantity", dict(low=1, high=50)),
     ("l_discount in [0, 0.1]", "between", "l_discount", dict(low=0, high=0.1)),
     ("l_shipdate >= o_orderdate", "pair_order", "l_shipdate", dict(other="o_orderdate")),
-    ("l_returnflag not null", "not_null", "l_returnflag")])
+    ("l_returnflag not null", "not_null", "l_returnflag"), ("the order exists", "not_null", "o_orderdate")])
 ORACLES["line_item_suite"] = with_([LINE_ITEMS], ORACLES["line_item_suite"])
 
 
@@ -613,7 +628,7 @@ ORACLES["profile_events_columns"] = profile_sql("events", [
 ORACLES["profile_conversations_columns"] = profile_sql("conversations", [
     ("conv_id", "num"), ("turn", "num"), ("role", "text"), ("text", "text")])
 ORACLES["profile_pages_columns"] = profile_sql("pages", [("page_id", "num"), ("url", "text"), ("html", "text")])
-ORACLES["profile_embeddings_columns"] = profile_sql("embeddings", [("vec_id", "num", 0), ("label", "num", 2)],
+ORACLES["profile_embeddings_columns"] = profile_sql("embeddings", [("vec_id", "num"), ("embedding", "other"), ("label", "num")],
                                                     exact_distinct=True)
 
 ORACLES["validate_documents"] = suite_sql("documents", [

@@ -2,10 +2,12 @@
 
 import contextlib
 import io
+import re
 
 from tq.config import LISTINGS, InjectionConfig
 from tq.operators import explore as X
 from tq.operators.clean import clean
+from tq.operators.dedup import dedup_by_key
 from tq.operators.inject import corrupt, eligibility, error_types, usable_types
 from tq.operators.profile import profile
 from tq.plans.experiment import run_experiment
@@ -21,9 +23,14 @@ def plan(df) -> str:
     return buf.getvalue()
 
 
-def test_dedup_is_a_partial_aggregate_not_a_window(spark):
-    p = plan(clean(dirty(spark, SF_SMALL), LISTINGS).reasoned)
-    assert "partial_min" in p and "Window" not in p
+def test_dedup_sorts_no_row_of_an_unrepeated_key(spark):
+    """The survivor aggregate (which sorts) stands only above the semi join with the repeated keys."""
+    p = plan(dedup_by_key(dirty(spark, SF_SMALL), "id"))
+    assert "Window" not in p
+    branches = re.split(r"\n(?=   [:+]- )", p)
+    single = [b for b in branches if "LeftAnti" in b]
+    assert len(single) == 1 and "SortAggregate" not in single[0]
+    assert all("LeftSemi" in b for b in branches if "SortAggregate" in b)
 
 
 def test_profile_is_one_aggregate(spark):

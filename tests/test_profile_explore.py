@@ -29,10 +29,11 @@ def test_profile_semantics(spark):
     assert got["id"]["distinct_exact"] == 3 and got["id"]["distinct_approx"] == 3
 
 
-def test_profile_skips_nested_and_handles_typed_columns(spark):
+def test_profile_has_a_row_for_typed_and_nested_columns(spark):
     df = spark.createDataFrame([(1, [1.0], 2.5), (None, None, None)], "k bigint, v array<double>, x double")
     got = {r["column"]: r for r in profile(df).collect()}
-    assert set(got) == {"k", "x"}
+    assert set(got) == {"k", "v", "x"}
+    assert got["v"]["missing_count"] == 1 and got["v"]["numeric_max"] is None
     assert got["k"]["missing_count"] == 1 and got["x"]["numeric_max"] == 2.5 and got["k"]["sample_value"] is None
 
 
@@ -99,3 +100,40 @@ def test_explore_all_builds_every_check_present(spark):
     assert set(checks) == {"format_check", "non_positive", "quantiles", "top_values", "extremes", "score_ranges",
                            "date_order", "outside_box", "numeric_text_host_about"}
     assert checks["top_values"].count() == 5
+
+
+def test_quantiles_with_infinite_and_undefined_values(spark):
+    import math
+    import random
+
+    from tq.operators.quantiles import exact_quantile_values, exact_quantiles_of
+
+    r = random.Random(9)
+    inf, nan = math.inf, math.nan
+    columns = [[1.0, 2.0, inf], [-inf, -inf, 3.0, nan], [inf], [nan], [None, None], [5e-324, 0.0, -0.0, 1.7e308, -1.7e308],
+               [r.choice([inf, -inf, nan, r.gauss(0, 1e6), r.gauss(0, 1), 7.0]) for _ in range(500)], [2.0**53 + i for i in range(50)]]
+    probs = [0.0, 0.01, 0.3, 0.5, 0.9, 0.999, 1.0]
+    for values in columns:
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        ranked = sorted((v for v in values if v is not None), key=lambda v: (math.isnan(v), v if not math.isnan(v) else 0))
+        got = exact_quantile_values(df, "v", probs, buckets=8, accuracy=50)
+        for p in probs:
+            want = ranked[max(1, math.ceil(p * len(ranked))) - 1] if ranked else None
+            assert got[p] == want or (want is not None and math.isnan(want) and math.isnan(got[p])), (values[:5], p)
+    two = spark.createDataFrame([(float(i), float(-i)) for i in range(101)], "a double, b double")
+    assert exact_quantiles_of(two, {"a": [0.5], "b": [0.25, 1.0]}) == {"a": {0.5: 50.0}, "b": {0.25: -75.0, 1.0: 0.0}}
+
+
+def test_profile_and_duplicates_cover_every_type(spark):
+    from tq.operators.profile import duplicate_rows, profile, table_summary
+
+    schema = "a array<int>, m map<string,array<map<int,int>>>, s struct<x:int,y:map<string,int>>, b binary, t string"
+    row = ([1], {"k": [{1: 2, 3: 4}], "l": None}, (1, {"p": 1, "q": 2}), b"x", "t")
+    turned = ([1], {"l": None, "k": [{3: 4, 1: 2}]}, (1, {"q": 2, "p": 1}), b"x", "t")   # the same maps in another order
+    other = ([1], {"k": [{1: 2, 3: 5}], "l": None}, (1, {"p": 1, "q": 2}), b"x", "t")    # differs inside a map only
+    df = spark.createDataFrame([row, turned, other, (None, None, None, None, " ")], schema)
+    assert duplicate_rows(df).first()[0] == table_summary(df).first()["duplicate_rows"] == 1
+    got = {r["column"]: r for r in profile(df, exact_distinct=True).collect()}
+    assert [got[c]["missing_count"] for c in "amsbt"] == [1, 1, 1, 1, 1]
+    assert [got[c]["distinct_exact"] for c in "amsbt"] == [1, 2, 1, 1, 2]
+    assert all(got[c]["distinct_approx"] >= 1 for c in "amsbt")

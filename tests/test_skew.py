@@ -27,7 +27,7 @@ def test_identical_null_key_copies_are_all_kept(spark):
     r = clean(df, LISTINGS)
     log = r.log()
     assert log["rows_quarantined"] == 9000 and log["rows_clean"] == 18000
-    assert log["duplicate_ids_removed"] == 0
+    assert log["duplicate_keys_removed"] == 0
 
 
 def test_hot_value_uniqueness(spark):

@@ -7,7 +7,7 @@ names.  ``LISTINGS`` is the preset for wide, all-text listing tables.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -59,6 +59,8 @@ class QualityConfig:
     score_prefix: str | None = None
     score_range: tuple[float, float] = (0.0, 5.0)
     score_zero_is_missing: bool = True
+    # the score that error injection raises above the range
+    main_score: str | None = None
     digit_only_text: tuple[str, ...] = ()
     digit_only_pattern: str = r"^[0-9\s.,+-]+$"
     # price column checked for ``<= 0`` and ``> max_price``; flagged when missing
@@ -126,6 +128,7 @@ LISTINGS = QualityConfig(
     score_prefix="review_scores_",
     score_range=(0.0, 5.0),
     score_zero_is_missing=True,
+    main_score="review_scores_rating",
     digit_only_text=("host_about",),
     digit_only_pattern=LISTING_DIGIT_ONLY_PATTERN,
     price="price",
@@ -154,4 +157,8 @@ class InjectionConfig:
     # buckets merged per stage of the ranking tree
     fanout: int = 64
     types: tuple[str, ...] | None = None  # None = every registered type, registry order
-    extra: dict = field(default_factory=dict)
+    # first hash threshold of a type: ``oversample * n * t + slack`` expected keys (widened if it keeps too few)
+    oversample: float = 2.0
+    slack: int = 1000
+    # the greedy chain runs in one task over ``n * T * (T + 1) / 2`` keys at most; beyond this many it is refused
+    max_candidates: int = 5_000_000

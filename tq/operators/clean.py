@@ -6,18 +6,18 @@ Plan per run (independent of the number of columns and rules):
    row): row count, non-null count per column (fully empty columns),
    conversion losses, score zeros and digit-only texts — every count the log
    needs before values are changed;
-2. one lazy plan: typed/repaired projection -> dedup (one shuffle, combined
-   map-side) -> reasons column.  ``clean`` and ``rejected`` are two filters of
+2. one lazy plan: typed/repaired projection -> dedup (only repeated keys are
+   grouped) -> reasons column.  ``clean`` and ``rejected`` are two filters of
    it; ``save()`` writes it once, partitioned by the quarantine flag, so both
    outputs come from a single pass;
-3. metrics: the pre-pass values plus one grouped count over the reasoned rows.
+3. metrics: the pre-pass values plus one aggregate over the reasoned rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -73,14 +73,29 @@ class CleanResult:
             else self.reasoned.filter(F.size(REASONS) > 0)
         return rows.withColumn(REASON_TEXT, reason_text(REASONS)).drop(REASONS)
 
+    @property
+    def _rules(self) -> list[str]:
+        """Every reason that the row rules can give, in rule order (known when planning)."""
+        return [r.reason for r in row_rules(self.config, self.reasoned.columns)]
+
+    def _counts(self) -> DataFrame:
+        """One wide row: rows kept, clean rows, and rows per reason (``r<i>``): one aggregate, no shuffle of rows."""
+        return self.reasoned.agg(
+            F.count(F.lit(1)).alias("kept"), count_if(F.size(REASONS) == 0).alias("clean"),
+            *[count_if(F.array_contains(REASONS, r)).alias(f"r{i}") for i, r in enumerate(self._rules)])
+
+    def _reason_items(self):
+        return [F.struct(F.lit(r).alias("reason"), F.col(f"r{i}").alias("n")) for i, r in enumerate(self._rules)]
+
     def reason_counts(self) -> DataFrame:
-        """``(reason, n)``: one row per reason; a row with two reasons counts in both."""
-        return (self.reasoned.select(F.explode(REASONS).alias("reason"))
-                .groupBy("reason").agg(F.count(F.lit(1)).alias("n")))
+        """``(reason, n)``: one row per reason that occurs; a row with two reasons counts in both."""
+        items = self._reason_items()
+        if not items:
+            return self.reasoned.sparkSession.createDataFrame([], "reason string, n bigint")
+        return self._counts().select(F.inline(F.array(*items))).filter(F.col("n") > 0)
 
     def metrics(self) -> DataFrame:
-        """Long log ``(metric, key, value)``: pre-pass counts plus one pass over the reasoned rows."""
-        spark = self.reasoned.sparkSession
+        """Long log ``(metric, key, value)``: pre-pass counts plus one aggregate over the reasoned rows."""
         p = self.prepass
         rows = [("rows_in", None, p.rows_in)]
         # value = position of the dropped column in the input schema
@@ -88,26 +103,21 @@ class CleanResult:
         rows += [("values_lost_in_conversion", c, n) for c, n in p.lost.items() if n]
         rows += [("score_zeros_set_to_null", None, p.score_zeros)]
         rows += [("numeric_text_set_to_null", c, n) for c, n in p.digit_only.items()]
-        fixed = spark.createDataFrame(rows, METRICS_SCHEMA)
-        # one pass: every row emits its status and a kept-row item, quarantined rows also their reasons
-        status = F.when(F.size(REASONS) == 0, F.lit("rows_clean")).otherwise(F.lit("rows_quarantined"))
-        none = F.lit(None).cast("string")
-        items = F.concat(
-            F.array(F.struct(status.alias("metric"), none.alias("key")),
-                    F.struct(F.lit(DUPLICATES).alias("metric"), none.alias("key"))),
-            F.transform(REASONS, lambda r: F.struct(F.lit("quarantine_reasons").alias("metric"), r.alias("key"))))
-        counted = (self.reasoned.select(F.explode(items).alias("i"))
-                   .groupBy(F.col("i.metric").alias("metric"), F.col("i.key").alias("key"))
-                   .agg(F.count(F.lit(1)).alias("value")))
-        # statuses that never occur still get a row; duplicates removed = rows_in - rows kept
-        zeros = spark.createDataFrame([("rows_clean", None, 0), ("rows_quarantined", None, 0), (DUPLICATES, None, 0)],
-                                      METRICS_SCHEMA)
-        totals = counted.unionByName(zeros).groupBy("metric", "key").agg(F.sum("value").cast("bigint").alias("value"))
-        value = F.when(F.col("metric") == DUPLICATES, F.lit(p.rows_in) - F.col("value")).otherwise(F.col("value"))
-        return fixed.unionByName(totals.select("metric", "key", value.cast("bigint").alias("value")))
+        fixed = self.reasoned.sparkSession.createDataFrame(rows, METRICS_SCHEMA)
+
+        def item(metric, key, value):
+            return F.struct(F.lit(metric).alias("metric"), F.lit(key).cast("string").alias("key"),
+                            value.cast("bigint").alias("value"))
+
+        items = [item("rows_clean", None, F.col("clean")),
+                 item("rows_quarantined", None, F.col("kept") - F.col("clean")),
+                 item(DUPLICATES, None, F.lit(p.rows_in) - F.col("kept"))]
+        items += [item("quarantine_reasons", r, F.col(f"r{i}")) for i, r in enumerate(self._rules)]
+        counted = self._counts().select(F.inline(F.array(*items)))
+        return fixed.unionByName(counted.filter((F.col("metric") != "quarantine_reasons") | (F.col("value") > 0)))
 
     def log(self) -> dict:
-        """The cleaning log as a small dict (same keys as the classic JSON log)."""
+        """The cleaning log as a small dict, one entry per metric."""
         p = self.prepass
         m = {(r["metric"], r["key"]): r["value"] for r in self.metrics().collect()}
         reasons = {k: v for (metric, k), v in m.items() if metric == "quarantine_reasons"}
@@ -115,9 +125,9 @@ class CleanResult:
             "rows_in": p.rows_in,
             "dropped_empty_columns": list(p.empty_columns),
             "values_lost_in_conversion": {c: n for c, n in p.lost.items() if n},
-            "review_score_zeros_set_to_null": p.score_zeros,
-            "host_about_numeric_set_to_null": sum(p.digit_only.values()),
-            "duplicate_ids_removed": m[(DUPLICATES, None)],
+            "score_zeros_set_to_null": p.score_zeros,
+            "numeric_text_set_to_null": dict(p.digit_only),
+            "duplicate_keys_removed": m[(DUPLICATES, None)],
             "rows_clean": m[("rows_clean", None)],
             "rows_quarantined": m[("rows_quarantined", None)],
             "quarantine_reasons": reasons,
@@ -131,7 +141,7 @@ class CleanResult:
         """
         out = self.reasoned.withColumn(QUARANTINED, F.size(REASONS) > 0)
         out.write.mode(mode).partitionBy(QUARANTINED).parquet(path)
-        reread = read_partitioned(self.reasoned.sparkSession, path, QUARANTINED)
+        reread = read_partitioned(self.reasoned.sparkSession, path, QUARANTINED, out.schema)
         return CleanResult(reread.select(*self.reasoned.columns, QUARANTINED), self.prepass, self.config)
 
 
@@ -177,14 +187,6 @@ def clean(df: DataFrame, config: QualityConfig = LISTINGS) -> CleanResult:
     kept = norm.drop(*prepass.empty_columns) if prepass.empty_columns else norm
     typed = typed_projection(kept, config, repair=True)
     if config.key and config.key in typed.columns:
-        k = config.key
-        # blank or absent keys plus keys that failed the cast: when there is none, dedup needs one branch only
-        null_keys = (prepass.rows_in - prepass.non_null.get(k, 0)) + prepass.lost.get(k, 0) \
-            if k in prepass.non_null else None
-        typed = dedup_by_key(typed, k, null_keys=null_keys)
+        typed = dedup_by_key(typed, config.key)
     reasoned = typed.withColumn(REASONS, reasons_column(row_rules(config, typed.columns)))
     return CleanResult(reasoned, prepass, config)
-
-
-def empty_metrics(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], METRICS_SCHEMA)

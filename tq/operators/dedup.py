@@ -3,16 +3,21 @@
 Survivor of a key = the row that is smallest on all other columns (schema
 order, NULL first, NaN last) — the same row a
 ``row_number() OVER (PARTITION BY key ORDER BY <others> NULLS FIRST) = 1``
-would keep.  It is computed as ``min(struct(<others>))`` per key instead of a
-window: an aggregate is combined map-side before the shuffle, so a key that
-holds a third of the table still reaches the reducer as one partial row per
-map task, while a window would sort that whole key in one task.
-
-Rows with a NULL key are never merged (they are invalid and go to quarantine).
-They bypass the shuffle in a second, filter-only branch of the same plan; when
-the caller knows there is none (the cleaning pre-pass counts them), that branch
-is left out.  Everything is deterministic, so a task re-run after an executor
-loss produces exactly the same rows.
+would keep.  Keys are nearly always unique, so the whole rows are not grouped:
+
+1. a hash aggregate over the key column alone finds the repeated keys;
+2. rows of all other keys pass through an anti join with them, unsorted where
+   the repeated keys are few enough for Spark to broadcast them (decided at run
+   time from their size; otherwise it plans a shuffle join);
+3. only rows of repeated keys reach the survivor aggregate, ``min(struct(<others>))``
+   per key, which is combined map-side: a key that holds a third of the table
+   reaches the reducer as one partial row per map task.
+
+Rows with a NULL key are never merged (they are invalid and go to quarantine);
+a filter-only branch keeps them out of the joins.  Everything is deterministic,
+so a task re-run after an executor loss produces exactly the same rows.  The
+input is read once per branch and must not change in between: stage volatile
+sources (JDBC, files being overwritten) to Parquet first.
 """
 
 from __future__ import annotations
@@ -25,11 +30,16 @@ from tq.functions.columns import col
 _SURVIVOR = "__tq_survivor"
 
 
-def dedup_by_key(df: DataFrame, key: str, order: list[str] | None = None, null_keys: int | None = None) -> DataFrame:
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """The non-null keys that occur more than once (one column, ``key``)."""
+    return (df.filter(col(key).isNotNull()).groupBy(col(key)).agg(F.count(F.lit(1)).alias("__n"))
+            .filter(F.col("__n") > 1).drop("__n"))
+
+
+def dedup_by_key(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """Keep one row per non-null ``key``; keep every row whose key is NULL.
 
     ``order``: columns that decide the survivor (default: all others, schema order).
-    ``null_keys``: number of NULL keys when known (0 skips the NULL branch).
     """
     if key not in df.columns:
         return df
@@ -38,16 +48,16 @@ def dedup_by_key(df: DataFrame, key: str, order: list[str] | None = None, null_k
     order = list(order) if order else others
     rest = [c for c in others if c not in order]
     with_key = df.filter(col(key).isNotNull())
-    if others:
-        packed = F.struct(*[col(c).alias(f"f{i}") for i, c in enumerate(order + rest)])
-        grouped = with_key.groupBy(col(key)).agg(F.min(packed).alias(_SURVIVOR))
-        fields = {c: F.col(f"{_SURVIVOR}.f{i}").alias(c) for i, c in enumerate(order + rest)}
-        survivors = grouped.select([col(key) if c == key else fields[c] for c in columns])
-    else:
-        survivors = with_key.select(col(key)).distinct()
-    if null_keys == 0:
-        return survivors
-    return survivors.unionByName(df.filter(col(key).isNull()))
+    without_key = df.filter(col(key).isNull())
+    if not others:
+        return with_key.distinct().unionByName(without_key)
+    repeated = repeated_keys(df, key)
+    single = with_key.join(repeated, key, "left_anti").select([col(c) for c in columns])
+    packed = F.struct(*[col(c).alias(f"f{i}") for i, c in enumerate(order + rest)])
+    grouped = with_key.join(repeated, key, "left_semi").groupBy(col(key)).agg(F.min(packed).alias(_SURVIVOR))
+    fields = {c: F.col(f"{_SURVIVOR}.f{i}").alias(c) for i, c in enumerate(order + rest)}
+    survivors = grouped.select([col(key) if c == key else fields[c] for c in columns])
+    return single.unionByName(survivors).unionByName(without_key)
 
 
 def duplicate_count(df: DataFrame, key: str) -> DataFrame:

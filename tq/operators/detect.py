@@ -36,21 +36,20 @@ def recall(after: CleanResult, assignments: DataFrame, types: list[ErrorType], k
     """
     spark = assignments.sparkSession
     registry = spark.createDataFrame(
-        [(t.name, t.description, t.detection, t.reason or None, t.column or None, i) for i, t in enumerate(types)],
-        "error_type string, description string, detection string, reason string, target string, ordinal int")
+        [(t.name, t.description, *t.trace, i) for i, t in enumerate(types)],
+        "error_type string, description string, detection string, target string, ordinal int")
+    nullable = {t.trace[1] for t in types if t.trace[0] == "null"}
     rows = after.reasoned.select(F.col(key).alias("__k"), F.col(REASONS).alias("__r"),
-                                 *[F.col(t.column).isNull().alias(f"__null_{t.column}")
-                                   for t in types if t.detection == "nullified"])
+                                 *[F.col(c).isNull().alias(f"__null_{c}") for c in sorted(nullable)])
     a = assignments.select(F.col(key).alias("__k"), F.col(ERROR_TYPE).alias(ERROR_TYPE))
     # the big side is first cut to the injected keys by a broadcast semi join (assignments: n per type)
     rows = rows.join(bounded_broadcast(a.select("__k"), max_assigned), "__k", "left_semi")
     a = a.join(bounded_broadcast(registry, len(types)), ERROR_TYPE)
     nulled = F.lit(False)
-    for t in types:
-        if t.detection == "nullified":
-            nulled = F.when(F.col("target") == t.column, F.col(f"__null_{t.column}")).otherwise(nulled)
-    hit = (F.when(F.col("detection") == "quarantine", F.coalesce(F.array_contains("__r", F.col("reason")), F.lit(False)))
-           .when(F.col("detection") == "nullified", (F.size("__r") == 0) & F.coalesce(nulled, F.lit(False)))
+    for c in sorted(nullable):
+        nulled = F.when(F.col("target") == c, F.col(f"__null_{c}")).otherwise(nulled)
+    hit = (F.when(F.col("detection") == "reason", F.coalesce(F.array_contains("__r", F.col("target")), F.lit(False)))
+           .when(F.col("detection") == "null", (F.size("__r") == 0) & F.coalesce(nulled, F.lit(False)))
            .otherwise(F.lit(False)))
     # rows of ``after`` are unique per non-null key (dedup), so a left join keeps one row per injected key
     per_type = (a.join(rows, "__k", "left")
@@ -58,7 +57,7 @@ def recall(after: CleanResult, assignments: DataFrame, types: list[ErrorType], k
                 .agg(F.count(F.lit(1)).alias("injected"), count_if(hit).alias("detected")))
     # duplicated rows are credited by the growth of removed duplicates over the baseline run;
     # the one-row growth is unioned in and folded per type (no join on a constant)
-    dup_names = [t.name for t in types if t.detection == "duplicates"]
+    dup_names = [t.name for t in types if t.trace[0] == "removal"]
     if dup_names:
         extra = side_by_side(duplicates_removed(after, "dups_after"), duplicates_removed(baseline, "dups_before"))
         growth = extra.select(F.explode(F.array(*[F.lit(n) for n in dup_names])).alias(ERROR_TYPE),
@@ -67,7 +66,7 @@ def recall(after: CleanResult, assignments: DataFrame, types: list[ErrorType], k
             *[F.max(c).alias(c) for c in ("description", "detection", "ordinal", "injected", "detected", "growth")])
     else:
         per_type = per_type.withColumn("growth", F.lit(None).cast("bigint"))
-    detected = F.when(F.col("detection") == "duplicates", F.least(F.col("injected"), F.col("growth"))) \
+    detected = F.when(F.col("detection") == "removal", F.least(F.col("injected"), F.col("growth"))) \
         .otherwise(F.col("detected")).cast("bigint")
     return per_type.select(ERROR_TYPE, "description", F.col("injected").cast("bigint").alias("injected"),
                            detected.alias("detected"), "ordinal") \

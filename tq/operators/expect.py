@@ -27,10 +27,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tq.config import LISTING_COMPLETENESS, QualityConfig
 from tq.functions.columns import col, count_if, pct
 from tq.functions.frames import side_by_side
+from tq.session import materialize
 
 RESULT_COLUMNS = ["ordinal", "rule", "expectation", "column", "success", "unexpected_count",
                   "unexpected_percent", "checked_rows"]
@@ -48,9 +50,6 @@ class Expectation:
     def requires(self) -> frozenset[str]:
         return frozenset([self.column])
 
-    def unexpected(self) -> Column:
-        raise NotImplementedError
-
     def denominator(self) -> Column:
         return col(self.column).isNotNull()
 
@@ -72,11 +71,19 @@ class Unique(Expectation):
     grouped = True
 
     def grouped_counts(self, df: DataFrame) -> DataFrame:
-        """One row ``(u, d)``: rows in repeated values, non-null rows."""
-        per_value = df.filter(col(self.column).isNotNull()).groupBy(col(self.column)) \
-            .agg(F.count(F.lit(1)).alias("n"))
-        return per_value.agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("bigint").alias("u"),
-                             F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("d"))
+        """One row ``(u, d)``: rows in repeated values, non-null rows.
+
+        Texts are counted by a 128-bit digest first; only those whose digest repeats are grouped themselves.
+        """
+        values = df.select(col(self.column).alias("v")).filter(F.col("v").isNotNull())
+        repeated = F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("bigint").alias("u")
+        total = F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("d")
+        if not isinstance(values.schema["v"].dataType, StringType):
+            return values.groupBy("v").agg(F.count(F.lit(1)).alias("n")).agg(repeated, total)
+        digest = values.select("v", F.xxhash64(F.lit(1), "v").alias("a"), F.xxhash64(F.lit(2), "v").alias("b"))
+        per_digest = digest.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+        again = digest.join(per_digest.filter(F.col("n") > 1).select("a", "b"), ["a", "b"], "left_semi")
+        return side_by_side(again.groupBy("v").agg(F.count(F.lit(1)).alias("n")).agg(repeated), per_digest.agg(total))
 
 
 @dataclass(frozen=True)
@@ -210,18 +217,6 @@ def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return _results(_counts(df, rules), rules)
 
 
-def summary(df: DataFrame, rules: list[Rule], side: str | None = None) -> DataFrame:
-    """One row: ``rows, columns, fully_empty_columns, rules_passed, rules_total`` (one shared scan)."""
-    wide = _counts(df, rules, presence=True)
-    empty = reduce(lambda a, b: a + b, [F.when(F.col(f"nn{j}") == 0, 1).otherwise(0) for j in range(len(df.columns))],
-                   F.lit(0))
-    passed = _results(wide, rules).agg(count_if(F.col("success")).alias("rules_passed"))
-    base = wide.select(F.col("rows").cast("bigint").alias("rows"), F.lit(len(df.columns)).alias("columns"),
-                       empty.cast("int").alias("fully_empty_columns"))
-    out = side_by_side(base, passed).withColumn("rules_total", F.lit(len(rules)))
-    return out.select(F.lit(side).alias("side"), *out.columns) if side else out
-
-
 def status_text(success: Column, count: Column, percent: Column) -> Column:
     """``PASS`` / ``FAIL``, followed by ``(n rows, p %)`` when some rows are unexpected."""
     status = F.when(success, F.lit("PASS")).otherwise(F.lit("FAIL"))
@@ -281,25 +276,31 @@ class Validation:
 
 
 def validate(before: DataFrame, after: DataFrame, config: QualityConfig,
-             completeness: float | None = LISTING_COMPLETENESS) -> Validation:
-    """Rules on the columns both tables have; one scan (plus one per uniqueness rule) per side."""
+             completeness: float | None = LISTING_COMPLETENESS, cache: bool = True) -> Validation:
+    """Rules on the columns both tables have; one scan (plus one per uniqueness rule) per side.
+
+    With ``cache``, each side's one-row counts are kept for several reports; call ``release()`` after the last.
+    """
     common = [c for c in before.columns if c in set(after.columns)]
     rules = build_rules(common, config, completeness)
-    # one row each: caching it keeps comparison and summary from scanning the tables again
-    b = _counts(before, rules, presence=True).cache()
-    a = _counts(after, rules, presence=True).cache()
+    b, a = _counts(before, rules, presence=True), _counts(after, rules, presence=True)
+    if cache:
+        b, a = b.cache(), a.cache()
     return Validation(rules, b, a, len(before.columns), len(after.columns))
 
 
 def compare(before: DataFrame, after: DataFrame, config: QualityConfig,
             completeness: float | None = LISTING_COMPLETENESS) -> DataFrame:
     """The same rules (on the columns both tables have) evaluated on two tables, side by side."""
-    return validate(before, after, config, completeness).comparison()
+    return validate(before, after, config, completeness, cache=False).comparison()
 
 
 def compare_summary(before: DataFrame, after: DataFrame, config: QualityConfig,
                     completeness: float | None = LISTING_COMPLETENESS) -> DataFrame:
-    return validate(before, after, config, completeness).summary()
+    checked = validate(before, after, config, completeness)
+    out = materialize(checked.summary())   # two rows; the cached counts can go then
+    checked.release()
+    return out
 
 
 def unexpected_rows(df: DataFrame, expectation: Expectation) -> DataFrame:

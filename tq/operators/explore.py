@@ -15,7 +15,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tq.functions.columns import col, count_if, is_blank, parse_currency, safe_cast
-from tq.operators.quantiles import approx_quantiles, exact_quantile_values, exact_quantiles
+from tq.operators.quantiles import approx_quantiles, exact_quantiles, exact_quantiles_of
+
+# fixed values: how a price is written, and the probabilities its distribution is read at
+PRICE_FORMAT = r"^\$[0-9,]+(\.[0-9]+)?$"
+PRICE_PROBS = (0.01, 0.5, 0.99, 0.999)
+# end of fixed values
 
 
 def _num(name: str) -> Column:
@@ -73,13 +78,14 @@ def extremes(df: DataFrame, columns, key: str, probs=(0.5, 0.99, 0.999), k: int
             .select("column", F.concat(F.lit("top"), F.col("rank").cast("string")).alias("stat"),
                     F.col("v").alias("value"), F.col(key).alias(key)))
     parts = [tops]
+    numbers = df.select([_num(c).alias(c) for c in columns])
+    values = exact_quantiles_of(numbers, {c: list(probs) for c in columns}) if exact else {}
     for c in columns:
         if exact:
-            values = exact_quantile_values(df.select(_num(c).alias("v")), "v", probs)
-            q = df.sparkSession.createDataFrame([(float(p), values[float(p)]) for p in probs],
+            q = df.sparkSession.createDataFrame([(float(p), values[c][float(p)]) for p in probs],
                                                 "probability double, value double")
         else:
-            q = approx_quantiles(df.select(_num(c).alias("v")), "v", probs)
+            q = approx_quantiles(numbers, c, probs)
         parts.append(q.select(F.lit(c).alias("column"),
                               F.concat(F.lit("p"), F.col("probability").cast("string")).alias("stat"),
                               "value", F.lit(None).cast(df.schema[key].dataType).alias(key)))
@@ -118,7 +124,7 @@ def numeric_text(df: DataFrame, column: str, pattern: str) -> DataFrame:
     return df.agg(count_if(col(column).rlike(pattern)).alias("numeric_text"))
 
 
-def explore_all(df: DataFrame, config, key: str = "id", price_format: str = r"^\$[0-9,]+(\.[0-9]+)?$",
+def explore_all(df: DataFrame, config, key: str = "id", price_format: str = PRICE_FORMAT,
                 counts=("beds", "bathrooms", "bedrooms", "accommodates", "minimum_nights"),
                 related=("price", "price_quote_price_per_night"), exact: bool = False) -> dict[str, DataFrame]:
     """Every exploration check whose columns exist, by name (lazy DataFrames)."""
@@ -129,8 +135,8 @@ def explore_all(df: DataFrame, config, key: str = "id", price_format: str = r"^\
         out["format_check"] = format_check(df, price, price_format)
         out["non_positive"] = non_positive(df, price)
         parsed = df.select(parse_currency(price).alias("v"))
-        probs = (0.01, 0.5, 0.99, 0.999)
-        out["quantiles"] = exact_quantiles(parsed, "v", probs) if exact else approx_quantiles(parsed, "v", probs)
+        quantiles = exact_quantiles if exact else approx_quantiles
+        out["quantiles"] = quantiles(parsed, "v", PRICE_PROBS)
         if key in cols:
             out["top_values"] = top_values(df, parse_currency(price), key)
     if set(related) <= cols:

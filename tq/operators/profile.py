@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
-    BinaryType,
     DecimalType,
     DoubleType,
     FloatType,
@@ -26,12 +25,38 @@ from pyspark.sql.types import (
 )
 
 from tq.functions.columns import col, count_if, is_blank, pct, text_sample
+from tq.functions.frames import side_by_side
 
 
-def _atomic(df: DataFrame) -> list[tuple[int, str, object]]:
-    """(ordinal, name, type) of columns that can be profiled (nested and binary types are skipped)."""
-    skip = (ArrayType, MapType, StructType, BinaryType)
-    return [(i, f.name, f.dataType) for i, f in enumerate(df.schema.fields) if not isinstance(f.dataType, skip)]
+def _columns(df: DataFrame) -> list[tuple[int, str, object]]:
+    """(ordinal, name, type) of every column; nested and binary ones have no numeric range and no sample."""
+    return [(i, f.name, f.dataType) for i, f in enumerate(df.schema.fields)]
+
+
+def comparable(c: Column, dtype) -> Column:
+    """``c`` in a form that can be grouped: maps become arrays of their entries, ordered by key, at any depth."""
+    if isinstance(dtype, MapType):
+        entries = F.transform(F.map_entries(c), lambda e: F.struct(
+            comparable(e["key"], dtype.keyType).alias("key"), comparable(e["value"], dtype.valueType).alias("value")))
+        return F.array_sort(entries)
+    if isinstance(dtype, ArrayType):
+        return F.transform(c, lambda x: comparable(x, dtype.elementType)) if _holds_map(dtype) else c
+    if isinstance(dtype, StructType) and _holds_map(dtype):
+        fields = [comparable(c[f.name], f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    return c
+
+
+def _holds_map(dtype) -> bool:
+    if isinstance(dtype, ArrayType):
+        return _holds_map(dtype.elementType)
+    if isinstance(dtype, StructType):
+        return any(_holds_map(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, MapType)
+
+
+def _comparables(df: DataFrame) -> list[Column]:
+    return [comparable(col(f.name), f.dataType).alias(f"c{i}") for i, f in enumerate(df.schema.fields)]
 
 
 def _numeric(name: str, dtype) -> Column:
@@ -68,15 +93,17 @@ def empty_column_names(df: DataFrame) -> list[str]:
 
 def profile(df: DataFrame, approx: bool = True, exact_distinct: bool = False, rsd: float = 0.05,
             sample_length: int = 30, chunk: int = 100) -> DataFrame:
-    """One row per profiled column.
+    """One row per column, of any type.
 
     Columns: ``column, ordinal, rows, missing_count, missing_pct, numeric_min,
     numeric_max, sample_value`` plus ``distinct_approx`` (HyperLogLog++, the
     raw untrimmed value, NULL ignored) and/or ``distinct_exact``.
     Missing = NULL, or blank text.  The sample is the smallest non-blank text
     (deterministic), newlines replaced, cut to ``sample_length`` characters.
+    ``chunk`` columns share one aggregate: wider ones outgrow what whole-stage
+    code generation compiles; it changes the plan, never the result.
     """
-    cols = _atomic(df)
+    cols = _columns(df)
     if not cols:
         fields = ("column string, ordinal int, rows bigint, missing_count bigint, missing_pct double, "
                   "numeric_min double, numeric_max double, sample_value string")
@@ -95,10 +122,10 @@ def profile(df: DataFrame, approx: bool = True, exact_distinct: bool = False, rs
                  else F.lit(None).cast("string")).alias(f"s{i}"),
             ]
             if approx:
-                aggs.append(F.approx_count_distinct(col(name), rsd).alias(f"a{i}"))
-            if exact_distinct:
-                aggs.append(F.count_distinct(col(name)).alias(f"e{i}"))
+                aggs.append(F.approx_count_distinct(comparable(col(name), dtype), rsd).alias(f"a{i}"))
         wide = df.agg(*aggs)
+        if exact_distinct:
+            wide = side_by_side(wide, *[distinct_values(df, name, dtype, f"e{i}") for i, name, dtype in group])
         structs = []
         for i, name, _ in group:
             fields = [
@@ -120,15 +147,16 @@ def profile(df: DataFrame, approx: bool = True, exact_distinct: bool = False, rs
     return reduce(DataFrame.unionByName, parts)
 
 
-def profile_report(df: DataFrame, **kw) -> DataFrame:
-    """``profile`` sorted as the report: most missing first, then schema order."""
-    return profile(df, **kw).orderBy(F.desc("missing_pct"), F.asc("ordinal"))
+def distinct_values(df: DataFrame, name: str, dtype, alias: str) -> DataFrame:
+    """One row: number of different non-null values.  One column is read and grouped (combined map-side); several
+    ``count(DISTINCT)`` in one aggregate would send every row once per column through the shuffle instead."""
+    values = df.select(comparable(col(name), dtype).alias("v")).filter(F.col("v").isNotNull()).distinct()
+    return values.agg(F.count(F.lit(1)).alias(alias))
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """One row ``duplicate_rows``: rows minus distinct rows (grouped, combined map-side)."""
-    cols = [col(f.name) for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-    per_row = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+    per_row = df.groupBy(*_comparables(df)).agg(F.count(F.lit(1)).alias("n"))
     return per_row.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 
@@ -144,10 +172,7 @@ def table_summary(df: DataFrame, key: str | None = None) -> DataFrame:
     The row count comes from the whole-row grouping (sum of group sizes), so the
     table is scanned once for rows and duplicates, plus once per key.
     """
-    from tq.functions.frames import side_by_side
-
-    cols = [col(f.name) for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-    per_row = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+    per_row = df.groupBy(*_comparables(df)).agg(F.count(F.lit(1)).alias("n"))
     main = per_row.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"),
                        F.lit(len(df.columns)).alias("columns"),
                        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))

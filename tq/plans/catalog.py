@@ -8,6 +8,7 @@ for ``dirty``; the key is ``id``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from tq.functions.columns import col, count_if, is_blank, null_if_match, parse_c
 from tq.functions.frames import bounded_broadcast, side_by_side
 from tq.operators import explore as X
 from tq.operators.clean import clean
-from tq.operators.dedup import dedup_by_key, duplicate_count
+from tq.operators.dedup import dedup_by_key
 from tq.operators.expect import (
     Between,
     NotMatchRegex,
@@ -30,6 +31,7 @@ from tq.operators.expect import (
     evaluate,
     unexpected_rows,
 )
+from tq.operators.explore import PRICE_FORMAT, PRICE_PROBS
 from tq.operators.inject import ERROR_TYPE, assign, corrupt, error_types, typed_key
 from tq.operators.inject import seeded_sample as _seeded_sample
 from tq.operators.normalize import cast_plan, minimal_typing, normalize, typed_projection
@@ -37,10 +39,12 @@ from tq.operators.profile import column_presence, duplicate_keys, duplicate_rows
 from tq.operators.quantiles import approx_quantiles, exact_quantiles
 from tq.operators.rules import REASON_TEXT, REASONS, reason_text
 from tq.plans.experiment import run_experiment
-from tq.sources.files import fresh_scratch, read_partitioned, read_raw_csv, write_json, write_raw_csv
+from tq.plans.steps import run as run_steps
+from tq.session import materialize
+from tq.sources.files import fresh_scratch, read_partitioned, read_raw_csv, write_json, write_profile_csv, write_raw_csv
 from tq.sources.files import stage_raw as _stage_raw
 from tq.sources.tables import dirty, read_table
-from tq.streaming.quarantine import start_quarantine_stream
+from tq.streaming.quarantine import reasoned_stream, start_quarantine_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -100,14 +104,16 @@ def clean_metrics(spark, sf_dir):
 def row_reconciliation(spark, sf_dir):
     """rows_clean + rows_quarantined = rows_in - duplicates, with duplicates counted independently."""
     result = _clean(spark, sf_dir)
-    typed = _typed(spark, sf_dir)
-    dups = duplicate_count(typed, "id")
     sizes = result.reasoned.agg(
         count_if(F.size(REASONS) == 0).alias("rows_clean"),
         count_if(F.size(REASONS) > 0).alias("rows_quarantined"),
     )
-    rows_in = typed.agg(F.count(F.lit(1)).alias("rows_in"))
-    out = side_by_side(rows_in, dups, sizes)
+    # one pass over the raw keys: group sizes give the rows and, for valid keys, the duplicates
+    per_key = dirty(spark, sf_dir).groupBy(typed_key("id").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    totals = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows_in"),
+                         F.coalesce(F.sum(F.when(F.col("k").isNotNull(), F.col("n") - 1)), F.lit(0))
+                         .cast("bigint").alias("duplicates"))
+    out = side_by_side(totals, sizes)
     return out.withColumn("balanced", (F.col("rows_clean") + F.col("rows_quarantined"))
                           == (F.col("rows_in") - F.col("duplicates")))
 
@@ -204,10 +210,6 @@ def drop_empty_columns(spark, sf_dir):
 # --- profile (A1-A8) ------------------------------------------------------------------------------
 
 
-PRICE_FORMAT = r"^\$[0-9,]+(\.[0-9]+)?$"
-PRICE_PROBS = (0.01, 0.5, 0.99, 0.999)
-
-
 @query
 def profile_table(spark, sf_dir):
     return table_summary(dirty(spark, sf_dir), key="id")
@@ -220,7 +222,11 @@ def profile_columns(spark, sf_dir):
 
 @query
 def profile_approx_distinct(spark, sf_dir):
-    return profile(dirty(spark, sf_dir), approx=True).select("column", "distinct_approx")
+    """HyperLogLog++ counts (the default path), judged against exact ones: within three standard deviations (rsd 5 %)."""
+    d = dirty(spark, sf_dir)
+    both = profile(d, approx=True, exact_distinct=True)
+    error = F.abs(F.col("distinct_approx") - F.col("distinct_exact"))
+    return both.select("column", "distinct_exact", (error <= 3 * 0.05 * F.col("distinct_exact")).alias("within_error"))
 
 
 @query
@@ -255,13 +261,15 @@ def profile_pages_columns(spark, sf_dir):
 
 @query
 def profile_embeddings_columns(spark, sf_dir):
-    """The array column is skipped; ordinals keep the schema positions."""
+    """Every column has a row, the array column too (missing and distinct values, no range)."""
     return profile(read_table(spark, sf_dir, "embeddings"), approx=False, exact_distinct=True)
 
 
 @query
 def duplicate_rows_count(spark, sf_dir):
-    return duplicate_rows(read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"))
+    """Whole-row duplicates: the dirty rows, and those whose id ends in 7 once more."""
+    d = dirty(spark, sf_dir)
+    return duplicate_rows(d.unionByName(d.filter(col("id").endswith("7"))))
 
 
 @query
@@ -288,14 +296,26 @@ def explore_non_positive(spark, sf_dir):
 
 @query
 def explore_quantiles(spark, sf_dir):
-    d = dirty(spark, sf_dir).select(parse_currency("price").alias("price_num"))
-    return exact_quantiles(d, "price_num", PRICE_PROBS)
+    """Exact quantiles of a column that holds infinite values: prices, with ``n/a`` as infinity."""
+    price = F.when(col("price") == "n/a", F.lit(float("inf"))).otherwise(parse_currency("price"))
+    return exact_quantiles(dirty(spark, sf_dir).select(price.alias("price_num")), "price_num", PRICE_PROBS)
 
 
 @query
 def explore_quantiles_approx(spark, sf_dir):
-    d = dirty(spark, sf_dir).select(parse_currency("price").alias("price_num"))
-    return approx_quantiles(d, "price_num", PRICE_PROBS, relative_error=0.001)
+    """Approximate quantiles (the default path), judged by rank: within ``relative_error * n`` of the wanted one."""
+    error = 0.001
+    d = dirty(spark, sf_dir).select(parse_currency("price").alias("price_num")).filter("price_num is not null")
+    found = approx_quantiles(d, "price_num", PRICE_PROBS, relative_error=error)
+    values = {r.probability: r.value for r in found.collect()}   # four numbers
+    v = F.col("price_num")
+    ranks = d.agg(F.count(F.lit(1)).alias("n"), *[c for i, x in enumerate(values.values()) for c in
+                                                 (count_if(v < x).alias(f"below{i}"), count_if(v <= x).alias(f"upto{i}"))])
+    slack = F.lit(error) * F.col("n") + 1
+    items = [F.struct(F.lit(p).alias("probability"), F.col("n") * F.lit(p) + slack >= F.col(f"below{i}"),
+                      F.col("n") * F.lit(p) - slack <= F.col(f"upto{i}")) for i, p in enumerate(values)]
+    judged = ranks.select(F.inline(F.array(*items))).toDF("probability", "low", "high")
+    return judged.select("probability", (F.col("low") & F.col("high")).alias("within_error"))
 
 
 @query
@@ -463,7 +483,20 @@ def seeded_sample(spark, sf_dir):
 
 @query
 def seeded_sample_xxhash(spark, sf_dir):
-    return _seeded_sample(dirty(spark, sf_dir), "id", INJECTION.n, INJECTION.seed, "xxhash64")
+    """The default hash: how many keys it samples, whether they are distinct, the smallest by hash, and the same again."""
+    d = dirty(spark, sf_dir)
+    first = _seeded_sample(d, "id", INJECTION.n, INJECTION.seed)
+    second = _seeded_sample(d, "id", INJECTION.n, INJECTION.seed)
+    keys = d.select(typed_key("id").alias("id")).filter("id is not null").distinct()
+    hashed = keys.withColumn("h", F.xxhash64(F.col("id").cast("string"), F.lit(INJECTION.seed)))
+    edge = first.agg(F.max("h").alias("edge"))
+    rest = hashed.join(bounded_broadcast(first.select("id"), INJECTION.n), "id", "left_anti").agg(F.min("h").alias("next"))
+    sizes = first.agg(F.count(F.lit(1)).alias("sampled"), F.count_distinct("id").alias("different"))
+    again = first.join(second, ["id", "key_text", "h"], "left_semi").agg(F.count(F.lit(1)).alias("same"))
+    return side_by_side(sizes, edge, rest, again).select(
+        "sampled", (F.col("different") == F.col("sampled")).alias("all_distinct"),
+        F.coalesce(F.col("edge") < F.col("next"), F.lit(True)).alias("smallest"),
+        (F.col("same") == F.col("sampled")).alias("repeatable"))
 
 
 @query
@@ -482,7 +515,7 @@ def _inject_type(name, columns):
 
 for _t in error_types(LISTINGS):
     if _t.name != "duplicate_rows":
-        query(_inject_type(_t.name, ["id", *_t.corrupt]))
+        query(_inject_type(_t.name, ["id", *_t.edits]))
 
 
 @query
@@ -497,23 +530,46 @@ def inject_all(spark, sf_dir):
     return _corrupted(spark, sf_dir)
 
 
-def _experiment(spark, sf_dir):
-    return run_experiment(dirty(spark, sf_dir), LISTINGS, INJECTION)
+# the same table under other names: every error type takes its columns from the configuration
+OTHER_NAMES = {"id": "listing_id", "price": "cost", "beds": "places", "review_scores_rating": "review_scores_total",
+               "first_review": "opened", "last_review": "seen", "latitude": "north", "longitude": "east",
+               "host_about": "about"}
+OTHER = LISTINGS.with_(
+    key="listing_id", currency=("cost",), price="cost", main_score="review_scores_total", date_order=("opened", "seen"),
+    numeric=tuple(OTHER_NAMES.get(c, c) for c in LISTINGS.numeric), dates=("opened", "seen"), digit_only_text=("about",),
+    limits=tuple(Limit(OTHER_NAMES.get(x.column, x.column), x.high) for x in LISTINGS.limits),
+    box=tuple(replace(b, column=OTHER_NAMES[b.column]) for b in LISTINGS.box))
+
+
+@query
+def inject_other_key(spark, sf_dir):
+    """All nine error types on a table whose key and columns have other names."""
+    d = dirty(spark, sf_dir).withColumnsRenamed(OTHER_NAMES)
+    valid = clean(d, OTHER).clean.select("listing_id")
+    return corrupt(d, assign(d, valid, OTHER, INJECTION), OTHER, INJECTION)
+
+
+def _measured(spark, sf_dir, what):
+    """One result of the experiment; its tables are deleted again, the result is checkpointed."""
+    e = run_experiment(dirty(spark, sf_dir), LISTINGS, INJECTION)
+    out = materialize(what(e))
+    e.release()
+    return out
 
 
 @query
 def detection_recall(spark, sf_dir):
-    return _experiment(spark, sf_dir).recall()
+    return _measured(spark, sf_dir, lambda e: e.recall())
 
 
 @query
 def detection_overall(spark, sf_dir):
-    return _experiment(spark, sf_dir).overall()
+    return _measured(spark, sf_dir, lambda e: e.overall())
 
 
 @query
 def collateral_rows(spark, sf_dir):
-    return _experiment(spark, sf_dir).collateral()
+    return _measured(spark, sf_dir, lambda e: e.collateral())
 
 
 # --- sources and sinks (S1-S7) --------------------------------------------------------------------
@@ -538,7 +594,7 @@ def scan_csv_roundtrip(spark, sf_dir):
 def stage_raw(spark, sf_dir):
     csv_path = fresh_scratch(spark, "raw-csv")
     write_raw_csv(_dirty_with_note(spark, sf_dir), csv_path)
-    staged = _stage_raw(spark, csv_path, fresh_scratch(spark, "raw-parquet"))
+    staged = _stage_raw(spark, csv_path, fresh_scratch(spark, "raw-parquet"), partitions=4)
     return normalize(staged)
 
 
@@ -561,6 +617,48 @@ def clean_metrics_json(spark, sf_dir):
     return spark.read.schema("metric string, key string, value bigint").json(path)
 
 
+@query
+def profile_report_csv(spark, sf_dir):
+    """The profile as CSV, read back in the order of its lines."""
+    path = fresh_scratch(spark, "profile")
+    write_profile_csv(profile(dirty(spark, sf_dir)), path)
+    lines = spark.read.option("header", "true").csv(path).withColumn("place", F.monotonically_increasing_id())
+    return lines.select("place", "column", F.col("missing_count").cast("bigint").alias("missing_count"))
+
+
+@query
+def validation_report_json(spark, sf_dir):
+    path = fresh_scratch(spark, "validation")
+    checked = compare(_before(spark, sf_dir), _clean(spark, sf_dir).clean, LISTINGS)
+    write_json(checked, path)
+    return spark.read.schema(checked.schema).json(path).select("ordinal", "rule", "before_status", "after_status")
+
+
+@query
+def recall_report_json(spark, sf_dir):
+    e = run_experiment(dirty(spark, sf_dir), LISTINGS, INJECTION)
+    paths = e.write_report(fresh_scratch(spark, "recall"))
+    schema = e.recall().schema
+    e.release()
+    return spark.read.schema(schema).json(paths["recall"])
+
+
+@query
+def pipeline_run(spark, sf_dir):
+    """From raw CSV to every output of the three steps, read back: the metrics, and the missing values per column."""
+    csv_path = fresh_scratch(spark, "raw-csv")
+    write_raw_csv(_dirty_with_note(spark, sf_dir), csv_path)
+    raw = _stage_raw(spark, csv_path, fresh_scratch(spark, "raw-parquet"), partitions=4)
+    out = run_steps(spark, raw, fresh_scratch(spark, "run"))
+    metrics = spark.read.schema("metric string, key string, value bigint").json(out["metrics"])
+    profiled = spark.read.option("header", "true").csv(out["profile"])
+    missing = profiled.select(F.lit("missing").alias("metric"), F.col("column").alias("key"),
+                              F.col("missing_count").cast("bigint").alias("value"))
+    sides = spark.read.schema("side string, rules_passed bigint").json(out["validation_summary"])
+    passed = sides.select(F.lit("rules_passed").alias("metric"), F.col("side").alias("key"), F.col("rules_passed").alias("value"))
+    return metrics.unionByName(missing).unionByName(passed)
+
+
 # --- offending rows of an expectation (W3) --------------------------------------------------------
 
 
@@ -594,7 +692,7 @@ def stream_row_rules(spark, sf_dir):
     out, ckpt = fresh_scratch(spark, "stream-out"), fresh_scratch(spark, "stream-ckpt")
     q = start_quarantine_stream(stream, out, ckpt, LISTINGS, available_now=True)
     q.awaitTermination()
-    return read_partitioned(spark, out)
+    return read_partitioned(spark, out, schema=reasoned_stream(d, LISTINGS).schema)
 
 
 # --- the same rules, configured for a typed driver table ----------------------------------------
@@ -609,11 +707,11 @@ LINE_ITEMS = QualityConfig(
 
 
 def _line_items(spark, sf_dir):
-    """Line items with their order date (one equi-join on the order key; Spark picks the strategy)."""
+    """Line items with their order date; one without its order keeps its row and has no date."""
     items = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    return items.join(orders, "l_orderkey")
+    return items.join(orders, "l_orderkey", "left")
 
 
 @query
@@ -629,6 +727,7 @@ def line_item_suite(spark, sf_dir):
         ("l_discount in [0, 0.1]", Between("l_discount", low=0, high=0.1)),
         ("l_shipdate >= o_orderdate", PairOrder("l_shipdate", other="o_orderdate")),
         ("l_returnflag not null", NotNull("l_returnflag")),
+        ("the order exists", NotNull("o_orderdate")),
     ])
 
 

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
@@ -13,6 +12,7 @@ from tq.operators import detect
 from tq.operators.clean import CleanResult, clean
 from tq.operators.inject import assign, corrupt, error_types, usable_types
 from tq.session import materialize, scratch_path
+from tq.sources.files import remove, write_json
 
 
 @dataclass
@@ -24,10 +24,15 @@ class Experiment:
     types: list
     config: QualityConfig
     max_assigned: int = 0   # proven bound of the assignments: n x number of types
+    scratch: list[str] = field(default_factory=list)   # folders written for this run
+    _recall: DataFrame | None = None
 
     def recall(self) -> DataFrame:
-        return detect.recall(self.after, self.assignments, self.types, self.config.key, self.baseline,
-                             self.max_assigned)
+        """One row per error type; measured once (a few rows, checkpointed), then reused."""
+        if self._recall is None:
+            self._recall = materialize(detect.recall(self.after, self.assignments, self.types, self.config.key,
+                                                     self.baseline, self.max_assigned))
+        return self._recall
 
     def overall(self) -> DataFrame:
         return detect.overall(self.recall())
@@ -37,34 +42,41 @@ class Experiment:
 
     def write_report(self, folder: str) -> dict[str, str]:
         """Recall per type, overall recall and collateral rows as JSON folders (Spark sinks)."""
-        from tq.sources.files import write_json
-
-        paths = {name: os.path.join(folder, name) for name in ("recall", "overall", "collateral")}
-        write_json(self.recall(), paths["recall"])
-        write_json(self.overall(), paths["overall"])
-        write_json(self.collateral(), paths["collateral"])
+        paths = {name: f"{folder.rstrip('/')}/{name}" for name in ("recall", "overall", "collateral")}
+        for name, path in paths.items():
+            write_json(getattr(self, name)(), path)
         return paths
 
+    def release(self) -> None:
+        """Deletes the tables written for this run; only the recall already measured can be read after it."""
+        for path in self.scratch:
+            remove(self.assignments.sparkSession, path)
+        self.scratch = []
+
 
 def run_experiment(raw: DataFrame, config: QualityConfig = LISTINGS, cfg: InjectionConfig = InjectionConfig(),
                    baseline: CleanResult | None = None, checkpoint: bool = True) -> Experiment:
     """Baseline clean -> assignments -> corrupted table -> clean again.
 
-    ``checkpoint`` materialises the assignments (bounded: ``n`` per type) in
-    the cluster's checkpoint folder, so the later joins and counts do not
-    re-run the baseline cleaning and the ranking windows.
+    With ``checkpoint``, the baseline (unless given) and the re-cleaned table are written once to the
+    cluster's shared folder and the assignments (bounded: ``n`` per type) are checkpointed, so that the
+    counts and joins of the measurement do not clean again.  ``release()`` deletes the tables.
     """
-    baseline = baseline or clean(raw, config)
+    spark, scratch = raw.sparkSession, []
+
+    def written(result: CleanResult, name: str) -> CleanResult:
+        if not checkpoint:
+            return result
+        scratch.append(scratch_path(spark, f"experiment-{name}-{uuid.uuid4().hex}"))
+        return result.save(scratch[-1])
+
+    baseline = baseline or written(clean(raw, config), "before")
     types = usable_types(raw.columns, error_types(config), cfg.types)
-    valid = baseline.clean.select(config.key)
-    assignments = assign(raw, valid, config, cfg, types)
+    assignments = assign(raw, baseline.clean.select(config.key), config, cfg, types)
     if checkpoint:
         assignments = materialize(assignments)
     corrupted = corrupt(raw, assignments, config, cfg, types)
-    after = clean(corrupted, config)
-    if checkpoint:
-        # recall, duplicate growth and collateral all read the re-cleaned table: write it once
-        after = after.save(scratch_path(raw.sparkSession, f"experiment-{uuid.uuid4().hex[:12]}"))
+    after = written(clean(corrupted, config), "after")
     used = {r[0] for r in assignments.select("error_type").distinct().collect()}
     return Experiment(baseline, assignments, corrupted, after, [t for t in types if t.name in used], config,
-                      cfg.n * max(1, len(types)))
+                      cfg.n * max(1, len(types)), scratch)

@@ -1,15 +1,15 @@
-"""Profile -> clean -> validate in one Spark application.
+"""Profile, clean and validate in one Spark application.
 
-Steps always run in this order, whatever order they are requested in; an
-unknown step is an error; validation alone needs an existing clean table.
-All steps share one session (no process per step), and the clean step writes
-its output once, partitioned by the quarantine flag.
+The steps are declared as a graph: each names the tables it reads and those it writes.  A run takes any
+subset; the order follows from the declaration, and before anything is computed every table that a step
+reads must be written by an earlier step of the run or lie in the output folder already.  Folders can be
+on any file system that Spark reads.
 """
 
 from __future__ import annotations
 
-import os
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,61 +19,81 @@ from tq.operators.clean import QUARANTINED, clean
 from tq.operators.expect import validate
 from tq.operators.normalize import minimal_typing
 from tq.operators.profile import profile
-from tq.sources.files import read_partitioned, write_json, write_profile_csv
+from tq.operators.rules import REASONS
+from tq.sources.files import exists, read_partitioned, read_schema, write_json, write_profile_csv, write_schema
 
-STEPS = ("profile", "clean", "validate")
 
+@dataclass(frozen=True)
+class Step:
+    """``work(context)`` reads ``inputs`` and writes ``outputs``, names of folders under the output folder."""
 
-def build_plan(requested=None) -> list[str]:
-    """Requested steps in pipeline order (all by default)."""
-    requested = list(requested) if requested else list(STEPS)
-    unknown = [s for s in requested if s not in STEPS]
-    if unknown:
-        raise ValueError(f"unknown step(s): {', '.join(unknown)}; known steps: {', '.join(STEPS)}")
-    return [s for s in STEPS if s in requested]
-
-
-def check_inputs(plan, raw_exists: bool, clean_exists: bool) -> str | None:
-    """An error message when a step lacks its input, else None."""
-    if not raw_exists:
-        return "raw input not found"
-    if "validate" in plan and "clean" not in plan and not clean_exists:
-        return "validation needs the clean table: run the 'clean' step too"
-    return None
+    work: Callable[[Context], None]
+    inputs: frozenset[str]
+    outputs: tuple[str, ...]
 
 
 @dataclass
-class Outputs:
+class Context:
+    spark: SparkSession
+    raw: DataFrame
     folder: str
-    written: dict[str, str] = field(default_factory=dict)
+    config: QualityConfig
 
     def path(self, name: str) -> str:
-        return os.path.join(self.folder, name)
-
-
-def run(spark: SparkSession, raw: DataFrame, out_dir: str, steps=None,
-        config: QualityConfig = LISTINGS) -> Outputs:
-    """Run the requested steps on ``raw`` (all-text DataFrame) and write their outputs under ``out_dir``."""
-    plan = build_plan(steps)
-    out = Outputs(out_dir)
-    reasoned_path = out.path("reasoned")
-    problem = check_inputs(plan, raw is not None, os.path.exists(reasoned_path))
-    if problem:
-        raise FileNotFoundError(problem)
-    if "profile" in plan:
-        write_profile_csv(profile(raw), out.path("profile"))
-        out.written["profile"] = out.path("profile")
-    if "clean" in plan:
-        saved = clean(raw, config).save(reasoned_path)
-        write_json(saved.metrics(), out.path("metrics"))
-        out.written.update(reasoned=reasoned_path, metrics=out.path("metrics"))
-    if "validate" in plan:
-        after = read_partitioned(spark, reasoned_path).filter(~F.col(QUARANTINED)) \
-            .drop(QUARANTINED, "reject_reasons")
-        before = minimal_typing(raw, config)
-        checked = validate(before, after, config)
-        write_json(checked.comparison(), out.path("validation"))
-        write_json(checked.summary(), out.path("validation_summary"))
-        checked.release()
-        out.written.update(validation=out.path("validation"), validation_summary=out.path("validation_summary"))
-    return out
+        return f"{self.folder.rstrip('/')}/{name}"
+
+
+def _profile(c: Context) -> None:
+    write_profile_csv(profile(c.raw), c.path("profile"))
+
+
+def _clean(c: Context) -> None:
+    saved = clean(c.raw, c.config).save(c.path("reasoned"))
+    # the schema is kept beside the table: a table without rows has no file to take it from
+    write_schema(c.spark, saved.reasoned.schema, c.path("reasoned_schema"))
+    write_json(saved.metrics(), c.path("metrics"))
+
+
+def _validate(c: Context) -> None:
+    schema = read_schema(c.spark, c.path("reasoned_schema"))
+    rows = read_partitioned(c.spark, c.path("reasoned"), QUARANTINED, schema)
+    after = rows.filter(~F.col(QUARANTINED)).drop(QUARANTINED, REASONS)
+    checked = validate(minimal_typing(c.raw, c.config), after, c.config)
+    write_json(checked.comparison(), c.path("validation"))
+    write_json(checked.summary(), c.path("validation_summary"))
+    checked.release()
+
+
+GRAPH: dict[str, Step] = {
+    "profile": Step(_profile, frozenset(), ("profile",)),
+    "clean": Step(_clean, frozenset(), ("reasoned", "reasoned_schema", "metrics")),
+    "validate": Step(_validate, frozenset({"reasoned", "reasoned_schema"}), ("validation", "validation_summary")),
+}
+
+
+def planned(steps: Iterable[str] | None, available: Callable[[str], bool]) -> list[str]:
+    """The steps in graph order.  ``available(name)``: whether an output of an earlier run is there.
+
+    Raises ``KeyError`` for a step the graph does not have, ``FileNotFoundError`` for an input nobody provides.
+    """
+    wanted = set(GRAPH if steps is None else steps)
+    if wanted - set(GRAPH):
+        raise KeyError(f"no such step: {sorted(wanted - set(GRAPH))}; the steps are {list(GRAPH)}")
+    made: set[str] = set()
+    order = [name for name in GRAPH if name in wanted]
+    for name in order:
+        lacking = sorted(x for x in GRAPH[name].inputs - made if not available(x))
+        if lacking:
+            raise FileNotFoundError(f"step {name!r} reads {lacking}: add the step that writes it to the run")
+        made |= set(GRAPH[name].outputs)
+    return order
+
+
+def run(spark: SparkSession, raw: DataFrame, out_dir: str, steps: Iterable[str] | None = None,
+        config: QualityConfig = LISTINGS) -> dict[str, str]:
+    """Run the steps on ``raw`` (all-text DataFrame); returns the folder of every output written."""
+    context = Context(spark, raw, out_dir, config)
+    order = planned(steps, lambda name: exists(spark, context.path(name)))
+    for name in order:
+        GRAPH[name].work(context)
+    return {x: context.path(x) for name in order for x in GRAPH[name].outputs}

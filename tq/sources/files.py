@@ -4,13 +4,13 @@
   quotes, every column read as text (no schema inference, on purpose: type
   problems must stay visible).  A gzip file with multi-line records cannot be
   split, so it is read by one task: ``stage_raw`` converts it once to Parquet,
-  spread over ``partitions`` files, and every later step reads that.
+  spread over ``partitions`` files if asked to, and every later step reads that.
 * Parquet for tables, JSON for small reports, CSV for the profile.
 """
 
 from __future__ import annotations
 
-import os
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,24 +50,37 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
 
 def stage_raw(spark: SparkSession, csv_path: str, parquet_path: str, partitions: int | None = None,
               columns=None) -> DataFrame:
-    """CSV -> Parquet once (spread over ``partitions`` tasks), then continue from the Parquet copy."""
+    """CSV -> Parquet once, then continue from the Parquet copy.
+
+    ``partitions``: spread the rows over so many files first.  Give it for an input of few splits (one gzip
+    file is one); many input files are written as they are read, without a shuffle.
+    """
     raw = read_raw_csv(spark, csv_path, columns)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    write_parquet(raw.repartition(n), parquet_path)
-    return spark.read.parquet(parquet_path)
+    write_parquet(raw.repartition(partitions) if partitions else raw, parquet_path)
+    return spark.read.schema(raw.schema).parquet(parquet_path)
 
 
-def read_partitioned(spark: SparkSession, path: str, flag: str = "quarantined") -> DataFrame:
+def read_partitioned(spark: SparkSession, path: str, flag: str = "quarantined",
+                     schema: StructType | None = None) -> DataFrame:
     """Read a table written with ``partitionBy(flag)``; the flag comes back as BOOLEAN.
 
-    (Partition discovery types ``true``/``false`` folder values as text.)
+    ``schema``: that of the written rows; with it a table without rows, which has no file, can be read too.
     """
     from pyspark.sql import functions as F
 
-    df = spark.read.parquet(path)
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    # partition discovery types ``true``/``false`` folder values as text
     return df.withColumn(flag, F.col(flag).cast("boolean")) if flag in df.columns else df
 
 
+def write_schema(spark: SparkSession, schema: StructType, path: str) -> None:
+    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_schema(spark: SparkSession, path: str) -> StructType:
+    return StructType.fromJson(json.loads(spark.read.text(path).first()[0]))
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Small report (metrics, validation, recall) as JSON lines."""
     df.coalesce(1).write.mode(mode).json(path)
@@ -87,5 +100,17 @@ def fresh_scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def exists(path: str) -> bool:
-    return os.path.exists(path)
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its own file system (local, HDFS, object store, ...)."""
+    fs, folder = _file_system(spark, path)
+    return fs.exists(folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, folder = _file_system(spark, path)
+    fs.delete(folder, True)

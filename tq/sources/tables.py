@@ -30,12 +30,27 @@ SELECT
        ELSE concat('$', cast(20 + o_orderkey % 480 AS string), '.25') END AS price,
   CASE WHEN o_orderkey % 7 = 0 THEN NULL
        WHEN o_orderkey % 809 = 6 THEN '33'
+       WHEN o_orderkey % 811 = 14 THEN 'two'
        ELSE concat(' ', cast(o_orderkey % 8 + 1 AS string), ' ') END AS beds,
+  CASE WHEN o_orderkey % 823 = 15 THEN '16'
+       WHEN o_orderkey % 13 = 0 THEN ''
+       ELSE cast(o_orderkey % 5 AS string) END AS bedrooms,
+  CASE WHEN o_orderkey % 827 = 16 THEN '10.5'
+       WHEN o_orderkey % 829 = 17 THEN '1,5'
+       ELSE concat(cast(o_orderkey % 3 + 1 AS string), '.5') END AS bathrooms,
   CASE WHEN o_orderkey % 5 = 0 THEN NULL
        WHEN o_orderkey % 911 = 8 THEN '7.5'
        WHEN o_orderkey % 307 = 9 THEN '0.0'
        ELSE concat('4.', cast(o_orderkey % 10 AS string)) END AS review_scores_rating,
+  CASE WHEN o_orderkey % 853 = 18 THEN '-1'
+       WHEN o_orderkey % 857 = 19 THEN 'good'
+       WHEN o_orderkey % 311 = 20 THEN '0'
+       ELSE concat('3.', cast(o_orderkey % 10 AS string)) END AS review_scores_cleanliness,
+  CASE WHEN o_orderkey % 859 = 21 THEN '5.01'
+       WHEN o_orderkey % 4 = 0 THEN ' '
+       ELSE '5' END AS review_scores_location,
   CASE WHEN o_orderkey % 6 = 0 THEN NULL
+       WHEN o_orderkey % 863 = 22 THEN 'last summer'
        ELSE cast(cast(o_orderdate AS date) AS string) END AS first_review,
   CASE WHEN o_orderkey % 6 = 0 THEN NULL
        WHEN o_orderkey % 601 = 10 THEN cast(cast(o_orderdate AS date) - 30 AS string)
@@ -48,44 +63,29 @@ SELECT
        WHEN o_orderkey % 3 = 0 THEN '' ELSE c_name END AS host_about,
   CASE WHEN o_orderkey % 450 = 0 THEN '1000'
        ELSE cast(o_orderkey % 28 + 1 AS string) END AS minimum_nights,
+  CASE WHEN o_orderkey % 17 = 0 THEN 'T' WHEN o_orderkey % 9 = 0 THEN 't' ELSE 'f' END AS host_is_superhost,
+  CASE WHEN o_orderkey % 19 = 0 THEN '' ELSE 't' END AS has_availability,
   CASE WHEN o_orderkey % 2 = 0 THEN '  ' ELSE NULL END AS calendar_updated
 FROM orders JOIN customer ON o_custkey = c_custkey
 """
+# end of fixed values
 
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Repartition a source that has fewer splits than the cluster can run at once.
-
-    A single small file (one row group) is read by one task; every later step
-    would then run on one core.  Large inputs already have thousands of splits
-    and pass through unchanged (no extra shuffle).
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of the plan (e.g. a remote session): leave the plan as it is
-        return df
-    if splits < max(2, target // 2):
-        return df.repartition(target)
-    return df
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, parallel: bool = True) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return spread(df) if parallel else df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
-def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dirty(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """The dirty all-text table, planned by Spark from ``orders`` and ``customer``.
 
-    Only the four columns the view needs are read (column pruning reaches the scans).
+    Only the columns the view needs are read (column pruning reaches the scans).  ``partitions``: deal the orders
+    out over so many tasks first; for a single small file, which is read by one task.
     """
-    orders = spread(read_table(spark, sf_dir, "orders", parallel=False)
-                    .select("o_orderkey", "o_custkey", "o_orderdate"))
-    customer = read_table(spark, sf_dir, "customer", parallel=False).select("c_custkey", "c_name")
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     return spark.sql(DIRTY_SQL.replace("FROM orders JOIN customer", "FROM {orders} JOIN {customer}"),
-                     orders=orders, customer=customer)
+                     orders=orders.repartition(partitions) if partitions else orders, customer=customer)
