@@ -120,6 +120,8 @@ class Model:
 def fit(texts: list[bytes], labels: list[str]) -> Model:
     """All machines from the sample, on the caller's side: the sample has a fixed bound."""
     languages = sorted(set(labels))
+    if not languages:
+        return Model([], [], np.zeros((DIMENSIONS, 0), np.float32), np.zeros(0))
     families = sorted({family(x) for x in languages})
     x, label = shares(texts), np.array(labels, dtype=object)
     scale = (1.0 / (x.std(axis=0) + 1e-4)).astype(np.float32) / np.sqrt(DIMENSIONS)

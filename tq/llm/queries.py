@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from tq.llm import bpe, decontaminate, fingerprint, langid, license, minhash, quality, suffixes, toxicity, urls
 from tq.llm.common import held_out, table
+from tq.llm.oracles import ORACLES
+
+
+__all__ = ["ORACLES", "QUERIES", "tokenizer_path"]
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -87,5 +91,3 @@ QUERIES = {
     "op9_fingerprint": op9_fingerprint,
     "op10_language_id": op10_language_id,
 }
-
-ORACLES: dict[str, str] = {}
