@@ -28,6 +28,8 @@ from tq.llm.quality import scores
 from tq.llm.samples import sample_texts, smallest_hashes
 
 BITS = 18
+#: How much worse a clean document flagged is than a toxic one missed, as rates.
+CAUTION = 5
 #: Lengths in bytes of the prefixes that stand beside whole words.
 PREFIXES = (4, 5, 7)
 
@@ -73,6 +75,7 @@ class Model:
     weights: np.ndarray | None  # [2 ** BITS]
     bias: float
     rate: float
+    shift: float = 0.0  # added to the log odds of a document, see ``calibrated``
 
     def sentences(self, texts: list[bytes]) -> tuple[Bags, np.ndarray]:
         b = bags(texts)
@@ -88,38 +91,77 @@ class Model:
                 b, z = self.sentences(texts[a:c])
                 # log(1 - p) of each sentence, added up over the text
                 out[a:c] = -np.expm1(np.bincount(b.text, weights=-np.logaddexp(0, np.clip(z, -40, 40)), minlength=c - a))
-        return np.clip(out, 0.0, 1.0)
-
-
-def fit(texts: list[bytes], labels: np.ndarray, features: int = 3000, steps: int = 400) -> Model:
+        out = np.clip(out, 0.0, 1.0)
+        return sigmoid(log_odds(out) + self.shift) if self.shift else out
+
+
+def log_odds(p: np.ndarray) -> np.ndarray:
+    return np.log(np.maximum(p, 1e-12)) - np.log(np.maximum(1 - p, 1e-12))
+
+
+def calibrated(texts: list[bytes], labels: np.ndarray, threshold: float = 0.7, folds: int = 3, **options) -> Model:
+    """The model of all rows, shifted so that ``threshold`` divides unseen documents best.
+
+    Few labels make timid weights. Models of all folds but one score the rest; the log odds that divide those
+    scores best (true positive rate less CAUTION times the false positive rate) become those of the threshold.
+    """
+    labels, model = np.asarray(labels, dtype=float), fit(texts, labels, **options)
+    if model.weights is None or min(labels.sum(), (1 - labels).sum()) < folds:
+        return model
+    part, odds = np.zeros(len(labels), dtype=np.int64), np.zeros(len(labels))
+    for value in (0.0, 1.0):
+        part[labels == value] = np.arange((labels == value).sum()) % folds
+    for k in range(folds):
+        rest = np.flatnonzero(part != k)
+        one = fit([texts[i] for i in rest], labels[rest], **options)
+        mine = np.flatnonzero(part == k)
+        odds[mine] = log_odds(one.score([texts[i] for i in mine]))
+    order = np.argsort(-odds, kind="stable")
+    gain = np.cumsum(np.where(labels[order] > 0, 1 / labels.sum(), -CAUTION / (1 - labels).sum()))
+    best = int(np.argmax(gain))
+    after = odds[order[best + 1]] if best + 1 < len(order) else odds[order[best]] - 1
+    model.shift = float(log_odds(np.array(threshold)) - (odds[order[best]] + after) / 2)
+    return model
+
+
+def fit(texts: list[bytes], labels: np.ndarray, features: int = 3000, steps: int = 250) -> Model:
     """Weights of the ``features`` words whose documents differ most between the labels."""
     labels = np.asarray(labels, dtype=float)
     rate = float(labels.mean()) if len(labels) else 0.0
     if rate in (0.0, 1.0):
         return Model(None, 0.0, rate)
-    b = bags(texts)
-    doc = b.text[b.sentence] if len(b.sentence) else b.sentence
-    seen = np.unique(np.concatenate([doc * (1 << BITS) + row for row in b.features]))
-    hit, who = seen & ((1 << BITS) - 1), seen >> BITS
-    pos = np.bincount(hit, weights=labels[who], minlength=1 << BITS)
-    neg = np.bincount(hit, weights=1 - labels[who], minlength=1 << BITS)
+    # chunk by chunk, twice: first the documents of each word, then the places of the kept words
+    pos, neg = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for start, stop in runs(texts):
+        b = bags(texts[start:stop])
+        seen = np.unique((b.text[b.sentence] << BITS) + b.features) if len(b.sentence) else b.sentence
+        hit, toxic = seen & ((1 << BITS) - 1), labels[start + (seen >> BITS)]
+        pos += np.bincount(hit, weights=toxic, minlength=1 << BITS)
+        neg += np.bincount(hit, weights=1 - toxic, minlength=1 << BITS)
     odds = np.log((pos + 0.5) / (labels.sum() + 1)) - np.log((neg + 0.5) / ((1 - labels).sum() + 1))
     worth = np.abs(odds) * np.sqrt(pos + neg) * (pos + neg >= 3)
     kept = np.argsort(-worth, kind="stable")[:features]
     kept = kept[worth[kept] > 0]
     place = np.full(1 << BITS, -1)
     place[kept] = np.arange(len(kept))
-    at = np.concatenate([place[row] for row in b.features])
-    sentence = np.tile(b.sentence, len(b.features))[at >= 0]
-    at = at[at >= 0]
+    at, sentence, text, sentences = [], [], [], 0
+    for start, stop in runs(texts):
+        b = bags(texts[start:stop])
+        for row in b.features:
+            mine = place[row]
+            at.append(mine[mine >= 0])
+            sentence.append(b.sentence[mine >= 0] + sentences)
+        text.append(b.text + start)
+        sentences += len(b.text)
+    at, sentence, text = np.concatenate(at), np.concatenate(sentence), np.concatenate(text)
     share = np.where(labels > 0, 0.5 / labels.sum(), 0.5 / (1 - labels).sum())
 
     def gradient(w):
-        z = np.clip(w[-1] + np.bincount(sentence, weights=w[at], minlength=len(b.text)), -40, 40)
+        z = np.clip(w[-1] + np.bincount(sentence, weights=w[at], minlength=sentences), -40, 40)
         p = sigmoid(z)
-        none = np.bincount(b.text, weights=-np.logaddexp(0, z), minlength=len(labels))  # log of no sentence offending
+        none = np.bincount(text, weights=-np.logaddexp(0, z), minlength=len(labels))  # log of no sentence offending
         pull = np.where(labels > 0, -np.exp(none) / np.maximum(-np.expm1(none), 1e-9), 1.0) * share
-        g = pull[b.text] * p
+        g = pull[text] * p
         return np.append(np.bincount(at, weights=g[sentence], minlength=len(kept)) + 2e-5 * w[:-1], g.sum())
 
     w = adam(gradient, np.append(np.clip(odds[kept], 0, 4), -6.0), steps, 0.05)
@@ -128,13 +170,13 @@ def fit(texts: list[bytes], labels: np.ndarray, features: int = 3000, steps: int
     return Model(weights, float(w[-1]), rate)
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 2500, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """Learns from labelled documents outside the held-out fold, at most ``per_class`` of each label."""
     known = labels.where(~held_out(doc_id)).groupBy(F.col(doc_id).alias("doc_id")).agg(F.max(label).alias("label")).dropna()
     chosen = smallest_hashes(known, F.col("label"), per_class)
     rows = sample_texts(docs, chosen, doc_id, text).select("doc_id", "label", "text").collect()
     rows.sort(key=lambda r: (r.doc_id, r.label, r.text))
-    return fit([r.text.encode() for r in rows], np.array([int(r.label > 0) for r in rows]))
+    return calibrated([r.text.encode() for r in rows], np.array([int(r.label > 0) for r in rows]))
 
 
 def offending(docs: DataFrame, model: Model, threshold: float = 0.5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -165,4 +207,4 @@ def offending(docs: DataFrame, model: Model, threshold: float = 0.5, doc_id: str
     return narrow.mapInArrow(run, "doc_id long, start long, stop long, probability double")
 
 
-__all__ = ["Bags", "Model", "bags", "fit", "offending", "scores", "train"]
+__all__ = ["Bags", "Model", "bags", "calibrated", "fit", "offending", "scores", "train"]
