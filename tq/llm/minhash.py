@@ -9,14 +9,14 @@ with independent hashes.
 Banding: ``BANDS`` bands of ``ROWS`` coordinates; sets of similarity 0.85 share none of them with
 probability (1 - 0.85 ** 5) ** 25 < 5e-7. Equal sets are one class from the start, by a 128-bit digest.
 
-Verification: in each bucket the class with the fewest shingles of its own (the likely original) is the
-centre, and the centre is compared, on full sets, with the bucket's classes that are not yet known to be
-connected with it. Classes already connected need no comparison: the answer is the connected
-components, so a group of m near copies costs about m comparisons and never all pairs. Shingles that
-only one candidate class has bound what it can share; classes that by this bound can link with none of
-the rest leave the bucket. A bucket is done when what is left of it is one component; until then it gets
-new centres, four times as many each round, so that none of its pairs that could still join two
-components stays unchecked.
+Verification: first, in each bucket, the class with the fewest shingles of its own (the likely original)
+is the centre and is compared, on full sets, with the others. Classes connected that way need no
+comparison among each other: the answer is the connected components, so a group of m near copies costs
+about m comparisons and never all pairs. Shingles that only one candidate class has bound what it can
+share; classes that by this bound can link with none of the rest leave the bucket, and buckets that are
+one component are done. Of the classes left, every pair of different components that could still be
+linked is found by an exact prefix filter: the sets must share one of their rarest shingles. So no link
+between classes of a bucket is lost, and texts that only share a common origin are not all compared.
 
 Rows: null and wordless texts have the empty set, size 0, and are linked with nothing. A row with a null
 id can link others, its own component is the smallest id reached (null if there is none). Repeated
@@ -29,7 +29,7 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tq.llm.common import SpanHash, as_bytes, joined, mix, runs, saved
@@ -38,8 +38,6 @@ SHINGLE = 5
 COORDINATES, BANDS, ROWS = 128, 25, 5
 #: Linked if 100 * intersection >= PERCENT * union.
 PERCENT = 85
-#: Centres of a bucket in the first round, and the factor of every further round.
-CENTRES, GROWTH = 1, 4
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
@@ -155,39 +153,57 @@ def full_sets(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> Da
                     names=["node", "shingles"],
                 )
 
-    narrow = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = narrow.join(classes.select("node", "d1", "d2", "first_id"), F.col("id").eqNullSafe(F.col("first_id")))
+    value = F.col(text)
+    narrow = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(value).alias("hash"), F.coalesce(value, F.lit("")).alias("text"))
+    # merged at any size, so that what is moved grows with the texts and does not jump
+    chosen = classes.select("node", "d1", "d2", "row").hint("merge")
+    rows = narrow.join(chosen, (F.col("hash") == F.col("row.text_hash")) & F.col("id").eqNullSafe(F.col("row.doc_id")))
     return rows.select("node", "d1", "d2", "text").mapInArrow(run, "node long, shingles array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the edges (a, b): root is the smallest node of its component.
 
-    Alternates two steps until nothing changes: every node hands the smallest node of its
+    Alternates two steps until every node hangs on a root: every node hands the smallest node of its
     neighbourhood to its larger neighbours, then to its smaller ones. Minima are combined before each
     exchange, so a node with many neighbours costs no more than its edges.
     """
     links = saved(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "components")
-    before = None
-    while True:
+    while not _hangs_on_roots(links):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
-        links = saved(
-            small.select("u", F.col("m").alias("v")).unionByName(small.select(F.col("v").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct(),
-            "components",
-        )
-        state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
-    return links.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root")).unionByName(
+        links = small.select("u", F.col("m").alias("v")).unionByName(small.select(F.col("v").alias("u"), F.col("m").alias("v")))
+        links = saved(links.where("u <> v").distinct(), "components")
+    return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
 
 
+def _hangs_on_roots(links: DataFrame) -> bool:
+    """Whether every u has one v, and no v is a u."""
+    sides = links.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        links.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    return sides.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+
+def extended(roots: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """``roots`` (node, root) after further edges (a, b): only edges between components are looked at."""
+    if roots is None:
+        return saved(components(edges), "minhash-roots")
+    ends = edges
+    for side in ("a", "b"):
+        named = roots.select(F.col("node").alias(side), F.col("root").alias(f"r{side}"))
+        ends = ends.join(named, side, "left").withColumn(f"r{side}", F.coalesce(f"r{side}", side))
+    step = saved(components(ends.where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))), "minhash-steps")
+    moved = roots.join(step.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left")
+    fresh = step.join(roots.select("node"), "node", "left_anti")
+    return saved(moved.select("node", F.coalesce("to", "root").alias("root")).unionByName(fresh), "minhash-roots")
+
+
 def shared_sizes(sets: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, n, own): set size, and how many of its shingles no other candidate class has."""
     owners = sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"))
@@ -222,11 +238,66 @@ def still_open(todo: DataFrame) -> DataFrame:
     return saved(able.join(mixed, "key"), "minhash-open")
 
 
-def heads_of(todo: DataFrame, centres: int) -> DataFrame:
-    """The ``centres`` classes of each bucket with the fewest shingles of their own: the most central ones."""
-    order = Window.partitionBy("key").orderBy("own", "node")
-    ranked = todo.withColumn("place", F.row_number().over(order)).where(F.col("place") <= centres)
-    return ranked.select("key", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("own").alias("oa"))
+def star_pairs(todo: DataFrame) -> DataFrame:
+    """(a, b, na, nb, oa, ob): each class of a bucket with the bucket's centre, the class with the fewest shingles
+    of its own (the likely original)."""
+    centre = todo.groupBy("key").agg(F.min(F.struct("own", "node", "n", "comp")).alias("c"))
+    pairs = todo.join(centre, "key").where("node <> c.node and comp <> c.comp")
+    return pairs.select(
+        F.col("c.node").alias("a"), F.col("node").alias("b"), F.col("c.n").alias("na"), F.col("n").alias("nb"), F.col("c.own").alias("oa"), F.col("own").alias("ob")
+    ).distinct()
+
+
+def size_class(n: Column) -> Column:
+    """Sizes in classes of about 2 %."""
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(1.02))).cast("int")
+
+
+def prefix_rows(todo: DataFrame, sets: DataFrame) -> DataFrame:
+    """(shingle, low, high, node, comp, n, own, kind): the shingles by which each class must meet a partner.
+
+    Sets of n and m shingles with similarity 0.85 share at least r = 0.85 / 1.85 * (n + m) of them, so in any
+    common order of all shingles they share one of the first n - r + 1 and m - r + 1. The order is by rarity
+    among the open classes. low and high are the size classes of the two partners: the closer the sizes, the
+    fewer shingles must be tried.
+    """
+    nodes = todo.select("node", "comp", "n", "own").distinct()
+    items = nodes.select("node").join(sets, "node").select("node", F.explode("shingles").alias("shingle"))
+    often = items.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    listed = items.join(often, "shingle").groupBy("node").agg(F.array_sort(F.collect_set(F.struct("df", "shingle"))).alias("rare"))
+    ratio = PERCENT / 100
+    mine = nodes.join(listed, "node").withColumn("kind", size_class(F.col("n")))
+    first, last = size_class(F.ceil(F.col("n") * ratio)), size_class(F.floor(F.col("n") / ratio))
+    mine = mine.withColumn("other", F.explode(F.sequence(first, last)))
+    smallest = F.greatest(F.floor(F.pow(F.lit(1.02), F.col("other"))), F.ceil(F.col("n") * ratio)).cast("long")
+    # a little under the exact bound, against rounding
+    needed = F.ceil((F.col("n") + smallest) * (ratio / (1 + ratio)) - 1e-6).cast("long")
+    # shingles that no other open class has come first in the order; they can't be met by anyone
+    room = F.col("n") - needed + 1 - (F.col("n") - F.size("rare"))
+    mine = mine.withColumn("room", room.cast("int")).where("room > 0")
+    return mine.select(
+        F.explode(F.slice("rare", 1, "room")).alias("at"), F.least("kind", "other").alias("low"), F.greatest("kind", "other").alias("high"), "node", "comp", "n", "own", "kind"
+    ).select(F.col("at.shingle").alias("shingle"), "low", "high", "node", "comp", "n", "own", "kind")
+
+
+def prefix_pairs(todo: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, na, nb, oa, ob): all pairs of classes of different components that can still be linked.
+
+    Of each meeting point's classes, those of its most frequent component need no pairs among themselves.
+    """
+    point = ["shingle", "low", "high"]
+    rows = saved(prefix_rows(todo, sets), "minhash-prefixes")
+    main = rows.groupBy(*point, "comp").agg(F.count("*").alias("size")).groupBy(*point).agg(
+        F.max(F.struct("size", "comp")).alias("main"), F.count("*").alias("comps")
+    )
+    mixed = saved(rows.join(main.where("comps > 1").select(*point, F.col("main.comp").alias("main")), point), "minhash-meeting")
+    one = mixed.where("comp <> main").select(*point, F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("own").alias("ox"), F.col("kind").alias("kx"))
+    pairs = mixed.join(one, point).where("node <> x and comp <> cx and least(kind, kx) = low and greatest(kind, kx) = high")
+    less = F.col("x") < F.col("node")
+    pick = lambda a, b, name: F.when(less, F.col(a)).otherwise(F.col(b)).alias(name)
+    return pairs.select(
+        pick("x", "node", "a"), pick("node", "x", "b"), pick("nx", "n", "na"), pick("n", "nx", "nb"), pick("ox", "own", "oa"), pick("own", "ox", "ob")
+    ).distinct()
 
 
 def linked_classes(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFrame | None:
@@ -235,20 +306,16 @@ def linked_classes(docs: DataFrame, classes: DataFrame, doc_id: str, text: str)
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = saved(keyed.join(shared, "key"), "minhash-members")
     chosen = saved(members.select("node").distinct().join(classes.drop("bands"), "node"), "minhash-chosen")
-    sets = saved(full_sets(docs, chosen, doc_id, text).dropDuplicates(["node"]), "minhash-sets")
+    sets = saved(full_sets(docs, chosen, doc_id, text), "minhash-sets")
     sizes = saved(shared_sizes(sets, chosen), "minhash-sizes")
     todo = still_open(members.join(sizes, "node").withColumn("comp", F.col("node")))
-    edges, root, centres = None, None, CENTRES
-    while not todo.isEmpty():
-        heads = saved(heads_of(todo, centres), "minhash-heads")
-        pairs = todo.select("key", F.col("node").alias("b"), "comp", F.col("n").alias("nb"), F.col("own").alias("ob")).join(heads, "key")
-        pairs = pairs.where("a <> b and comp <> ca").select("a", "b", "na", "nb", "oa", "ob").distinct()
-        new = saved(confirmed(pairs, sets), "minhash-links")
-        edges = new if edges is None else edges.unionByName(new)
-        root = saved(components(edges), "minhash-roots")
-        rest = todo.join(heads.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti").drop("comp")
-        todo = still_open(rest.join(root, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root"))
-        centres *= GROWTH
+    if todo.isEmpty():
+        return None
+    root = extended(None, saved(confirmed(star_pairs(todo), sets), "minhash-links"))
+    named = todo.drop("comp").join(root, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+    todo = still_open(named)
+    if not todo.isEmpty():
+        root = extended(root, saved(confirmed(prefix_pairs(todo, sets), sets), "minhash-links"))
     return root
 
 
@@ -258,7 +325,12 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     classes = (
         rows.where("n_shingles > 0")
         .groupBy("d1", "d2")
-        .agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
+        .agg(
+            F.min("doc_id").alias("first_id"),
+            F.min(F.struct("doc_id", "text_hash")).alias("row"),  # of this row the text is read again
+            F.first("n_shingles").alias("n_shingles"),
+            F.first("bands").alias("bands"),
+        )
         .withColumn("node", F.monotonically_increasing_id())
     )
     classes = saved(classes, "minhash-classes")
