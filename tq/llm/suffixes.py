@@ -7,8 +7,8 @@ anchors of equal content at equal offsets. An entry is one anchor of one text: t
 the anchor (the key), the hash of all that its windows cover (the context), the text, the place and how
 many copies of the text there are.
 
-Index family: documents come in batches. A batch's entries are sorted by key into a suffix array, which
-is merge-scanned against every existing level for keys that occur there too; then, while two levels have
+Index family: documents come in batches. The keys of a batch are sorted into a suffix array, which is
+merge-scanned against every existing level for keys that occur there too; then, while two levels have
 the same size, they are merged into one of twice the size. Levels are tables bucketed and sorted by
 key, so scans and merges read them side by side without a shuffle, and n batches are rewritten about
 log2(n) times.
@@ -31,12 +31,13 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tq.llm.common import SpanHash, as_bytes, joined, mix, runs, saved
+from tq.llm.common import SpanHash, as_bytes, joined, mix, runs, saved, slices
 from tq.session import checkpoint_dir
 
 LENGTH, GRAM, BLOCK = 400, 200, 25
@@ -93,27 +94,35 @@ def entries(texts: DataFrame) -> DataFrame:
 
         for batch in batches:
             names, first, copies = np.unique(batch.column(0).to_numpy(), return_index=True, return_counts=True)
-            values = as_bytes(batch.column(1).take(pa.array(first)))
-            for a, b in runs(values):
-                text, key, context, start, to, length = anchors(values[a:b])
-                columns = [key.view(np.int64), context.view(np.int64), names[a:b][text], (start << 16) | (to << 8) | length, copies[a:b][text]]
+            for at in range(0, len(first), 256):
+                values = as_bytes(batch.column(1).take(pa.array(first[at : at + 256])))
+                text, key, context, start, to, length = anchors(values)
+                who = at + text
+                columns = [key.view(np.int64), context.view(np.int64), names[who], (start << 16) | (to << 8) | length, copies[who]]
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["key", "context", "t", "place", "n"])
 
     return texts.select("t", "text").mapInArrow(run, "key long, context long, t long, place long, n long")
 
 
 class SuffixIndex:
-    """Levels of suffix arrays over the batches added so far."""
+    """Levels of suffix arrays over the batches added so far.
+
+    A level is a table of (key, n), sorted by key and bucketed, so that scans and merges read levels side
+    by side: n counts the places of a key. The places themselves stay in the batch's own table, which is
+    written once, without a shuffle, and read again for the keys that repeat.
+    """
 
     def __init__(self, spark: SparkSession, buckets: int | None = None):
         self.spark = spark
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[tuple[int, str, str]] = []  # (batches, table, path), largest first
+        self.batches: list[DataFrame] = []
 
-    def _written(self, rows: DataFrame) -> tuple[str, str]:
+    def _level(self, counts: DataFrame) -> tuple[str, str]:
         name = f"suffixes_{uuid.uuid4().hex}"
         path = f"{checkpoint_dir(self.spark).rstrip('/')}/tables/{name}"
-        sums = rows.groupBy("key", "context", "t", "place").agg(F.sum("n").alias("n"))
+        # summed in each task before the exchange: a key with very many places is one row per task
+        sums = counts.groupBy("key").agg(F.sum("n").alias("n"))
         sums.write.bucketBy(self.buckets, "key").sortBy("key").option("path", path).saveAsTable(name)
         return name, path
 
@@ -124,16 +133,17 @@ class SuffixIndex:
 
     def add(self, texts: DataFrame) -> DataFrame:
         """Adds a batch of (t, text); returns the keys of the batch that occur twice in it or in a level already."""
-        batch = self._written(entries(texts).repartition(self.buckets, "key"))
-        rows = self.spark.table(batch[0])
-        found = rows.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
+        self.batches.append(saved(entries(texts), "suffixes-batch"))
+        new = self._level(self.batches[-1])
+        counts = self.spark.table(new[0])
+        found = counts.where("n > 1").select("key")
         for _, level, _ in self.levels:
-            found = found.unionByName(rows.select("key").join(self.spark.table(level).select("key"), "key", "left_semi"))
+            found = found.unionByName(counts.select("key").join(self.spark.table(level).select("key"), "key", "left_semi"))
         found = saved(found.distinct(), "suffixes-found")
-        self.levels.append((1, *batch))
+        self.levels.append((1, *new))
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (size, *one), (_, *two) = self.levels.pop(), self.levels.pop()
-            merged = self._written(self.spark.table(one[0]).unionByName(self.spark.table(two[0])))
+            merged = self._level(self.spark.table(one[0]).unionByName(self.spark.table(two[0])))
             self.levels.append((2 * size, *merged))
             for old in (one, two):
                 self._discard(*old)
@@ -141,12 +151,8 @@ class SuffixIndex:
 
     def rows(self, keys: DataFrame) -> DataFrame:
         """All entries with these keys."""
-        wanted = saved(keys.distinct(), "suffixes-keys")
-        parts = [self.spark.table(level).join(wanted, "key", "left_semi") for _, level, _ in self.levels]
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return saved(out, "suffixes-rows")
+        everything = reduce(DataFrame.unionByName, self.batches)
+        return saved(everything.join(saved(keys.distinct(), "suffixes-keys"), "key", "left_semi"), "suffixes-rows")
 
     def close(self) -> None:
         for _, *level in self.levels:
@@ -162,7 +168,7 @@ def over_texts(frame: DataFrame, work, schema: str) -> DataFrame:
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             t, texts, items = batch.column(0).to_numpy(), as_bytes(batch.column(1)), batch.column(2).to_pylist()
             for a, b in runs(texts):
                 owner, *columns = work(texts[a:b], items[a:b])
@@ -238,7 +244,8 @@ def repeated_ranges(docs: DataFrame, text: str = "text", batches: int = BATCHES)
     for b in range(batches):
         keys = index.add(texts.where(F.pmod(F.xxhash64("t"), F.lit(batches)) == b))
         found = keys if found is None else found.unionByName(keys)
-    rows = index.rows(found)
+    rows = index.rows(found).groupBy("key", "context", "t", "place").agg(F.sum("n").alias("n"))
+    rows = saved(rows, "suffixes-repeated")
     index.close()
 
     classes = saved(rows.groupBy("key", "context").agg(F.sum("n").alias("n"), F.min_by(F.struct("t", "place"), F.struct("t", "place")).alias("at")), "suffixes-classes")
