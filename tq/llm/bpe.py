@@ -27,10 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from tq.llm.common import worker_cache
+from tq.llm.common import slices, worker_cache
 
-#: Pieces remembered by a worker, and the longest piece remembered: together the bound of its memory.
-CACHE_PIECES, CACHE_BYTES = 200_000, 48
+#: Pieces and token pairs remembered by a worker, and the longest piece remembered: the bound of its memory.
+CACHE_PIECES, CACHE_BYTES, CACHE_PAIRS = 200_000, 48, 200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -112,7 +112,7 @@ class Encoder:
         known = self.pairs.get((left, right))
         if known is None:
             known = self._compatible(left, right)
-            if len(self.pairs) >= 4_000_000:
+            if len(self.pairs) >= CACHE_PAIRS:
                 self.pairs.clear()
             self.pairs[left, right] = known
         return known
@@ -204,7 +204,7 @@ def tokenized(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         import pyarrow as pa
 
         e = encoder(path)
-        for batch in batches:
+        for batch in slices(batches):
             ids, same = [], []
             for value in batch.column(len(carried)):
                 value = value.as_py() or ""
@@ -226,7 +226,7 @@ def digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "tex
         import pyarrow as pa
 
         e = encoder(path)
-        for batch in batches:
+        for batch in slices(batches):
             sizes, ids_sha, text_sha = [], [], []
             for value in batch.column(1):
                 packed = e.packed(value.as_py() or "")

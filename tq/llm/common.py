@@ -64,6 +64,13 @@ def as_bytes(column) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def slices(batches, rows: int = 256):
+    """The Arrow batches in slices of so many rows: Python objects are made for one slice at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def runs(texts: list[bytes], limit: int = CHUNK_BYTES):
     """(start, stop) of consecutive rows that hold about ``limit`` bytes together."""
     start, size = 0, 0

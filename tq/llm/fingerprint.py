@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tq.llm.common import SpanHash, as_bytes, joined, mix, runs
+from tq.llm.common import SpanHash, as_bytes, joined, mix, runs, slices
 
 #: Bytes of a window, windows of a run, points of a feature: for texts of at least SHORT bytes, and below.
 LONG_SHAPE, SHORT_SHAPE, SHORT = (64, 64, 16), (16, 16, 4), 1024
@@ -104,7 +104,7 @@ def rank_tables(docs: DataFrame, text: str = "text") -> dict[int, np.ndarray]:
         import pyarrow as pa
 
         total = np.zeros((2, STEPS + 1), np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             texts = as_bytes(batch.column(0))
             for k, (shape, places) in enumerate(by_shape(texts)):
                 mine = [texts[i] for i in places]
@@ -240,7 +240,7 @@ def compared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts:
     ranks = rank_tables(docs, text)
 
     def rows(batches: Iterable) -> Iterator:
-        for batch in batches:
+        for batch in slices(batches):
             yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
 
     def groups(batches: Iterable) -> Iterator:

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tq.llm.common import as_bytes, held_out, joined, per_text, runs, sigmoid
+from tq.llm.common import as_bytes, held_out, joined, per_text, runs, sigmoid, slices
 from tq.llm.samples import sample_texts, smallest_hashes
 
 #: Language families by language code.
@@ -158,7 +158,7 @@ def predictions(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             texts = as_bytes(batch.column(1))
             names, score = model.predict(texts) if model.languages else (["und"] * len(texts), np.zeros(len(texts)))
             known = batch.column(2).to_pylist()
@@ -184,7 +184,7 @@ def accepted(docs: DataFrame, model: Model, languages: tuple[str, ...] | None =
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             names, _ = model.predict(as_bytes(batch.column(place)))
             yield batch.filter(pa.array([name in wanted for name in names], pa.bool_()))
 

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tq.llm.common import SpanHash, adam, as_bytes, held_out, joined, mix, runs, sigmoid
+from tq.llm.common import SpanHash, adam, as_bytes, held_out, joined, mix, runs, sigmoid, slices
 from tq.llm.samples import sample_texts, smallest_hashes
 
 #: Byte classes whose shares are features.
@@ -168,7 +168,7 @@ def scores(docs: DataFrame, model, doc_id: str = "doc_id", text: str = "text") -
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(model.score(as_bytes(batch.column(1))), pa.float64())], names=["doc_id", "score"]
             )

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tq.llm.common import SpanHash, adam, as_bytes, held_out, joined, runs, sigmoid
+from tq.llm.common import SpanHash, adam, as_bytes, held_out, joined, runs, sigmoid, slices
 from tq.llm.quality import scores
 from tq.llm.samples import sample_texts, smallest_hashes
 
@@ -185,7 +185,7 @@ def offending(docs: DataFrame, model: Model, threshold: float = 0.5, doc_id: str
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             texts, ids = as_bytes(batch.column(1)), batch.column(0).to_pylist()
             for a, c in runs(texts):
                 if model.weights is None:
