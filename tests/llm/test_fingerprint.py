@@ -75,3 +75,41 @@ def test_a_text_alone_or_in_a_chunk():
         assert np.array_equal(chain, fp.chains([text], ranks)[0])
         assert (len(chain) > 0) == (len(text) > 0)
         assert fp.likeness(chain, chain) == 1.0
+
+
+def plain_ranks(texts):
+    steps = np.concatenate([fp.window_entropies([t], fp.SHAPE)[3] for t in texts])
+    return {fp.SHAPE[0]: fp.rank_table(Counter(steps[steps >= 0].tolist()))}
+
+
+def prose(seed, n, alphabet="abcdefghijklmnop"):
+    """``n`` characters of words of one to nine letters."""
+    r = np.random.default_rng(seed)
+    return " ".join("".join(r.choice(list(alphabet), r.integers(1, 10))) for _ in range(n))[:n]
+
+
+@pytest.mark.parametrize(
+    "text, after",
+    [(prose(1, 1040), prose(2, 300)), (prose(3, 1500), prose(4, 60)), (prose(5, 2040), "end"), (prose(6, 700, "äöüßéèêàáâ"), prose(7, 700)), (prose(8, 1000), prose(9, 1000, "äöüßéèêàáâ"))],
+)
+def test_half_edited_over_1024_bytes(text, after):
+    """A text and its half-edited one are alike wherever their sizes lie; unrelated ones are not."""
+    sides = [text.encode(), fp.edited(text, after).encode()]
+    assert (len(sides[0]) < 1024) != (len(sides[1]) < 1024)
+    own, other, next_one = fp.chains([*sides, after.encode()], plain_ranks([*sides, after.encode()]))
+    assert fp.likeness(own, other) > 0.35
+    assert fp.likeness(own, next_one) < 0.15
+
+
+def test_near_copies_over_1024_bytes():
+    text = prose(10, 1040)
+    pair = [text[:1010].encode(), text.encode()]
+    assert fp.likeness(*fp.chains(pair, plain_ranks(pair))) > 0.9
+
+
+@pytest.mark.parametrize("size", [1500, 2500, 6000, 30000])
+def test_half_edited_long_texts(size):
+    """A last filter with few features weighs little."""
+    text, after = prose(size, size), prose(size + 1, size)
+    sides = [text.encode(), fp.edited(text, after).encode()]
+    assert 0.4 < fp.likeness(*fp.chains(sides, plain_ranks(sides))) < 0.65

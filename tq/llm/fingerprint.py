@@ -1,12 +1,13 @@
 """Document fingerprints: improbable byte windows in chained Bloom filters.
 
-Every window of 64 bytes has an entropy; how rare that entropy is over all windows of all texts ranks
-it (rarest first, windows of hardly any entropy left out). Within each run of 64 neighbouring windows
-the rarest (leftmost on ties) gains a point; windows with at least 16 points are the text's features.
-Texts under 1024 bytes take windows and runs of 16 and 4 points, with ranks of their own. A feature's hash sets ``HASHES`` bits of a Bloom filter of ``BITS`` bits; after
-``CAPACITY`` features the next filter of the chain begins. Two fingerprints are compared filter by
-filter: shared bits beyond chance as a share of the most there could be, the best match of each filter
-of the shorter chain, averaged.
+Every window of 16 bytes has an entropy; how rare that entropy is over all windows of all texts ranks
+it (rarest first, windows of hardly any entropy left out). Within each run of 16 neighbouring windows
+the rarest (leftmost on ties) gains a point; windows with at least 4 points are the text's features.
+Windows and ranks are the same for texts of every size, so any two fingerprints can be compared. A
+feature's hash sets ``HASHES`` bits of a Bloom filter of ``BITS`` bits; after ``CAPACITY`` features the
+next filter of the chain begins. Two fingerprints are compared filter by filter: shared bits beyond chance
+as a share of the most there could be, the best match of each filter of the shorter chain, averaged by the
+filters' bits (the last filter of a chain can hold few).
 
 The next document of each text, by ascending id, is found by sorting: rows are routed to partitions by
 id, sorted there, and read once in order; the first row of a partition is sent to the one before too.
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 
 from tq.llm.common import SpanHash, as_bytes, joined, mix, runs, slices
 
-#: Bytes of a window, windows of a run, points of a feature: for texts of at least SHORT bytes, and below.
-LONG_SHAPE, SHORT_SHAPE, SHORT = (64, 64, 16), (16, 16, 4), 1024
+#: Bytes of a window, windows of a run, points of a feature.
+SHAPE = (16, 16, 4)
 BITS, HASHES, CAPACITY = 2048, 5, 160
 #: Entropies are counted in so many steps; windows under LEAST of them carry nothing.
 STEPS, LEAST = 1000, 100
@@ -82,13 +83,6 @@ def blank_ends(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, last:
     values[at[at < len(values)]] = -1
 
 
-def by_shape(texts: list[bytes]):
-    """(shape, places) of the long and the short texts."""
-    short = np.fromiter((len(x) < SHORT for x in texts), dtype=bool, count=len(texts))
-    yield LONG_SHAPE, np.flatnonzero(~short)
-    yield SHORT_SHAPE, np.flatnonzero(short)
-
-
 def rank_table(counts: dict[int, int]) -> np.ndarray:
     """Rank of each entropy step, the rarest first; -1 for steps that carry nothing. The last entry is for -1."""
     order = sorted(range(LEAST, STEPS + 1), key=lambda s: (counts.get(s, 0), s))
@@ -98,25 +92,22 @@ def rank_table(counts: dict[int, int]) -> np.ndarray:
 
 
 def rank_tables(docs: DataFrame, text: str = "text") -> dict[int, np.ndarray]:
-    """Rank tables by window width, from the entropies of all windows of all texts: at most 2 * (STEPS + 1) counts."""
+    """Rank tables by window width, from the entropies of all windows of all texts: at most STEPS + 1 counts."""
 
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
-        total = np.zeros((2, STEPS + 1), np.int64)
+        total = np.zeros(STEPS + 1, np.int64)
         for batch in slices(batches):
             texts = as_bytes(batch.column(0))
-            for k, (shape, places) in enumerate(by_shape(texts)):
-                mine = [texts[i] for i in places]
-                for a, b in runs(mine):
-                    steps = window_entropies(mine[a:b], shape)[3]
-                    total[k] += np.bincount(steps[steps >= 0], minlength=STEPS + 1)
-        kind, step = np.nonzero(total)
-        names = ["kind", "step", "n"]
-        yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(step, pa.int32()), pa.array(total[kind, step], pa.int64())], names=names)
+            for a, b in runs(texts):
+                steps = window_entropies(texts[a:b], SHAPE)[3]
+                total += np.bincount(steps[steps >= 0], minlength=STEPS + 1)
+        step = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(step, pa.int32()), pa.array(total[step], pa.int64())], names=["step", "n"])
 
-    counted = docs.select(F.col(text)).mapInArrow(run, "kind int, step int, n long").groupBy("kind", "step").agg(F.sum("n").alias("n")).collect()
-    return {shape[0]: rank_table({r.step: r.n for r in counted if r.kind == k}) for k, shape in enumerate((LONG_SHAPE, SHORT_SHAPE))}
+    counted = docs.select(F.col(text)).mapInArrow(run, "step int, n long").groupBy("step").agg(F.sum("n").alias("n")).collect()
+    return {SHAPE[0]: rank_table({r.step: r.n for r in counted})}
 
 
 def features(texts: list[bytes], ranks: np.ndarray, shape: tuple) -> tuple[np.ndarray, np.ndarray]:
@@ -166,13 +157,7 @@ def filters(owner: np.ndarray, found: np.ndarray, texts: int) -> list[np.ndarray
 
 def chains(texts: list[bytes], ranks: dict[int, np.ndarray]) -> list[np.ndarray]:
     """Per text its chain of filters."""
-    out: list = [None] * len(texts)
-    for shape, places in by_shape(texts):
-        mine = [texts[i] for i in places]
-        for a, b in runs(mine):
-            for i, chain in zip(places[a:b], filters(*features(mine[a:b], ranks[shape[0]], shape), b - a), strict=True):
-                out[i] = chain
-    return out
+    return [chain for a, b in runs(texts) for chain in filters(*features(texts[a:b], ranks[SHAPE[0]], SHAPE), b - a)]
 
 
 def written(chain: np.ndarray) -> str:
@@ -190,7 +175,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     nx, ny = x.sum(axis=1)[:, None], y.sum(axis=1)[None, :]
     chance, most = nx * ny / BITS, np.minimum(nx, ny)
     shared = np.clip((x @ y.T - chance) / np.maximum(most - chance, 1e-6), 0.0, 1.0)
-    return float(shared.max(axis=1).mean())
+    return float(np.average(shared.max(axis=1), weights=nx[:, 0]))
 
 
 def routed(docs: DataFrame, parts: int, doc_id: str, text: str) -> DataFrame | None:
