@@ -114,3 +114,35 @@ def test_sketches_fill_and_agree():
     assert (rows[:4] != np.uint64((1 << 64) - 1)).all() and not rows[4].any()
     assert abs((rows[0] == rows[1]).mean() - 8 / 9) < 0.12
     assert np.array_equal(rows[3], minhash.sketches([sets[3]])[0])
+
+
+def linked_at(rows, percent):
+    """{(doc_id, size, component)} of all pairs of full sets; ids are places."""
+    sets = [shingles(t) for _, t in rows]
+    comp = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and comp[i] != comp[j] and 100 * both >= percent * len(sets[i] | sets[j]):
+                a, b = min(comp[i], comp[j]), max(comp[i], comp[j])
+                comp = [a if c == b else c for c in comp]
+    smallest = {c: min(rows[i][0] for i in range(len(rows)) if comp[i] == c) for c in set(comp)}
+    return sorted((d, len(sets[i]), smallest[comp[i]]) for i, (d, _) in enumerate(rows))
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_other_thresholds(spark, percent):
+    """Many pairs between 0.75 and 0.90."""
+    rows = near_copies(3, 8, 6, 150, 5)
+    want = linked_at(rows, percent)
+    assert len({c for *_, c in linked_at(rows, 80)}) < len({c for *_, c in linked_at(rows, 85)})
+    found = minhash.grouped(frame(spark, rows), percent=percent).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == want
+    kept = minhash.one_of_each(frame(spark, rows), percent=percent)
+    assert {r.doc_id for r in kept.collect()} == {c for *_, c in want}
+
+
+def test_bands_follow_the_threshold():
+    for percent in (50, 80, 85, 95, 100):
+        assert (1 - (percent / 100) ** minhash.ROWS) ** minhash.band_count(percent) < 5e-7
+    assert minhash.band_count(85) == 25 and minhash.band_count(80) == 37

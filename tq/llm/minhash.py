@@ -6,8 +6,9 @@ one or two rounds. From round ``COORDINATES`` on, each round serves one fixed bi
 the latest then. The coordinates agree with the probability of the sets' similarity, as concentrated as
 with independent hashes.
 
-Banding: ``BANDS`` bands of ``ROWS`` coordinates; sets of similarity 0.85 share none of them with
-probability (1 - 0.85 ** 5) ** 25 < 5e-7. Equal sets are one class from the start, by a 128-bit digest.
+Banding: bands of ``ROWS`` coordinates, as many as the wanted similarity needs; sets that similar share
+none of them with probability (1 - similarity ** ROWS) ** bands < ``MISSED`` (0.85: 25 bands, 0.80: 37).
+Equal sets are one class from the start, by a 128-bit digest.
 
 Verification: first, in each bucket, the class with the fewest shingles of its own (the likely original)
 is the centre and is compared, on full sets, with the others. Classes connected that way need no
@@ -26,6 +27,7 @@ rows are copies like any others. Other columns are not looked at.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -35,11 +37,17 @@ from pyspark.sql import functions as F
 from tq.llm.common import SpanHash, as_bytes, joined, mix, runs, saved, slices
 
 SHINGLE = 5
-COORDINATES, BANDS, ROWS = 128, 25, 5
-#: Linked if 100 * intersection >= PERCENT * union.
+COORDINATES, ROWS, MISSED = 128, 5, 5e-7
+#: Linked if 100 * intersection >= percent * union; the query's percent.
 PERCENT = 85
 
 
+def band_count(percent: int) -> int:
+    """Bands by which sets of just that similarity miss each other with a probability under ``MISSED``."""
+    alike = (percent / 100) ** ROWS
+    return math.ceil(math.log(MISSED) / math.log1p(-alike)) if alike < 1 else 1
+
+
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct hashes of each text's word shingles (A-Z lower-cased, words between ASCII blanks)."""
     plain = [b" ".join(x.lower().split()) for x in texts]
@@ -91,10 +99,10 @@ def sketches(sets: list[np.ndarray], t: int = COORDINATES) -> np.ndarray:
     return out
 
 
-def band_keys(rows: np.ndarray) -> np.ndarray:
-    """[sets, BANDS] keys; a key holds its band's number, so bands never meet each other."""
-    keys = np.zeros((len(rows), BANDS), np.uint64)
-    for j in range(BANDS):
+def band_keys(rows: np.ndarray, bands: int) -> np.ndarray:
+    """[sets, bands] keys; a key holds its band's number, so bands never meet each other."""
+    keys = np.zeros((len(rows), bands), np.uint64)
+    for j in range(bands):
         h = np.full(len(rows), (j + 1) * 0x2545F4914F6CDD1D % (1 << 64), np.uint64)
         for k in range(j * ROWS, (j + 1) * ROWS):
             h = mix(h * np.uint64(31) + rows[:, k])
@@ -107,8 +115,10 @@ def digest(found: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-def sketched(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def sketched(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """(doc_id, text_hash, n_shingles, d1, d2, bands) of each row; d1, d2 identify the set; null if empty."""
+    count = band_count(percent)
+    coordinates = max(COORDINATES, count * ROWS)
 
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
@@ -118,7 +128,7 @@ def sketched(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
             sizes, d1, d2, bands = [], [], [], []
             for a, b in runs(texts):
                 sets = shingle_sets(texts[a:b])
-                keys = band_keys(sketches(sets)).view(np.int64)
+                keys = band_keys(sketches(sets, coordinates), count).view(np.int64)
                 for found, row in zip(sets, keys, strict=True):
                     some = len(found) > 0
                     x, y = digest(found) if some else (None, None)
@@ -211,20 +221,20 @@ def shared_sizes(sets: DataFrame, classes: DataFrame) -> DataFrame:
     return classes.join(own, "node", "left").select("node", F.col("n_shingles").alias("n"), F.coalesce("own", F.lit(0)).alias("own"))
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.
 
     Shingles of one's own are in no intersection: that bound is checked before any set is moved.
     """
     most = F.least(F.col("na") - F.col("oa"), F.col("nb") - F.col("ob"))
-    fits = pairs.where(most * 100 >= (F.col("na") + F.col("nb") - most) * PERCENT)
+    fits = pairs.where(most * 100 >= (F.col("na") + F.col("nb") - most) * percent)
     left = fits.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
     full = left.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     both = F.size(F.array_intersect("sa", "sb")).cast("long")
-    return full.where(both * 100 >= (F.col("na") + F.col("nb") - both) * PERCENT).select("a", "b")
+    return full.where(both * 100 >= (F.col("na") + F.col("nb") - both) * percent).select("a", "b")
 
 
-def still_open(todo: DataFrame) -> DataFrame:
+def still_open(todo: DataFrame, percent: int) -> DataFrame:
     """``todo`` (key, node, comp, n, own) without classes that can link with no other of their bucket, and
     without buckets that are one component.
 
@@ -233,7 +243,7 @@ def still_open(todo: DataFrame) -> DataFrame:
     """
     least = todo.groupBy("key").agg(F.min("n").alias("ln"), F.min("own").alias("lo"))
     union = F.greatest(F.col("n") + F.col("lo"), F.col("ln") + F.col("own"))
-    able = todo.join(least, "key").where((F.col("n") - F.col("own")) * 100 >= union * PERCENT).drop("ln", "lo")
+    able = todo.join(least, "key").where((F.col("n") - F.col("own")) * 100 >= union * percent).drop("ln", "lo")
     mixed = able.groupBy("key").agg(F.min("comp").alias("first"), F.max("comp").alias("last")).where("first <> last").select("key")
     return saved(able.join(mixed, "key"), "minhash-open")
 
@@ -253,10 +263,10 @@ def size_class(n: Column) -> Column:
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(1.02))).cast("int")
 
 
-def prefix_rows(todo: DataFrame, sets: DataFrame) -> DataFrame:
+def prefix_rows(todo: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(shingle, low, high, node, comp, n, own, kind): the shingles by which each class must meet a partner.
 
-    Sets of n and m shingles with similarity 0.85 share at least r = 0.85 / 1.85 * (n + m) of them, so in any
+    Sets of n and m shingles with similarity s share at least r = s / (1 + s) * (n + m) of them, so in any
     common order of all shingles they share one of the first n - r + 1 and m - r + 1. The order is by rarity
     among the open classes. low and high are the size classes of the two partners: the closer the sizes, the
     fewer shingles must be tried.
@@ -265,7 +275,7 @@ def prefix_rows(todo: DataFrame, sets: DataFrame) -> DataFrame:
     items = nodes.select("node").join(sets, "node").select("node", F.explode("shingles").alias("shingle"))
     often = items.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     listed = items.join(often, "shingle").groupBy("node").agg(F.array_sort(F.collect_set(F.struct("df", "shingle"))).alias("rare"))
-    ratio = PERCENT / 100
+    ratio = percent / 100
     mine = nodes.join(listed, "node").withColumn("kind", size_class(F.col("n")))
     first, last = size_class(F.ceil(F.col("n") * ratio)), size_class(F.floor(F.col("n") / ratio))
     mine = mine.withColumn("other", F.explode(F.sequence(first, last)))
@@ -280,13 +290,13 @@ def prefix_rows(todo: DataFrame, sets: DataFrame) -> DataFrame:
     ).select(F.col("at.shingle").alias("shingle"), "low", "high", "node", "comp", "n", "own", "kind")
 
 
-def prefix_pairs(todo: DataFrame, sets: DataFrame) -> DataFrame:
+def prefix_pairs(todo: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, na, nb, oa, ob): all pairs of classes of different components that can still be linked.
 
     Of each meeting point's classes, those of its most frequent component need no pairs among themselves.
     """
     point = ["shingle", "low", "high"]
-    rows = saved(prefix_rows(todo, sets), "minhash-prefixes")
+    rows = saved(prefix_rows(todo, sets, percent), "minhash-prefixes")
     main = rows.groupBy(*point, "comp").agg(F.count("*").alias("size")).groupBy(*point).agg(
         F.max(F.struct("size", "comp")).alias("main"), F.count("*").alias("comps")
     )
@@ -300,7 +310,7 @@ def prefix_pairs(todo: DataFrame, sets: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def linked_classes(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFrame | None:
+def linked_classes(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame | None:
     """(node, root) of the classes that are linked with another one; None if there is no link."""
     keyed = classes.select("node", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
@@ -308,20 +318,20 @@ def linked_classes(docs: DataFrame, classes: DataFrame, doc_id: str, text: str)
     chosen = saved(members.select("node").distinct().join(classes.drop("bands"), "node"), "minhash-chosen")
     sets = saved(full_sets(docs, chosen, doc_id, text), "minhash-sets")
     sizes = saved(shared_sizes(sets, chosen), "minhash-sizes")
-    todo = still_open(members.join(sizes, "node").withColumn("comp", F.col("node")))
+    todo = still_open(members.join(sizes, "node").withColumn("comp", F.col("node")), percent)
     if todo.isEmpty():
         return None
-    root = extended(None, saved(confirmed(star_pairs(todo), sets), "minhash-links"))
+    root = extended(None, saved(confirmed(star_pairs(todo), sets, percent), "minhash-links"))
     named = todo.drop("comp").join(root, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
-    todo = still_open(named)
+    todo = still_open(named, percent)
     if not todo.isEmpty():
-        root = extended(root, saved(confirmed(prefix_pairs(todo, sets), sets), "minhash-links"))
+        root = extended(root, saved(confirmed(prefix_pairs(todo, sets, percent), sets, percent), "minhash-links"))
     return root
 
 
-def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per document: (doc_id, text_hash, n_shingles, component_id, kept)."""
-    rows = saved(sketched(docs, doc_id, text), "minhash-sketches")
+    rows = saved(sketched(docs, doc_id, text, percent), "minhash-sketches")
     classes = (
         rows.where("n_shingles > 0")
         .groupBy("d1", "d2")
@@ -334,7 +344,7 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         .withColumn("node", F.monotonically_increasing_id())
     )
     classes = saved(classes, "minhash-classes")
-    roots = linked_classes(docs, classes, doc_id, text)
+    roots = linked_classes(docs, classes, doc_id, text, percent)
     named = classes.select("d1", "d2", "node", "first_id")
     if roots is None:
         named = named.select("d1", "d2", F.col("first_id").alias("component_id"))
@@ -349,10 +359,10 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     )
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs``, all columns, that stand for their group: the one with the component's id. Of
     repeated rows (equal id and text) one stays; texts without words are no copies of each other and stay."""
     key = "__row_key"
-    found = grouped(docs, doc_id, text).where("kept").select(F.xxhash64("doc_id", "text_hash").alias(key)).distinct()
+    found = grouped(docs, doc_id, text, percent).where("kept").select(F.xxhash64("doc_id", "text_hash").alias(key)).distinct()
     keyed = docs.withColumn(key, F.xxhash64(F.col(doc_id).cast("long"), F.xxhash64(F.col(text))))
     return keyed.dropDuplicates([key]).join(found, key, "left_semi").drop(key).select(docs.columns)
