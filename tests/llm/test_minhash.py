@@ -146,3 +146,20 @@ def test_bands_follow_the_threshold():
     for percent in (50, 80, 85, 95, 100):
         assert (1 - (percent / 100) ** minhash.ROWS) ** minhash.band_count(percent) < 5e-7
     assert minhash.band_count(85) == 25 and minhash.band_count(80) == 37
+
+
+def test_repeated_rows_give_one_set(spark, monkeypatch):
+    """Rows that repeat an id (or a null id) and a text."""
+    base = [f"w{i}" for i in range(60)]
+    near = [" ".join([*base, f"end{k}"]) for k in range(3)]
+    rows = [(1, near[0])] * 40 + [(None, near[1])] * 30 + [(2, near[2]), (3, "all alone in the wide world")]
+    counts, full_sets = [], minhash.full_sets
+
+    def seen(*args):
+        sets = full_sets(*args)
+        counts.append((sets.count(), sets.select("node").distinct().count()))
+        return sets
+
+    monkeypatch.setattr(minhash, "full_sets", seen)
+    assert got(frame(spark, rows)) == expected(rows)
+    assert counts == [(3, 3)]

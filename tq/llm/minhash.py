@@ -146,7 +146,8 @@ def sketched(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percen
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(node, shingles) of the classes, from the text of one of their rows each."""
+    """(node, shingles) of the classes, one row each, from the text of one of their rows; of rows that repeat
+    an id and a text, one text per node is kept in each task before the exchange."""
 
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
@@ -168,7 +169,8 @@ def full_sets(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> Da
     # merged at any size, so that what is moved grows with the texts and does not jump
     chosen = classes.select("node", "d1", "d2", "row").hint("merge")
     rows = narrow.join(chosen, (F.col("hash") == F.col("row.text_hash")) & F.col("id").eqNullSafe(F.col("row.doc_id")))
-    return rows.select("node", "d1", "d2", "text").mapInArrow(run, "node long, shingles array<long>")
+    single = rows.select("node", "d1", "d2", "text").dropDuplicates(["node", "d1", "d2"])
+    return single.mapInArrow(run, "node long, shingles array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
