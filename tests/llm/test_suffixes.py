@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tq.llm import suffixes
@@ -96,3 +97,32 @@ def test_family_of_levels(spark):
     index.close()
     assert sizes == [[1], [2], [2, 1], [4], [4, 1]]
     assert found[:4] == [0, 0, 0, 0] and found[4] > 0
+
+
+def test_long_texts_are_read_in_chunks(monkeypatch):
+    """256 neighbouring texts of 100 KB are not one array, and each entry keeps its text and place."""
+
+    class Frame:
+        select = lambda self, *_: self
+        mapInArrow = lambda self, run, _: run  # noqa: E731, N815
+
+    r = np.random.default_rng(6)
+    texts = [bytes(r.integers(97, 123, 100_000).astype(np.uint8)) for _ in range(24)]
+    texts += [texts[0], b"short " * 100]
+    sizes, anchors = [], suffixes.anchors
+
+    def seen(values):
+        sizes.append(sum(map(len, values)))
+        return anchors(values)
+
+    want = set()
+    for i, text in enumerate(texts):
+        _, key, context, start, to, length = anchors([text])
+        t, n = (0, 2) if i == 24 else (i, 2 if i == 0 else 1)
+        want |= set(zip(key.view(np.int64).tolist(), context.view(np.int64).tolist(), [t] * len(key), ((start << 16) | (to << 8) | length).tolist(), [n] * len(key), strict=True))
+    monkeypatch.setattr(suffixes, "anchors", seen)
+    numbers = [0 if i == 24 else i for i in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array([x.decode() for x in texts])], names=["t", "text"])
+    found = [row for out in suffixes.entries(Frame())([batch]) for row in zip(*(c.to_pylist() for c in out.columns), strict=True)]
+    assert len(found) == len(want) and set(found) == want
+    assert max(sizes) <= 1 << 20
