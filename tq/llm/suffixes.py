@@ -1,14 +1,15 @@
-"""Removal of repeated passages with a logarithmic family of suffix arrays.
+"""Removal of repeated passages with a logarithmic family of hashed anchors.
 
-A byte goes if a string of ``LENGTH`` bytes that covers it starts anywhere else too. Suffix arrays here
-are sparse and sorted by hash: each window of ``LENGTH`` bytes is assigned to its anchor, the place of
-the smallest hash among the ``GRAM``-byte strings in it (the leftmost on ties), so equal windows have
-anchors of equal content at equal offsets. An entry is one anchor of one text: the hash of the string at
+A byte goes if a string of ``LENGTH`` bytes that covers it starts anywhere else too. Hashed anchors with
+counts stand in for suffix arrays: no suffix is ordered by its content and no neighbours' common lengths are
+compared, since a very common passage would then be gathered in one task. Each window of ``LENGTH`` bytes
+is assigned to its anchor, the place of the smallest hash among the ``GRAM``-byte strings in it (the
+leftmost on ties), so equal windows have anchors of equal content at equal offsets. An entry is one anchor of one text: the hash of the string at
 the anchor (the key), the hash of all that its windows cover (the context), the text, the place and how
 many copies of the text there are.
 
-Index family: documents come in batches. The keys of a batch are sorted into a suffix array, which is
-merge-scanned against every existing level for keys that occur there too; then, while two levels have
+Index family: documents come in batches. The keys of a batch are counted into a level (key, count), which is
+semi-joined with every existing level for keys that occur there too; then, while two levels have
 the same size, they are merged into one of twice the size. Levels are tables bucketed and sorted by
 key, so scans and merges read them side by side without a shuffle, and n batches are rewritten about
 log2(n) times.
@@ -106,7 +107,7 @@ def entries(texts: DataFrame) -> DataFrame:
 
 
 class SuffixIndex:
-    """Levels of suffix arrays over the batches added so far.
+    """Levels of hashed anchors over the batches added so far.
 
     A level is a table of (key, n), sorted by key and bucketed, so that scans and merges read levels side
     by side: n counts the places of a key. The places themselves stay in the batch's own table, which is
