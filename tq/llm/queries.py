@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tq.llm import bpe, decontaminate, fingerprint, langid, license, minhash, quality, suffixes, toxicity, urls
+from tq.llm import bpe, decontaminate, fingerprint, langid, license, minhash, periodic, quality, suffixes, toxicity, urls
 from tq.llm.common import held_out, table
 from tq.llm.oracles import ORACLES
 
@@ -79,6 +79,25 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` with a planted period in the texts of which crc32 of the id ends in 0: from word a on, the first p words
+    from there again and again. A null id leaves its text as it is."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    n = F.size(words).cast("long")
+    g = F.floor(h / 10)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    part = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+    again = F.flatten(F.array_repeat(part, F.ceil((n - a) / p).cast("int")))
+    whole = F.concat(F.slice(words, F.lit(1), a.cast("int")), F.slice(again, F.lit(1), (n - a).cast("int")))
+    return docs.withColumn("text", F.when((h % 10 == 0) & (n > 0), F.array_join(whole, " ")).otherwise(F.col("text")))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.judged(with_periods(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_classifier": op2_quality_classifier,
@@ -90,4 +109,5 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_fingerprint": op9_fingerprint,
     "op10_language_id": op10_language_id,
+    "op13_periodic_runs": op13_periodic_runs,
 }
