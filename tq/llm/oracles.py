@@ -108,15 +108,17 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
 
-NEAR_DUPLICATES = f"""
+def linked_sets(words: int, more: str = "") -> str:
+    """Sets of shingles of so many words, linked at 85 %, and the smallest id that each document reaches."""
+    return f"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({lowered("text")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
-s AS (SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + 5], ' ') AS shingle FROM
-    (SELECT doc_id, w, unnest(range(greatest(len(w) - 5, 0) + 1)) AS i FROM d WHERE len(w) > 0)),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + {words}], ' ') AS shingle FROM
+    (SELECT doc_id, w, unnest(range(greatest(len(w) - {words}, 0) + 1)) AS i FROM d WHERE len(w) > 0)),
 sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
 links AS (SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * common >= 85 * (p.n + q.n - common)),
 reach AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
-SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, component_id = d.doc_id AS kept
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id{more}
 FROM d LEFT JOIN sizes USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) USING (doc_id)"""
 
 
@@ -125,5 +127,6 @@ ORACLES = {
     "op3_repeated_passages": REPEATED_PASSAGES,
     "op5_url_filter": url_sql(),
     "op7_decontamination": DECONTAMINATION,
-    "op8_near_duplicates": NEAR_DUPLICATES,
+    "op8_near_duplicates": linked_sets(5, ", component_id = d.doc_id AS kept"),
+    "op12_ngram_join": linked_sets(4),
 }

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tq.llm import alignment, bpe, decontaminate, fingerprint, langid, license, minhash, periodic, quality, suffixes, toxicity, urls
+from tq.llm import alignment, bpe, decontaminate, fingerprint, jaccard, langid, license, minhash, periodic, quality, suffixes, toxicity, urls
 from tq.llm.common import held_out, table
 from tq.llm.oracles import ORACLES
 
@@ -83,6 +83,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.judged(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined_classes(table(spark, sf_dir, "documents"))
+
+
 def with_periods(docs: DataFrame) -> DataFrame:
     """``docs`` with a planted period in the texts of which crc32 of the id ends in 0: from word a on, the first p words
     from there again and again. A null id leaves its text as it is."""
@@ -114,5 +118,6 @@ QUERIES = {
     "op9_fingerprint": op9_fingerprint,
     "op10_language_id": op10_language_id,
     "op11_token_alignment": op11_token_alignment,
+    "op12_ngram_join": op12_ngram_join,
     "op13_periodic_runs": op13_periodic_runs,
 }
