@@ -640,3 +640,83 @@ ORACLES["validate_labels"] = suite_sql("labels", [
     ("quality in [0, 1]", "between", "quality", dict(low=0, high=1)),
     ("toxic in [0, 1]", "between", "toxic", dict(low=0, high=1)),
     ("quality present in at least 99 % of rows", "not_null", "quality", dict(mostly=0.99))])
+
+
+# --- groups, neighbours and columns compared -----------------------------------------------------
+
+BEFORE_CHAIN = [DIRTY, NORM, MINIMAL]
+ORACLES["group_spread"] = with_(BEFORE_CHAIN, """
+SELECT bedrooms, count(price) AS n, median(price) AS median, mad(price) AS mad FROM minimal WHERE price IS NOT NULL GROUP BY bedrooms""")
+ORACLES["group_spread_parts"] = """
+SELECT l_partkey, l_returnflag, count(*) AS n, median(l_extendedprice::DOUBLE) AS median, mad(l_extendedprice::DOUBLE) AS mad
+FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY l_partkey, l_returnflag"""
+ORACLES["group_outlier_rows"] = with_(BEFORE_CHAIN, """
+SELECT id, m.bedrooms, beds FROM minimal m JOIN (
+  SELECT bedrooms, median(beds) AS mid, mad(beds) AS d, count(beds) AS n FROM minimal GROUP BY bedrooms) g
+ON m.bedrooms IS NOT DISTINCT FROM g.bedrooms
+WHERE g.n >= 20 AND g.d > 0 AND (beds < mid - 4 * d OR beds > mid + 4 * d)""")
+
+
+def lonely_sql(source: str, x: str, y: str, radius: float, least: int) -> str:
+    """Places of ``source`` with fewer than ``least`` other rows within ``radius``, by comparing all places."""
+    return f"""(WITH p AS (SELECT {x} AS x, {y} AS y, count(*) AS n FROM {source} WHERE {x} IS NOT NULL AND {y} IS NOT NULL GROUP BY ALL)
+  SELECT a.x, a.y, CAST(sum(b.n) - 1 AS BIGINT) AS neighbours FROM p a JOIN p b
+  ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {radius}::DOUBLE * {radius}::DOUBLE GROUP BY a.x, a.y HAVING sum(b.n) - 1 < {least})"""
+
+
+ORACLES["local_outlier_rows"] = with_(BEFORE_CHAIN, f"""
+SELECT id, latitude, longitude, neighbours FROM minimal m JOIN {lonely_sql('minimal', 'latitude', 'longitude', 0.008, 20)} l
+ON m.latitude = l.x AND m.longitude = l.y""")
+ORACLES["local_outlier_customers"] = f"""
+WITH c AS (SELECT c_custkey, c_acctbal, c_nationkey * 1000.0::DOUBLE AS nation FROM customer)
+SELECT c.*, neighbours FROM c JOIN {lonely_sql('c', 'c_acctbal', 'nation', 50.0, 3)} l ON c.c_acctbal = l.x AND c.nation = l.y"""
+
+_RATIOS = [("price", "price_unusual_for_bedrooms"), ("price / nullif(bedrooms, 0.0)", "price_per_bedrooms_unusual_for_bedrooms"),
+           ("beds", "beds_unusual_for_bedrooms")]
+
+
+def consistent_chain(sfx: str) -> list[str]:
+    """Every row of ``reasoned<sfx>`` with the text of all its reasons; the bounds come from the clean rows of ``reasoned``."""
+    far = [f"coalesce({v} < b{i}.low OR {v} > b{i}.high, false) AS f{i}" for i, (v, _) in enumerate(_RATIOS)]
+    joins = [f"LEFT JOIN bounds{i} b{i} ON r.bedrooms IS NOT DISTINCT FROM b{i}.bedrooms" for i in range(len(_RATIOS))]
+    far = [x.replace("price", "r.price").replace("bedrooms", "r.bedrooms").replace("beds ", "r.beds ") for x in far]
+    texts = ", ".join(f"CASE WHEN f{i} THEN '{reason}' END" for i, (_, reason) in enumerate(_RATIOS))
+    return [
+        f"related{sfx} AS (SELECT *, concat_ws(',', nullif(reject_reason, ''), "
+        f"CASE WHEN beds > 2 * bedrooms + 10 THEN 'beds_far_above_bedrooms' END) AS rr FROM reasoned{sfx})",
+        *([f"bounds{i} AS (SELECT bedrooms, m - 4.0 * d AS low, m + 4.0 * d AS high FROM (SELECT bedrooms, count({v}) AS n, median({v}) AS m, "
+           f"mad({v}) AS d FROM related WHERE rr = '' GROUP BY bedrooms) WHERE n >= 20 AND d > 0)" for i, (v, _) in enumerate(_RATIOS)] if not sfx else []),
+        f"flagged{sfx} AS (SELECT r.*, {', '.join(far)} FROM related{sfx} r {' '.join(joins)})",
+        f"sound{sfx} AS (SELECT * FROM flagged{sfx} WHERE rr = '' AND NOT f0 AND NOT f1 AND NOT f2)",
+        f"lonely{sfx} AS {lonely_sql(f'sound{sfx}', 'latitude', 'longitude', 0.008, 20)}",
+        f"judged{sfx} AS (SELECT f.* EXCLUDE (reject_reason, rr, f0, f1, f2), concat_ws(',', nullif(rr, ''), {texts}, "
+        f"CASE WHEN l.x IS NOT NULL THEN 'coordinates_isolated' END) AS reject_reason "
+        f"FROM flagged{sfx} f LEFT JOIN lonely{sfx} l ON f.latitude = l.x AND f.longitude = l.y)",
+    ]
+
+
+ORACLES["consistency_bounds"] = clean_sql(" UNION ALL ".join(
+    f"SELECT '{reason}' AS reason, bedrooms, low, high FROM bounds{i}" for i, (_, reason) in enumerate(_RATIOS)), consistent_chain(""))
+ORACLES["consistency_reason_counts"] = clean_sql(
+    "SELECT reason, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(string_split(reject_reason, ',')) AS reason FROM judged "
+    "WHERE reject_reason <> '') GROUP BY reason", consistent_chain(""))
+ORACLES["consistency_rejected_rows"] = clean_sql("SELECT * FROM judged WHERE reject_reason <> ''", consistent_chain(""))
+
+_PRICE, _PLACE = [r for _, r in _RATIOS[:2]], ["coordinates_isolated"]
+_MORE = {"price_x100": _PRICE, "price_negative": _PRICE, "beds_extra_digit": ["beds_far_above_bedrooms", _RATIOS[2][1]],
+         "gps_far_shift": _PLACE, "gps_small_shift": _PLACE}
+_ACCEPTED = "CASE a.error_type " + " ".join(f"WHEN '{t}' THEN {m}" for t, m in _MORE.items()) + " ELSE []::VARCHAR[] END"
+_CONSISTENT = _DETECT + consistent_chain("") + consistent_chain("2")
+ORACLES["consistency_recall"] = with_(_CONSISTENT, f"""
+SELECT error_type, injected, detected_fixed, detected, round(100.0::DOUBLE * detected_fixed / injected, 1) AS recall_fixed_pct,
+       round(100.0::DOUBLE * detected / injected, 1) AS recall_pct FROM (
+  SELECT a.error_type, CAST(count(*) AS BIGINT) AS injected,
+    CAST(count_if(list_contains(string_split(j.reject_reason, ','), r.reason)) AS BIGINT) AS detected_fixed,
+    CAST(count_if(list_has_any(string_split(j.reject_reason, ','), list_append({_ACCEPTED}, r.reason))) AS BIGINT) AS detected
+  FROM assignments a JOIN registry r USING (error_type) LEFT JOIN judged2 j ON j.id = a.id
+  WHERE r.detection = 'quarantine' GROUP BY a.error_type)""")
+ORACLES["consistency_collateral"] = with_(_CONSISTENT, """
+SELECT CAST(count(*) AS BIGINT) AS collateral_rows FROM (
+  SELECT DISTINCT id FROM judged2 WHERE reject_reason <> '' AND id IS NOT NULL
+  EXCEPT SELECT id FROM assignments
+  EXCEPT SELECT id FROM judged WHERE reject_reason <> '' AND id IS NOT NULL)""")

@@ -31,6 +31,51 @@ class Limit:
         return f"{self.column}_too_high"
 
 
+@dataclass(frozen=True)
+class Relation:
+    """A rule over several columns: a row is quarantined with ``reason`` where ``condition`` (SQL on the typed
+    columns) is TRUE."""
+
+    reason: str
+    columns: tuple[str, ...]
+    condition: str
+
+
+@dataclass(frozen=True)
+class Ratio:
+    """``numerator`` (per ``denominator``, if given) must lie within ``cutoff`` median absolute deviations of the median of
+    the rows with the same ``by`` columns; learned from trusted rows, for groups of at least ``least`` of them."""
+
+    numerator: str
+    denominator: str | None = None
+    by: tuple[str, ...] = ()
+    cutoff: float = 4.0
+    least: int = 20
+
+    @property
+    def name(self) -> str:
+        return self.numerator if self.denominator is None else f"{self.numerator}_per_{self.denominator}"
+
+    @property
+    def reason(self) -> str:
+        return "_".join([self.name, "unusual", *(["for", *self.by] if self.by else [])])
+
+    @property
+    def columns(self) -> tuple[str, ...]:
+        return (self.numerator, *([self.denominator] if self.denominator else []), *self.by)
+
+
+@dataclass(frozen=True)
+class Nearby:
+    """At least ``least`` other rows lie within ``radius`` of a row's coordinates."""
+
+    x: str
+    y: str
+    radius: float
+    least: int = 20
+    reason: str = "coordinates_isolated"
+
+
 @dataclass(frozen=True)
 class QualityConfig:
     """Column roles and thresholds.
@@ -74,6 +119,10 @@ class QualityConfig:
     box_reason: str = "coordinates_outside_box"
     # (column, limit): adds flag_<column>_gt_<limit>, never quarantines
     long_stay: tuple[str, float] | None = None
+    # rules over several columns, groups and neighbours (operators/consistency.py); none by default
+    relations: tuple[Relation, ...] = ()
+    ratios: tuple[Ratio, ...] = ()
+    nearby: Nearby | None = None
     # text literals recognised as booleans
     true_text: str = "t"
     false_text: str = "f"
@@ -144,6 +193,19 @@ LISTINGS = QualityConfig(
 )
 
 
+# the same, with rules that compare columns and look at the local distribution
+CONSISTENT_LISTINGS = LISTINGS.with_(
+    relations=(Relation("beds_far_above_bedrooms", ("beds", "bedrooms"), "beds > 2 * bedrooms + 10"),),
+    ratios=(
+        Ratio("price", by=("bedrooms",)),
+        Ratio("price", "bedrooms", by=("bedrooms",)),
+        Ratio("beds", by=("bedrooms",)),
+    ),
+    # about 0.9 km of latitude
+    nearby=Nearby("latitude", "longitude", radius=0.008, least=20),
+)
+
+
 @dataclass(frozen=True)
 class InjectionConfig:
     """Parameters of the error-injection experiment."""

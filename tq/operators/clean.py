@@ -75,8 +75,9 @@ class CleanResult:
 
     @property
     def _rules(self) -> list[str]:
-        """Every reason that the row rules can give, in rule order (known when planning)."""
-        return [r.reason for r in row_rules(self.config, self.reasoned.columns)]
+        """Every reason that the rules can give, in rule order (known when planning)."""
+        later = [r.reason for r in self.config.ratios] + ([self.config.nearby.reason] if self.config.nearby else [])
+        return [r.reason for r in row_rules(self.config, self.reasoned.columns)] + later
 
     def _counts(self) -> DataFrame:
         """One wide row: rows kept, clean rows, and rows per reason (``r<i>``): one aggregate, no shuffle of rows."""

@@ -28,6 +28,13 @@ def duplicates_removed(result: CleanResult, name: str) -> DataFrame:
     return kept_rows(result).select((F.lit(result.prepass.rows_in) - F.col("kept")).alias(name))
 
 
+def injected_rows(after: CleanResult, assignments: DataFrame, key: str, max_assigned: int) -> DataFrame:
+    """``(__k, error_type, __r)``: each injected key with the reasons of its row (NULL where no row is left)."""
+    a = assignments.select(F.col(key).alias("__k"), F.col(ERROR_TYPE).alias(ERROR_TYPE))
+    rows = after.reasoned.select(F.col(key).alias("__k"), F.col(REASONS).alias("__r"))
+    return a.join(rows.join(bounded_broadcast(a.select("__k"), max_assigned), "__k", "left_semi"), "__k", "left")
+
+
 def recall(after: CleanResult, assignments: DataFrame, types: list[ErrorType], key: str,
            baseline: CleanResult, max_assigned: int) -> DataFrame:
     """One row per used type: ``error_type, description, injected, detected, recall_pct``.

@@ -65,6 +65,8 @@ def row_rules(config: QualityConfig, columns) -> list[RowRule]:
                 inside = cond if inside is None else inside & cond
             return ~inside
         add(config.box_reason, [b.column for b in config.box], outside)
+    for relation in config.relations:
+        add(relation.reason, relation.columns, lambda r=relation: F.expr(r.condition))
     return rules
 
 

@@ -13,10 +13,11 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tq.config import LISTINGS, InjectionConfig, Limit, QualityConfig
+from tq.config import CONSISTENT_LISTINGS, LISTINGS, InjectionConfig, Limit, QualityConfig
 from tq.functions.columns import col, count_if, is_blank, null_if_match, parse_currency, parse_flag, safe_cast
 from tq.functions.frames import bounded_broadcast, side_by_side
 from tq.operators import explore as X
+from tq.operators import consistency
 from tq.operators.clean import clean
 from tq.operators.dedup import dedup_by_key
 from tq.operators.expect import (
@@ -34,11 +35,14 @@ from tq.operators.expect import (
 from tq.operators.explore import PRICE_FORMAT, PRICE_PROBS
 from tq.operators.inject import ERROR_TYPE, assign, corrupt, error_types, typed_key
 from tq.operators.inject import seeded_sample as _seeded_sample
+from tq.operators.nearby import local_outliers
 from tq.operators.normalize import cast_plan, minimal_typing, normalize, typed_projection
 from tq.operators.profile import column_presence, duplicate_keys, duplicate_rows, profile, table_summary
 from tq.operators.quantiles import approx_quantiles, exact_quantiles
+from tq.operators.spread import group_outliers
+from tq.operators.spread import group_spread as _group_spread
 from tq.operators.rules import REASON_TEXT, REASONS, reason_text
-from tq.plans.experiment import run_experiment
+from tq.plans.experiment import run_consistency_experiment, run_experiment
 from tq.plans.steps import run as run_steps
 from tq.session import materialize
 from tq.sources.files import fresh_scratch, read_partitioned, read_raw_csv, write_json, write_profile_csv, write_raw_csv
@@ -753,3 +757,84 @@ def validate_labels(spark, sf_dir):
         ("toxic in [0, 1]", Between("toxic", low=0, high=1)),
         ("quality present in at least 99 % of rows", NotNull("quality", mostly=0.99)),
     ])
+
+
+# --- groups, neighbours and columns compared (X1, X2) ---------------------------------------------
+
+
+@query
+def group_spread(spark, sf_dir):
+    """Count, median and median absolute deviation of the price by bedrooms (a missing number is a group too)."""
+    return _group_spread(_before(spark, sf_dir), ["bedrooms"], "price")
+
+
+@query
+def group_spread_parts(spark, sf_dir):
+    """The same for many groups: extended prices by part and return flag."""
+    return _group_spread(read_table(spark, sf_dir, "lineitem"), ["l_partkey", "l_returnflag"], "l_extendedprice")
+
+
+@query
+def group_outlier_rows(spark, sf_dir):
+    """Rows whose number of beds is far from that of the rows with as many bedrooms."""
+    rows = _before(spark, sf_dir).select("id", "bedrooms", "beds")
+    return group_outliers(rows, ["bedrooms"], "beds", cutoff=4.0, least=20)
+
+
+@query
+def local_outlier_rows(spark, sf_dir):
+    """Rows with fewer than 20 others within 0.008 degrees."""
+    rows = _before(spark, sf_dir).select("id", "latitude", "longitude")
+    return local_outliers(rows, "latitude", "longitude", radius=0.008, least=20)
+
+
+@query
+def local_outlier_customers(spark, sf_dir):
+    """Customers with fewer than 3 others within 50 in balance and nation (times 1000)."""
+    rows = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", (F.col("c_nationkey") * 1000.0).alias("nation"))
+    return local_outliers(rows, "c_acctbal", "nation", radius=50.0, least=3)
+
+
+def _judged(spark, sf_dir):
+    result = clean(dirty(spark, sf_dir), CONSISTENT_LISTINGS).save(fresh_scratch(spark, "reasoned"))
+    return consistency.judged(result, consistency.learn(result.clean, CONSISTENT_LISTINGS))
+
+
+@query
+def consistency_bounds(spark, sf_dir):
+    """The bounds learned from the clean rows, one row per ratio and group."""
+    learned = consistency.learn(clean(dirty(spark, sf_dir), CONSISTENT_LISTINGS).clean, CONSISTENT_LISTINGS)
+    parts = [limits.select(F.lit(r.reason).alias("reason"), "bedrooms", "low", "high") for r, limits, _ in learned.limits]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query
+def consistency_reason_counts(spark, sf_dir):
+    return _judged(spark, sf_dir).reason_counts()
+
+
+@query
+def consistency_rejected_rows(spark, sf_dir):
+    return _judged(spark, sf_dir).rejected
+
+
+def _consistent(spark, sf_dir, what):
+    """One result of the experiment with all rules; its tables are deleted again, the result is checkpointed."""
+    e = run_consistency_experiment(dirty(spark, sf_dir), CONSISTENT_LISTINGS, INJECTION)
+    out = materialize(what(e))
+    e.release()
+    return out
+
+
+@query
+def consistency_recall(spark, sf_dir):
+    """Recall per error type with the fixed rules, and with those that compare columns, groups and neighbours."""
+    return _consistent(spark, sf_dir, lambda e: e.recall())
+
+
+@query
+def consistency_collateral(spark, sf_dir):
+    return _consistent(spark, sf_dir, lambda e: e.collateral())

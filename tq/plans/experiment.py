@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from tq.config import LISTINGS, InjectionConfig, QualityConfig
-from tq.operators import detect
+from tq.operators import consistency, detect
 from tq.operators.clean import CleanResult, clean
 from tq.operators.inject import assign, corrupt, error_types, usable_types
 from tq.session import materialize, scratch_path
@@ -54,6 +54,37 @@ class Experiment:
         self.scratch = []
 
 
+@dataclass
+class ConsistencyExperiment:
+    """The same experiment, judged by the rules that look at other rows too."""
+
+    fixed: Experiment
+    after: CleanResult
+    baseline: CleanResult
+    learned: consistency.Learned
+
+    def recall(self) -> DataFrame:
+        """Per error type that leaves a reason: what the fixed rule catches and what all rules together do."""
+        e = self.fixed
+        return consistency.recall_with(self.after, e.assignments, e.types, e.config, e.max_assigned)
+
+    def collateral(self) -> DataFrame:
+        e = self.fixed
+        return detect.collateral(self.after, e.assignments, self.baseline, e.config.key, e.max_assigned)
+
+    def release(self) -> None:
+        self.learned.release()
+        self.fixed.release()
+
+
+def run_consistency_experiment(raw: DataFrame, config: QualityConfig, cfg: InjectionConfig = InjectionConfig()) -> ConsistencyExperiment:
+    """Inject and clean as ``run_experiment`` does; bounds are learned from the clean rows of the uncorrupted table, and both
+    tables are judged by them."""
+    e = run_experiment(raw, config, cfg)
+    learned = consistency.learn(e.baseline.clean, config)
+    return ConsistencyExperiment(e, consistency.judged(e.after, learned), consistency.judged(e.baseline, learned), learned)
+
+
 def run_experiment(raw: DataFrame, config: QualityConfig = LISTINGS, cfg: InjectionConfig = InjectionConfig(),
                    baseline: CleanResult | None = None, checkpoint: bool = True) -> Experiment:
     """Baseline clean -> assignments -> corrupted table -> clean again.
