@@ -720,3 +720,59 @@ SELECT CAST(count(*) AS BIGINT) AS collateral_rows FROM (
   SELECT DISTINCT id FROM judged2 WHERE reject_reason <> '' AND id IS NOT NULL
   EXCEPT SELECT id FROM assignments
   EXCEPT SELECT id FROM judged WHERE reject_reason <> '' AND id IS NOT NULL)""")
+
+
+# --- profile state, pairs of missing columns, incremental staging, stateful streams ---------------
+
+def _missing_sql(c: str) -> str:
+    return f"({c} IS NULL OR trim({c}) = '')"
+
+
+ORACLES["incremental_profile"] = with_([DIRTY], " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(count(*) AS BIGINT) AS rows, CAST(count_if({_missing_sql(c)}) AS BIGINT) AS missing_count, "
+    f"round(100.0 * count_if({_missing_sql(c)}) / count(*), 2) AS missing_pct, min({dbl(c)}) AS numeric_min, max({dbl(c)}) AS numeric_max, "
+    f"true AS distinct_within, true AS median_within FROM dirty" for c in TEXT_COLS))
+
+_POWER = "greatest(-6, least(12, floor(log10(abs(v)))))"
+_NUMBER_BUCKET = (f"CASE WHEN v = 0 THEN 0 ELSE CAST(sign(v) * (({_POWER} + 6) * 9 + greatest(1, least(9, floor(abs(v) / pow(10.0, {_POWER}))))) AS INTEGER) END")
+_CELLS = " UNION ALL ".join(
+    f"SELECT '{c}' AS col, side, CASE WHEN {_missing_sql(c)} THEN 'missing' WHEN {dbl(c)} IS NOT NULL THEN 'number' ELSE 'text' END AS kind, "
+    f"{c} AS s, {dbl(c)} AS v FROM sides" for c in TEXT_COLS)
+ORACLES["profile_drift"] = with_([
+    DIRTY,
+    f"sides AS (SELECT *, CASE WHEN coalesce({dbl('minimum_nights')} <= 14, false) THEN 'a' ELSE 'b' END AS side FROM dirty)",
+    f"cells AS ({_CELLS})",
+    f"counts AS (SELECT col, kind, CASE kind WHEN 'missing' THEN 0 WHEN 'number' THEN {_NUMBER_BUCKET} "
+    "ELSE CAST('0x' || substring(md5(s), 1, 2) AS INTEGER) END AS bucket, "
+    "count(*) FILTER (side = 'a') AS a, count(*) FILTER (side = 'b') AS b FROM cells GROUP BY ALL)",
+    "shares AS (SELECT *, sum(a) OVER c AS rows_a, sum(b) OVER c AS rows_b, sum(a) OVER k AS of_a, sum(b) OVER k AS of_b, "
+    "sum(a) OVER o AS upto_a, sum(b) OVER o AS upto_b, count(*) OVER c AS kinds FROM counts "
+    "WINDOW c AS (PARTITION BY col), k AS (PARTITION BY col, kind), o AS (PARTITION BY col, kind ORDER BY bucket))",
+    "pq AS (SELECT *, (a + 0.5::DOUBLE) / (rows_a + 0.5::DOUBLE * kinds) AS p, (b + 0.5::DOUBLE) / (rows_b + 0.5::DOUBLE * kinds) AS q FROM shares)",
+    "dist AS (SELECT col, CAST(max(rows_a) AS BIGINT) AS rows_a, CAST(max(rows_b) AS BIGINT) AS rows_b, "
+    "coalesce(sum(a) FILTER (kind = 'missing'), 0) AS miss_a, coalesce(sum(b) FILTER (kind = 'missing'), 0) AS miss_b, "
+    "round(max(abs(upto_a::DOUBLE / of_a - upto_b::DOUBLE / of_b)) FILTER (kind = 'number' AND of_a > 0 AND of_b > 0), 6) AS ks, "
+    "round(sum((p - q) * ln(p / q)), 6) AS psi FROM pq GROUP BY col)"],
+    "SELECT col AS \"column\", rows_a, rows_b, round(100.0 * miss_a / rows_a, 2)::DOUBLE AS missing_pct_a, round(100.0 * miss_b / rows_b, 2)::DOUBLE AS missing_pct_b, "
+    "ks, psi, (psi > 0.2 OR coalesce(ks > 0.1, false)) AS drifted FROM dist")
+
+ORACLES["missing_pairs"] = with_([DIRTY], " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, count_if({_missing_sql(a)} AND {_missing_sql(b)})::BIGINT AS both_missing, "
+    f"count_if({_missing_sql(a)} AND NOT {_missing_sql(b)})::BIGINT AS only_a_missing, count_if({_missing_sql(b)} AND NOT {_missing_sql(a)})::BIGINT AS only_b_missing, "
+    f"count_if(NOT {_missing_sql(a)} AND NOT {_missing_sql(b)})::BIGINT AS none_missing FROM dirty"
+    for i, a in enumerate(TEXT_COLS) for b in TEXT_COLS[i + 1:]))
+
+ORACLES["stage_incremental"] = ORACLES["scan_csv_roundtrip"]
+ORACLES["stream_validation"] = with_(BEFORE_CHAIN, suite_sql("minimal", LISTING_SUITE))
+
+_BURSTS = """
+WITH base AS (SELECT event_id, ts, CASE WHEN event_id % 97 <> 0 THEN user_id END AS user_id, event_type, value FROM events),
+e AS (SELECT * FROM base UNION ALL SELECT event_id + 10000000, ts + INTERVAL 5 MINUTES, user_id, event_type, value FROM base WHERE event_id % 10 = 3),
+steps AS (SELECT *, coalesce((ts - lag(ts) OVER w >= INTERVAL 6 HOURS)::INT, 1) AS starts FROM e WHERE user_id IS NOT NULL AND event_type IS NOT NULL
+  WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id)),
+bursts AS (SELECT *, sum(starts) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS burst FROM steps),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type, burst ORDER BY ts, event_id, value) AS rn FROM bursts)
+SELECT event_id, ts, user_id, event_type, value FROM ranked WHERE rn = 1
+UNION ALL SELECT event_id, ts, user_id, event_type, value FROM e WHERE user_id IS NULL OR event_type IS NULL"""
+ORACLES["dedup_bursts"] = _BURSTS
+ORACLES["stream_dedup_bursts"] = _BURSTS

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tq.functions.columns import col, count_if, is_blank, parse_currency, safe_cast
+from tq.session import materialize
 from tq.operators.quantiles import approx_quantiles, exact_quantiles, exact_quantiles_of
 
 # fixed values: how a price is written, and the probabilities its distribution is read at
@@ -59,6 +60,38 @@ def cross_missing(df: DataFrame, a: str, b: str) -> DataFrame:
                   count_if(~is_blank(a) & is_blank(b)).alias(f"{a}_present_{b}_missing"))
 
 
+def missing_pairs(df: DataFrame, columns=None) -> DataFrame:
+    """``(a, b, both_missing, only_a_missing, only_b_missing, none_missing)`` of every pair of columns, in schema order.
+
+    One scan: rows are grouped by a mask of their missing columns (combined map-side), the pairs are
+    counted from the distinct masks, of which real tables have few.
+    """
+    names = list(columns or df.columns)
+    mask = F.concat(*[F.when(_is_missing(df, c), F.lit("1")).otherwise(F.lit("0")) for c in names], F.lit(""))
+    masks = df.select(mask.alias("mask")).groupBy("mask").agg(F.count(F.lit(1)).alias("n"))
+    # the distinct masks are written once: the plan behind them need not be optimised again with the pairs
+    masks = materialize(masks)
+    places = F.sequence(F.lit(0), F.lit(max(0, len(names) - 1)))
+    missing = F.filter(places, lambda i: F.col("mask").substr(i + 1, F.lit(1)) == "1")
+    # -1 stands for the table itself, so the counts of single columns and of all rows come from the same rows
+    listed = masks.select("n", F.concat(F.array(F.lit(-1)), missing).alias("at"))
+    pairs = listed.select("n", "at", F.explode("at").alias("i")).select("n", "i", F.explode("at").alias("j")).filter("i < j or i = -1")
+    # one row per pair of columns at most, whatever the table
+    found = {(r["i"], r["j"]): r["n"] for r in pairs.groupBy("i", "j").agg(F.sum("n").alias("n")).collect()}
+    rows, of = found.get((-1, -1), 0), [found.get((-1, i), 0) for i in range(len(names))]
+    out = []
+    for i, a in enumerate(names):
+        for j in range(i + 1, len(names)):
+            both = found.get((i, j), 0)
+            out.append((a, names[j], both, of[i] - both, of[j] - both, rows - of[i] - of[j] + both))
+    return df.sparkSession.createDataFrame(
+        out, "a string, b string, both_missing bigint, only_a_missing bigint, only_b_missing bigint, none_missing bigint")
+
+
+def _is_missing(df: DataFrame, c: str) -> Column:
+    return is_blank(c) if dict(df.dtypes)[c] == "string" else col(c).isNull()
+
+
 def stacked(df: DataFrame, columns, key: str) -> DataFrame:
     """Unpivot numeric text columns to ``(column, key, v)`` with ``v`` parsed as DOUBLE."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), _num(c).alias("v")) for c in columns])

@@ -42,13 +42,16 @@ from tq.operators.quantiles import approx_quantiles, exact_quantiles
 from tq.operators.spread import group_outliers
 from tq.operators.spread import group_spread as _group_spread
 from tq.operators.rules import REASON_TEXT, REASONS, reason_text
+from tq.operators.state import add_slice, drift, merged_profile
 from tq.plans.experiment import run_consistency_experiment, run_experiment
 from tq.plans.steps import run as run_steps
 from tq.session import materialize
 from tq.sources.files import fresh_scratch, read_partitioned, read_raw_csv, write_json, write_profile_csv, write_raw_csv
-from tq.sources.files import stage_raw as _stage_raw
+from tq.sources.files import stage_new, stage_raw as _stage_raw
 from tq.sources.tables import dirty, read_table
+from tq.streaming.dedup import start_dedup_stream, survivors
 from tq.streaming.quarantine import reasoned_stream, start_quarantine_stream
+from tq.streaming.validation import running_result, start_validation_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -838,3 +841,107 @@ def consistency_recall(spark, sf_dir):
 @query
 def consistency_collateral(spark, sf_dir):
     return _consistent(spark, sf_dir, lambda e: e.collateral())
+
+
+# --- profile state of slices (A3, A10 incremental; X3 drift) ---------------------------------------
+
+
+@query
+def incremental_profile(spark, sf_dir):
+    """Three slices of dirty profiled one by one; the merged state against exact values of the whole table: distinct counts
+    within three standard deviations, the rank of the median within the sketch's bound."""
+    path, d = fresh_scratch(spark, "profile-state"), dirty(spark, sf_dir)
+    part = F.pmod(F.coalesce(typed_key("id"), F.lit(0)), F.lit(3))
+    for i in range(3):
+        add_slice(d.filter(part == i), path, f"day{i}")
+    add_slice(d.filter(part == 2), path, "day2")   # a retried day replaces itself
+    merged = merged_profile(spark, path, probs=(0.5,))
+    exact = profile(d, approx=False, exact_distinct=True).select("column", "distinct_exact")
+    middles = {r["column"]: r["q0_5"] for r in merged.select("column", "q0_5").collect()}   # one row per column
+    v = {c: safe_cast(c, "double") for c in d.columns}
+    ranks = d.agg(*[x for i, c in enumerate(d.columns) for x in (
+        F.count(v[c]).alias(f"n{i}"), count_if(v[c] < F.lit(middles[c])).alias(f"l{i}"), count_if(v[c] <= F.lit(middles[c])).alias(f"h{i}"))])
+    slack = lambda i: 0.017 * F.col(f"n{i}") + 1
+    near = ranks.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), (
+        (F.col(f"n{i}") == 0) | ((F.col(f"l{i}") <= 0.5 * F.col(f"n{i}") + slack(i)) & (F.col(f"h{i}") >= 0.5 * F.col(f"n{i}") - slack(i)))).alias("median_within"))
+        for i, c in enumerate(d.columns)])))
+    error = F.abs(F.col("distinct_approx") - F.col("distinct_exact"))
+    both = merged.join(exact, "column").join(near, "column")
+    return both.select("column", "rows", "missing_count", "missing_pct", "numeric_min", "numeric_max",
+                       (error <= 3 * 0.01625 * F.col("distinct_exact")).alias("distinct_within"), "median_within")
+
+
+@query
+def profile_drift(spark, sf_dir):
+    """Short stays against long ones, from the saved state of both (text buckets by md5, so that other engines can check)."""
+    path, d = fresh_scratch(spark, "drift-state"), dirty(spark, sf_dir)
+    short = F.coalesce(safe_cast("minimum_nights", "double") <= 14, F.lit(False))
+    add_slice(d.filter(short), path, "short", text_hash="md5")
+    for name, rows in (("long-1", d.filter(~short & (F.length("id") < 4))), ("long-2", d.filter(~short & ~(F.length("id") < 4)))):
+        add_slice(rows, path, name, text_hash="md5")
+    return drift(spark, path, ["short"], ["long-1", "long-2"])
+
+
+@query
+def missing_pairs(spark, sf_dir):
+    return X.missing_pairs(dirty(spark, sf_dir))
+
+
+# --- incremental staging, stateful streams (S4, X4) -----------------------------------------------
+
+
+@query
+def stage_incremental(spark, sf_dir):
+    """CSV files that arrive in two deliveries; each call stages what is new."""
+    folder, to, log = (fresh_scratch(spark, x) for x in ("deliveries", "staged", "staging-log"))
+    rows = _dirty_with_note(spark, sf_dir)
+    first = F.coalesce(F.length("id") % 2 == 0, F.lit(False))
+    for part in (rows.filter(first), rows.filter(~first)):
+        write_raw_csv(part, folder, mode="append")
+        staged = stage_new(spark, folder, to, log, rows.columns)
+    return normalize(staged)
+
+
+DEDUP_GAP, DEDUP_DELAY = "6 hours", "1 day"
+
+
+def _events(spark, sf_dir):
+    """Events, every 97th without a user, every 10th once more five minutes later under another id."""
+    e = read_table(spark, sf_dir, "events").select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), F.when(F.col("event_id") % 97 != 0, F.col("user_id")).alias("user_id"), "event_type", "value")
+    again = e.filter("event_id % 10 = 3").withColumn("ts", F.col("ts") + F.expr("INTERVAL 5 MINUTES")).withColumn("event_id", F.col("event_id") + 10_000_000)
+    return e.unionByName(again)
+
+
+@query
+def dedup_bursts(spark, sf_dir):
+    """One event per burst of a user and type, as a batch."""
+    return survivors(_events(spark, sf_dir), ["user_id", "event_type"], "ts", DEDUP_GAP).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query
+def stream_dedup_bursts(spark, sf_dir):
+    """The same from a stream that is stopped and started again; a last event moves the watermark past all bursts."""
+    e, landing = _events(spark, sf_dir), fresh_scratch(spark, "events")
+    out, checkpoint = fresh_scratch(spark, "bursts"), fresh_scratch(spark, "bursts-checkpoint")
+    cuts = e.agg(F.min("ts").alias("a"), F.max("ts").alias("z")).select("a", (F.col("a") + (F.col("z") - F.col("a")) / 2).alias("m"), "z").first()
+    last = spark.createDataFrame([(-1,)], "event_id bigint").select(
+        "event_id", (F.lit(cuts["z"]) + F.expr("INTERVAL 30 DAYS")).alias("ts"), F.lit(None).cast("bigint").alias("user_id"),
+        F.lit(None).cast("string").alias("event_type"), F.lit(None).cast("double").alias("value"))
+    for rows in (e.filter(F.col("ts") < F.lit(cuts["m"])), e.filter(F.col("ts") >= F.lit(cuts["m"])), last):
+        rows.write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(e.schema).parquet(landing)
+        start_dedup_stream(stream, out, checkpoint, ["user_id", "event_type"], "ts", DEDUP_GAP, DEDUP_DELAY, available_now=True).awaitTermination()
+    found = spark.read.schema(e.schema).parquet(out).filter("event_id <> -1")
+    return found.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query
+def stream_validation(spark, sf_dir):
+    """The listing suite on dirty as a stream of several micro-batches: equal to the suite on the whole."""
+    d, landing = dirty(spark, sf_dir), fresh_scratch(spark, "landing")
+    d.repartition(6).write.parquet(landing)
+    typed = minimal_typing(spark.readStream.schema(d.schema).option("maxFilesPerTrigger", 2).parquet(landing), LISTINGS)
+    rules, path = build_rules(typed.columns, LISTINGS), fresh_scratch(spark, "suite")
+    start_validation_stream(typed, rules, path, fresh_scratch(spark, "suite-checkpoint"), available_now=True).awaitTermination()
+    return running_result(spark, path, rules)

@@ -60,6 +60,23 @@ def stage_raw(spark: SparkSession, csv_path: str, parquet_path: str, partitions:
     return spark.read.schema(raw.schema).parquet(parquet_path)
 
 
+def stage_new(spark: SparkSession, csv_folder: str, parquet_path: str, checkpoint: str, columns,
+              files_per_batch: int | None = None) -> DataFrame:
+    """Stages only the raw CSV files of a folder that no earlier call has taken, then reads the whole Parquet copy.
+
+    The checkpoint (shared storage) holds the log of files taken; the Parquet sink commits each batch of files
+    as a whole, so a call that broke off is repeated without losing or doubling a row. ``columns``: names of
+    the text columns, in the order of the files.
+    """
+    reader = spark.readStream.options(**CSV_OPTIONS).schema(text_schema(columns))
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    query = (reader.csv(csv_folder).writeStream.format("parquet").option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start(parquet_path))
+    query.awaitTermination()
+    return spark.read.schema(text_schema(columns)).parquet(parquet_path)
+
+
 def read_partitioned(spark: SparkSession, path: str, flag: str = "quarantined",
                      schema: StructType | None = None) -> DataFrame:
     """Read a table written with ``partitionBy(flag)``; the flag comes back as BOOLEAN.
