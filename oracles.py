@@ -688,7 +688,7 @@ def consistent_chain(sfx: str) -> list[str]:
            f"mad({v}) AS d FROM related WHERE rr = '' GROUP BY bedrooms) WHERE n >= 20 AND d > 0)" for i, (v, _) in enumerate(_RATIOS)] if not sfx else []),
         f"flagged{sfx} AS (SELECT r.*, {', '.join(far)} FROM related{sfx} r {' '.join(joins)})",
         f"sound{sfx} AS (SELECT * FROM flagged{sfx} WHERE rr = '' AND NOT f0 AND NOT f1 AND NOT f2)",
-        f"lonely{sfx} AS {lonely_sql(f'sound{sfx}', 'latitude', 'longitude', 0.008, 20)}",
+        f"lonely{sfx} AS {lonely_sql(f'sound{sfx}', 'latitude', 'longitude', 0.008, 100)}",
         f"judged{sfx} AS (SELECT f.* EXCLUDE (reject_reason, rr, f0, f1, f2), concat_ws(',', nullif(rr, ''), {texts}, "
         f"CASE WHEN l.x IS NOT NULL THEN 'coordinates_isolated' END) AS reject_reason "
         f"FROM flagged{sfx} f LEFT JOIN lonely{sfx} l ON f.latitude = l.x AND f.longitude = l.y)",

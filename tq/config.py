@@ -202,7 +202,7 @@ CONSISTENT_LISTINGS = LISTINGS.with_(
         Ratio("beds", by=("bedrooms",)),
     ),
     # about 0.9 km of latitude
-    nearby=Nearby("latitude", "longitude", radius=0.008, least=20),
+    nearby=Nearby("latitude", "longitude", radius=0.008, least=100),
 )
 
 
