@@ -32,7 +32,16 @@ def saved(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.table_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``saved`` wrote, once everything made from them has been written itself."""
+    for t in tables:
+        folder = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.table_path)
+        folder.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def id_fold(doc_id: str = "doc_id", folds: int = 3) -> Column:
@@ -104,7 +113,7 @@ class SpanHash:
     """64-bit hashes of any spans of a byte array from one prefix sum.
 
     A byte at position i adds code[byte] * base^i; a span's sum is multiplied by base^-start, so
-    that equal spans have equal hashes wherever they stand.
+    that equal spans have equal hashes wherever they stand. An array of 64-bit numbers is taken as codes.
     """
 
     BASE = 0x9E3779B97F4A7C15 | 1
@@ -113,9 +122,11 @@ class SpanHash:
         n = len(data)
         inverse = pow(self.BASE, -1, 1 << 64)
         self.down = self.powers(inverse, n + 1)
-        code = mix(np.arange(1, 257, dtype=np.uint64) + np.uint64(seed * 0x2545F4914F6CDD1D % (1 << 64))) | np.uint64(1)
+        if data.dtype == np.uint8:
+            code = mix(np.arange(1, 257, dtype=np.uint64) + np.uint64(seed * 0x2545F4914F6CDD1D % (1 << 64))) | np.uint64(1)
+            data = code[data]
         self.sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(code[data] * self.powers(self.BASE, n), out=self.sums[1:])
+        np.cumsum(data * self.powers(self.BASE, n), out=self.sums[1:])
 
     @staticmethod
     def powers(base: int, n: int) -> np.ndarray:

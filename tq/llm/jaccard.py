@@ -14,8 +14,10 @@ its prefix for every l; its place tells which l an entry is for.
 Hot groups: equal sets are one class. First the classes of a list are compared with one centre, the class with
 the fewest entries that nobody else lists (the likely original), and linked classes become components. Then every
 pair of classes of different components that shares as many prefix shingles as its larger set asks for is
-verified; on a list, the members of the most frequent component need no pairs among each other. So a group of m
-near copies costs about m comparisons, and no link between different components is lost.
+verified; on a list, the members of the most frequent component need no pairs among each other. What two short
+prefixes share bounds what the sets share; it is checked before a pair is made, so texts that only share an origin
+are not all paired. So a group of m near copies costs about m comparisons, and no link between different
+components is lost.
 
 Verification compares full sets. Pairs are dealt by their centre in parts of at most about ``PART`` members; a part
 reads the centre's set once and the members' one after the other.
@@ -28,18 +30,21 @@ apart by 64-bit hashes; n of them hold a false match with probability of about n
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tq.llm.common import as_bytes, runs, saved, slices
+from tq.llm.common import as_bytes, discard, runs, saved, slices
 from tq.llm.minhash import digest, extended, shingle_sets
 
 SHINGLE, PERCENT = 4, 85
 LEVELS, VERIFY = 6, 16
 COUNTERS, PARTS = 1 << 22, 64
+#: The longest prefix that is compared within the join itself.
+SIGNATURE = 64
 #: Members of a centre compared in one part.
 PART = 64
 #: Digests that a task remembers, so that copies list their shingles once per task.
@@ -48,13 +53,13 @@ SEEN = 1_000_000
 
 def scanned(docs: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
     """(doc_id, text_hash, n_shingles, node) of each row, node identifies its set; and, from each task, the
-    counters it raised: (part, places, counts)."""
+    counters it raised, part by part: (part, width, counts), packed counts of so many bytes each."""
 
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
-        names = ["doc_id", "text_hash", "n_shingles", "node", "part", "places", "counts"]
-        types = [pa.int64()] * 4 + [pa.int32(), pa.binary(), pa.binary()]
+        names = ["doc_id", "text_hash", "n_shingles", "node", "part", "width", "counts"]
+        types = [pa.int64()] * 4 + [pa.int32(), pa.int32(), pa.binary()]
         counters = np.zeros(COUNTERS, np.uint32)
         shift = np.uint64(64 - (COUNTERS.bit_length() - 1))
         for batch in slices(batches):
@@ -67,37 +72,37 @@ def scanned(docs: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
                 nodes += [digest(s)[0] if len(s) else None for s in sets]
             empty = [pa.nulls(batch.num_rows, t) for t in types[4:]]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), *empty], names=names)
-        width = COUNTERS // PARTS
+        share = COUNTERS // PARTS
         for part in range(PARTS):
-            mine = counters[part * width : (part + 1) * width]
-            place = np.flatnonzero(mine)
-            if len(place):
-                row = [None] * 4 + [part, place.astype("<u4").tobytes(), mine[place].astype("<u4").tobytes()]
+            mine = counters[part * share : (part + 1) * share]
+            if mine.any():
+                width = 1 if mine.max() < 256 else 4
+                row = [None] * 4 + [part, width, zlib.compress(mine.astype(f"<u{width}").tobytes(), 1)]
                 yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types, strict=True)], names=names)
 
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, node long, part int, places binary, counts binary")
+    return narrow.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, node long, part int, width int, counts binary")
 
 
 def summed(raised: DataFrame) -> np.ndarray:
     """All counters: summed part by part in ``PARTS`` groups of a fixed size; the table has a fixed size too."""
-    width = COUNTERS // PARTS
+    share = COUNTERS // PARTS
 
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
         total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part, places, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                mine = total.setdefault(part, np.zeros(width, np.int64))
-                mine[np.frombuffer(places, "<u4")] += np.frombuffer(counts, "<u4")
+        for batch in slices(batches):
+            for part, width, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                mine = total.setdefault(part, np.zeros(share, np.int64))
+                mine += np.frombuffer(zlib.decompress(counts), f"<u{width}")
         for part, mine in total.items():
             small = np.minimum(mine, (1 << 32) - 1).astype("<u4").tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([small], pa.binary())], names=["part", "total"])
 
     out = np.zeros(COUNTERS, np.uint32)
-    for part, total in raised.repartition(PARTS, "part").select("part", "places", "counts").mapInArrow(run, "part int, total binary").collect():
-        out[part * width : (part + 1) * width] = np.frombuffer(total, "<u4")
+    for part, total in raised.repartition(PARTS, "part").select("part", "width", "counts").mapInArrow(run, "part int, total binary").collect():
+        out[part * share : (part + 1) * share] = np.frombuffer(total, "<u4")
     return out
 
 
@@ -137,7 +142,8 @@ def prefix_entries(sets: list[np.ndarray], counters: np.ndarray, percent: int) -
 
 
 def entries(docs: DataFrame, counters: np.ndarray, size: int, percent: int, text: str) -> DataFrame:
-    """(shingle, node, n, place, level, listed): the prefix of each text's set; copies met in one task list it once."""
+    """(shingle, node, packed): the prefix of each text's set, ``packed`` holds n, place and l; copies met in one task list
+    it once."""
     shared = docs.sparkSession.sparkContext.broadcast(counters)
 
     def run(batches: Iterable) -> Iterator:
@@ -158,25 +164,36 @@ def entries(docs: DataFrame, counters: np.ndarray, size: int, percent: int, text
                         nodes.append(node)
                 if not sets:
                     continue
-                who, shingle, place, level, listed = prefix_entries(sets, shared.value, percent)
+                who, shingle, place, level, _ = prefix_entries(sets, shared.value, percent)
                 n = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
-                columns = [shingle.view(np.int64), np.array(nodes, np.int64)[who], n[who], place, level[who], listed[who]]
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["shingle", "node", "n", "place", "level", "listed"]
-                )
+                packed = (n[who] << 33) | (place << 3) | level[who]
+                columns = [shingle.view(np.int64), np.array(nodes, np.int64)[who], packed]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["shingle", "node", "packed"])
+
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, "shingle long, node long, packed long")
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "shingle long, node long, n int, place int, level int, listed int")
 
+def least_shared(n: Column, m: Column, percent: int) -> Column:
+    """``needed`` as a column."""
+    return F.ceil((n + m) * F.lit(percent) / (100 + percent)).cast("long")
 
-def shared_entries(listed: DataFrame) -> DataFrame:
-    """The entries on lists of several classes, once per class, with ``own``: how many of the class's entries are on
-    lists of its own."""
+
+def shared_entries(listed: DataFrame, percent: int) -> DataFrame:
+    """(shingle, node, n, place, level, listed, own): the entries on lists of several classes, once per class; ``listed``:
+    how many entries the class has, ``own``: how many of them are on lists of its own."""
     several = listed.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("shingle")
-    rows = listed.join(several, "shingle", "left_semi").groupBy("shingle", "node").agg(*[F.first(c).alias(c) for c in ("n", "place", "level", "listed")])
-    rows = saved(rows, "jaccard-shared")
+    rows = listed.join(several, "shingle", "left_semi").groupBy("shingle", "node").agg(F.first("packed").alias("packed"))
+    rows = rows.select(
+        "shingle", "node", F.shiftright("packed", 33).alias("n"), F.shiftright("packed", 3).bitwiseAND((1 << 30) - 1).alias("place"), F.col("packed").bitwiseAND(7).alias("level")
+    )
+    n = F.col("n")
+    large, small = n - least_shared(n, F.ceil(n * percent / 100), percent), n - least_shared(n, n, percent)
+    rows = saved(rows.withColumn("listed", F.least(n, F.greatest(large + F.col("level"), small + LEVELS))), "jaccard-shared")
+    discard(listed)
     own = rows.groupBy("node").agg((F.first("listed") - F.count("*")).alias("own"))
-    return saved(rows.join(own, "node"), "jaccard-entries")
+    out = saved(rows.join(own, "node"), "jaccard-entries")
+    discard(rows)
+    return out
 
 
 def full_sets(docs: DataFrame, chosen: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
@@ -241,36 +258,42 @@ def star_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return pairs.where("common >= asked").select("a", "b")
 
 
-def prefix_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b): every pair of classes of different components whose prefixes share as many shingles as the larger set
-    (ties: the larger node), a, asks for. ``rows`` have their component in ``comp``.
+def met_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b, common, asked): every pair of classes of different components whose prefixes share a shingle: how many
+    they share, and how many a, the larger set (ties: the larger node), asks for. ``rows``: (key, node, comp, n,
+    level, place, listed), the entries by list.
 
-    All shared shingles up to the end of the shorter of two prefixes are met; so the sets share no more than
-    those and what is left behind it, and pairs that need more are left out too.
+    The sizes of a pair tell how much it must share, so on each list only the places that are in the pair's own
+    prefixes meet: of sets of like size half of the entries, and none of texts whose prefix is their own. Two whole
+    prefixes of which one ends share all that the sets share up to there; so short ones are compared at once.
     """
-    sizes = rows.groupBy("shingle", "comp").agg(F.count("*").alias("size")).groupBy("shingle")
+    sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("size")).groupBy("key")
     main = sizes.agg(F.max(F.struct("size", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
-    mixed = saved(rows.join(main.select("shingle", F.col("main.comp").alias("main")), "shingle"), "jaccard-mixed")
-    least = lambda n, m: F.ceil((n + m) * F.lit(percent) / (100 + percent)).cast("long")
-    n = F.col("n")
-    # the places up to which an entry counts in the larger set, and for the smaller one beyond which l it counts
-    mixed = mixed.withColumn("probes", F.col("place") <= n - least(n, F.ceil(n * percent / 100)) + F.col("level"))
-    mixed = mixed.withColumn("beyond", F.col("place") - (n - least(n, n))).withColumn("rest", n - F.col("listed"))
-    columns = ["node", "comp", "n", "rest", "level", "probes", "beyond"]
-    x = mixed.select("shingle", "main", *[F.col(c).alias(f"x_{c}") for c in columns])
-    y = mixed.where("comp <> main").select("shingle", *[F.col(c).alias(f"y_{c}") for c in columns])
+    mixed = rows.join(main.select("key", F.col("main.comp").alias("main")), "key")
+    # short prefixes go along: what two of them share, and what is left behind them, is known in the join
+    whole = mixed.groupBy("node").agg(F.collect_list("key").alias("prefix")).where(F.size("prefix") <= SIGNATURE)
+    mixed = saved(mixed.join(whole, "node", "left"), "jaccard-mixed")
+    columns = ["node", "comp", "n", "level", "place", "listed", "prefix"]
+    x = mixed.select("key", "main", *[F.col(c).alias(f"x_{c}") for c in columns])
+    y = mixed.where("comp <> main").select("key", *[F.col(c).alias(f"y_{c}") for c in columns])
+    larger = (F.col("x_n") > F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_node") > F.col("y_node")))
+    asked = F.when(larger, F.col("x_level")).otherwise(F.col("y_level"))
+    # beyond its prefix a set has as many shingles as the pair must share, less those asked for
+    behind = least_shared(F.col("x_n"), F.col("y_n"), percent) - asked
+    inside = (F.col("x_place") <= F.col("x_n") - behind) & (F.col("y_place") <= F.col("y_n") - behind)
+    sized = F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * percent
+    rest = F.greatest(F.col("x_n") - F.col("x_listed"), F.col("y_n") - F.col("y_listed"))
+    enough = F.size(F.array_intersect("x_prefix", "y_prefix")) + rest >= least_shared(F.col("x_n"), F.col("y_n"), percent)
+    sized = sized & F.when(F.col("x_prefix").isNotNull() & F.col("y_prefix").isNotNull(), enough).otherwise(F.lit(True))
     # a pair of which both are outside the main component is met from both sides: one is kept
-    met = x.join(y, "shingle").where("x_comp <> y_comp and (x_comp = main or x_node < y_node)")
-    met = met.where(F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * percent)
-    larger = F.struct("x_n", "x_node") > F.struct(F.col("y_n").alias("x_n"), F.col("y_node").alias("x_node"))
-    one = lambda c: F.when(larger, F.col(f"x_{c}")).otherwise(F.col(f"y_{c}"))
-    other = lambda c: F.when(larger, F.col(f"y_{c}")).otherwise(F.col(f"x_{c}"))
-    counts = one("probes") & (other("beyond") <= one("level"))
-    pairs = met.groupBy(one("node").alias("a"), other("node").alias("b")).agg(
-        F.count("*").alias("common"), F.count(F.when(counts, 1)).alias("counted"), F.max(one("level")).alias("asked"),
-        F.max(F.greatest("x_rest", "y_rest")).alias("rest"), F.max(least(F.col("x_n"), F.col("y_n"))).alias("needed"),
-    )
-    return pairs.where("counted >= asked and common + rest >= needed").select("a", "b")
+    met = (x["key"] == y["key"]) & F.expr("x_comp <> y_comp and (x_comp = main or x_node < y_node)") & sized & inside
+    pick = lambda first: F.when(larger, F.col("x_node" if first else "y_node")).otherwise(F.col("y_node" if first else "x_node"))
+    return x.join(y, met).groupBy(pick(True).alias("a"), pick(False).alias("b")).agg(F.count("*").alias("common"), F.max(asked).alias("asked"))
+
+
+def prefix_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs of classes of different components that share as much as the larger one asks for."""
+    return met_pairs(rows, percent).where("common >= asked").select("a", "b")
 
 
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int, doc_id: str, text: str) -> DataFrame:
@@ -278,18 +301,24 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, p
     pairs = saved(pairs, "jaccard-pairs")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = saved(full_sets(docs, classes.join(nodes, "node", "left_semi"), size, doc_id, text), "jaccard-sets")
-    return saved(confirmed(pairs, sets, percent), "jaccard-links")
+    out = saved(confirmed(pairs, sets, percent), "jaccard-links")
+    discard(pairs, sets)
+    return out
 
 
 def linked_classes(docs: DataFrame, classes: DataFrame, counters: np.ndarray, size: int, percent: int, doc_id: str, text: str) -> DataFrame | None:
     """(node, root) of the classes that are linked with another one; None if no two share a list."""
-    rows = shared_entries(saved(entries(docs, counters, size, percent, text), "jaccard-prefixes"))
+    rows = shared_entries(saved(entries(docs, counters, size, percent, text), "jaccard-prefixes"), percent)
     if rows.isEmpty():
         return None
     root = extended(None, verified(docs, classes, star_pairs(rows, percent), size, percent, doc_id, text))
-    named = rows.join(root, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
-    pairs = saved(prefix_pairs(named, percent), "jaccard-candidates")
-    return root if pairs.isEmpty() else extended(root, verified(docs, classes, pairs, size, percent, doc_id, text))
+    named = rows.join(root, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root", "own")
+    pairs = saved(prefix_pairs(named.withColumnRenamed("shingle", "key"), percent), "jaccard-candidates")
+    discard(rows)
+    if not pairs.isEmpty():
+        root = extended(root, verified(docs, classes, pairs, size, percent, doc_id, text))
+    discard(pairs)
+    return root
 
 
 def joined_classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
