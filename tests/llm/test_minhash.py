@@ -18,7 +18,7 @@ def shingles(text):
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
 
 
-def expected(rows):
+def expected(rows, percent=85):
     """{(doc_id, size, component)} multiset by comparing all pairs that share a shingle."""
     sets = [shingles(t) for _, t in rows]
     parent = list(range(len(rows)))
@@ -39,7 +39,7 @@ def expected(rows):
                 if j < i:
                     seen[j] = seen.get(j, 0) + 1
         for j, both in seen.items():
-            if 100 * both >= 85 * (len(s) + len(sets[j]) - both):
+            if 100 * both >= percent * (len(s) + len(sets[j]) - both):
                 a, b = find(i), find(j)
                 parent[max(a, b)] = min(a, b)
     ids = {}

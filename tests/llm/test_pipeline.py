@@ -35,20 +35,19 @@ def test_stages(spark):
         if name == "language_id":
             want = [r for r in rows if r[1] and any(c.isalpha() for c in r[1])]
         elif name == "near_duplicates":
-            groups = test_minhash.expected([(r[0], r[1]) for r in rows])
+            groups = test_minhash.expected([(r[0], r[1]) for r in rows], 80)
             heads = {d for d, _, c in groups if d == c}
             assert len(got) == len({c for _, _, c in groups})
             assert {r[0] for r in got} == heads
             want = got
             assert set(got) <= set(rows)
         elif name == "repeated_passages":
-            cut = test_suffixes.expected([r[1] for r in rows])
-            assert len(got) == len(rows)
+            left = test_suffixes.without_passages([r[1] for r in rows], corpus_pipeline.PASSAGE_WORDS)
             by_id = {r[0]: r for r in got}
-            for r, (size, removed, _, _) in zip(rows, cut, strict=True):
-                left = by_id[r[0]]
-                assert left[2:4] == r[2:4] and left[4] == len(left[1])
-                assert left[1] == r[1] if not removed else size - removed - 6 <= len(left[1].encode()) <= size - removed
+            assert len(got) == len(rows)
+            for r, text in zip(rows, left, strict=True):
+                assert by_id[r[0]] == (r[0], text, *r[2:4], len(text))
+            assert left != [r[1] for r in rows]
             want = got
         elif name == "decontamination":
             want = [r for r in rows if not test_native.expected_hits(r[1], items)[1]]

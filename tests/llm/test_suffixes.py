@@ -2,35 +2,54 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from tq.llm import suffixes
-from tq.llm.suffixes import LENGTH
+from tq.llm.suffixes import BITS, LENGTH, SHORT, Shape
 
 SF = "/root/testdata/sf0.01"
 
 
-def expected(texts):
-    """(n_bytes, n_removed, n_spans, sha256) of each text."""
-    data = [(t or "").encode() for t in texts]
+def covered(symbols, length):
+    """For each text, whether each of its places is in a window that starts elsewhere too."""
     seen = {}
-    for d in data:
-        for i in range(len(d) - LENGTH + 1):
-            w = hashlib.blake2b(d[i : i + LENGTH], digest_size=16).digest()
-            seen[w] = seen.get(w, 0) + 1
+    names = [[hashlib.blake2b(repr(d[i : i + length]).encode(), digest_size=16).digest() for i in range(len(d) - length + 1)] for d in symbols]
+    for w in (w for x in names for w in x):
+        seen[w] = seen.get(w, 0) + 1
     out = []
-    for d in data:
+    for d, mine in zip(symbols, names, strict=True):
         gone = np.zeros(len(d) + 1, bool)
-        for i in range(len(d) - LENGTH + 1):
-            if seen[hashlib.blake2b(d[i : i + LENGTH], digest_size=16).digest()] > 1:
-                gone[i : i + LENGTH] = True
+        for i, w in enumerate(mine):
+            if seen[w] > 1:
+                gone[i : i + length] = True
         gone[len(d)] = False
+        out.append(gone)
+    return out
+
+
+def expected(texts, length=LENGTH, short=SHORT):
+    """(n_bytes, n_removed, n_spans, sha256, n_short) of each text."""
+    data = [(t or "").encode() for t in texts]
+    out = []
+    for d, gone, near in zip(data, covered(data, length), covered(data, short), strict=True):
         spans = int((gone[:-1] & ~np.concatenate([[False], gone[:-1]])[: len(d)]).sum()) if d else 0
         kept = bytes(b for b, g in zip(d, gone, strict=False) if not g)
-        out.append((len(d), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+        out.append((len(d), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), int(near.sum())))
+    return out
+
+
+def without_passages(texts, length):
+    """The texts without words that a repeated sequence of so many words covers, each with the blanks behind it."""
+    parts = [re.findall(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*|^[\x20\x09-\x0D]+", t or "") for t in texts]
+    words = [[p.strip(" \t\n\v\f\r") for p in x if p.strip(" \t\n\v\f\r")] for x in parts]
+    out = []
+    for t, x, gone in zip(texts, parts, covered(words, length), strict=True):
+        ahead = int(bool(x) and not x[0].strip(" \t\n\v\f\r"))
+        out.append(t if not gone.any() else "".join(p for i, p in enumerate(x) if i < ahead or not gone[i - ahead]))
     return out
 
 
@@ -41,7 +60,8 @@ def key(row):
 def check(spark, rows, **options):
     frame = spark.createDataFrame([(i, t, 5, "k") for i, t in rows], "doc_id long, text string, t int, place string").repartition(3)
     got = [tuple(r) for r in suffixes.deduplicated(frame, **options).collect()]
-    want = [(i, *e) for (i, _), e in zip(rows, expected([t for _, t in rows]), strict=True)]
+    lengths = options["shape"].length if "shape" in options else LENGTH, options.get("short", SHORT)
+    want = [(i, *e) for (i, _), e in zip(rows, expected([t for _, t in rows], *lengths), strict=True)]
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
@@ -78,6 +98,47 @@ def test_passages_of_all_lengths(spark, seed, batches):
     check(spark, rows, batches=batches)
 
 
+@pytest.mark.parametrize("length, short", [(60, 7), (33, 33), (400, 51)])
+def test_other_lengths(spark, length, short):
+    r = random.Random(length)
+    pool = [letters(r, 700) for _ in range(3)]
+    rows = []
+    for i in range(40):
+        parts = []
+        for _ in range(r.randint(1, 4)):
+            p, a = r.choice(pool), r.randint(0, 300)
+            parts += [letters(r, r.randint(0, 40)), p[a : a + r.randint(short // 2, length + 20)]]
+        rows.append((i, "".join(parts)))
+    check(spark, rows, shape=Shape(length), short=short)
+
+
+@pytest.mark.parametrize("length", [2, 9, 50])
+def test_passages_counted_in_words(spark, length):
+    """Repeated passages around the length in words, parted by any blanks; other columns stay."""
+    r = random.Random(length)
+    word = lambda: letters(r, r.randint(1, 9), "abcdeé") + r.choice([" ", "\n", "  ", "\t", " \r\n"])
+    pool = [[word() for _ in range(3 * length)] for _ in range(4)]
+    rows = [(0, None), (1, ""), (2, " \n"), (3, "a " * (length + 1)), (4, "b\n" * length), (5, "b " * length), (6, "c " * (length - 1)), (7, "c " * (length - 1))]
+    for i in range(40):
+        parts = [r.choice(["", " ", "\n"])]
+        for _ in range(r.randint(1, 4)):
+            p, a = r.choice(pool), r.randint(0, length)
+            parts += [word() * r.randint(0, 2) for _ in range(r.randint(0, 3 * length))] + p[a : a + r.randint(length - 2, length + 3)]
+        rows.append((10 + i, "".join(parts)))
+    frame = spark.createDataFrame([(i, t, 7) for i, t in rows], "doc_id long, text string, t int").repartition(3)
+    left = suffixes.shortened(frame, shape=Shape(length, words=True), batches=2)
+    assert left.columns == frame.columns
+    want = without_passages([t for _, t in rows], length)
+    assert sorted(((x.doc_id, x.text) for x in left.collect()), key=str) == sorted(((i, t) for (i, _), t in zip(rows, want, strict=True)), key=str)
+    assert sum(t != u for (_, t), u in zip(rows, want, strict=True)) > 10
+
+
+def test_lengths_out_of_range():
+    for length in (1, (1 << BITS) + 1):
+        with pytest.raises(ValueError):
+            Shape(length)
+
+
 def test_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
@@ -111,15 +172,15 @@ def test_long_texts_are_read_in_chunks(monkeypatch):
     texts += [texts[0], b"short " * 100]
     sizes, anchors = [], suffixes.anchors
 
-    def seen(values):
+    def seen(values, shape):
         sizes.append(sum(map(len, values)))
-        return anchors(values)
+        return anchors(values, shape)
 
     want = set()
     for i, text in enumerate(texts):
         _, key, context, start, to, length = anchors([text])
         t, n = (0, 2) if i == 24 else (i, 2 if i == 0 else 1)
-        want |= set(zip(key.view(np.int64).tolist(), context.view(np.int64).tolist(), [t] * len(key), ((start << 16) | (to << 8) | length).tolist(), [n] * len(key), strict=True))
+        want |= set(zip(key.view(np.int64).tolist(), context.view(np.int64).tolist(), [t] * len(key), ((start << 2 * BITS) | (to << BITS) | length).tolist(), [n] * len(key), strict=True))
     monkeypatch.setattr(suffixes, "anchors", seen)
     numbers = [0 if i == 24 else i for i in range(len(texts))]
     batch = pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array([x.decode() for x in texts])], names=["t", "text"])
