@@ -57,9 +57,9 @@ runs AS (SELECT doc_id, min(i) AS a, max(i) + 400 AS b FROM
 gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs),
 kept AS (SELECT d.doc_id, any_value(h) AS h, string_agg(hex(h[before + 1 : a]), '' ORDER BY a) AS head, max(b) AS b,
     sum(b - a) AS removed, count(*) AS spans FROM gaps JOIN d USING (doc_id) GROUP BY d.doc_id),
-w2 AS (SELECT doc_id, i, md5(h[i + 1 : i + 200]) AS m FROM (SELECT doc_id, h, unnest(range(n - 199)) AS i FROM d)),
+w2 AS (SELECT doc_id, i, md5(h[i + 1 : i + 300]) AS m FROM (SELECT doc_id, h, unnest(range(n - 299)) AS i FROM d)),
 hit2 AS (SELECT doc_id, i FROM w2 WHERE m IN (SELECT m FROM w2 GROUP BY m HAVING count(*) > 1)),
-short AS (SELECT doc_id, sum(least(200, coalesce(next - i, 200))) AS n_short FROM
+short AS (SELECT doc_id, sum(least(300, coalesce(next - i, 300))) AS n_short FROM
     (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM hit2) GROUP BY doc_id)
 SELECT d.doc_id, d.n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
     sha256(CASE WHEN k.doc_id IS NULL THEN d.h ELSE unhex(head || hex(k.h[b + 1 : d.n])) END) AS kept_sha256,

@@ -48,7 +48,7 @@ from tq.session import checkpoint_dir
 #: Bytes of the shortest repeated string that goes, in the query.
 LENGTH = 400
 #: Bytes of the shorter strings that the query marks without removing them.
-SHORT = 200
+SHORT = 300
 #: Batches in which the whole-table query adds its documents.
 BATCHES = 4
 ODD = np.uint64(0x9E3779B97F4A7C15)
