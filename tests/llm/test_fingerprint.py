@@ -6,6 +6,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from tq.llm import fingerprint as fp
 
@@ -13,8 +15,9 @@ SF = "/root/testdata/sf0.01"
 
 
 def expected(rows):
-    """(doc_id, n_chars, edited_sha256) by plain sorting; null ids first."""
-    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    """(doc_id, n_chars, edited_sha256) by plain sorting; null ids first, equal ids by the hash of the text."""
+    low = lambda text: xxhash.xxh64_intdigest(text.encode(), seed=42) >> 1
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, low(r[1] or ""), r[1] or ""))
     texts = [t or "" for _, t in rows]
     out = []
     for i, (doc_id, _) in enumerate(rows):
@@ -43,6 +46,76 @@ def test_next_document_and_edits(spark, parts):
     assert fp.compared(docs.where("false"), parts=parts).count() == 0
 
 
+@pytest.mark.parametrize("hot", [None, 7])
+def test_an_id_that_holds_a_third_of_the_rows(spark, hot):
+    """Its rows are dealt over several ranges, and the order still holds across them."""
+    rows = [(hot if i % 3 == 0 else i, f"text {i} " * 3) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    dealt = fp.routed(docs, 12, "doc_id", "text")
+    sizes = [r.n for r in dealt.groupBy("part").agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 3000 + len(sizes) and max(sizes) <= 1.5 * np.median(sizes)
+    got = fp.compared(docs, parts=12).collect()
+    assert sorted([tuple(r)[:3] for r in got], key=key) == sorted(expected(rows), key=key)
+
+
+def test_copies_of_one_row(spark):
+    """Copies are each other's next document; one of them is followed by another text."""
+    rows = [(1, "the same text, again")] * 300 + [(i, f"other text {i}") for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = fp.compared(docs, parts=8).collect()
+    assert sorted([tuple(r)[:3] for r in got]) == sorted(expected(rows))
+    assert sum(r.doc_id == 1 and r.near_next == 1.0 for r in got) >= 299
+
+
+def plain_chain(text, ranks):
+    """The chain of filters of one text, window by window."""
+    data, (width, run, points) = text.encode(), fp.SHAPE
+    steps = fp.window_entropies([data], fp.SHAPE)[3][: max(0, len(data) - width + 1)]
+    rank = [int(ranks[s]) if s >= 0 else -1 for s in steps]
+    gained = Counter()
+    for i in range(len(rank) - run + 1):
+        mine = [(r, j) for j, r in enumerate(rank[i : i + run], i) if r >= 0]
+        if mine:
+            gained[min(mine)[1]] += 1
+    spans = [(i, i + width) for i in sorted(gained) if gained[i] >= points] or ([(0, len(data))] if data else [])
+    hashes = fp.SpanHash(np.frombuffer(data or b" ", np.uint8), seed=9)
+    found = list(dict.fromkeys(int(hashes.spans(np.array([a]), np.array([b]))[0]) for a, b in spans))
+    out = []
+    for i in range(0, len(found), fp.CAPACITY):
+        bits = {(f >> (11 * k)) % (1 << 53) % fp.BITS for f in found[i : i + fp.CAPACITY] for k in range(fp.HASHES)}
+        out.append(bits)
+    return out
+
+
+def plain_likeness(a, b):
+    if a == b:
+        return 1.0
+    if not a or not b:
+        return 0.0
+    if len(a) > len(b):
+        a, b = b, a
+    total = 0.0
+    for x in a:
+        best = 0.0
+        for y in b:
+            chance, most = len(x) * len(y) / fp.BITS, min(len(x), len(y))
+            best = max(best, min(1.0, (len(x & y) - chance) / max(most - chance, 1e-6)))
+        total += best * len(x)
+    return total / sum(map(len, a))
+
+
+def test_fingerprints_and_likeness_against_plain_python():
+    texts = ["", "short", "a" * 200, prose(11, 900), prose(12, 5000), prose(12, 2500) + prose(13, 2500), prose(14, 1200, "äöüßéè")]
+    ranks = plain_ranks([t.encode() for t in texts])
+    made = fp.chains([t.encode() for t in texts], ranks)
+    plain = [plain_chain(t, ranks[fp.SHAPE[0]]) for t in texts]
+    for chain, sets in zip(made, plain, strict=True):
+        assert [set(np.flatnonzero(np.unpackbits(f)).tolist()) for f in chain] == sets
+    for i, a in enumerate(made):
+        for j, b in enumerate(made):
+            assert abs(fp.likeness(a, b) - plain_likeness(plain[i], plain[j])) < 1e-4
+
+
 def test_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = fp.compared(docs).collect()

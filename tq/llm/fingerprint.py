@@ -10,11 +10,13 @@ as a share of the most there could be, the best match of each filter of the shor
 filters' bits (the last filter of a chain can hold few).
 
 The next document of each text, by ascending id, is found by sorting: rows are routed to partitions by
-id, sorted there, and read once in order; the first row of a partition is sent to the one before too.
+id, those of an id that fills several partitions by the hash of their text too, sorted there, and read once in
+order; one copy of the first row of a partition is sent to the one before. Only rows with the same id and the
+same text always meet in one partition.
 
 Rows: null text counts as empty and has the empty fingerprint; a text without a feature (short, or
 uniform) has one feature, its whole content. Rows with a null id come first; equal ids are ordered by
-text. A single row is its own next document. Likeness is 1 for equal fingerprints, else 0 if one is
+the hash of the text, then by the text. A single row is its own next document. Likeness is 1 for equal fingerprints, else 0 if one is
 empty. Other columns are not looked at.
 """
 
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -37,6 +40,8 @@ BITS, HASHES, CAPACITY = 2048, 5, 160
 STEPS, LEAST = 1000, 100
 #: Bytes handled at once: a piece and its counters stay in the processor's cache.
 PIECE = 1 << 15
+#: Bounds of a range of ids: so finely is an id with many rows told from its neighbours.
+FINE = 8
 
 
 def entropies(data: np.ndarray, width: int) -> np.ndarray:
@@ -179,21 +184,42 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def routed(docs: DataFrame, parts: int, doc_id: str, text: str) -> DataFrame | None:
-    """(part, extra, place, doc_id, text): rows by ranges of the id, and each range's first rows once more
-    at the end of the range before. None for an empty table."""
+    """(part, extra, place, doc_id, text, hash): rows by ranges of (id, hash of the text), and each range's first row once
+    more at the end of the range before. None for an empty table.
+
+    The bounds are ids at equal shares of the rows, ``FINE`` for each range. An id that takes several shares is
+    several bounds; its rows are dealt to them by their hashes.
+    """
     place = F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))
     rows = docs.select(place.alias("place"), F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # percentiles are ids that exist, so each range begins with its bound
-    shares = [i / parts for i in range(1, parts)] or [0.5]
-    low, bounds = rows.agg(F.min("place"), F.percentile_approx("place", shares, 10 * max(parts, 100))).first()
+    total = FINE * parts
+    shares = [i / total for i in range(1, total)]
+    low, bounds = rows.agg(F.min("place"), F.percentile_approx("place", shares, 10 * max(total, 100))).first()
     if low is None:
         return None
-    bounds = sorted({low, *(bounds if parts > 1 else [])})
-    part = _range_of(F.col("place"), bounds)
-    before = F.when(F.col("place").isin(bounds), (part + len(bounds) - 1) % len(bounds))
-    copies = F.array_compact(F.array(F.struct(part.alias("part"), F.lit(False).alias("extra")), F.when(before.isNotNull(), F.struct(before.alias("part"), F.lit(True).alias("extra")))))
-    dealt = rows.select("*", F.inline(copies))
-    return dealt.repartitionById(len(bounds), F.col("part")).sortWithinPartitions("extra", "place", "text")
+    times, kept, seen = Counter([low, *bounds]), [], 0
+    for bound in sorted(times):
+        share = (bound, seen, times[bound])
+        seen += times[bound]
+        # a bound within the range of the one before changes nothing
+        if not kept or (seen - 1) // FINE > (kept[-1][1] + kept[-1][2] - 1) // FINE:
+            kept.append(share)
+    bounds, first, many = map(list, zip(*kept, strict=True))
+    index = F.col("index") + 1
+    known = lambda xs: F.element_at(F.array(*[F.lit(x).cast("long") for x in xs]), index)
+    own = F.least(F.floor(F.col("hash") / F.lit(float(1 << 63)) * known(many)), known(many) - 1)
+    rows = rows.withColumn("hash", F.shiftrightunsigned(F.xxhash64("text"), 1)).withColumn("index", _range_of(F.col("place"), bounds))
+    unit = known(first) + F.when(F.col("place") == known(bounds), own).otherwise(known(many) - 1)
+    rows = rows.withColumn("part", F.floor(unit / FINE).cast("int")).drop("index")
+    # at most one row per range: where each begins, and the range that holds the row before
+    begins = rows.groupBy("part").agg(F.min(F.struct("place", "hash")).alias("b")).select("part", "b.place", "b.hash").collect()
+    filled = sorted(r.part for r in begins)
+    before = {p: filled[i - 1] for i, p in enumerate(filled)}
+    begins = docs.sparkSession.createDataFrame([(r.part, r.place, r.hash, before[r.part]) for r in begins], "part int, place long, hash long, before int")
+    met = rows.join(F.broadcast(begins), ["part", "place", "hash"]).groupBy("before").agg(F.min(F.struct("place", "hash", "text", "doc_id")).alias("r"))
+    extra = met.select(F.col("before").alias("part"), F.lit(True).alias("extra"), "r.place", "r.doc_id", "r.text", "r.hash")
+    dealt = rows.select("part", F.lit(False).alias("extra"), "place", "doc_id", "text", "hash").unionByName(extra)
+    return dealt.repartitionById(parts, F.col("part")).sortWithinPartitions("extra", "place", "hash", "text")
 
 
 def _range_of(value: Column, bounds: list[int]) -> Column:
