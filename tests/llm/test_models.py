@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tq.llm import langid, quality, toxicity
 from tq.llm.common import held_out, table
-from tq.llm.samples import smallest_hashes
+from tq.llm.samples import sample_texts, smallest_hashes
 
 SF = "/root/testdata/sf0.1"
 LABELS = "doc_id long, quality int, toxic int"
@@ -34,6 +34,33 @@ def test_samples_are_bounded_and_repeatable(spark):
     assert counts == {"a": 50, "b": 13, "c": 50}
 
 
+def test_samples_of_repeated_ids(spark):
+    """An id that holds a third of the rows, other labels and copies: the sample keeps its bound and its labels."""
+    rows = [(7, f"text {i}", "a") for i in range(2000)] + [(8, "one text", "b")] * 1000 + [(i, f"own {i}", "c") for i in range(9, 2009)] + [(i, f"no label {i}", None) for i in range(9, 2009)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    chosen = smallest_hashes(docs, F.col("lang"), 300, text="text")
+    got = sample_texts(docs, chosen, label=F.col("lang")).collect()
+    assert len(got) == len(set(got)) == 601 and {tuple(r) for r in got} <= {(i, lang, t) for i, t, lang in rows}
+    assert [sum(r.label == x for r in got) for x in "abc"] == [300, 1, 300]
+    # drawn by id alone, as for labels of another table: one text of each id, the same one on each run
+    by_id = smallest_hashes(docs.where("lang is not null").dropDuplicates(["doc_id"]), F.lit(1), 5000)
+    texts = [sorted(map(tuple, sample_texts(docs.repartition(n), by_id).collect())) for n in (2, 7)]
+    assert texts[0] == texts[1] and [i for i, _, _ in texts[0]] == [7, 8, *range(9, 2009)]
+
+
+def test_training_on_repeated_ids(spark):
+    words = {"en": "the and of to in", "fr": "le la les des et"}
+    rows = [(3, f"{words['en']} {i}", "en") for i in range(1500)] + [(5, f"{words['fr']} {i % 2}", "fr") for i in range(1500)] + [(5, words["en"], None)] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").where(~held_out()).repartition(3)
+    seen = {r.lang for r in docs.where("lang is not null").select("lang").distinct().collect()}
+    model = langid.train(docs)
+    assert set(model.languages) == seen
+    known = spark.createDataFrame([(3, 1, 1), (5, 0, 0)], LABELS)
+    for module in (quality, toxicity):
+        scored = quality.scores(docs, module.train(docs, known))
+        assert scored.count() == docs.count()
+
+
 def labelled(spark, scored, label):
     labels = table(spark, SF, "labels").select("doc_id", F.col(label).alias("y"))
     rows = scored.join(labels, "doc_id").where(held_out()).collect()

@@ -146,8 +146,8 @@ def has_letter(text: Column) -> Column:
 def train(docs: DataFrame, per_language: int = 300, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """Learns from rows outside the held-out fold that have a language and a letter."""
     usable = docs.where(~held_out(doc_id) & F.col(lang).isNotNull() & has_letter(F.col(text)))
-    chosen = smallest_hashes(usable, F.col(lang), per_language, doc_id)
-    rows = sample_texts(docs, chosen, doc_id, text).select("doc_id", "label", "text").collect()
+    chosen = smallest_hashes(usable, F.col(lang), per_language, doc_id, text)
+    rows = sample_texts(usable, chosen, doc_id, text, F.col(lang)).collect()
     rows.sort(key=lambda r: (r.doc_id, r.label, r.text))
     return fit([r.text.encode() for r in rows], [r.label for r in rows])
 

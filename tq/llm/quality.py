@@ -156,8 +156,9 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = 2000, unlabelled:
     prior = known.agg(F.avg("label")).first()[0]
     prior = 0.5 if prior is None else min(0.98, max(0.02, float(prior)))
     trusted = smallest_hashes(known.where("label = 1"), F.lit(1), positives)
-    web = smallest_hashes(docs.where(~held_out(doc_id)), F.lit(0), unlabelled, doc_id)
-    rows = sample_texts(docs, trusted.unionByName(web), doc_id, text).select("doc_id", "label", "text").collect()
+    unseen = docs.where(~held_out(doc_id))
+    web = smallest_hashes(unseen, F.lit(0), unlabelled, doc_id, text)
+    rows = sample_texts(docs, trusted, doc_id, text).unionByName(sample_texts(unseen, web, doc_id, text, F.lit(0))).collect()
     rows.sort(key=lambda r: (r.label, r.doc_id, r.text))
     return fit([r.text.encode() for r in rows if r.label], [r.text.encode() for r in rows if not r.label], prior)
 

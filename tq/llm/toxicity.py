@@ -174,7 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, doc_id: str
     """Learns from labelled documents outside the held-out fold, at most ``per_class`` of each label."""
     known = labels.where(~held_out(doc_id)).groupBy(F.col(doc_id).alias("doc_id")).agg(F.max(label).alias("label")).dropna()
     chosen = smallest_hashes(known, F.col("label"), per_class)
-    rows = sample_texts(docs, chosen, doc_id, text).select("doc_id", "label", "text").collect()
+    rows = sample_texts(docs, chosen, doc_id, text).collect()
     rows.sort(key=lambda r: (r.doc_id, r.label, r.text))
     return calibrated([r.text.encode() for r in rows], np.array([int(r.label > 0) for r in rows]))
 
