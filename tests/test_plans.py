@@ -5,6 +5,7 @@ import io
 import re
 
 from tq.config import LISTINGS, InjectionConfig
+from tq.functions import frames
 from tq.operators import explore as X
 from tq.operators.clean import clean
 from tq.operators.dedup import dedup_by_key
@@ -33,6 +34,27 @@ def test_dedup_sorts_no_row_of_an_unrepeated_key(spark):
     assert all("LeftSemi" in b for b in branches if "SortAggregate" in b)
 
 
+def test_dedup_sorts_no_row_when_broadcasts_are_not_chosen_by_spark(spark, monkeypatch):
+    """A table too large for Spark to guess that few keys repeat: they are counted, and hashed where there are many."""
+    rows = [(str(i if i % 5 else i // 10), i) for i in range(60)] + [(None, 1), (None, 1)]
+    df, joins = spark.createDataFrame(rows, "id string, v int"), []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = []
+        for most in (2_000_000, 0):
+            monkeypatch.setattr(frames, "MAX_BROADCAST_ROWS", most)
+            out = dedup_by_key(df, "id")
+            joins.append(plan(out))
+            found.append(sorted(map(tuple, out.collect()), key=str))
+        e = plan(eligibility(df, df.select("id"), "id", [t for t in error_types(LISTINGS) if t.name == "duplicate_rows"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in joins[0] + joins[1] + e
+    assert "BroadcastHashJoin" in joins[0] and "ShuffledHashJoin" in joins[1]
+    smallest = {k: min(v for x, v in rows if x == k) for k, _ in rows if k}
+    assert found[0] == found[1] == sorted([*smallest.items(), (None, 1), (None, 1)], key=str)
+
+
 def test_profile_is_one_aggregate(spark):
     p = plan(profile(dirty(spark, SF_SMALL)))
     exchanges = [line for line in p.splitlines() if "Exchange" in line and "SinglePartition" in line]

@@ -34,3 +34,9 @@ MAX_BROADCAST_ROWS = 2_000_000
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """``broadcast(df)`` when ``max_rows`` (a proven upper bound of its rows) is small enough, else ``df``."""
     return F.broadcast(df) if max_rows <= MAX_BROADCAST_ROWS else df
+
+
+def hashed_side(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` (``rows`` rows, counted) as the hashed side of a join: broadcast when small enough, else shuffled. The rows of
+    the other side are not sorted either way."""
+    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df.hint("shuffle_hash")

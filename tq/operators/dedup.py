@@ -5,10 +5,12 @@ order, NULL first, NaN last) — the same row a
 ``row_number() OVER (PARTITION BY key ORDER BY <others> NULLS FIRST) = 1``
 would keep.  Keys are nearly always unique, so the whole rows are not grouped:
 
-1. a hash aggregate over the key column alone finds the repeated keys;
-2. rows of all other keys pass through an anti join with them, unsorted where
-   the repeated keys are few enough for Spark to broadcast them (decided at run
-   time from their size; otherwise it plans a shuffle join);
+1. a hash aggregate over the key column alone finds the repeated keys, which are
+   written once and counted (Spark sees the size of the aggregate's input only, so
+   it would sort every row by its key for a handful of repeated ones);
+2. rows of all other keys pass through an anti join with them, unsorted: the
+   repeated keys are broadcast while they are few, beyond that both sides are
+   shuffled and the keys, not the rows, are hashed;
 3. only rows of repeated keys reach the survivor aggregate, ``min(struct(<others>))``
    per key, which is combined map-side: a key that holds a third of the table
    reaches the reducer as one partial row per map task.
@@ -25,7 +27,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tq.functions import frames
 from tq.functions.columns import col
+from tq.session import materialize
 
 _SURVIVOR = "__tq_survivor"
 
@@ -51,7 +55,8 @@ def dedup_by_key(df: DataFrame, key: str, order: list[str] | None = None) -> Dat
     without_key = df.filter(col(key).isNull())
     if not others:
         return with_key.distinct().unionByName(without_key)
-    repeated = repeated_keys(df, key)
+    repeated = materialize(repeated_keys(df, key))
+    repeated = frames.hashed_side(repeated, repeated.count())
     single = with_key.join(repeated, key, "left_anti").select([col(c) for c in columns])
     packed = F.struct(*[col(c).alias(f"f{i}") for i, c in enumerate(order + rest)])
     grouped = with_key.join(repeated, key, "left_semi").groupBy(col(key)).agg(F.min(packed).alias(_SURVIVOR))

@@ -462,16 +462,17 @@ def _assignments(spark, sf_dir):
     return assign(d, _valid_keys(spark, sf_dir), LISTINGS, INJECTION)
 
 
-def _corrupted(spark, sf_dir):
+def _corrupted(spark, sf_dir, assignments=None):
     d = dirty(spark, sf_dir)
-    return corrupt(d, _assignments(spark, sf_dir), LISTINGS, INJECTION)
+    return corrupt(d, _assignments(spark, sf_dir) if assignments is None else assignments, LISTINGS, INJECTION)
 
 
 @query
 def valid_rows_semi_join(spark, sf_dir):
     d = dirty(spark, sf_dir)
     valid = _valid_keys(spark, sf_dir).select(F.col("id").alias("__k"))
-    return d.withColumn("__k", typed_key("id")).join(valid, "__k", "left_semi").drop("__k")
+    # the valid keys are hashed per partition: the rows are not sorted
+    return d.withColumn("__k", typed_key("id")).join(valid.hint("shuffle_hash"), "__k", "left_semi").drop("__k")
 
 
 @query
@@ -513,9 +514,10 @@ def inject_assignments(spark, sf_dir):
 
 def _inject_type(name, columns):
     def q(spark, sf_dir):
-        picked = _assignments(spark, sf_dir).filter(F.col(ERROR_TYPE) == name).select(F.col("id").alias("__k"))
-        rows = _corrupted(spark, sf_dir).withColumn("__k", typed_key("id"))
-        return rows.join(picked, "__k", "left_semi").select(F.col("__k").alias("key"), *columns)
+        assignments = materialize(_assignments(spark, sf_dir))   # n rows per type, read twice
+        picked = assignments.filter(F.col(ERROR_TYPE) == name).select(F.col("id").alias("__k"))
+        rows = _corrupted(spark, sf_dir, assignments).withColumn("__k", typed_key("id"))
+        return rows.join(bounded_broadcast(picked, INJECTION.n), "__k", "left_semi").select(F.col("__k").alias("key"), *columns)
     q.__name__ = f"inject_{name}"
     return q
 
@@ -527,9 +529,10 @@ for _t in error_types(LISTINGS):
 
 @query
 def inject_duplicate_rows(spark, sf_dir):
-    picked = _assignments(spark, sf_dir).filter(F.col(ERROR_TYPE) == "duplicate_rows").select(F.col("id").alias("key"))
-    rows = _corrupted(spark, sf_dir).withColumn("key", typed_key("id"))
-    return rows.join(picked, "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
+    assignments = materialize(_assignments(spark, sf_dir))   # n rows per type, read twice
+    picked = assignments.filter(F.col(ERROR_TYPE) == "duplicate_rows").select(F.col("id").alias("key"))
+    rows = _corrupted(spark, sf_dir, assignments).withColumn("key", typed_key("id"))
+    return rows.join(bounded_broadcast(picked, INJECTION.n), "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
 
 
 @query
