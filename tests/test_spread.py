@@ -57,6 +57,25 @@ def test_large_states_are_joined_by_group_and_part(spark, monkeypatch):
     check(spark, rows)
 
 
+@pytest.mark.parametrize("small", [0, 3, 12])
+@pytest.mark.parametrize("broadcast", [0, 2_000_000])
+def test_small_and_large_groups_side_by_side(spark, monkeypatch, small, broadcast):
+    monkeypatch.setattr(spread, "SMALL", small)
+    monkeypatch.setattr(frames, "MAX_BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(spread, "SALTS", 5)
+    tiny = [math.nextafter(1e15, math.inf) + 0.125 * i for i in range(40)]
+    check(spark, [x for i, x in enumerate(sample(3)) if i % 4 == 0] + [("t", 0, v) for v in tiny])
+    whole = spark.createDataFrame([(float(i),) for i in range(10)], "v double")
+    assert [tuple(r) for r in group_spread(whole, [], "v").collect()] == [(10, 4.5, 2.5)]
+
+
+def test_many_small_groups_need_no_copies_of_their_brackets(spark, monkeypatch):
+    """Their number does not matter: no table of brackets is written or dealt ``SALTS`` times."""
+    monkeypatch.setattr(frames, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(spread, "with_groups", None)
+    check(spark, [(f"g{i % 500}", i % 3, float(i * i % 97)) for i in range(3000)])
+
+
 def test_close_and_far_values(spark):
     """Neighbouring doubles, and a range that overflows: the buckets still part them."""
     tiny = [math.nextafter(1e15, math.inf) + 0.125 * i for i in range(40)]

@@ -3,15 +3,16 @@
 ``percentile`` and ``median`` buffer every value of a group in one task.  Here no
 group is ever gathered: the rows are folded to (group, value, count) once, an
 aggregate combined map-side and spread over the values, so a group that holds a
-third of the table is spread too.  Then every wanted rank of every group has a
-bracket [low, high], and each round cuts all open brackets into ``BUCKETS`` buckets
+third of the table is spread too.  Groups of at most ``SMALL`` different values are
+ranked by windows, dealt by group: one shuffle for both statistics of all of them.
+In the larger groups every wanted rank has a bracket [low, high], and each round cuts all open brackets into ``BUCKETS`` buckets
 (a grouped aggregate with count, minimum and maximum per bucket) and goes on with
 the bucket that holds the rank, until its minimum equals its maximum.  A bracket
 always loses its lowest or its highest value, so the rounds end; real data needs
 two or three, for all groups together.
 
-The brackets, one row per group and rank, are broadcast while they are few
-(counted); beyond that they are joined by group and a part of the values, so that
+The large groups are fewer than one in ``SMALL`` rows, so their brackets (one row per
+group and rank) are few too: they are broadcast while they are (counted); beyond that they are joined by group and a part of the values, so that
 a large group is split over ``SALTS`` tasks.
 
 NULL is a group like any other. NULL, NaN and infinite values are in no statistic
@@ -33,6 +34,8 @@ from tq.session import scratch_path
 from tq.sources.files import remove
 
 BUCKETS, SALTS = 256, 32
+#: Different values of the largest group that one task may rank.
+SMALL = 4096
 
 
 class Scratch:
@@ -135,6 +138,53 @@ def middles(freq: DataFrame, names, scratch: Scratch) -> tuple[DataFrame, int]:
     return scratch.write(both.select(*[F.col(f"f.{g}") for g in names], "n", median.alias("median"))), groups
 
 
+def divided(freq: DataFrame, names, scratch: Scratch) -> tuple[DataFrame | None, DataFrame | None]:
+    """The rows of ``freq`` of the groups of at most ``SMALL`` different values, and those of the larger groups (None: no such group)."""
+    large = scratch.write(freq.groupBy(*names).agg(F.count(F.lit(1)).alias("d")).filter(F.col("d") > SMALL))
+    count = large.count()
+    if not count:
+        return freq, None
+    if not names:
+        return None, freq
+    side = frames.bounded_broadcast(large, count).alias("s")
+    return tuple(freq.alias("f").join(side, _same("f", "s", names), how) for how in ("left_anti", "left_semi"))
+
+
+def small_spread(freq: DataFrame, names) -> DataFrame:
+    """``(g0.., n, median, mad)`` of groups that one task may rank: dealt by group once, sorted by value and by deviation."""
+    group = Window.partitionBy(*names)
+
+    def holds(rank: Column) -> Column:
+        return (rank < F.col("upto")) & (rank >= F.col("upto") - F.col("n"))
+
+    def counted(rows: DataFrame, v: str) -> DataFrame:
+        upto = F.sum("n").over(group.orderBy(v).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return rows.withColumn("upto", upto)
+
+    def middle(v: str) -> tuple[Column, Column]:
+        return (F.min(F.when(holds(F.floor((F.col("total") - 1) / 2)), F.col(v))),
+                F.max(F.when(holds(F.floor(F.col("total") / 2)), F.col(v))))
+
+    rows = counted(freq, "v").withColumn("total", F.sum("n").over(group))
+    a, b = middle("v")
+    rows = rows.withColumn("a", a.over(group)).withColumn("b", b.over(group))
+    rows = rows.withColumn("median", F.col("a") + (F.col("b") - F.col("a")) * 0.5).withColumn("away", F.abs(F.col("v") - F.col("median")))
+    a, b = middle("away")
+    out = counted(rows, "away").groupBy(*names).agg(F.max("total").alias("n"), F.max("median").alias("median"), a.alias("a"), b.alias("b"))
+    return out.select(*names, "n", "median", (F.col("a") + (F.col("b") - F.col("a")) * 0.5).alias("mad"))
+
+
+def large_spread(freq: DataFrame, names, scratch: Scratch) -> DataFrame:
+    """``(g0.., n, median, mad)`` of groups of any size, none of which is gathered."""
+    center, groups = middles(freq, names, scratch)
+    away = with_groups(freq, center.select(*names, "median"), names, groups)
+    away = away.select(*names, F.abs(F.col("v") - F.col("median")).alias("v"), "n").groupBy(*names, "v").agg(F.sum("n").alias("n"))
+    away = scratch.write(away.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")))
+    mad, _ = middles(away, names, scratch)
+    both = center.alias("f").join(mad.alias("s"), _same("f", "s", names))
+    return both.select(*[F.col(f"f.{g}") for g in names], F.col("f.n").alias("n"), F.col("f.median").alias("median"), F.col("s.median").alias("mad"))
+
+
 def group_spread(df: DataFrame, by, value: Column | str, scratch: Scratch | None = None) -> DataFrame:
     """``(by.., n, median, mad)``: count, median and median absolute deviation of the finite values of each group.
 
@@ -146,14 +196,11 @@ def group_spread(df: DataFrame, by, value: Column | str, scratch: Scratch | None
     names = _groups(by)
     with own:
         freq = own.write(frequencies(df, by, value))
-        center, groups = middles(freq, names, own)
-        away = with_groups(freq, center.select(*names, "median"), names, groups)
-        away = away.select(*names, F.abs(F.col("v") - F.col("median")).alias("v"), "n").groupBy(*names, "v").agg(F.sum("n").alias("n"))
-        away = own.write(away.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")))
-        mad, _ = middles(away, names, own)
-        both = center.alias("f").join(mad.alias("s"), _same("f", "s", names))
-        return keep.write(both.select(*[F.col(f"f.{g}").alias(c) for g, c in zip(names, by)], F.col("f.n").alias("n"),
-                                      F.col("f.median").alias("median"), F.col("s.median").alias("mad")))
+        few, many = divided(freq, names, own)
+        parts = [] if few is None else [small_spread(few, names)]
+        parts += [] if many is None else [large_spread(own.write(many), names, own)]
+        both = reduce(DataFrame.unionByName, parts)
+        return keep.write(both.select(*[F.col(g).alias(c) for g, c in zip(names, by)], "n", "median", "mad"))
 
 
 def bounds(spread: DataFrame, cutoff: float, least: int) -> DataFrame:
