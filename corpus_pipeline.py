@@ -14,9 +14,13 @@ from tq.llm.common import saved, table
 from tq.llm.queries import tokenizer_path
 
 
+#: Least score of a document's language. Every text gets the nearest learned language; a lower score says that it is in none.
+SURE = 0.4
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; null texts and texts without a letter go."""
-    return langid.accepted(docs, langid.train(docs))
+    """Documents in a learned language, by a score of ``SURE`` or more; null texts and texts without a letter go."""
+    return langid.accepted(docs, langid.train(docs), least=SURE)
 
 
 #: Percent of the shingles that near copies share.

@@ -70,3 +70,11 @@ def test_run_equals_the_stages_and_empty_tables_pass(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = saved(stage(spark, docs, SF), "test-empty")
         assert docs.count() == 0
+
+
+def test_language_id_drops_what_is_in_no_learned_language(spark):
+    docs = table(spark, SF, "documents").select(COLUMNS)
+    foreign = [(9101, "это русский текст о погоде в Москве и других городах", None, "a", 52), (9102, "12 34", None, "a", 5)]
+    out = corpus_pipeline.language_id(spark, docs.unionByName(spark.createDataFrame(foreign, docs.schema)), SF)
+    assert not [r.doc_id for r in out.where("doc_id > 9000").collect()]
+    assert out.count() == docs.where("text rlike '[a-zA-Z]'").count()

@@ -175,9 +175,9 @@ def predictions(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str
     return narrow.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, model: Model, languages: tuple[str, ...] | None = None, text: str = "text") -> DataFrame:
+def accepted(docs: DataFrame, model: Model, languages: tuple[str, ...] | None = None, text: str = "text", least: float = 0.0) -> DataFrame:
     """The rows of ``docs``, all columns, whose predicted language is one of ``languages`` (default: any learned
-    one). Rows without a letter go. One narrow pass, no shuffle."""
+    one) with a score of ``least`` or more. Rows without a letter go. One narrow pass, no shuffle."""
     wanted = set(model.languages if languages is None else languages)
     place = docs.columns.index(text)
 
@@ -185,8 +185,8 @@ def accepted(docs: DataFrame, model: Model, languages: tuple[str, ...] | None =
         import pyarrow as pa
 
         for batch in slices(batches):
-            names, _ = model.predict(as_bytes(batch.column(place)))
-            yield batch.filter(pa.array([name in wanted for name in names], pa.bool_()))
+            names, score = model.predict(as_bytes(batch.column(place)))
+            yield batch.filter(pa.array([name in wanted and sure >= least for name, sure in zip(names, score, strict=True)], pa.bool_()))
 
     some = docs.where(has_letter(F.col(text)))
     return some.mapInArrow(run, docs.schema) if model.languages else some.where("false")
