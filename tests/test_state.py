@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tq.operators import state
 from tq.operators.explore import missing_pairs
 from tq.operators.profile import profile
-from tq.operators.state import add_slice, distances, drift, merged_profile, number_bucket
+from tq.operators.state import add_slice, bucket_state, distances, drift, merged_profile, number_bucket
+from tq.plans import catalog
 
 
 def rows_of(spark, rows):
@@ -89,3 +90,19 @@ def test_missing_pairs(spark):
             a, b = sum(r[i] for r in gone) - both, sum(r[j] for r in gone) - both
             assert got[names[i], names[j]] == (both, a, b, 60 - both - a - b)
     assert [tuple(r)[2:] for r in missing_pairs(spark.createDataFrame([], "a string, b int")).collect()] == [(0, 0, 0, 0)]
+
+
+def test_a_cell_is_judged_by_one_expression_whatever_the_number_of_columns(spark):
+    def logs(columns):
+        df = spark.createDataFrame([("1.5",) * columns, ("x",) * columns], ", ".join(f"c{i} string" for i in range(columns)))
+        assert bucket_state(df).count() == 2 * columns
+        return bucket_state(df)._jdf.queryExecution().optimizedPlan().toString().lower().count("log10")
+
+    assert logs(1) == logs(6) > 0
+
+
+def test_staged_rows_are_written_once(spark):
+    df = spark.range(5).selectExpr("cast(id + 1 as string) as id", "if(id = 2, null, 'x') as t")
+    staged = catalog._staged(spark, df)
+    assert staged.columns == df.columns and sorted(staged.collect()) == sorted(df.collect())
+    assert [f for f in staged.inputFiles() if "staged" in f]

@@ -60,12 +60,14 @@ def text_bucket(c: Column, kind: str) -> Column:
 def column_state(df: DataFrame) -> DataFrame:
     """The ``columns`` rows of a table: one aggregate over one scan."""
     items = _columns(df)
+    # each value is typed once, not in every aggregate that takes it
+    typed = [x for i, name, dtype in items for x in (_missing(name, dtype).alias(f"m{i}"), _numeric(name, dtype).alias(f"v{i}"),
+                                                     (col(name) if isinstance(dtype, StringType) else col(name).cast("string")).alias(f"s{i}"))]
+    df = df.select(*typed)
     aggs = [F.count(F.lit(1)).alias("rows")]
-    for i, name, dtype in items:
-        v = _numeric(name, dtype)
-        v = F.when(finite(v), v)
-        shown = col(name).cast("string") if not isinstance(dtype, StringType) else col(name)
-        aggs += [count_if(_missing(name, dtype)).alias(f"m{i}"), F.count(v).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"),
+    for i, _, _ in items:
+        v, shown = F.when(finite(F.col(f"v{i}")), F.col(f"v{i}")), F.col(f"s{i}")
+        aggs += [count_if(F.col(f"m{i}")).alias(f"m{i}"), F.count(v).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"),
                  # the sketch passes over empty texts, so every text gets a sign ahead
                  F.hll_sketch_agg(F.concat(F.lit("="), shown), F.lit(LG_K)).alias(f"d{i}"), F.kll_sketch_agg_double(v, F.lit(KLL_K)).alias(f"q{i}")]
     wide = df.agg(*aggs)
@@ -77,14 +79,15 @@ def column_state(df: DataFrame) -> DataFrame:
 
 def bucket_state(df: DataFrame, text_hash: str = "xxhash64") -> DataFrame:
     """The ``buckets`` rows of a table: a grouped count, combined in each task to a few hundred rows per column."""
-    cells = []
-    for _, name, dtype in _columns(df):
-        v, missing = _numeric(name, dtype), _missing(name, dtype)
-        number = finite(v)
-        kind = F.when(missing, F.lit(MISSING)).when(number, F.lit(NUMBER)).otherwise(F.lit(TEXT))
-        bucket = F.when(missing, F.lit(0)).when(number, number_bucket(v)).otherwise(text_bucket(col(name).cast("string"), text_hash))
-        cells.append(F.struct(F.lit(name).alias("column"), kind.alias("kind"), bucket.alias("bucket")))
-    return df.select(F.inline(F.array(*cells))).groupBy("column", "kind", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    # a cell is judged after it has become a row: one expression for all columns, which the JVM compiles, not one for each
+    cells = [F.struct(F.lit(name).alias("column"), _missing(name, dtype).alias("missing"), _numeric(name, dtype).alias("v"),
+                      col(name).cast("string").alias("text")) for _, name, dtype in _columns(df)]
+    v, missing = F.col("v"), F.col("missing")
+    number = finite(v)
+    kind = F.when(missing, F.lit(MISSING)).when(number, F.lit(NUMBER)).otherwise(F.lit(TEXT))
+    bucket = F.when(missing, F.lit(0)).when(number, number_bucket(v)).otherwise(text_bucket(F.col("text"), text_hash))
+    judged = df.select(F.inline(F.array(*cells))).select("column", kind.alias("kind"), bucket.alias("bucket"))
+    return judged.groupBy("column", "kind", "bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
 def add_slice(df: DataFrame, path: str, name: str, text_hash: str = "xxhash64") -> None:

@@ -72,6 +72,13 @@ def _typed(spark, sf_dir):
     return typed_projection(_drop_empty(norm), LISTINGS, repair=True)
 
 
+def _staged(spark, df: DataFrame) -> DataFrame:
+    """``df`` written once: its columns are not computed again wherever they are named, nor in every pass."""
+    path = fresh_scratch(spark, "staged")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _drop_empty(norm: DataFrame) -> DataFrame:
     from tq.operators.profile import empty_column_names
 
@@ -829,7 +836,7 @@ def consistency_rejected_rows(spark, sf_dir):
 
 def _consistent(spark, sf_dir, what):
     """One result of the experiment with all rules; its tables are deleted again, the result is checkpointed."""
-    e = run_consistency_experiment(dirty(spark, sf_dir), CONSISTENT_LISTINGS, INJECTION)
+    e = run_consistency_experiment(_staged(spark, dirty(spark, sf_dir)), CONSISTENT_LISTINGS, INJECTION)
     out = materialize(what(e))
     e.release()
     return out
@@ -853,7 +860,7 @@ def consistency_collateral(spark, sf_dir):
 def incremental_profile(spark, sf_dir):
     """Three slices of dirty profiled one by one; the merged state against exact values of the whole table: distinct counts
     within three standard deviations, the rank of the median within the sketch's bound."""
-    path, d = fresh_scratch(spark, "profile-state"), dirty(spark, sf_dir)
+    path, d = fresh_scratch(spark, "profile-state"), _staged(spark, dirty(spark, sf_dir))
     part = F.pmod(F.coalesce(typed_key("id"), F.lit(0)), F.lit(3))
     for i in range(3):
         add_slice(d.filter(part == i), path, f"day{i}")
