@@ -145,6 +145,46 @@ def test_prefixes_share_what_is_asked():
         assert (np.diff(often.astype(int)) >= 0).all()
 
 
+@pytest.mark.parametrize("rows", [1, 2, 3, 7, 10000])
+def test_lists_of_several_classes(spark, rows):
+    """Whatever the size of the batches, an entry stays where its list holds another class, once."""
+    r = random.Random(11)
+    found = [(r.randint(-20, 20) * 10**17, r.randint(0, 3), 0) for _ in range(60)] + [(5, 1, 5)] * 9 + [(6, 1, 6)] * 9 + [(6, 2, 7)] * 9
+    entries = [(s, n, s % 1000 + n) for s, n, _ in found]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        got = jaccard.several_listed(spark.createDataFrame(entries, "shingle long, node long, packed long").repartition(3)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(tuple, got)) == sorted({x for x in entries if len({n for s, n, _ in entries if s == x[0]}) > 1})
+
+
+def test_what_is_written_follows_the_copies(spark, monkeypatch):
+    """Texts that resemble no other one are neither dealt to be compared nor written down entry by entry."""
+    r = random.Random(12)
+    base = words(r, 200, 10**6)
+    rows = [(i, " ".join(words(r, 200, 10**6))) for i in range(200)] + [(1000 + i, " ".join(edited(r, base, i))) for i in range(4)]
+    written, texts = {}, []
+    saved, chosen = jaccard.saved, jaccard.chosen_texts if hasattr(jaccard, "chosen_texts") else jaccard.full_sets
+
+    def seen(df, name, *by):
+        out = saved(df, name, *by)
+        written[name] = out.count()
+        return out
+
+    def moved(*args):
+        out = chosen(*args)
+        texts.append((out.count(), "Join" in out._jdf.queryExecution().optimizedPlan().toString()))
+        return out
+
+    monkeypatch.setattr(jaccard, "saved", seen)
+    monkeypatch.setattr(jaccard, "chosen_texts", moved, raising=False)
+    monkeypatch.setattr(jaccard, "full_sets", moved, raising=False)
+    check(spark, rows)
+    assert texts and all(n <= 8 and not joined for n, joined in texts)
+    assert all(n < 1000 for n in written.values())  # the four copies list about 40 entries each
+
+
 def test_query(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(d.doc_id, d.text) for d in docs.collect()]

@@ -19,8 +19,8 @@ prefixes share bounds what the sets share; it is checked before a pair is made,
 are not all paired. So a group of m near copies costs about m comparisons, and no link between different
 components is lost.
 
-Verification compares full sets. Pairs are dealt by their centre in parts of at most about ``PART`` members; a part
-reads the centre's set once and the members' one after the other.
+Verification compares full sets, made again from a text of each class in question. Pairs are dealt by their centre in
+parts of at most about ``PART`` members; a part reads the centre's text once and the members' one after the other.
 
 Rows: null and wordless texts have the empty set and are linked with nothing; a text of fewer words than a
 shingle is one shingle. A row with a null id can link others, its component is the smallest id reached (null
@@ -43,8 +43,10 @@ from tq.llm.minhash import digest, extended, shingle_sets
 SHINGLE, PERCENT = 4, 85
 LEVELS, VERIFY = 6, 16
 COUNTERS, PARTS = 1 << 22, 64
+#: Bits of the table that tells the tasks which rows' texts are needed; a bit shared by several rows only moves a text more.
+MARKS = 1 << 26
 #: The longest prefix that is compared within the join itself.
-SIGNATURE = 64
+SIGNATURE = 128
 #: Members of a centre compared in one part.
 PART = 64
 #: Digests that a task remembers, so that copies list their shingles once per task.
@@ -178,65 +180,104 @@ def least_shared(n: Column, m: Column, percent: int) -> Column:
     return F.ceil((n + m) * F.lit(percent) / (100 + percent)).cast("long")
 
 
+def several_listed(listed: DataFrame) -> DataFrame:
+    """The entries of the lists that hold several classes, once per class. They are dealt once, in the order of the lists; a
+    task keeps no more than the entry before."""
+
+    def run(batches: Iterable) -> Iterator:
+        import pyarrow as pa
+
+        held, given = None, False  # the last entry so far, and whether it has been given out
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [c.to_numpy() for c in batch.columns]
+            if held is not None:
+                columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
+            shingle, node, _ = columns
+            first = np.concatenate([[True], (shingle[1:] != shingle[:-1]) | (node[1:] != node[:-1])])
+            columns = [c[first] for c in columns]
+            same = columns[0][1:] == columns[0][:-1]
+            keep = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+            out = keep.copy()
+            out[0] &= not given
+            held, given = [c[-1:] for c in columns], bool(keep[-1]) or (given and len(keep) == 1)
+            yield pa.RecordBatch.from_arrays([pa.array(c[out], pa.int64()) for c in columns], names=["shingle", "node", "packed"])
+
+    return listed.repartition("shingle").sortWithinPartitions("shingle", "node").mapInArrow(run, "shingle long, node long, packed long")
+
+
 def shared_entries(listed: DataFrame, percent: int) -> DataFrame:
     """(shingle, node, n, place, level, listed, own): the entries on lists of several classes, once per class; ``listed``:
     how many entries the class has, ``own``: how many of them are on lists of its own."""
-    several = listed.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("shingle")
-    rows = listed.join(several, "shingle", "left_semi").groupBy("shingle", "node").agg(F.first("packed").alias("packed"))
-    rows = rows.select(
+    rows = several_listed(listed).select(
         "shingle", "node", F.shiftright("packed", 33).alias("n"), F.shiftright("packed", 3).bitwiseAND((1 << 30) - 1).alias("place"), F.col("packed").bitwiseAND(7).alias("level")
     )
     n = F.col("n")
     large, small = n - least_shared(n, F.ceil(n * percent / 100), percent), n - least_shared(n, n, percent)
     rows = saved(rows.withColumn("listed", F.least(n, F.greatest(large + F.col("level"), small + LEVELS))), "jaccard-shared")
-    discard(listed)
     own = rows.groupBy("node").agg((F.first("listed") - F.count("*")).alias("own"))
     out = saved(rows.join(own, "node"), "jaccard-entries")
     discard(rows)
     return out
 
 
-def full_sets(docs: DataFrame, chosen: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
-    """(node, shingles) of the chosen classes (node, row), from the text of one of their rows."""
+def place_of(doc_id: Column, text_hash: Column) -> Column:
+    """The place of a row in the table of ``MARKS`` marks, from 1 on."""
+    return F.pmod(F.xxhash64(text_hash, doc_id), F.lit(MARKS)) + 1
+
+
+def marked(chosen: DataFrame) -> np.ndarray:
+    """A table of ``MARKS`` bits, whatever the number of rows: 1 at the places of the chosen ones (node, row)."""
+    place = chosen.select(place_of(F.col("row.doc_id"), F.col("row.text_hash")).alias("place"))
+    parts = place.groupBy(F.bitmap_bucket_number("place").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    out = np.zeros(MARKS // 8, np.uint8)
+    for part, bits in parts.collect():
+        out[(part - 1) * len(bits) : part * len(bits)] = np.frombuffer(bits, np.uint8)
+    return out
+
+
+def chosen_texts(docs: DataFrame, chosen: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
+    """(node, text): a text of each chosen class (node, row), and of some others. The texts stay where they are read but for
+    those whose row is marked, so what is moved are the chosen ones and not the table."""
+    marks = docs.sparkSession.sparkContext.broadcast(marked(chosen))
 
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
-        for batch in slices(batches):
-            texts, nodes = as_bytes(batch.column(1)), batch.column(0).to_pylist()
-            for a, b in runs(texts):
-                # with repeated ids a row can be of another class
-                found = [(node, s) for node, s in zip(nodes[a:b], shingle_sets(texts[a:b], size), strict=True) if len(s) and digest(s)[0] == node]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x for x, _ in found], pa.int64()), pa.array([s.view(np.int64) for _, s in found], pa.list_(pa.int64()))], names=["node", "shingles"]
-                )
+        for batch in batches:
+            place = batch.column(0).to_numpy() - 1
+            batch = batch.take(pa.array(np.flatnonzero((marks.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1)))
+            for part in slices([batch]):
+                texts = as_bytes(part.column(1))
+                nodes = [digest(s)[0] if len(s) else None for a, b in runs(texts) for s in shingle_sets(texts[a:b], size)]
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), part.column(1)], names=["node", "text"])
 
     value = F.col(text)
-    narrow = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(value).alias("hash"), value.alias("text"))
-    # merged at any size, so that what is moved grows with the texts and does not jump
-    rows = narrow.join(chosen.select("node", "row").hint("merge"), (F.col("hash") == F.col("row.text_hash")) & F.col("id").eqNullSafe(F.col("row.doc_id")))
-    return rows.select("node", "text").dropDuplicates(["node"]).mapInArrow(run, "node long, shingles array<long>")
+    narrow = docs.select(place_of(F.col(doc_id).cast("long"), F.xxhash64(value)).alias("place"), value.cast("string").alias("text"))
+    return narrow.mapInArrow(run, "node long, text string").dropDuplicates(["node"])
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough; a is the centre."""
+def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough; a is the centre. ``texts``: (node, text), one of each class."""
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).alias("parts"))
     dealt = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
-    members = dealt.join(sets, F.col("b") == F.col("node")).select("a", "part", "b", "shingles")
-    centres = dealt.select("a", "part").distinct().join(sets, F.col("a") == F.col("node")).select("a", "part", F.lit(None).cast("long").alias("b"), "shingles")
+    members = dealt.select(F.col("b").alias("node"), "a", "part", "b")
+    centres = dealt.select(F.col("a").alias("node"), "a", "part").distinct().withColumn("b", F.lit(None).cast("long"))
+    # merged at any size, so that what is moved grows with the texts and does not jump
+    rows = members.unionByName(centres).join(texts.hint("merge"), "node").select("a", "part", "b", "text")
 
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
         at, centre = None, None
         for batch in slices(batches):
-            found = []
-            values, cuts = batch.column(3).values.to_numpy(), batch.column(3).offsets.to_numpy()
-            for i, (a, part, b) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True)):
+            found, values = [], as_bytes(batch.column(3))
+            sets = (s for i, j in runs(values) for s in shingle_sets(values[i:j], size))
+            for a, part, b, mine in zip(*(c.to_pylist() for c in batch.columns[:3]), sets, strict=True):
                 # sorted as unsigned numbers
-                mine = values[cuts[i] : cuts[i + 1]].view(np.uint64)
                 if b is None:
-                    at, centre = (a, part), mine.copy()
+                    at, centre = (a, part), mine
                 elif (a, part) == at:
                     place = np.minimum(np.searchsorted(centre, mine), len(centre) - 1)
                     both = int((centre[place] == mine).sum())
@@ -245,17 +286,20 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     # a part's centre comes before its members: nulls are first
-    return members.unionByName(centres).repartition("a", "part").sortWithinPartitions("a", "part", "b").mapInArrow(run, "a long, b long")
+    return rows.repartition("a", "part").sortWithinPartitions("a", "part", "b").mapInArrow(run, "a long, b long")
 
 
 def star_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """(a, b): the classes of each list with its centre, the class with the fewest own entries, where they meet there as
-    often as the larger set asks for."""
-    centre = rows.groupBy("shingle").agg(F.min(F.struct("own", "node", "n", "level")).alias("c"))
+    often as the larger set asks for and, unless other centres took some of their lists, as often as similar sets must: a
+    pair that is left out here is met again by ``met_pairs``."""
+    centre = rows.groupBy("shingle").agg(F.min(F.struct("own", "node", "n", "level", "listed")).alias("c"))
     met = rows.join(centre, "shingle").where("node <> c.node").where(F.least("n", "c.n") * 100 >= F.greatest("n", "c.n") * percent)
     asked = F.when(F.col("n") > F.col("c.n"), F.col("level")).otherwise(F.col("c.level"))
-    pairs = met.groupBy(F.col("c.node").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("common"), F.max(asked).alias("asked"))
-    return pairs.where("common >= asked").select("a", "b")
+    # behind the prefix that ends first the sets share at most what is left of it
+    least = least_shared(F.col("n"), F.col("c.n"), percent) - F.greatest(F.col("n") - F.col("listed"), F.col("c.n") - F.col("c.listed"))
+    pairs = met.groupBy(F.col("c.node").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("common"), F.max(asked).alias("asked"), F.max(least).alias("least"))
+    return pairs.where("common >= asked and common >= least").select("a", "b")
 
 
 def met_pairs(rows: DataFrame, percent: int) -> DataFrame:
@@ -270,10 +314,13 @@ def met_pairs(rows: DataFrame, percent: int) -> DataFrame:
     sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("size")).groupBy("key")
     main = sizes.agg(F.max(F.struct("size", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
     mixed = rows.join(main.select("key", F.col("main.comp").alias("main")), "key")
-    # short prefixes go along: what two of them share, and what is left behind them, is known in the join
-    whole = mixed.groupBy("node").agg(F.collect_list("key").alias("prefix")).where(F.size("prefix") <= SIGNATURE)
+    # short prefixes go along, 16 bits of each shingle: what two of them share at most, and what is left behind them, is known
+    # in the join; ``alike``: how many shingles of the prefix have the bits of another one
+    bits = (F.col("key").bitwiseAND(0xFFFF) - 0x8000).cast("smallint")
+    whole = mixed.groupBy("node").agg(F.collect_set(bits).alias("prefix"), F.count("*").cast("int").alias("size")).where(F.col("size") <= SIGNATURE)
+    whole = whole.select("node", "prefix", (F.col("size") - F.size("prefix")).alias("alike"))
     mixed = saved(mixed.join(whole, "node", "left"), "jaccard-mixed")
-    columns = ["node", "comp", "n", "level", "place", "listed", "prefix"]
+    columns = ["node", "comp", "n", "level", "place", "listed", "prefix", "alike"]
     x = mixed.select("key", "main", *[F.col(c).alias(f"x_{c}") for c in columns])
     y = mixed.where("comp <> main").select("key", *[F.col(c).alias(f"y_{c}") for c in columns])
     larger = (F.col("x_n") > F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_node") > F.col("y_node")))
@@ -283,7 +330,8 @@ def met_pairs(rows: DataFrame, percent: int) -> DataFrame:
     inside = (F.col("x_place") <= F.col("x_n") - behind) & (F.col("y_place") <= F.col("y_n") - behind)
     sized = F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * percent
     rest = F.greatest(F.col("x_n") - F.col("x_listed"), F.col("y_n") - F.col("y_listed"))
-    enough = F.size(F.array_intersect("x_prefix", "y_prefix")) + rest >= least_shared(F.col("x_n"), F.col("y_n"), percent)
+    both = F.size(F.array_intersect("x_prefix", "y_prefix")) + F.least("x_alike", "y_alike")
+    enough = both + rest >= least_shared(F.col("x_n"), F.col("y_n"), percent)
     sized = sized & F.when(F.col("x_prefix").isNotNull() & F.col("y_prefix").isNotNull(), enough).otherwise(F.lit(True))
     # a pair of which both are outside the main component is met from both sides: one is kept
     met = (x["key"] == y["key"]) & F.expr("x_comp <> y_comp and (x_comp = main or x_node < y_node)") & sized & inside
@@ -300,15 +348,15 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, p
     """The linked ones of the pairs (a, b)."""
     pairs = saved(pairs, "jaccard-pairs")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = saved(full_sets(docs, classes.join(nodes, "node", "left_semi"), size, doc_id, text), "jaccard-sets")
-    out = saved(confirmed(pairs, sets, percent), "jaccard-links")
-    discard(pairs, sets)
+    texts = chosen_texts(docs, classes.join(nodes, "node", "left_semi"), size, doc_id, text)
+    out = saved(confirmed(pairs, texts, size, percent), "jaccard-links")
+    discard(pairs)
     return out
 
 
 def linked_classes(docs: DataFrame, classes: DataFrame, counters: np.ndarray, size: int, percent: int, doc_id: str, text: str) -> DataFrame | None:
     """(node, root) of the classes that are linked with another one; None if no two share a list."""
-    rows = shared_entries(saved(entries(docs, counters, size, percent, text), "jaccard-prefixes"), percent)
+    rows = shared_entries(entries(docs, counters, size, percent, text), percent)
     if rows.isEmpty():
         return None
     root = extended(None, verified(docs, classes, star_pairs(rows, percent), size, percent, doc_id, text))
