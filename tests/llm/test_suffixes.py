@@ -160,6 +160,20 @@ def test_family_of_levels(spark):
     assert found[:4] == [0, 0, 0, 0] and found[4] > 0
 
 
+def test_levels_are_merged_for_batches_that_follow(spark, monkeypatch):
+    """Four batches write a level each and one merged one, and copies of a text in different batches or twice in one still go."""
+    r = random.Random(5)
+    texts = [letters(r, 700) for _ in range(12)]
+    rows = list(enumerate(texts + texts[:3] * 3 + [texts[4][:450] + letters(r, 300)]))
+    written, level = [], suffixes.SuffixIndex._level
+    monkeypatch.setattr(suffixes.SuffixIndex, "_level", lambda self, counts: written.append(1) or level(self, counts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cuts = suffixes.removals(docs, batches=4).count()
+    assert cuts == 5 and len(written) == 5
+    got = sorted(tuple(x)[:5] for x in suffixes.deduplicated(docs).collect())
+    assert [x[2] for x in got] == [e[1] for e in expected([t for _, t in rows])]
+
+
 def test_long_texts_are_read_in_chunks(monkeypatch):
     """256 neighbouring texts of 100 KB are not one array, and each entry keeps its text and place."""
 

@@ -11,7 +11,7 @@ context), the text, the place and how many copies of the text there are.
 
 Index family: documents come in batches. The keys of a batch are counted into a level (key, count), which is
 semi-joined with every existing level for keys that occur there too; then, while two levels have
-the same size, they are merged into one of twice the size. Levels are tables bucketed and sorted by
+the same size, they are merged into one of twice the size (not after the last batch). Levels are tables bucketed and sorted by
 key, so scans and merges read them side by side without a shuffle, and n batches are rewritten about
 log2(n) times.
 
@@ -183,8 +183,9 @@ class SuffixIndex:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
-    def add(self, texts: DataFrame) -> DataFrame:
-        """Adds a batch of (t, text); returns the keys of the batch that occur twice in it or in a level already."""
+    def add(self, texts: DataFrame, last: bool = False) -> DataFrame:
+        """Adds a batch of (t, text); returns the keys of the batch that occur twice in it or in a level already. ``last``:
+        no batch follows that would read merged levels."""
         self.batches.append(saved(entries(texts, self.shape), "suffixes-batch"))
         new = self._level(self.batches[-1])
         counts = self.spark.table(new[0])
@@ -193,7 +194,7 @@ class SuffixIndex:
             found = found.unionByName(counts.select("key").join(self.spark.table(level).select("key"), "key", "left_semi"))
         found = saved(found.distinct(), "suffixes-found")
         self.levels.append((1, *new))
-        while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
+        while not last and len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (size, *one), (_, *two) = self.levels.pop(), self.levels.pop()
             merged = self._level(self.spark.table(one[0]).unionByName(self.spark.table(two[0])))
             self.levels.append((2 * size, *merged))
@@ -202,10 +203,12 @@ class SuffixIndex:
         return found
 
     def rows(self, keys: DataFrame) -> DataFrame:
-        """All entries with these keys."""
+        """All entries with these keys, those of copies summed; dealt once, by key."""
         everything = reduce(DataFrame.unionByName, self.batches)
         wanted = saved(keys.distinct(), "suffixes-keys")
-        out = saved(everything.join(wanted, "key", "left_semi"), "suffixes-rows")
+        # merged at any size: rows of a key are then in one task, and are summed there
+        rows = everything.join(wanted.hint("merge"), "key", "left_semi")
+        out = saved(rows.groupBy("key", "context", "t", "place").agg(F.sum("n").alias("n")), "suffixes-repeated")
         discard(wanted)
         return out
 
@@ -296,16 +299,15 @@ def cut(texts: list[bytes], items: list[list], shape: Shape) -> tuple:
 
 
 def repeated_ranges(docs: DataFrame, text: str = "text", batches: int = BATCHES, shape: Shape = Shape()) -> tuple[DataFrame, DataFrame]:
-    """(t, items): the ranges (first, last) of window starts of each text whose windows occur elsewhere; and (t, text) of the
-    texts touched. The tables written on the way are deleted as soon as what is made from them has been written."""
+    """(t, items): the ranges (first, last) of window starts of each text whose windows occur elsewhere; and (t, text, copies) of
+    the texts touched. The tables written on the way are deleted as soon as what is made from them has been written."""
     spark = docs.sparkSession
     texts = long_texts(docs, text, shape)
     index = SuffixIndex(spark, shape=shape)
-    found = [index.add(texts.where(F.pmod(F.xxhash64("t"), F.lit(batches)) == b)) for b in range(batches)]
-    copies = index.rows(reduce(DataFrame.unionByName, found))
+    found = [index.add(texts.where(F.pmod(F.xxhash64("t"), F.lit(batches)) == b), last=b == batches - 1) for b in range(batches)]
+    rows = index.rows(reduce(DataFrame.unionByName, found))
     index.close()
-    rows = saved(copies.groupBy("key", "context", "t", "place").agg(F.sum("n").alias("n")), "suffixes-repeated")
-    discard(copies, *found)
+    discard(*found)
 
     classes = saved(rows.groupBy("key", "context").agg(F.sum("n").alias("n"), F.min_by(F.struct("t", "place"), F.struct("t", "place")).alias("at")), "suffixes-classes")
     several = classes.groupBy("key").agg(F.count("*").alias("contexts")).where("contexts > 1").select("key")
@@ -316,7 +318,7 @@ def repeated_ranges(docs: DataFrame, text: str = "text", batches: int = BATCHES,
 
     discard(rows, classes)
     touched = edges.select("t").unionByName(equal.select("t")).distinct()
-    single = texts.groupBy("t").agg(F.first("text").alias("text"))
+    single = texts.groupBy("t").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     bodies = saved(single.join(touched, "t", "left_semi"), "suffixes-texts")
 
     places = edges.groupBy("t").agg(F.collect_list("place").alias("items"))
@@ -343,7 +345,11 @@ def repeated_ranges(docs: DataFrame, text: str = "text", batches: int = BATCHES,
 def removals(docs: DataFrame, text: str = "text", batches: int = BATCHES, shape: Shape = Shape()) -> DataFrame:
     """(t, n_removed, n_spans, longest, kept_sha256, kept) of the texts that lose bytes; ``longest``: bytes of their
     longest run; ``kept``: the text left."""
-    lists, bodies = repeated_ranges(docs, text, batches, shape)
+    return removed(*repeated_ranges(docs, text, batches, shape), shape)
+
+
+def removed(lists: DataFrame, bodies: DataFrame, shape: Shape) -> DataFrame:
+    """``removals`` of the texts and the ranges that ``repeated_ranges`` found."""
     return over_texts(bodies.join(lists, "t"), cut, "n_removed long, n_spans long, longest long, kept_sha256 string, kept string", shape)
 
 
@@ -361,9 +367,13 @@ def deduplicated(
     base = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.octet_length(value).cast("long").alias("n_bytes"), F.xxhash64(value).alias("t"), F.sha2(value, 256).alias("sha")
     )
-    marks = saved(removals(docs, text, batches, Shape(short)).select("t", F.col("n_removed").alias("n_short"), "longest"), "suffixes-marks")
+    lists, bodies = repeated_ranges(docs, text, batches, Shape(short))
+    marks = saved(removed(lists, bodies, Shape(short)).select("t", F.col("n_removed").alias("n_short"), "longest"), "suffixes-marks")
     long = marks.where(F.col("longest") >= shape.length).select("t")
-    again = saved(long_texts(docs, text, shape).join(long.hint("merge"), "t", "left_semi").select("text"), "suffixes-again")
+    # two copies of a text say that it stands elsewhere too as well as all of them do
+    twice = F.explode(F.sequence(F.lit(1), F.least(F.col("copies"), F.lit(2)).cast("int")))
+    again = saved(bodies.join(long.hint("merge"), "t", "left_semi").select("text", twice.alias("copy")).select("text"), "suffixes-again")
+    discard(lists, bodies)
     cuts = saved(removals(again, "text", batches, shape).drop("kept", "longest"), "suffixes-cuts")
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     found = marks.drop("longest").join(cuts, "t", "left")
