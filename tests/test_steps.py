@@ -5,7 +5,7 @@ import itertools
 import pytest
 
 from tq.plans.steps import GRAPH, planned, run
-from tq.sources.files import exists
+from tq.sources.files import exists, stage_raw, write_raw_csv
 from tq.sources.tables import dirty
 
 from conftest import SF_SMALL
@@ -49,3 +49,20 @@ def test_run_on_a_table_without_rows(spark, tmp_path):
     out = run(spark, dirty(spark, SF_SMALL).where("false"), str(tmp_path / "none"))
     rows = {r["side"]: r["rows"] for r in spark.read.json(out["validation_summary"]).collect()}
     assert rows == {"before": 0, "after": 0}
+
+
+def test_many_raw_files_are_staged_as_they_are_read(spark, table, tmp_path):
+    """Few files are spread over more; as many as asked for or more are not dealt anew, and keep every row."""
+    raw = table(*[{"id": str(i)} for i in range(60)])
+    for files, staged_files in ((1, 4), (6, 6)):
+        csv, staged = str(tmp_path / f"csv{files}"), str(tmp_path / f"staged{files}")
+        write_raw_csv(raw.repartition(files), csv)
+        spark.conf.set("spark.sql.files.openCostInBytes", str(64 << 20))  # a task for each small file
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
+        try:
+            rows = stage_raw(spark, csv, staged, partitions=4)
+            assert sorted(x.id for x in rows.collect()) == sorted(str(i) for i in range(60))
+        finally:
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert len(list((tmp_path / f"staged{files}").glob("part-*.parquet"))) == staged_files

@@ -52,11 +52,12 @@ def stage_raw(spark: SparkSession, csv_path: str, parquet_path: str, partitions:
               columns=None) -> DataFrame:
     """CSV -> Parquet once, then continue from the Parquet copy.
 
-    ``partitions``: spread the rows over so many files first.  Give it for an input of few splits (one gzip
-    file is one); many input files are written as they are read, without a shuffle.
+    ``partitions``: spread the rows over so many files first, for an input of few splits (one gzip file is
+    one).  As many input files or more are written as they are read, without a shuffle.
     """
     raw = read_raw_csv(spark, csv_path, columns)
-    write_parquet(raw.repartition(partitions) if partitions else raw, parquet_path)
+    few = partitions and len(raw.inputFiles()) < partitions
+    write_parquet(raw.repartition(partitions) if few else raw, parquet_path)
     return spark.read.schema(raw.schema).parquet(parquet_path)
 
 
