@@ -3,12 +3,14 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from tq.llm import suffixes
+from tq.llm import common, suffixes
 from tq.llm.suffixes import BITS, LENGTH, SHORT, Shape
 
 SF = "/root/testdata/sf0.01"
@@ -201,3 +203,68 @@ def test_long_texts_are_read_in_chunks(monkeypatch):
     found = [row for out in suffixes.entries(Frame())([batch]) for row in zip(*(c.to_pylist() for c in out.columns), strict=True)]
     assert len(found) == len(want) and set(found) == want
     assert max(sizes) <= 1 << 20
+
+
+def test_idle_workers_give_memory_back():
+    """A task over 16 MB of text leaves its worker with about the memory that it had before."""
+    code = r"""
+import random
+import re
+import pyarrow as pa
+from tq.llm import suffixes
+
+class Frame:
+    def select(self, *names):
+        return self
+    def mapInArrow(self, run, schema):
+        return run
+
+def held():
+    return sum(map(int, re.findall(r"Private_Dirty: +(\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+def task():
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(5000)]
+    texts = [" ".join(r.choices(words, k=650)) for _ in range(4000)]
+    return pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["t", "text"])
+
+run, sizes = suffixes.entries(Frame(), suffixes.Shape(50, words=True)), []
+list(run(iter([])))
+first = held()
+for _ in range(2):
+    batches = iter([task()])
+    rows = sum(out.num_rows for out in run(batches))
+    sizes.append(held())
+print(rows, first, max(sizes))
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=120)
+    rows, first, most = map(float, done.stdout.split())
+    assert rows > 50_000 and most < first + 50
+
+
+def test_every_python_step_of_the_pipeline_gives_memory_back(spark, monkeypatch):
+    from tq.llm import bpe, langid, minhash
+    from tq.llm.queries import tokenizer_path
+
+    docs = spark.createDataFrame([(1, "ein text", "de", "a", 8)], "doc_id long, text string, lang string, source string, n_chars long")
+    model = langid.Model(["de", "en"], [("de", "en")], np.zeros((langid.DIMENSIONS, 1)), np.zeros(1))
+    runs, calls = [], []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: runs.append(run) or self)
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    langid.accepted(docs, model)
+    minhash.sketched(docs)
+    suffixes.entries(suffixes.long_texts(docs, "text"))
+    suffixes.over_texts(docs.selectExpr("doc_id t", "text", "array(1) items"), suffixes.cut, "n long")
+    bpe.tokenized(docs, tokenizer_path())
+    for k, run in enumerate(runs):
+        assert list(run(iter([]))) == [] and len(calls) == k + 1
+    assert len(runs) == 5
+
+
+def test_powers_are_no_longer_than_needed(monkeypatch):
+    monkeypatch.setattr(common, "worker_cache", dict)
+    for n in (0, 1, 65536, 65537, (1 << 20) + 300):
+        found = common.SpanHash.powers(common.SpanHash.BASE, n)
+        whole = found.base if found.base is not None else found
+        assert len(found) == n and len(whole) < n + (1 << 16) + 1
+        assert [int(found[i]) for i in (0, n // 2, n - 1) if n] == [pow(common.SpanHash.BASE, i, 1 << 64) for i in (0, n // 2, n - 1) if n]

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from tq.llm.common import CHUNK_BYTES, mix, slices, worker_cache
+from tq.llm.common import CHUNK_BYTES, mix, slices, sparing, worker_cache
 
 #: Pieces and token pairs remembered by a worker, and the longest piece remembered: the bound of its memory.
 CACHE_PIECES, CACHE_BYTES, CACHE_PAIRS = 100_000, 48, 200_000
@@ -383,7 +383,7 @@ def tokenized(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     narrow = docs.select(*carried, F.col(text).alias(text))
     schema = narrow.drop(text).schema.add("n_tokens", "long").add("ids", ArrayType(IntegerType())).add("round_trip", "boolean")
-    return narrow.mapInArrow(run, schema)
+    return narrow.mapInArrow(sparing(run), schema)
 
 
 def digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -408,4 +408,4 @@ def digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "tex
             )
 
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return narrow.mapInArrow(sparing(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +23,29 @@ def worker_cache() -> dict:
     return sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache")).__dict__
 
 
+def give_back() -> None:
+    """Memory that this process holds without using it (Arrow's pool, freed parts of the C heap) goes back to the system."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def sparing(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
+    """``run`` for mapInArrow, which gives memory back after the task's last batch: Python workers outlive their
+    tasks, and what they hold while the JVM sorts and shuffles counts as the executor's memory too."""
+
+    def spared(batches: Iterable) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return spared
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -133,12 +158,12 @@ class SpanHash:
         cache = worker_cache()
         known = cache.get(("powers", base))
         if known is None or len(known) < n:
-            size = 1 << max(16, (n - 1).bit_length()) if n > 1 else 1 << 16
+            size = max(1, (n + (1 << 16) - 1) >> 16) << 16
             known = np.ones(size, dtype=np.uint64)
             done = 1
             while done < size:  # doubling: base^(done+i) = base^done * base^i
                 step = np.uint64(pow(base, done, 1 << 64))
-                known[done : 2 * done] = known[:done] * step
+                known[done : 2 * done] = known[: min(done, size - done)] * step
                 done *= 2
             if size <= 1 << 22:
                 cache["powers", base] = known

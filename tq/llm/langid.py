@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tq.llm.common import as_bytes, held_out, joined, per_text, runs, sigmoid, slices
+from tq.llm.common import as_bytes, held_out, joined, per_text, runs, sigmoid, slices, sparing
 from tq.llm.samples import sample_texts, smallest_hashes
 
 #: Language families by language code.
@@ -172,7 +172,7 @@ def predictions(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str
             )
 
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), has_letter(F.col(text)).alias("letter"))
-    return narrow.mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return narrow.mapInArrow(sparing(run), "doc_id long, lang_pred string, score double")
 
 
 def accepted(docs: DataFrame, model: Model, languages: tuple[str, ...] | None = None, text: str = "text", least: float = 0.0) -> DataFrame:
@@ -189,4 +189,4 @@ def accepted(docs: DataFrame, model: Model, languages: tuple[str, ...] | None =
             yield batch.filter(pa.array([name in wanted and sure >= least for name, sure in zip(names, score, strict=True)], pa.bool_()))
 
     some = docs.where(has_letter(F.col(text)))
-    return some.mapInArrow(run, docs.schema) if model.languages else some.where("false")
+    return some.mapInArrow(sparing(run), docs.schema) if model.languages else some.where("false")

@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tq.llm.common import SpanHash, as_bytes, joined, mix, runs, saved, slices
+from tq.llm.common import SpanHash, as_bytes, joined, mix, runs, saved, slices, sparing
 
 SHINGLE = 5
 COORDINATES, ROWS, MISSED = 128, 5, 5e-7
@@ -142,7 +142,7 @@ def sketched(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percen
             )
 
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, d1 long, d2 long, bands array<long>")
+    return narrow.mapInArrow(sparing(run), "doc_id long, text_hash long, n_shingles long, d1 long, d2 long, bands array<long>")
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -170,7 +170,7 @@ def full_sets(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> Da
     chosen = classes.select("node", "d1", "d2", "row").hint("merge")
     rows = narrow.join(chosen, (F.col("hash") == F.col("row.text_hash")) & F.col("id").eqNullSafe(F.col("row.doc_id")))
     single = rows.select("node", "d1", "d2", "text").dropDuplicates(["node", "d1", "d2"])
-    return single.mapInArrow(run, "node long, shingles array<long>")
+    return single.mapInArrow(sparing(run), "node long, shingles array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -42,7 +42,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tq.llm.common import SpanHash, as_bytes, discard, joined, mix, runs, saved, slices
+from tq.llm.common import SpanHash, as_bytes, discard, joined, mix, runs, saved, slices, sparing
 from tq.session import checkpoint_dir
 
 #: Bytes of the shortest repeated string that goes, in the query.
@@ -153,7 +153,7 @@ def entries(texts: DataFrame, shape: Shape = Shape()) -> DataFrame:
                     columns = [key.view(np.int64), context.view(np.int64), names[who], (start << 2 * BITS) | (to << BITS) | length, copies[who]]
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["key", "context", "t", "place", "n"])
 
-    return texts.select("t", "text").mapInArrow(run, "key long, context long, t long, place long, n long")
+    return texts.select("t", "text").mapInArrow(sparing(run), "key long, context long, t long, place long, n long")
 
 
 class SuffixIndex:
@@ -234,7 +234,7 @@ def over_texts(frame: DataFrame, work, schema: str, shape: Shape = Shape()) -> D
                 arrays = [pa.array(t[a:b][owner], pa.int64()), *[x if isinstance(x, pa.Array) else pa.array(x, pa.int64()) for x in columns]]
                 yield pa.RecordBatch.from_arrays(arrays, names=["t", *names])
 
-    return frame.select("t", "text", "items").mapInArrow(run, f"t long, {schema}")
+    return frame.select("t", "text", "items").mapInArrow(sparing(run), f"t long, {schema}")
 
 
 def block_hashes(texts: list[bytes], items: list[list[int]], shape: Shape) -> tuple:
